@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup
+from . import decontaminate, exact_dedup, language_id, ngram_join, packing, pii, sharding, substring_dedup, token_rollup, url_rules
 
 
 def queries() -> dict:
     return {
+        "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_pii": pii.op4_pii,
+        "op5_language_id": language_id.op5_language_id,
+        "op6_uniform_shards": sharding.op6_uniform_shards,
+        "op7_relative_lz": substring_dedup.op7_relative_lz,
+        "op8_best_fit": packing.op8_best_fit,
+        "op9_url_rules": url_rules.op9_url_rules,
+        "op10_token_rollup": token_rollup.op10_token_rollup,
     }
 
 
