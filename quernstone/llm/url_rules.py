@@ -55,17 +55,18 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.5, lift: float = 1.5) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.5, lift: float = 1.5, least: int = 20) -> DataFrame:
     """Rules (rule_id, items, confidence, support, lift) of labelled URLs (items array, bad boolean).
 
-    A rule is pruned if a rule with fewer of its items is at least as confident.
+    A rule holds for a share of `support` of the labelled URLs and for `least` of them.  A rule is pruned if a rule with fewer of its items is at least as confident.
     """
     spark = labelled.sparkSession
     none = spark.createDataFrame([], "rule_id bigint, items array<string>, confidence double, support double, lift double")
     baskets = stash(labelled.where("size(items) > 0").select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items")))
-    if not baskets.take(1):
+    n = baskets.count()
+    if n < least:
         return none
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=max(support, least / n), minConfidence=confidence).fit(baskets)
     found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= lift))
     found = stash(found.select(F.array_sort("antecedent").alias("items"), "confidence", "support", "lift"))
     # Rules that share their first item with a shorter rule are few; the check is on sets.
