@@ -48,7 +48,9 @@ def keeper_state(records: DataFrame, folder: str, max_files: int = 64) -> DataFr
     def changed(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/changed/batch={number}")
 
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128"}
+    # Without allowFAllocate=false each state partition reserves 4 MB of disk for its manifest.
+    rocksdb = "spark.sql.streaming.stateStore.rocksdb"
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, f"{rocksdb}.boundedMemoryUsage": "true", f"{rocksdb}.maxMemoryUsageMB": "128", f"{rocksdb}.allowFAllocate": "false"}
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
