@@ -98,7 +98,7 @@ def kept_pairs(repaired: DataFrame) -> DataFrame:
 
 def summary(verdicts: DataFrame) -> DataFrame:
     n = F.count("*")
-    return verdicts.agg(n.alias("total"), F.count_if("valid").alias("valid"), F.round(F.when(n > 0, 100 * F.count_if("valid") / n).otherwise(0.0), 2).alias("valid_percent"), F.round(F.avg("seconds"), 3).alias("mean_seconds"), F.count_if("attempts > 1").alias("retried"))
+    return verdicts.agg(n.alias("total"), F.count_if("valid").alias("valid"), F.round(F.when(n > 0, 100 * F.count_if("valid") / n).otherwise(0.0), 2).alias("valid_percent"), F.round(F.avg("seconds"), 3).alias("mean_seconds"), F.count_if(F.col("attempts") > 1).alias("retried"))
 
 
 def report(verdicts: DataFrame) -> str:
