@@ -187,7 +187,7 @@ def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     out = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "longest_match")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
 def brute_force(docs: list[tuple], items: list[tuple], window: int = 13) -> list[tuple]:

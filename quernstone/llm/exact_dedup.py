@@ -107,15 +107,3 @@ def _regroup(docs: DataFrame, out: DataFrame, false_hits: DataFrame, id_col: str
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
     out = exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("text_digest").alias("text_sha256"))
-
-
-SQL = """
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-n AS (SELECT doc_id, length(t) AS points, sha256(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS h FROM d)
-SELECT doc_id,
-       first_value(doc_id) OVER (PARTITION BY h ORDER BY points DESC, doc_id) AS keep_id,
-       count(*) OVER (PARTITION BY h) AS group_size,
-       first_value(doc_id) OVER (PARTITION BY h ORDER BY points DESC, doc_id) = doc_id AS kept,
-       h AS text_sha256
-FROM n
-"""

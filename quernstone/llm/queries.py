@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, ngram_join, packing, pii, sharding, substring_dedup, token_rollup, url_rules
+from . import decontaminate, exact_dedup, language_id, ngram_join, packing, pii, sharding, sql, substring_dedup, token_rollup, url_rules
 
 
 def queries() -> dict:
@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL}
+    return {"op1_ngram_join": sql.OP1, "op2_decontaminate": sql.OP2, "op3_exact_dedup": sql.OP3, "op7_relative_lz": sql.OP7}
