@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,21 +37,27 @@ def statistics(t: Table, config: ProfileConfig, exact: str, sample: int | None)
     return S.profile(df, config, exact).select(F.lit(t.schema).alias("schema"), F.lit(t.name).alias("table"), "*")
 
 
-def profile_catalog(catalog: Catalog, config: ProfileConfig = BARE, exact: str = "needed", sample: int | None = None) -> Profile:
-    """Profiles all tables.  Full tables by default; `sample` rows, the first by the first column, for a quick look.
+def profile_catalog(catalog: Catalog, config: ProfileConfig = BARE, exact: str = "needed", sample: int | None = None, workers: int = 4) -> Profile:
+    """Profiles all tables, `workers` at a time, so small tables do not wait for each other.  Full tables by default; `sample` rows, the first by the first column, for a quick look.
 
     Each table has one status: it is profiled or it is in `failed` with its
     error.  What is collected are rows of metadata, one for each column.
     """
-    spark, rows, failed, logical = catalog.spark, [], {}, {}
+    spark, rows, failed = catalog.spark, [], {}
     schema = None
-    for t in catalog:
+
+    def one(t: Table):
         try:
             stats = statistics(t, config, exact, sample)
-            schema = stats.schema
-            rows += stats.collect()
+            return stats.schema, stats.collect(), None
         except Exception as e:
-            failed[t.full_name] = f"{type(e).__name__}: {e}".splitlines()[0]
+            return None, [], f"{type(e).__name__}: {e}".splitlines()[0]
+
+    with ThreadPoolExecutor(workers) as pool:
+        for t, (kind, got, error) in zip(catalog, pool.map(one, catalog), strict=True):
+            schema, rows = kind or schema, rows + got
+            if error:
+                failed[t.full_name] = error
     good = Catalog(spark, [t for t in catalog if t.full_name not in failed])
     if schema is None:
         raise ValueError(f"no table could be profiled: {failed}")
@@ -58,9 +65,13 @@ def profile_catalog(catalog: Catalog, config: ProfileConfig = BARE, exact: str =
     roles = R.column_roles(described(good.columns_frame(), good.constraints_frame(), stats), config)
     collected = roles.orderBy("schema", "table", "ordinal").collect()
     columns = spark.createDataFrame(collected, roles.schema)
-    for t in good:
+
+    def keys_of(t: Table) -> list[K.LogicalKey]:
         mine = [r for r in collected if (r.schema, r.table) == (t.schema, t.name)]
-        logical[t.full_name] = K.logical_keys(t.frame if sample is None else head_sample(t.frame, sample, t.frame.columns[:1]), mine, config, bool(t.of_kind("pk")))
+        return K.logical_keys(t.frame if sample is None else head_sample(t.frame, sample, t.frame.columns[:1]), mine, config, bool(t.of_kind("pk")))
+
+    with ThreadPoolExecutor(workers) as pool:
+        logical = {t.full_name: k for t, k in zip(good, pool.map(keys_of, good), strict=True)}
     found = [(*n.split(".", 1), list(k.columns), k.confidence, k.uniqueness, k.null_rate) for n, ks in logical.items() for k in ks]
     keys = spark.createDataFrame(found, K.KEYS)
     keyed = keys.select("schema", "table").union(good.constraints_frame().where("kind = 'pk'").select("schema", "table")).distinct().withColumn("has_key", F.lit(True))

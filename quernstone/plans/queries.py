@@ -284,7 +284,7 @@ def sql_corpus_distinct(spark, d):
 def sql_corpus_three_tables(spark, d):
     li, o, p = _t(spark, d, "lineitem"), _t(spark, d, "orders"), _t(spark, d, "part")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    return j.where("o_orderstatus = 'F' OR o_orderstatus = 'O'").groupBy("p_brand", "o_orderstatus").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count_distinct("o_orderkey").alias("order_count"))
+    return j.where("o_orderstatus = 'F' OR o_orderstatus = 'O'").groupBy("p_brand", "o_orderstatus").agg(F.round(F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")), 2).cast("double").alias("revenue"), F.count_distinct("o_orderkey").alias("order_count"))
 
 
 # --- Streams -----------------------------------------------------------------------------------------------------------
@@ -387,6 +387,6 @@ def oracle_sql() -> dict[str, str]:
         "sql_corpus_join_group": "SELECT n_name, count(*) AS order_count, count(DISTINCT c_custkey) AS customers, round(sum(o_totalprice), 2) AS revenue FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
         "sql_corpus_having": "SELECT l_suppkey, round(sum(l_quantity), 2) AS quantity, count(*) AS lines FROM lineitem GROUP BY l_suppkey HAVING count(*) > 100",
         "sql_corpus_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
-        "sql_corpus_three_tables": "SELECT p_brand, o_orderstatus, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(DISTINCT o_orderkey) AS order_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY p_brand, o_orderstatus",
+        "sql_corpus_three_tables": "SELECT p_brand, o_orderstatus, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))), 2) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS order_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY p_brand, o_orderstatus",
         "events_windowed_profile": " UNION ALL ".join(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, round(avg({c}), 4) AS mean FROM events GROUP BY date_trunc('day', ts)" for c in ("value", "user_id")),
     }

@@ -1,6 +1,9 @@
 """The driver's contract: every query runs, and gives what its SQL gives in DuckDB."""
 
 import math
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -45,3 +48,11 @@ def test_sql_twin(spark, duck, sf, name):
 @pytest.mark.parametrize("name", sorted(set(core.queries()) - set(core.oracle_sql())))
 def test_without_twin(spark, sf, name):
     assert core.queries()[name](spark, sf).count() > 0
+
+
+def test_entry_without_the_corpus_operators(tmp_path):
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "quernstone", tmp_path / "quernstone", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sorted(e.queries()) and sorted(e.oracle_sql()))"], cwd=tmp_path, capture_output=True, text=True, check=True).stdout
+    assert "row_counts" in said and "op1_" not in said and "pipeline" not in said
