@@ -65,3 +65,11 @@ def normalised_domains(proposed: Sequence[dict], tables: Sequence[str], most: in
                 used[t] = used.get(t, 0) + 1
         out.append((name, str(p.get("description") or ""), mine))
     return [(UNSORTED, "", [t for t in tables if t not in used]), *out]
+
+
+def domain_context(texts: DataFrame, detail: str = "first") -> DataFrame:
+    """One row, context: a line for each table by name; detail is name, first (200 characters of the first line) or full (2000)."""
+    name = F.concat_ws(".", "schema", "table")
+    first = F.substring(F.substring_index("text", "\n", 1), 1, 200)
+    shown = {"name": name, "first": F.concat_ws(": ", name, first), "full": F.concat_ws("\n", name, F.substring("text", 1, 2000))}[detail]
+    return texts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(name.alias("n"), shown.alias("s")))), lambda x: x["s"]), "\n").alias("context"))

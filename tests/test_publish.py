@@ -125,6 +125,8 @@ def test_domains(spark):
     assert len(pairs(tables)) == 6
     assert pairs(tables, d) == {("public.A", "public.b", "x"), ("public.b", "public.c", "y")}
     assert pairs(tables, d, cross=True) - pairs(tables, d) == {("public.A", "public.c", None)}
+    texts = spark.createDataFrame([("p", "b", "# b\nmore"), ("p", "a", "x" * 300)], "schema string, table string, text string")
+    assert D.domain_context(texts).first().context == "p.a: " + "x" * 200 + "\np.b: # b" and D.domain_context(texts, "name").first().context == "p.a\np.b"
     assert D.chosen(d, "y").count() == 2 and D.chosen(d, "all").count() == 4
     assert D.normalised_domains([{"name": "n", "tables": ["A", "a", "zz"]}], ["a", "b"]) == [(D.UNSORTED, "", ["b"]), ("n", "", ["a"])]
 
