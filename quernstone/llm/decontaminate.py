@@ -50,10 +50,10 @@ class TestSuffixes:
         for j in range(window):
             on = self.width > j
             key[on, j] = self.numbers[self.start[on] + j]
-        self.low = np.ascontiguousarray(key).view(f"S{4 * window}").ravel()
+        self.low = key.copy().view(f"S{4 * window}").ravel()
         for j in range(window):
             key[self.width <= j, j] = 0xFFFFFFFF
-        self.high = np.ascontiguousarray(key).view(f"S{4 * window}").ravel()
+        self.high = key.view(f"S{4 * window}").ravel()
 
     def number(self, h: np.ndarray) -> np.ndarray:
         """Words as numbers from 1; 0xFFFFFFFE is any word that the benchmark lacks."""

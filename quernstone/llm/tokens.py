@@ -30,7 +30,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     x = data[a:b]
     space, wide = _SPACE[x], _WIDE[x]
     cut = x == 0x20
-    cut[0 if len(x) else slice(0):1] = False
+    cut[:1] = False
     cut[-1:] = False
     cut[1:] &= ~space[:-1]
     cut[:-1] &= ~(space[1:] | wide[1:])
@@ -49,8 +49,8 @@ class PieceEncoder:
     tests assert.  Else the tokenizer encodes them in batches.
     """
 
-    #: The table of pieces starts anew beyond so many pieces or ids: some 100 MB.
-    MAX_PIECES, MAX_IDS = 500_000, 4_000_000
+    #: The table of pieces starts anew beyond so many pieces or ids: some 40 MB.
+    MAX_PIECES, MAX_IDS = 150_000, 1_500_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
