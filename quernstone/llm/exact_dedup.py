@@ -90,7 +90,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     false_hits = stash(members.join(keepers, "digest").where("bytes <> keeper_bytes").select("id", "digest", "bytes"), f"{folder}/false")
     if false_hits.take(1):
         out = _regroup(docs, out, false_hits, id_col, text_col)
-    unstash(false_hits)
+    else:
+        unstash(false_hits)
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("keep_id"), F.col("group_size").cast("bigint").alias("group_size"), (F.col("id") == F.col("keep_id")).alias("kept"), F.col("digest").alias("text_digest"))
 
 
