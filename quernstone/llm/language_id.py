@@ -44,9 +44,9 @@ def family(lang: str) -> str:
 
 
 def _letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased letters with one space before, between and after words, of each row."""
+    """Lower-cased letters of each row, with one space before the first word and between words."""
     a, b = int(offsets[0]), int(offsets[-1])
-    x = np.full(b - a + len(offsets), 0x20, np.uint8)
+    x = np.full(b - a + len(offsets) - 1, 0x20, np.uint8)
     to = np.arange(b - a) + np.repeat(np.arange(1, len(offsets)), np.diff(offsets))
     x[to] = data[a:b]
     at = offsets - a + np.arange(len(offsets))
@@ -84,15 +84,16 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(found)[order], np.searchsorted(rows[order], np.arange(len(at)))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 12) -> np.ndarray:
-    """Linear SVM with squared hinge loss by dual coordinate descent (Hsieh et al., 2008)."""
-    rng, w, alpha = np.random.default_rng(5), np.zeros(x.shape[1]), np.zeros(len(x))
-    q = (x * x).sum(axis=1) + 0.5 / c
+def _fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, c: float = 1.0, rounds: int = 12) -> np.ndarray:
+    """Linear SVM with squared hinge loss on sparse rows (bins, values), by dual coordinate descent (Hsieh et al., 2008)."""
+    rng, w, alpha = np.random.default_rng(5), np.zeros(BINS), np.zeros(len(rows))
+    q = np.array([v @ v for _, v in rows]) + 0.5 / c
     for _ in range(rounds):
-        for i in rng.permutation(len(x)):
-            new = max(0.0, alpha[i] - (y[i] * (w @ x[i]) - 1 + alpha[i] * 0.5 / c) / q[i])
+        for i in rng.permutation(len(rows)):
+            k, v = rows[i]
+            new = max(0.0, alpha[i] - (y[i] * (w[k] @ v) - 1 + alpha[i] * 0.5 / c) / q[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w[k] += (new - alpha[i]) * y[i] * v
                 alpha[i] = new
     return w
 
@@ -182,11 +183,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Hierarchy:
         # Each side counts alike, so a family of many languages is thinned.
         least = int(pdf["side"].value_counts().min())
         pdf = pdf.sort_values("at", kind="stable").groupby("side").head(least) if pdf["side"].nunique() == 2 else pdf
-        x = np.zeros((len(pdf), BINS), np.float32)
-        for i, (k, v) in enumerate(zip(pdf["bins"], pdf["shares"], strict=True)):
-            x[i, k] = v
-        scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
-        w = _fit(x * scale, pdf["side"].to_numpy(float)) * scale
+        bins, shares = pdf["bins"].tolist(), pdf["shares"].tolist()
+        mean = np.bincount(np.concatenate(bins), np.concatenate(shares), BINS) / len(bins)
+        scale = 1 / np.sqrt(mean + 1e-6)
+        w = _fit([(k, v * scale[k]) for k, v in zip(bins, shares, strict=True)], pdf["side"].to_numpy(float)) * scale
         return pd.DataFrame({"machine": [int(pdf["machine"].iloc[0])], "weights": [w.astype(np.float32)]})
 
     for r in rows.join(F.broadcast(jobs), "lang").groupBy("machine").applyInPandas(one, "machine int, weights array<float>").collect():
