@@ -103,13 +103,18 @@ def disclosing(docs: DataFrame, spans: DataFrame, threshold: float, surroundings
         return sure.select("entity", "term")
     total = docs.count()
     of_entity = spans.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
+    # A term is in at least the documents where it is near any entity; that alone rules most terms out before the corpus is counted.
+    at_least = near.join(F.broadcast(sure.select("term").distinct()) if sure.count() <= BROADCAST_ROWS // 4 else sure.select("term").distinct(), "term").groupBy("term", "key").count().groupBy("term").agg(F.count("*").alias("at_least"))
+    content = F.log2(F.lit(float(total)) / F.col("with_entity"))
+    pmi = lambda with_term: F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * F.col(with_term)))
+    sure = sure.join(of_entity, "entity").join(at_least, "term").where((content > 0) & (pmi("at_least") >= threshold * content))
+    sure = stash(sure, f"{folder}/likely")
+    if not sure.take(1):
+        return sure.select("entity", "term")
     terms = stash(sure.select("term").distinct(), f"{folder}/terms")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("term"))
     of_term = words.join(F.broadcast(terms) if terms.count() <= BROADCAST_ROWS // 4 else terms, "term").groupBy("term").agg(F.count("*").alias("with_term"))
-    pmi = F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
-    content = F.log2(F.lit(float(total)) / F.col("with_entity"))
-    scored = sure.join(of_entity, "entity").join(of_term, "term")
-    return stash(scored.where((content > 0) & (pmi >= threshold * content)).select("entity", "term"), f"{folder}/disclosing")
+    return stash(sure.join(of_term, "term").where(pmi("with_term") >= threshold * content).select("entity", "term"), f"{folder}/disclosing")
 
 
 def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
