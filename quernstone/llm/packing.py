@@ -95,17 +95,23 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS)
     """parts (a `length` column and any others) with sequence_id and offset.
 
     Pieces are dealt to tasks by a hash of their whole row and each task packs
-    its own, one after the other; a task leaves at most `open_bins` bins that
-    could have held more.  Ids are unique over all tasks.
+    its own as they come, the longest of each Arrow batch first; a task leaves
+    at most `open_bins` bins that could have held more.  Ids are unique over
+    all tasks.
     """
     at = parts.columns.index("length")
     schema = f"{parts.schema.simpleString()[7:-1]}, sequence_id bigint, offset bigint"
 
     def run(batches):
+        # An empty batch has no rows to place.
+        batches = (b for b in batches if b.num_rows)
         best, base = BestFit(capacity, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
-            got = [best.place(n) for n in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([base + b for b, _ in got], pa.int64()), pa.array([o for _, o in got], pa.int64())], names=[*batch.schema.names, "sequence_id", "offset"])
+            length = batch.column(at).to_numpy()
+            order = np.argsort(-length, kind="stable")
+            got = np.empty((len(length), 2), np.int64)
+            got[order] = [best.place(n) for n in length[order].tolist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base + got[:, 0]), pa.array(got[:, 1].copy())], names=[*batch.schema.names, "sequence_id", "offset"])
 
     return parts.repartition(F.xxhash64(*[c for c in parts.columns if c != "ids"])).mapInArrow(run, schema)
 
