@@ -26,11 +26,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{top}/quernstone-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Writes df to shared storage and reads it again, which cuts its lineage."""
-    path = path or shared_folder(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stash(df: DataFrame, path: str | None = None, arrow_rows: int | None = None) -> DataFrame:
+    """Writes df to shared storage and reads it again, which cuts its lineage.
+
+    arrow_rows bounds the rows of an Arrow batch while it is written, for rows
+    that hold whole texts.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, old = path or shared_folder(spark), spark.conf.get(key)
+    if arrow_rows:
+        spark.conf.set(key, arrow_rows)
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(key, old)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unstash(df: DataFrame) -> None:

@@ -24,18 +24,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, NO_ID, components, shared_folder, stash, table
-from .textscan import SPACED_LOWER, mix, shingles, slices, text_bytes, words
+from .textscan import SPACED_LOWER, mix, released, shingles, slices, text_bytes, words
 
 #: A shingle is frequent if so many sets of one block hold it.
-FREQUENT, BLOCK_SETS, BLOCK_SHINGLES = 16, 8192, 3_000_000
+FREQUENT, BLOCK_SETS, BLOCK_SHINGLES = 3, 8192, 3_000_000
 #: Frequent shingles that the order knows; 12 bytes each.
-RANKED = 1 << 18
-BITS = 1024
-_BITMAP = BITS // 64
+RANKED = 1 << 20
+#: Rows of an Arrow batch of documents, and of pairs of documents.
+ROWS, PAIR_ROWS = 1000, 200
 
 
 def shingle_sets(column: pa.Array, k: int):
@@ -52,6 +52,26 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def bitmap(x: np.ndarray) -> np.ndarray:
+    """Parities of the set's hashes in a power of two of bits, two for each element at least."""
+    bits = max(256, 1 << int(2 * len(x)).bit_length())
+    place = mix(x.copy()) & np.uint64(bits - 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def apart(a: str, b: str, percent: int) -> Column:
+    """Bits in which two bitmaps differ: no more than the elements that only one set has.  The longer is folded to the shorter's size."""
+    def fold(m: Column) -> Column:
+        half = (F.size(m) / 2).cast("int")
+        return F.zip_with(F.slice(m, F.lit(1), half), F.slice(m, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    x, y = F.col(a), F.col(b)
+    for _ in range(math.ceil(math.log2(100 / percent))):
+        x, y = F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y)
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+
+
 def _signature(x: np.ndarray) -> tuple[int, int]:
     d = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -106,8 +126,7 @@ def _sketch(k: int, percent: int, ranked: np.ndarray, rank: np.ndarray):
                     prefix = x[: len(x) - least_overlap(len(x), percent) + 1] if len(x) else x
                     keys.append(_signature(prefix)[0])
                     prefixes.append(prefix.view(np.int64))
-                    bit = np.bincount(mix(x.copy()) >> np.uint64(54), minlength=BITS).astype(np.uint8) & 1
-                    maps.append(np.packbits(bit).view(np.int64))
+                    maps.append(bitmap(x))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip((n, sig1, sig2, keys, prefixes, maps), kinds, strict=True))], names=["id", "n", "sig1", "sig2", "prefix_key", "prefix", "bitmap"])
 
@@ -141,42 +160,62 @@ class _Join:
         self.source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def sketch(self) -> DataFrame:
-        counted = self.source.select("text").mapInArrow(_frequent(self.k), "shingle bigint, sets bigint").groupBy("shingle").agg(F.sum("sets").alias("sets"))
-        top = counted.orderBy(F.desc("sets"), "shingle").limit(RANKED).toArrow()
+        counted = self.source.select("text").mapInArrow(released(_frequent(self.k)), "shingle bigint, sets bigint").groupBy("shingle").agg(F.sum("sets").alias("sets"))
+        counted = stash(counted, f"{self.folder}/frequent", ROWS)
+        # The least count at which no more than RANKED shingles are left.
+        held, least = 0, 1 << 62
+        for r in counted.groupBy("sets").count().orderBy(F.desc("sets")).collect():
+            held += r["count"]
+            if held > RANKED:
+                break
+            least = r.sets
+        top = counted.where(F.col("sets") >= least).toArrow()
         ranked, sets = top.column("shingle").to_numpy().view(np.uint64), top.column("sets").to_numpy()
         order = np.argsort(ranked)
         ranked, rank = ranked[order], sets[order].astype(np.int32)
-        return stash(self.source.mapInArrow(_sketch(self.k, self.percent, ranked, rank), "id bigint, n bigint, sig1 bigint, sig2 bigint, prefix_key bigint, prefix array<bigint>, bitmap array<bigint>"), f"{self.folder}/sketch")
+        return stash(self.source.mapInArrow(released(_sketch(self.k, self.percent, ranked, rank)), "id bigint, n bigint, sig1 bigint, sig2 bigint, prefix_key bigint, prefix array<bigint>, bitmap array<bigint>"), f"{self.folder}/sketch", ROWS)
 
     def postings(self, sketch: DataFrame, classes: DataFrame) -> DataFrame:
-        """(token, node, n, bucket): classes under the prefix shingles that at least two of them hold."""
-        groups = classes.groupBy("prefix_key", "n").agg(F.min("node").alias("group"), F.count("*").alias("classes"))
-        heads = groups.join(sketch.select(F.col("id").alias("group"), "prefix_key", "n", "prefix").dropDuplicates(["group", "prefix_key", "n"]), ["group", "prefix_key", "n"])
-        posted = heads.select(F.explode("prefix").alias("token"), "prefix_key", "n", "classes")
-        shared = posted.groupBy("token").agg(F.sum("classes").alias("held")).where("held > 1").select("token")
-        lists = posted.join(shared, "token").select("token", "prefix_key", "n")
+        """(token, node, n, bucket): classes under the prefix shingles that at least two groups hold, and under their group if it has several.
+
+        The prefixes of all groups are dealt out by shingle once; both the
+        counts and the lists are read from that one exchange.
+        """
+        groups = stash(classes.groupBy("prefix_key", "n").agg(F.min("node").alias("group"), F.count("*").alias("classes")), f"{self.folder}/groups")
+        heads = groups.select(F.col("group").alias("id"), "prefix_key", "n")
+        heads = sketch.select("id", "prefix_key", "n", "prefix").join(F.broadcast(heads) if heads.count() <= BROADCAST_ROWS else heads, ["id", "prefix_key", "n"], "left_semi")
+        dealt = heads.dropDuplicates(["id", "prefix_key", "n"]) if self.repeated else heads
+        dealt = dealt.select(F.explode("prefix").alias("token"), F.col("id").alias("group"), F.col("n").cast("int").alias("n")).repartition("token")
+        shared = dealt.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+        lists = dealt.join(shared, "token")
+
+        member = stash(classes.join(groups.where("classes > 1"), ["prefix_key", "n"]).select("group", "node", "prefix_key", F.col("n").cast("int").alias("n")), f"{self.folder}/members")
+        own = member.select(F.col("prefix_key").alias("token"), "node", "n")
+        several = member.select("group", "node")
+        several = F.broadcast(several) if member.count() <= BROADCAST_ROWS else several
+        lists = lists.join(several, "group", "left").select("token", F.coalesce("node", "group").alias("node"), "n")
         # Sizes of a bucket are within the ratio of linked sizes of each other.
         bucket = F.floor(F.log("n") / -math.log(self.percent / 100)).cast("int")
-        return stash(lists.join(classes, ["prefix_key", "n"]).select("token", "node", "n", bucket.alias("bucket")), f"{self.folder}/postings")
+        return stash(lists.unionByName(own).withColumn("bucket", bucket), f"{self.folder}/postings")
 
     def links(self, pairs: DataFrame, bitmaps: DataFrame, name: str) -> DataFrame:
         """Pairs (a, b) that are linked: bitmaps tell most others, full sets the rest."""
         p = self.percent
         side = lambda s: bitmaps.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"map_{s}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        apart = F.aggregate(F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        near = both.where((100 + p) * apart <= (100 - p) * (F.col("n_a") + F.col("n_b"))).where((100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")))
+        both = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b"))
+        near = both.where((100 + p) * apart("map_a", "map_b", p) <= (100 - p) * (F.col("n_a") + F.col("n_b")))
         near = stash(near.select("a", "b"), f"{self.folder}/{name}-near")
         ids = stash(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct(), f"{self.folder}/{name}-ids")
         texts = self.source.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "id", "left_semi")
         text = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
         full = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
-        return stash(full.mapInArrow(_verify(self.k, p), "a bigint, b bigint").distinct(), f"{self.folder}/{name}")
+        return stash(full.mapInArrow(released(_verify(self.k, p)), "a bigint, b bigint").distinct(), f"{self.folder}/{name}", PAIR_ROWS)
 
     def run(self) -> DataFrame:
         sketch = self.sketch()
         classes = sketch.where("n > 0").groupBy("sig1", "sig2", "n", "prefix_key").agg(F.min("id").alias("node"))
         classes = stash(classes, f"{self.folder}/classes")
+        self.repeated = bool(sketch.groupBy("id").count().where("count > 1").take(1))
         postings = self.postings(sketch, classes.select("prefix_key", "n", "node").distinct())
         bitmaps = stash(sketch.select(F.col("id").alias("node"), "n", "bitmap", "sig1", "sig2").join(classes.select("node", "sig1", "sig2"), ["node", "sig1", "sig2"], "left_semi").select("node", "n", "bitmap").distinct(), f"{self.folder}/bitmaps")
 
@@ -186,6 +225,7 @@ class _Join:
         label = components(stars)
 
         # What is still apart: members outside their list's largest component, against the whole list.
+        label = F.broadcast(label) if label.count() <= BROADCAST_ROWS else label
         named = postings.join(label, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("label"))
         named = stash(named, f"{self.folder}/named")
         sizes = named.groupBy("token", "label").count()
