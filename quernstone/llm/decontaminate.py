@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import ALNUM_LOWER, Runs, slices, text_bytes, words
+from .textscan import ALNUM_LOWER, Runs, released, slices, text_bytes, words
 
 #: Words of a seed, or fewer where a window has fewer.
 SEED = 4
@@ -167,9 +167,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_
     start = docs.withColumns({"_n_words": F.lit(0).cast("bigint"), "_hit": F.array().cast("array<array<bigint>>"), "_items": F.array().cast("array<string>"), "_longest": F.lit(0).cast("bigint")})
     blocks, out = 0, start
     for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        out, blocks = out.mapInArrow(_search_block(items, window, text_at), start.schema), blocks + 1
+        out, blocks = out.mapInArrow(released(_search_block(items, window, text_at)), start.schema), blocks + 1
     if not blocks:
-        out = start.mapInArrow(_search_block([], window, text_at), start.schema)
+        out = start.mapInArrow(released(_search_block([], window, text_at)), start.schema)
     hit = F.coalesce(F.aggregate("_hit", F.lit(0).cast("bigint"), lambda s, x: s + x[1] - x[0]), F.lit(0).cast("bigint"))
     result = {
         "n_words": F.col("_n_words"),

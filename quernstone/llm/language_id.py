@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .textscan import slices, text_bytes
+from .textscan import released, slices, text_bytes
 
 #: Rows of each language that the machines are fit on, at most.
 SAMPLE = 1500
@@ -176,7 +176,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Hierarchy:
     at = F.xxhash64(F.lit("language"), "key")
     picked = labelled.withColumn("at", at).where(F.pmod("at", F.lit(1 << 24)) < share[F.col("lang")] * (1 << 24))
     jobs = spark.createDataFrame([(lang, k, side) for lang in model.langs for k, side in model.pairs_of(lang)], "lang string, machine int, side int")
-    rows = picked.select("lang", "at", "text").mapInArrow(_count_rows, "lang string, at bigint, bins array<int>, shares array<float>")
+    rows = picked.select("lang", "at", "text").mapInArrow(released(_count_rows), "lang string, at bigint, bins array<int>, shares array<float>")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["lang", "at"], kind="stable").groupby("lang").head(sample)
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, model: Hierarchy, text_col: str = "text") -> DataFr
                     scores.append(float(score[i]) if some else 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 _ASCII_LETTER = np.zeros(256, bool)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
+from .textscan import released
 from .tokens import encoded
 
 END = 2
@@ -45,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=False)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, PIECE + ", ids binary" * with_ids)
+    return source.mapInArrow(released(run), PIECE + ", ids binary" * with_ids)
 
 
 class BestFit:
@@ -113,7 +114,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS)
             got[order] = [best.place(n) for n in length[order].tolist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base + got[:, 0]), pa.array(got[:, 1].copy())], names=[*batch.schema.names, "sequence_id", "offset"])
 
-    return parts.repartition(F.xxhash64(*[c for c in parts.columns if c != "ids"])).mapInArrow(run, schema)
+    return parts.repartition(F.xxhash64(*[c for c in parts.columns if c != "ids"])).mapInArrow(released(run), schema)
 
 
 def best_fit_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, NO_ID, shared_folder, stash, table
-from .textscan import SPACED, Runs, slices, text_bytes, words
+from .textscan import SPACED, Runs, released, slices, text_bytes, words
 
 GRAM = 10
 _PHRASE = "id bigint, version bigint, anchor bigint, phrase bigint, start int, windows int"
@@ -171,7 +171,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     spark = docs.sparkSession
     folder = shared_folder(spark)
     source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = stash(source.mapInArrow(_factor(window, gram), _PHRASE), f"{folder}/phrases")
+    found = stash(source.mapInArrow(released(_factor(window, gram)), _PHRASE), f"{folder}/phrases")
 
     # The reference: each phrase under its smallest document.  Anchors with several phrases are factor boundaries.
     phrase = found.groupBy("anchor", "phrase").agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -185,7 +185,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     edge = hit.where("boundary AND id = least").groupBy("id", "version").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("at"))
     edge = stash(edge, f"{folder}/edges")
     texts = _texts(source, edge.select("id").distinct())
-    single = texts.join(edge, "id").select("id", "version", "text", "at").mapInArrow(_boundary_windows(window), "id bigint, version bigint, anchor bigint, window bigint, start int")
+    single = texts.join(edge, "id").select("id", "version", "text", "at").mapInArrow(released(_boundary_windows(window)), "id bigint, version bigint, anchor bigint, window bigint, start int")
     single = stash(single, f"{folder}/windows")
     least = single.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor", "window", "least")
     part = single.join(least, ["anchor", "window"]).where("id > least").select("id", "version", "start", (F.col("start") + window).alias("end"))
@@ -194,8 +194,8 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     spans = whole.union(part).groupBy("id", "version").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
     spans = stash(spans.select("id", "version", F.transform("spans", lambda x: F.array(x["start"], x["end"])).alias("spans")), f"{folder}/spans")
     cut = _texts(source, spans.select("id").distinct()).join(spans, "id").select("id", "text", "spans", F.col("version").alias("want"))
-    cleaned = cut.mapInArrow(_cleaned(with_text), _CLEAN).dropDuplicates(["id", "version"])
-    every = source.select("id", "text", F.lit(None).cast("array<array<int>>").alias("spans"), F.lit(None).cast("bigint").alias("want")).mapInArrow(_cleaned(with_text), _CLEAN)
+    cleaned = cut.mapInArrow(released(_cleaned(with_text)), _CLEAN).dropDuplicates(["id", "version"])
+    every = source.select("id", "text", F.lit(None).cast("array<array<int>>").alias("spans"), F.lit(None).cast("bigint").alias("want")).mapInArrow(released(_cleaned(with_text)), _CLEAN)
     every = stash(every, f"{folder}/every")
     cleaned = cleaned.select("id", "version", *[F.col(c).alias(f"c_{c}") for c in ("n_removed", "kept_sha256", "kept_text")])
     out = every.join(cleaned, ["id", "version"], "left")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_folder, stash, table
 from .packing import tokenizer_path
+from .textscan import released
 from .tokens import encoded
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -38,7 +39,7 @@ def token_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n)], names=[*kept, "n_tokens"])
 
     schema = source.select(*[F.col(f"`{c}`") for c in kept], F.lit(0).cast("bigint").alias("n_tokens")).schema
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 class TokenRollup:

@@ -53,12 +53,13 @@ class PieceEncoder:
     MAX_PIECES, MAX_IDS = 150_000, 1_500_000
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.ranks, beside = None, os.path.splitext(path)[0] + ".tiktoken"
-        if os.path.exists(beside):
+        if not os.path.exists(beside):
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
+        else:
             import public_tokenizers
             import tiktoken
 
