@@ -1,15 +1,16 @@
 """Personal data and the terms that give it away (operator 4), DataFrame operations only.
 
-Base spans are patterns: email, ip, card, phone.  Around them works
+Base spans are patterns: email, ip, card, phone.  On top works
 information-theoretic sanitisation: each distinct value is a protected entity;
-a term near it discloses it in so far as their pointwise mutual information
-over the documents comes close to the entity's information content,
+a term (a word outside all spans) anywhere in a document that holds it discloses
+it in so far as their pointwise mutual information over the documents comes
+close to the entity's information content,
 
     PMI(t; e) = log2(N d(e, t) / (d(e) d(t))),   IC(e) = log2(N / d(e)).
 
-Terms with PMI >= threshold * IC that were seen beside the entity in enough
-different surroundings (copies of one passage count once) are masked in the
-documents that hold the entity.
+N and all d count distinct texts, whole and exactly.  Terms with PMI >=
+threshold * IC that share enough different texts with the entity (copies of
+one text count once) are masked in the documents that hold the entity.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, shared_folder, stash, table
+from .common import BROADCAST_ROWS, among, shared_folder, stash, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns, with possessive repeats and with starts only where a
@@ -33,9 +34,7 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"^{_PART}(?:\.{_PART}){{3}}$"
 WORD = r"\p{L}{3,}"
-#: Characters on each side of a span that count as its surroundings.
-NEAR = 40
-_SPAN = "struct<start:int,ord:int,end:int,kind:string,value:string,left:string,right:string>"
+_SPAN = "struct<start:int,ord:int,end:int,kind:string,value:string>"
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -53,16 +52,13 @@ def _valid(kind: str, match: Column) -> Column:
 def located(text: Column, pattern: str, matches: Column, kind: str, order: int, keep) -> Column:
     """Matches with their places, from the pieces of text between them."""
     pieces = F.split(text, pattern, -1)
-    parts = F.arrays_zip(pieces.alias("before"), matches.alias("match"), F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))).alias("after"))
+    parts = F.arrays_zip(pieces.alias("before"), matches.alias("match"))
     start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{_SPAN}>").alias("out"))
 
     def step(state: Column, part: Column) -> Column:
         at = state["pos"] + F.length(part["before"])
         end = at + F.length(part["match"])
-        span = F.struct(
-            at.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), part["match"].alias("value"),
-            F.substring(part["before"], -NEAR, NEAR).alias("left"), F.substring(F.coalesce(part["after"], F.lit("")), 1, NEAR).alias("right"),
-        )
+        span = F.struct(at.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), part["match"].alias("value"))
         out = F.when(part["match"].isNotNull() & keep(part["match"]), F.concat(state["out"], F.array(span))).otherwise(state["out"])
         return F.struct(F.coalesce(end, at).alias("pos"), out.alias("out"))
 
@@ -80,41 +76,65 @@ def base_spans(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_base", F.array_sort(F.concat(*found))).drop(*[f"_m_{k}" for k in KINDS])
 
 
-def _terms(span: Column) -> Column:
-    """Lower-cased words around a span, without those that the surroundings cut."""
-    left = F.when(F.length(span["left"]) < NEAR, span["left"]).otherwise(F.regexp_replace(span["left"], r"^\S*", ""))
-    right = F.when(F.length(span["right"]) < NEAR, span["right"]).otherwise(F.regexp_replace(span["right"], r"\S*$", ""))
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.concat(left, F.lit(" "), right)), F.lit(WORD), 0))
+def _terms(text: str, spans: str) -> Column:
+    """The distinct lower-cased words of a text outside its spans."""
+    outside = F.when(F.size(spans) > 0, masked(F.col(text), F.col(spans), lambda s: F.lit(" "))).otherwise(F.col(text))
+    return F.array_distinct(F.regexp_extract_all(F.lower(outside), F.lit(WORD), 0))
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, threshold: float, surroundings: int, folder: str) -> DataFrame:
+def _once(df: DataFrame, copies: DataFrame) -> DataFrame:
+    """Rows of df (key, body, ...) of one key for each text, with `same`, the number of rows that this key has."""
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    return df.join(copies, "body", "left").where("keep IS NULL OR key = keep").withColumn("same", F.coalesce("same", F.lit(1))).drop("keep")
+
+
+def _texts(df: DataFrame, by: list[str], name: str) -> DataFrame:
+    """How many texts each `by` has, from rows of _once: equal rows hold the same, so their number divides the count."""
+    return df.groupBy(*by, "same").count().groupBy(*by).agg(F.sum(F.expr("count div same")).alias(name))
+
+
+def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings: int, folder: str) -> DataFrame:
     """(entity, term) pairs above the threshold.
 
-    spans: key of the document, entity, around (hash of the surroundings) and terms.
+    rows: key, body (hash of the text) and text.  base: key, body, entities, and
+    terms where a text has an entity.
+
+    PMI >= threshold * IC asks for d(e, t) >= d(t) share(e), with share(e) =
+    (d(e) / N)^(1 - threshold).  As d(e, t) is at most d(e), and at most the
+    texts with an entity that hold t, common terms fall out before they are
+    paired; no pair above the threshold is lost, and those left are counted.
     """
-    near = spans.select("key", "entity", "around", F.explode("terms").alias("term"))
-    # Pairs are counted in two steps, so an entity that is everywhere is summed before it is shuffled.
-    pair = near.groupBy("entity", "term").agg(F.approx_count_distinct("around", 0.01).alias("about")).where(F.col("about") >= 0.8 * surroundings)
-    pair = stash(pair.select("entity", "term"), f"{folder}/near")
-    exact = near.join(pair, ["entity", "term"]).select("entity", "term", "around", "key").distinct()
-    sure = exact.groupBy("entity", "term").agg(F.count_distinct("around").alias("around"), F.count_distinct("key").alias("both")).where(F.col("around") >= surroundings)
-    sure = stash(sure, f"{folder}/sure")
-    if not sure.take(1):
-        return sure.select("entity", "term")
-    total = docs.count()
-    of_entity = spans.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    # A term is in at least the documents where it is near any entity; that alone rules most terms out before the corpus is counted.
-    at_least = near.join(F.broadcast(sure.select("term").distinct()) if sure.count() <= BROADCAST_ROWS // 4 else sure.select("term").distinct(), "term").groupBy("term", "key").count().groupBy("term").agg(F.count("*").alias("at_least"))
+    each = base.groupBy("body", "key").count()
+    copies = each.groupBy("body").agg(F.min("key").alias("keep"), F.min_by("count", "key").alias("same"), F.sum("count").alias("rows"))
+    total = copies.count()
+    copies = stash(copies.where("rows > 1").select("body", "keep", "same"), f"{folder}/copies")
+    spans = base.select("body", F.explode("entities").alias("entity"))
+    # An entity that is in every text has no content.
+    of_entity = spans.distinct().groupBy("entity").agg(F.count("*").alias("with_entity")).where((F.col("with_entity") >= surroundings) & (F.col("with_entity") < total))
+    of_entity = of_entity.withColumn("share", F.pow(F.col("with_entity") / F.lit(float(total)), F.lit(1.0 - threshold)))
+    of_entity = stash(of_entity, f"{folder}/entities")
+    least_share, most = of_entity.agg(F.min("share"), F.max(F.col("with_entity") / F.col("share"))).first()
+    if most is None:
+        return of_entity.select("entity", F.lit("").alias("term"))
+    mine = spans.join(F.broadcast(of_entity) if of_entity.count() <= BROADCAST_ROWS else of_entity, "entity").select("body", "entity", "with_entity", "share").distinct()
+    mine = stash(mine, f"{folder}/mine")
+    bodies = stash(mine.select("body").distinct(), f"{folder}/bodies")
+    held = among(_once(base.where(F.size("entities") > 0).select("key", "body", "terms"), copies), bodies, "body")
+    held = stash(held.select("body", "same", "terms"), f"{folder}/held").select("body", "same", F.explode("terms").alias("term"))
+    shared = stash(_texts(held, ["term"], "at_most").where(F.col("at_most") >= surroundings), f"{folder}/shared")
+    few = lambda terms: F.broadcast(terms) if terms.count() <= BROADCAST_ROWS // 4 else terms
+    words = base_spans(_once(rows.select("key", "body", "text"), copies), "text").select("same", F.explode(_terms("text", "_base")).alias("term"))
+    # Beyond a broadcast the words are counted before they are joined.
+    if shared.count() <= BROADCAST_ROWS // 4:
+        words = words.join(F.broadcast(shared.select("term")), "term")
+    of_term = _texts(words, ["term"], "with_term").join(shared, "term")
+    slack = 1 + 1e-9
+    of_term = stash(of_term.where((F.col("with_term") <= most * slack) & (F.col("with_term") * least_share <= F.col("at_most") * slack)), f"{folder}/terms")
+    pair = held.join(few(of_term), "term").join(mine, "body").where(F.col("with_term") * F.col("share") <= F.least("with_entity", "at_most") * slack)
+    both = _texts(pair, ["entity", "term", "with_entity", "with_term"], "both").where(F.col("both") >= surroundings)
     content = F.log2(F.lit(float(total)) / F.col("with_entity"))
-    pmi = lambda with_term: F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * F.col(with_term)))
-    sure = sure.join(of_entity, "entity").join(at_least, "term").where((content > 0) & (pmi("at_least") >= threshold * content))
-    sure = stash(sure, f"{folder}/likely")
-    if not sure.take(1):
-        return sure.select("entity", "term")
-    terms = stash(sure.select("term").distinct(), f"{folder}/terms")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("term"))
-    of_term = words.join(F.broadcast(terms) if terms.count() <= BROADCAST_ROWS // 4 else terms, "term").groupBy("term").agg(F.count("*").alias("with_term"))
-    return stash(sure.join(of_term, "term").where(pmi("with_term") >= threshold * content).select("entity", "term"), f"{folder}/disclosing")
+    pmi = F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
+    return stash(both.where(pmi >= threshold * content).select("entity", "term"), f"{folder}/disclosing")
 
 
 def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -128,12 +148,14 @@ def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_
     spark = docs.sparkSession
     folder = shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64(F.lit(11), "doc_id", "text"))
+    rows = rows.withColumns({"key": F.xxhash64(F.lit(11), "doc_id", "text"), "body": F.xxhash64(F.lit(17), "text")})
     entity = lambda s: F.xxhash64(F.lit(13), s["kind"], F.lower(s["value"]))
-    facts = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), entity(s).alias("entity"), F.xxhash64(F.lit(17), s["left"], s["right"]).alias("around"), _terms(s).alias("terms")))
-    base = stash(base_spans(rows, "text").select("doc_id", "key", facts.alias("base")), f"{folder}/base")
-    spans = base.where(F.size("base") > 0).select("key", F.inline("base")).select("key", "entity", "around", "terms")
-    told = disclosing(rows, spans, threshold, surroundings, folder)
+    facts = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    found = base_spans(rows, "text").withColumn("entities", F.array_distinct(F.transform("_base", entity)))
+    terms = F.when(F.size("entities") > 0, _terms("text", "_base")).otherwise(F.array().cast("array<string>"))
+    base = stash(found.select("doc_id", "key", "body", facts.alias("base"), "entities", terms.alias("terms")), f"{folder}/base")
+    spans = base.select("key", F.explode("entities").alias("entity"))
+    told = disclosing(rows, base, threshold, surroundings, folder)
 
     # Documents that hold an entity lose the terms that disclose it.
     mine = stash(spans.select("key", "entity").distinct().join(told, "entity").groupBy("key").agg(F.collect_set("term").alias("mask")), f"{folder}/mask")
@@ -142,8 +164,7 @@ def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_
     places = located(F.col("text"), WORD, F.col("_words"), "term", len(KINDS), lambda m: F.array_contains("mask", F.lower(m)))
     more = hit.select("key", F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("more"))
 
-    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    out = base.select("doc_id", "key", plain.alias("base")).join(more, "key", "left")
+    out = base.select("doc_id", "key", "base").join(more, "key", "left")
     rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in (*KINDS, "term")]), s["kind"])
     every = F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,end:int,kind:string>>")))
     by_place = F.transform(F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), rank(s).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
@@ -154,13 +175,13 @@ def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_
     return out.drop("key")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """text with [KIND] for every span; spans are ordered by start."""
+def masked(text: Column, spans: Column, mark=lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))) -> Column:
+    """text with a mark, [KIND], for every span; spans are ordered by start."""
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["pos"]
-        out = F.when(fresh, F.concat(state["out"], F.substring(text, state["pos"] + 1, s["start"] - state["pos"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(state["out"])
+        out = F.when(fresh, F.concat(state["out"], F.substring(text, state["pos"] + 1, s["start"] - state["pos"]), mark(s))).otherwise(state["out"])
         return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), out.alias("out"))
 
     return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["pos"] + 1, F.length(text))))

@@ -1,7 +1,9 @@
 """Each operator against a brute-force version, on small documents with awkward rows."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -177,6 +179,42 @@ def test_pii_masks_terms_that_disclose(spark):
     assert copies.count() == 0  # copies of one passage are no evidence
 
 
+def plain_disclosing(docs, threshold=0.9, least=3):
+    """{text: masked terms}, counting distinct texts."""
+    held, words_of = {}, {}
+    for t in {t or "" for t in docs}:
+        spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in pii.brute_force([(0, t)])[0][5].split(",") if x)]
+        held[t] = {(k, t[a:b].lower()) for k, a, b in spans}
+        outside = "".join(" " if any(a <= i < b for _, a, b in spans) else c for i, c in enumerate(t))
+        words_of[t] = set(re.findall(r"[^\W\d_]{3,}", outside.lower()))
+    n, d_e, d_t = len(held), Counter(e for t in held for e in held[t]), Counter(w for t in held for w in words_of[t])
+    both = Counter((e, w) for t in held for e in held[t] for w in words_of[t])
+    told = {(e, w) for (e, w), c in both.items() if c >= least and d_e[e] < n and math.log2(n * c / (d_e[e] * d_t[w])) >= threshold * math.log2(n / d_e[e])}
+    return {t: {w for e in held[t] for w in words_of[t] if (e, w) in told} for t in held}
+
+
+def test_pii_counts_whole_documents(spark):
+    """Terms far from the entity count, in all documents that they share with it; equal texts count once."""
+    far = " ".join(VOCABULARY[:60])
+    docs = [f"Zorblax came early. {far} {i}. Write to z@corp.example, it said. {sentence(40)} Quuxly" for i in range(15)]
+    docs += [f"Near Plugh z@corp.example {sentence(30)}" if i < 3 else f"z@corp.example {sentence(30)} plugh" for i in range(6)]
+    docs += [f"{'天' * 50}a{i}@b.example{'天' * 50}" for i in range(4)]
+    docs += [f"{'語' * 50}x@y.example{'語' * 50} {i}" for i in range(4)]
+    docs += ["Twice told by q@r.example"] * 9 + [sentence(30) for _ in range(200)] + [None, ""]
+    docs += docs[:5] + docs[:2]
+    frame_ = spark.createDataFrame([(None if i % 7 == 0 else i % 90, t, "", "", "") for i, t in enumerate(docs)], DOCS)
+    want = plain_disclosing(docs)
+    assert "zorblax" in want[docs[0]] and "語" * 50 in want[docs[25]] and not want["Twice told by q@r.example"]
+    rows = Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.spans)) for r in pii.sanitise(frame_).collect())
+    plain = Counter()
+    for i, t in enumerate(docs):
+        t = t or ""
+        base = [(a, pii.KINDS.index(k), b, k) for k, a, b in ((k, int(a), int(b)) for k, a, b in (x.split(":") for x in pii.brute_force([(0, t)])[0][5].split(",") if x))]
+        terms = [(m.start(), 9, m.end(), "term") for m in re.finditer(r"[^\W\d_]{3,}", t) if m[0].lower() in want[t]]
+        plain[None if i % 7 == 0 else i % 90, tuple((k, a, b) for a, _, b, k in sorted(base + terms))] += 1
+    assert rows == plain
+
+
 def test_pii_edges(spark):
     assert pii.sanitise(empty(spark)).count() == 0
     rows = spark.createDataFrame([(None, "a@b.c", "", "", ""), (1, "a@b.c", "", "", ""), (1, "a@b.c", "", "", "")], DOCS)
