@@ -1,17 +1,19 @@
 """A training-data pipeline of five corpus operators.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
-last return the columns of documents, with fewer rows.  Rows are dropped by an
-anti join with the ids that a stage removes: these are few next to the texts,
-so up to a checked size they are broadcast and no text is shuffled.
+last return the columns of documents, with fewer rows.  Ids may be null or
+repeat, so stages that drop copies judge rows by a key of their own.  Rows are
+dropped by an anti join with the keys that a stage removes: these are few next
+to the texts, so up to a checked size they are broadcast and no text is
+shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import BROADCAST_ROWS, shared_folder, stash, table
+from quernstone.llm.common import BROADCAST_ROWS, NO_ID, shared_folder, stash, table
 from quernstone.llm.decontaminate import decontaminate
 from quernstone.llm.exact_dedup import exact_dedup
 from quernstone.llm.language_id import identify
@@ -19,9 +21,28 @@ from quernstone.llm.ngram_join import ngram_jaccard_join
 from quernstone.llm.packing import best_fit_pack, tokenizer_path
 
 
-def _without(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    removed = stash(removed.distinct())
-    return docs.join(F.broadcast(removed) if removed.count() <= BROADCAST_ROWS else removed, "doc_id", "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with row_key, a bigint that only rows of equal id and text share: the id if none is null or repeats, else a hash."""
+    odd = docs.where("doc_id IS NULL").take(1) or docs.groupBy("doc_id").count().where("count > 1").take(1)
+    return docs.withColumn("row_key", F.xxhash64(F.lit(19), "doc_id", "text") if odd else F.col("doc_id").cast("bigint"))
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def _firsts(keyed: DataFrame, moved: DataFrame, *order: Column) -> DataFrame:
+    """keyed without all rows of a group but the first by order, then id (null comes last).
+
+    moved: row_key and group of the rows whose group is the key of another row.
+    """
+    moved = stash(moved.distinct())
+    members = stash(moved.unionByName(moved.select(F.col("group").alias("row_key"), "group").distinct()))
+    place = F.struct(*order, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), "row_key")
+    members = stash(keyed.select("row_key", place.alias("place")).join(_few(members), "row_key"))
+    first = stash(members.groupBy("group").agg(F.min("place")["row_key"].alias("first")))
+    removed = stash(members.join(_few(first), "group").where("row_key <> first").select("row_key").distinct())
+    return keyed.join(_few(removed), "row_key", "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,16 +52,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The longest of equal texts stays, then the one with the smallest id."""
-    verdict = stash(exact_dedup(docs.select("doc_id", "text")))
-    if verdict.where("kept").groupBy("doc_id").count().where("count > 1").take(1):
-        docs = docs.dropDuplicates(["doc_id", "text"])
-    return _without(docs, verdict.where("NOT kept").select("doc_id"))
+    keyed = _keyed(docs)
+    verdict = stash(exact_dedup(keyed.select("row_key", "text"), "row_key"))
+    again = stash(verdict.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("row_key")))
+    if again.take(1):  # rows of equal id and text
+        keyed = keyed.join(_few(again), "row_key", "left_anti").unionByName(keyed.join(_few(again), "row_key", "left_semi").dropDuplicates(["row_key"]))
+    moved = verdict.where("NOT kept").select(F.col("doc_id").alias("row_key"), F.col("keep_id").alias("group"))
+    return _firsts(keyed, moved, -F.coalesce(F.length("text"), F.lit(0))).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles at 0.8 the smallest id stays."""
-    groups = ngram_jaccard_join(docs.select("doc_id", "text"), shingle=5, percent=80)
-    return _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    keyed = _keyed(docs)
+    groups = ngram_jaccard_join(keyed.select("row_key", "text"), shingle=5, percent=80, id_col="row_key")
+    moved = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("group"))
+    return _firsts(keyed, moved).select(*docs.columns)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

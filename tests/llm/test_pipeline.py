@@ -61,3 +61,19 @@ def test_repeated_rows(spark, sf):
     docs = spark.createDataFrame([row, row], spark.read.parquet(f"{sf}/documents.parquet").schema)
     assert corpus_pipeline.exact_copies(spark, docs, sf).count() == 1
     assert packing.END == 2 and language_id.SAMPLE > 0
+
+
+def test_null_and_repeated_ids(spark, sf):
+    """Rows are judged one by one where ids are null or repeat."""
+    words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcde"]
+    a, b, c, d, e = words
+    near_c = c.replace("c39", "other")
+    rows = [(5, a), (5, b), (3, a), (None, a), (None, a), (None, a.replace(" ", "\t")), (None, c), (9, near_c), (9, d), (None, near_c + " more"), (7, e), (7, e.replace(" ", "\n")), (7, e)]
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], schema)
+    out = corpus_pipeline.exact_copies(spark, docs, sf)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == docs.columns and len(got) == 7
+    assert {x for x in got if x[0] != 7} == {(5, b), (3, a), (None, c), (9, near_c), (9, d), (None, near_c + " more")}
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, stash(out), sf).collect()]
+    assert len(got) == 5 and {x for x in got if x[0] != 7} == {(5, b), (3, a), (9, near_c), (9, d)}
