@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
@@ -58,7 +59,8 @@ def logical_keys(df: DataFrame, profiles: Sequence, config: ProfileConfig = BARE
     null_count, unique_count.  A key holds no nulls and is unique by counts,
     not by a rounded rate.  The search stops at the smallest size at which a
     key is confident enough: larger ones would be dropped.  Column sets whose
-    distinct counts cannot multiply up to the row count are not looked at.
+    distinct counts cannot multiply up to the row count are not looked at; as
+    unique_count may be an estimate, exact counts are taken for that.
     """
     rows = sorted(profiles, key=lambda r: r.ordinal)
     total = rows[0].sample_count if rows else 0
@@ -69,16 +71,13 @@ def logical_keys(df: DataFrame, profiles: Sequence, config: ProfileConfig = BARE
     score = lambda cols: confidence(cols, [types[c] for c in cols], config.key_name_patterns)
     found = [LogicalKey((r.column,), score([r.column])) for r in fit if r.unique_count == total and not r.null_count]
     found = [k for k in found if k.confidence >= config.min_key_confidence]
-    whole = [r for r in fit if not r.null_count]
+    whole = [r.column for r in fit if not r.null_count]
+    exact: dict[tuple[str, ...], int] = {}
     size = 2
     while not found and size <= config.max_key_columns:
-        sets = []
-        for c in combinations(whole, size):
-            most = 1
-            for r in c:
-                most *= r.unique_count
-            if most >= total and score([r.column for r in c]) >= config.min_key_confidence:
-                sets.append([r.column for r in c])
+        sets = [c for c in combinations(whole, size) if score(c) >= config.min_key_confidence]
+        exact |= distinct_counts(df, sorted({(x,) for c in sets for x in c} - set(exact)))
+        sets = [c for c in sets if math.prod(exact[x,] for x in c) >= total]
         counts = distinct_counts(df, sets)
         found = [LogicalKey(s, score(s)) for s, n in counts.items() if n == total]
         size += 1

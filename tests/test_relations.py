@@ -32,6 +32,13 @@ def test_minimal_keys(spark):
     assert logical_keys(df, rows, has_primary_key=True) == []
 
 
+def test_estimates_do_not_prune_keys(spark):
+    """A full grid, with distinct counts estimated too low."""
+    df = spark.range(3600).selectExpr("id div 60 AS store_id", "id % 60 AS product_id", "1 AS n_id")
+    rows = [NS(column=c, ordinal=i, role="identifier", data_type="bigint", sample_count=3600, null_count=0, unique_count=n) for i, (c, n) in enumerate(zip(df.columns, (59, 60, 1), strict=True))]
+    assert [k.columns for k in logical_keys(df, rows)] == [("store_id", "product_id")]
+
+
 def test_distinct_counts_hold_nulls_apart(spark):
     df = spark.createDataFrame([(1, None), (1, "null"), (1, None)], "a int, b string")
     assert distinct_counts(df, [("a", "b")]) == {("a", "b"): 2}
