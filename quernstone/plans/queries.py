@@ -60,7 +60,11 @@ def star_catalog(spark: SparkSession, d: str, keys: bool = True) -> Catalog:
 
 
 def profiled(spark: SparkSession, d: str, keys: bool = True) -> Profile:
-    return profile_catalog(star_catalog(spark, d, keys), SHIPPED)
+    """Profiles of all star tables; a table that could not be profiled fails the query."""
+    p = profile_catalog(star_catalog(spark, d, keys), SHIPPED)
+    if p.failed:
+        raise RuntimeError(f"tables could not be profiled: {p.failed}")
+    return p
 
 
 # --- Column statistics -------------------------------------------------------------------------------------------------

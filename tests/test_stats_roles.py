@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from quernstone.config import BARE, SHIPPED
 from quernstone.operators import roles as R
 from quernstone.operators import stats as S
+from quernstone.plans import queries
 from quernstone.plans.profile import profile_catalog
 from quernstone.sources.catalog import Catalog, Constraint, Table
 
@@ -127,3 +128,11 @@ def test_failed_tables_have_one_status(spark):
     bad = spark.createDataFrame([("x",)], "a string").select(F.raise_error(F.lit("boom")).alias("a"))
     p = profile_catalog(Catalog(spark, [Table("bad", bad), Table("good", spark.range(3).toDF("id"))]))
     assert list(p.failed) == ["public.bad"] and [r.table for r in p.tables.collect()] == ["good"]
+
+
+def test_queries_fail_with_a_failed_table(spark, monkeypatch):
+    bad = spark.createDataFrame([("x",)], "a string").select(F.raise_error(F.lit("boom")).alias("a"))
+    monkeypatch.setattr(queries, "star_catalog", lambda *_: Catalog(spark, [Table("bad", bad), Table("good", spark.range(3).toDF("id"))]))
+    for query in (queries.column_roles, queries.table_categories, queries.logical_keys):
+        with pytest.raises(RuntimeError, match="public.bad"):
+            query(spark, "")
