@@ -71,7 +71,6 @@ def role(c: ProfileConfig = BARE) -> Column:
     one_of = lambda names: kind.isin(*names)
 
     complex_ = one_of(c.complex_types) | (kind.endswith("[]") if "array" in c.complex_types else F.lit(False))
-    audit = [(p, name.rlike(p)) for p in (*C.AUDIT_PREFIXES, *C.AUDIT_SUFFIXES, *C.AUDIT_WORDS)]
     may_identify = ~contains_any(name, C.NAME_EXCLUDED) & one_of(C.IDENTIFIER_TYPES) & ~(one_of(("numeric", "decimal")) & (F.coalesce("scale", F.lit(0)) > 0))
     constrained = F.col("is_primary_key") | F.col("is_foreign_key") | F.col("is_unique_constraint")
     stands_out = (uniq > c.high_uniqueness) & (present > c.min_non_null) & ~contains_any(name, C.METRIC_WORDS)
@@ -96,7 +95,7 @@ def role(c: ProfileConfig = BARE) -> Column:
 
     rules = [
         (complex_, {"role": "complex", "confidence": 0.95, "basis": "complex_type"}),
-        (matches_any(name, [p for p, _ in audit]), {"role": "audit", "confidence": 0.95, "basis": "audit_pattern"}),
+        (matches_any(name, C.AUDIT_PATTERNS), {"role": "audit", "confidence": 0.95, "basis": "audit_pattern"}),
         (one_of(c.datetime_types), {"role": "datetime", "confidence": 1.0, "basis": "datetime_type"}),
         (matches_any(name, [f"{s}$" for s in C.DATETIME_SUFFIXES]), {"role": "datetime", "confidence": 0.85, "basis": "datetime_name"}),
         (may_identify & constrained, {"role": "identifier", "confidence": 1.0, "basis": "physical_constraint"}),
@@ -120,11 +119,16 @@ def datetime_grain(name: Column) -> Column:
     return out
 
 
+def _kind(name: Column, kinds: tuple[tuple[str, tuple[str, ...]], ...], otherwise: str) -> Column:
+    """The first kind with a word that the name holds."""
+    out = F.lit(otherwise)
+    for kind, held in reversed(kinds):
+        out = F.when(contains_any(F.lower(name), held), kind).otherwise(out)
+    return out
+
+
 def metric_category(name: Column) -> Column:
-    n = F.lower(name)
-    return (
-        F.when(n.rlike("amount|price|cost|revenue|sales|profit"), "amount").when(n.rlike("count|qty|quantity|num|number"), "count").when(n.rlike("rate|ratio|percent"), "ratio").otherwise("metric")
-    )
+    return _kind(name, C.METRIC_KINDS, "metric")
 
 
 def metric_aggregations(category: Column) -> Column:
@@ -133,13 +137,7 @@ def metric_aggregations(category: Column) -> Column:
 
 
 def audit_type(name: Column) -> Column:
-    """etl, actor, flag, version or timestamp, by the first group of words found."""
-    n = F.lower(name)
-    stamps = n.rlike("created_at|create_time|insert_time|added_at|updated_at|update_time|modified_at|changed_at|last_modified|last_updated|deleted_at|delete_time|removed_at")
-    return (
-        F.when(stamps, "timestamp").when(n.rlike("etl_|load_|batch_|effective_|valid_from|valid_to"), "etl").when(n.rlike("_by|_user|creator|updater|modifier|operator"), "actor")
-        .when(n.rlike("is_deleted|is_active|is_valid|del_flag|delete_flag"), "flag").when(n.rlike("version|_ver|revision"), "version").otherwise("timestamp")
-    )
+    return _kind(name, C.AUDIT_KINDS, "timestamp")
 
 
 def column_roles(profiles: DataFrame, c: ProfileConfig = BARE) -> DataFrame:
