@@ -3,10 +3,16 @@
 Each shard (a slice of an Arrow batch) is turned into words; the suffixes that
 begin with a seed, the first words of some benchmark window, are sorted into a
 suffix array; every benchmark suffix is binary-searched in it.  The range found
-holds all its verbatim occurrences with their places.  A document never spans
-shards, so nothing is shuffled.  The benchmark is the broadcast side: it is cut
-into blocks of at most `block_bytes`, one pass each, so what a task holds is
-bounded however large the benchmark grows.
+holds all its verbatim occurrences with their places; occurrences that follow
+each other in item and document make up the longest matches.  A document never
+spans shards, so nothing is shuffled.
+
+The benchmark is the broadcast side.  It goes out in blocks of at most
+`block_bytes`, each a broadcast variable that Spark keeps on disk; one Python
+stage searches them one after the other, so neither the plan nor what a task
+holds grows with the benchmark.
+
+Words are equal if 128 bits of two hashes under the run's own key are.
 """
 
 from __future__ import annotations
@@ -19,168 +25,203 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import ALNUM_LOWER, Runs, released, slices, text_bytes, words
+from .textscan import ALNUM_LOWER, new_key, released, slices, text_bytes, windows, words
 
 #: Words of a seed, or fewer where a window has fewer.
 SEED = 4
+#: Matches of windows that are looked at together, unless one document has more.
+MATCHES = 1 << 20
+#: Stands for a word that the benchmark lacks.
+OTHER = 0xFFFFFFFE
+COLUMNS = "n_words bigint, hit_spans array<array<bigint>>, items array<string>, matches array<struct<item: string, start: bigint, item_start: bigint, words: bigint>>"
 
 
 class TestSuffixes:
-    """Suffixes of a block of benchmark items, ready to be searched for."""
+    """Suffixes of benchmark items whose windows have one seed length, ready to be searched for."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        column = pa.array([t for _, t in items], pa.string())
-        data, offsets = text_bytes(column)
-        _, _, h, first = words(data, offsets, ALNUM_LOWER)
+    def __init__(self, ids: list[str], texts: list[str], window: int, key: int):
+        data, offsets = text_bytes(pa.array(texts, pa.string()))
+        _, _, first, h, h2 = words(data, offsets, ALNUM_LOWER, key, 2)
         count = np.diff(first)
-        self.ids = [i for i, _ in items]
-        self.vocabulary = np.unique(h)
-        self.numbers = self.number(h)
-        #: Per suffix that is long enough for its item's window: start, item, window length.
+        self.ids, self.depth = ids, window
+        self.vocabulary, at = np.unique(h, return_index=True)
+        self.check = h2[at]
+        numbers = self.number(h, h2)
+        #: Per suffix that is long enough for its item's window: item, place in it, window length.
         width = np.minimum(count, window)
         per_item = np.where(count > 0, count - width + 1, 0)
-        self.item = np.repeat(np.arange(len(items)), per_item)
+        self.item = np.repeat(np.arange(len(ids)), per_item)
         self.offset = np.arange(per_item.sum()) - np.repeat(np.cumsum(per_item) - per_item, per_item)
-        self.start = first[:-1][self.item] + self.offset
+        start = first[:-1][self.item] + self.offset
         self.width = width[self.item]
-        self.seed = int(min(SEED, self.width.min())) if len(self.width) else 1
-        self.seeds = np.unique(Runs(h).hash(self.start, self.start + self.seed))
-        self.depth = window
-        key = np.zeros((len(self.start), window), ">u4")
+        self.seed = int(min(SEED, self.width.min(initial=SEED)))
+        self.seeds = np.unique(windows(h, self.seed)[start]) if len(start) else np.zeros(0, np.uint64)
+        low = np.zeros((len(start), window), ">u4")
         for j in range(window):
             on = self.width > j
-            key[on, j] = self.numbers[self.start[on] + j]
-        self.low = key.copy().view(f"S{4 * window}").ravel()
+            low[on, j] = numbers[start[on] + j]
+        high = low.copy()
         for j in range(window):
-            key[self.width <= j, j] = 0xFFFFFFFF
-        self.high = key.view(f"S{4 * window}").ravel()
+            high[self.width <= j, j] = 0xFFFFFFFF
+        self.low, self.high = (x.view(f"S{4 * window}").ravel() for x in (low, high))
 
-    def number(self, h: np.ndarray) -> np.ndarray:
-        """Words as numbers from 1; 0xFFFFFFFE is any word that the benchmark lacks."""
+    def number(self, h: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Words as numbers from 1, or OTHER."""
         if not len(self.vocabulary):
-            return np.full(len(h), 0xFFFFFFFE, np.uint32)
+            return np.full(len(h), OTHER, np.uint32)
         at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == h, at + 1, 0xFFFFFFFE).astype(np.uint32)
-
-    def search(self, h: np.ndarray, first: np.ndarray):
-        """Occurrences of windows in a shard: (word position, suffix number) arrays."""
-        none = np.zeros(0, np.int64)
-        if not len(self.start) or len(h) < self.seed:
-            return none, none
-        n = np.arange(len(h) - self.seed + 1)
-        seeds = Runs(h).hash(n, n + self.seed)
+        return np.where((self.vocabulary[at] == h) & (self.check[at] == h2), at + 1, OTHER).astype(np.uint32)
+
+    def search(self, h: np.ndarray, h2: np.ndarray, first: np.ndarray):
+        """The shard's suffix array (places of suffixes in order), and each test suffix's range in it."""
+        seeds = windows(h, self.seed)
+        if not len(self.seeds) or not len(seeds):
+            return None
         at = np.minimum(np.searchsorted(self.seeds, seeds), len(self.seeds) - 1)
         suffixes = np.flatnonzero(self.seeds[at] == seeds)
         if not len(suffixes):
-            return none, none
-        # The suffix array: keys of `depth` words; words beyond the document's end match nothing.
+            return None
+        # Keys of `depth` words; words beyond the document's end match nothing.
         end = first[np.searchsorted(first, suffixes, "right")]
-        number = np.append(self.number(h), np.uint32(0xFFFFFFFE))
-        key = np.empty((len(suffixes), self.depth), ">u4")
+        key = np.full((len(suffixes), self.depth), OTHER, ">u4")
         for j in range(self.depth):
-            key[:, j] = np.where(suffixes + j < end, number[np.minimum(suffixes + j, len(h))], 0xFFFFFFFE)
+            on = np.flatnonzero(suffixes + j < end)
+            key[on, j] = self.number(h[suffixes[on] + j], h2[suffixes[on] + j])
         key = key.view(f"S{4 * self.depth}").ravel()
         order = np.argsort(key, kind="stable")
         key, suffixes = key[order], suffixes[order]
-        low, high = np.searchsorted(key, self.low, "left"), np.searchsorted(key, self.high, "right")
-        size = high - low
-        which = np.repeat(np.arange(len(low)), size)
-        place = np.arange(size.sum()) + np.repeat(low - (np.cumsum(size) - size), size)
-        return suffixes[place], which
-
-
-def _longest(position: np.ndarray, item: np.ndarray, offset: np.ndarray, width: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """The longest verbatim match of each row: runs of windows that follow each other in item and document."""
-    out = np.zeros(rows, np.int64)
-    if len(position):
-        order = np.lexsort((position, position - offset, item, row))
-        p, d, i, w, r = position[order], (position - offset)[order], item[order], width[order], row[order]
-        new = np.ones(len(p), bool)
-        new[1:] = (np.diff(p) != 1) | (np.diff(d) != 0) | (np.diff(i) != 0) | (np.diff(r) != 0)
-        begin = np.flatnonzero(new)
-        np.maximum.at(out, r[begin], np.diff(np.append(begin, len(p))) - 1 + w[begin])
-    return out
-
-
-def _search_block(items: list[tuple[str, str]], window: int, text_at: int):
-    """A pass: columns n_words, hit (merged runs of hit words), items and longest are brought up to date."""
+        return suffixes, np.searchsorted(key, self.low, "left"), np.searchsorted(key, self.high, "right")
+
+    def matches(self, h: np.ndarray, h2: np.ndarray, first: np.ndarray):
+        """(row, place, test suffix) arrays, all of a row in one part; parts have about MATCHES."""
+        found = self.search(h, h2, first)
+        if found is None:
+            return
+        suffixes, low, high = found
+        # How often each place is in some range, by document.
+        held = np.zeros(len(suffixes) + 1, np.int64)
+        np.add.at(held, low, 1)
+        np.add.at(held, high, -1)
+        row = np.searchsorted(first, suffixes, "right") - 1
+        per_row = np.bincount(row, np.cumsum(held[:-1]), len(first) - 1)
+        part_of = (np.cumsum(per_row) - per_row).astype(np.int64) // MATCHES
+        for part in np.unique(part_of[per_row > 0]).tolist():
+            on = part_of[row] == part
+            # Ranges within the part's own suffixes.
+            before = np.concatenate([[0], np.cumsum(on)])
+            own, a, b = suffixes[on], before[low], before[high]
+            size = b - a
+            which = np.repeat(np.arange(len(size)), size)
+            place = own[np.arange(size.sum()) + np.repeat(a - (np.cumsum(size) - size), size)]
+            yield np.searchsorted(first, place, "right") - 1, place - first[np.searchsorted(first, place, "right") - 1], which
+
+
+def _suffixes(items: list[tuple[str, str]], window: int, key: int) -> list[TestSuffixes]:
+    """The items by the length of their seed, so that short ones do not shorten the seeds of all."""
+    groups: dict[int, tuple[list, list]] = {}
+    for i, t in items:
+        data, offsets = text_bytes(pa.array([t], pa.string()))
+        n = len(words(data, offsets, ALNUM_LOWER, key)[0])
+        ids, texts = groups.setdefault(min(n, SEED), ([], []))
+        ids.append(i)
+        texts.append(t)
+    return [TestSuffixes(*groups[n], window, key) for n in sorted(groups) if n]
+
+
+def _longest(tests: TestSuffixes, row: np.ndarray, place: np.ndarray, which: np.ndarray):
+    """The longest match of each row and item: row, item, start in the document and in the item, words."""
+    item, offset, width = tests.item[which], tests.offset[which], tests.width[which]
+    order = np.lexsort((place, place - offset, item, row))
+    p, o, i, w, r = place[order], offset[order], item[order], width[order], row[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (np.diff(p) != 1) | (np.diff(o) != 1) | (np.diff(i) != 0) | (np.diff(r) != 0)
+    begin = np.flatnonzero(new)
+    size = np.diff(np.append(begin, len(p))) - 1 + w[begin]
+    r, i, p, o = r[begin], i[begin], p[begin], o[begin]
+    order = np.lexsort((o, p, -size, i, r))
+    first = np.ones(len(order), bool)
+    first[1:] = (np.diff(r[order]) != 0) | (np.diff(i[order]) != 0)
+    best = order[first]
+    return r[best], i[best], p[best], o[best], size[best]
+
+
+def _search(blocks: list, window: int, text_at: int, key: int):
+    """Batches with the columns of COLUMNS added."""
 
     def run(batches):
-        tests = TestSuffixes(items, window)
+        at, tests = -1, []
         for batch in batches:
             data, offsets = text_bytes(batch.column(text_at))
-            old = {c: batch.column(batch.schema.names.index(c)) for c in ("_hit", "_items", "_longest")}
-            cols: dict[str, list] = {c: [] for c in ("_n_words", "_hit", "_items", "_longest")}
-            for a, b in slices(offsets):
-                _, _, h, first = words(data, offsets[a : b + 1], ALNUM_LOWER)
-                place, which = tests.search(h, first)
-                row = np.searchsorted(first, place, "right") - 1
-                cols["_n_words"] += np.diff(first).tolist()
-                cols["_longest"] += np.maximum(_longest(place, tests.item[which], tests.offset[which], tests.width[which], row, b - a), old["_longest"][a:b].to_numpy()).tolist()
-                order = np.argsort(row, kind="stable")
-                cuts = np.searchsorted(row[order], np.arange(b - a + 1))
-                for i in range(b - a):
-                    hit, found = old["_hit"][a + i].as_py(), old["_items"][a + i].as_py()
-                    if cuts[i] < cuts[i + 1]:
-                        these = order[cuts[i] : cuts[i + 1]]
-                        mark = np.zeros(first[i + 1] - first[i] + 1, np.int64)
-                        np.add.at(mark, place[these] - first[i], 1)
-                        np.add.at(mark, place[these] - first[i] + tests.width[which[these]], -1)
-                        on = np.cumsum(mark) > 0
-                        for s, e in hit:
-                            on[s:e] = True
-                        edge = np.flatnonzero(np.diff(np.concatenate([[False], on, [False]]).astype(np.int8)))
-                        hit = edge.reshape(-1, 2).tolist()
-                        found = sorted({*found, *(tests.ids[k] for k in np.unique(tests.item[which[these]]))})
-                    cols["_hit"].append(hit)
-                    cols["_items"].append(found)
-            out = batch
-            for name, kind in (("_n_words", pa.int64()), ("_hit", pa.list_(pa.list_(pa.int64()))), ("_items", pa.list_(pa.string())), ("_longest", pa.int64())):
-                out = out.set_column(out.schema.names.index(name), name, pa.array(cols[name], kind))
-            yield out
+            total = np.zeros(batch.num_rows, np.int64)
+            hit: dict[int, list] = {}
+            best: dict[int, dict[str, tuple]] = {}
+            for k in range(max(1, len(blocks))):
+                if at != k:
+                    at, tests = k, _suffixes(blocks[k].value, window, key) if blocks else []
+                for a, b in slices(offsets):
+                    _, _, first, h, h2 = words(data, offsets[a : b + 1], ALNUM_LOWER, key, 2)
+                    total[a:b] = np.diff(first)
+                    for t in tests:
+                        for row, place, which in t.matches(h, h2, first):
+                            span = np.unique(np.stack([row, place, place + t.width[which]], 1), axis=0)
+                            cuts = np.flatnonzero(np.diff(span[:, 0])) + 1
+                            for part in np.split(span, cuts):
+                                hit.setdefault(a + int(part[0, 0]), []).append(part[:, 1:])
+                            for r, i, p, o, n in zip(*(x.tolist() for x in _longest(t, row, place, which)), strict=True):
+                                mine, name = best.setdefault(a + r, {}), t.ids[i]
+                                mine[name] = min(mine.get(name, (0, 0, 0)), (-n, p, o))
+            spans = [_merged(np.concatenate(hit[r])) if r in hit else [] for r in range(batch.num_rows)]
+            found = [sorted(best.get(r, ())) for r in range(batch.num_rows)]
+            places = [[{"item": i, "start": best[r][i][1], "item_start": best[r][i][2], "words": -best[r][i][0]} for i in found[r]] for r in range(batch.num_rows)]
+            kinds = [pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string()), pa.list_(pa.struct([("item", pa.string()), ("start", pa.int64()), ("item_start", pa.int64()), ("words", pa.int64())]))]
+            more = [pa.array(c, t) for c, t in zip((total, spans, found, places), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_words", "hit_spans", "items", "matches"])
 
     return run
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
-    """The benchmark in blocks of about `block_bytes`, one in the driver at a time."""
+def _merged(spans: np.ndarray) -> list[list[int]]:
+    """The union of intervals, as the fewest."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    far = np.maximum.accumulate(spans[:, 1])
+    new = np.flatnonzero(np.concatenate([[True], spans[1:, 0] > far[:-1]]))
+    return np.stack([spans[new, 0], far[np.append(new[1:], len(spans)) - 1]], 1).tolist()
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list:
+    """The benchmark in broadcast blocks of about `block_bytes`; one is in the driver's memory at a time."""
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = -(-total // block_bytes)
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k)
-        yield [(r.i, r.t) for r in part.collect()]
+    parts = (items if n == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k) for k in range(n))
+    return [benchmark.sparkSession.sparkContext.broadcast([(r.i, r.t) for r in part.collect()]) for part in parts]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """docs with n_words, n_hit, hit_spans, n_items, items, longest_match and contaminated.
-
-    Null and empty texts have no words and are clean.  Items with a null id
-    are left out; an item id that occurs twice counts once.  An empty
-    benchmark hits nothing.  Repeated rows are judged one by one.  A document
-    is contaminated if any word is hit and at least a twentieth are.
+    """docs with n_words, hit_spans, items, matches, n_hit, n_items, longest_match and contaminated.
+
+    hit_spans are the hit words as intervals; matches has the longest verbatim
+    match with each item that has one: first word in the document and in the
+    item, and words.  Null and empty texts have no words and are clean.  Items
+    with a null id are left out; an item id that occurs twice counts once.  An
+    empty benchmark hits nothing.  Repeated rows are judged one by one.  A
+    document is contaminated if any word is hit and at least a twentieth are.
+    Columns of docs that have one of the new names are an error.
     """
-    clash = [c for c in docs.columns if c in ("_n_words", "_hit", "_items", "_longest")]
+    new = ["n_words", "hit_spans", "items", "matches", "n_hit", "n_items", "longest_match", "contaminated"]
+    clash = [c for c in docs.columns if c in new]
     if clash:
         raise ValueError(f"columns are taken: {clash}")
-    text_at = docs.columns.index(text_col)
-    start = docs.withColumns({"_n_words": F.lit(0).cast("bigint"), "_hit": F.array().cast("array<array<bigint>>"), "_items": F.array().cast("array<string>"), "_longest": F.lit(0).cast("bigint")})
-    blocks, out = 0, start
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        out, blocks = out.mapInArrow(released(_search_block(items, window, text_at)), start.schema), blocks + 1
-    if not blocks:
-        out = start.mapInArrow(released(_search_block([], window, text_at)), start.schema)
-    hit = F.coalesce(F.aggregate("_hit", F.lit(0).cast("bigint"), lambda s, x: s + x[1] - x[0]), F.lit(0).cast("bigint"))
-    result = {
-        "n_words": F.col("_n_words"),
-        "n_hit": hit,
-        "hit_spans": F.col("_hit"),
-        "n_items": F.size("_items").cast("bigint"),
-        "items": F.col("_items"),
-        "longest_match": F.col("_longest"),
-        "contaminated": (hit > 0) & (20 * hit >= F.col("_n_words")),
-    }
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in result], *[v.alias(k) for k, v in result.items()])
+    schema = f"{docs.schema.simpleString()[7:-1]}, {COLUMNS}" if docs.columns else COLUMNS
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    out = docs.mapInArrow(released(_search(blocks, window, docs.columns.index(text_col), new_key())), schema)
+    none = F.lit(0).cast("bigint")
+    out = out.withColumns({
+        "n_hit": F.aggregate("hit_spans", none, lambda s, x: s + x[1] - x[0]),
+        "n_items": F.size("items").cast("bigint"),
+        "longest_match": F.coalesce(F.array_max(F.transform("matches", lambda m: m["words"])), none),
+    })
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -8,19 +8,31 @@ steers the cost, any order gives the same links.
 1. Shingles that are frequent in some block of documents are counted (lossy
    counting; the table of the most frequent has a fixed size).
 2. Documents with equal sets become one class, classes with equal prefixes and
-   size become one group, and groups post themselves under their prefix shingles.
-3. Posting lists of one member fall out.  In every other list, members of like
-   size are first paired with one hub; the pairs are filtered by bitmaps and
-   verified on the full sets, and the links give components.
-4. Then all pairs that are still in different components are generated from
-   the lists, filtered and verified.  Pairs inside a component cannot change
-   the components, so a large group of near copies costs a star, not a square.
+   size become one group, and groups post themselves under their prefix
+   shingles; lists with one group fall out, groups expand into their classes.
+3. Each list has a hub, the member whose prefix is shared most.  Members are
+   verified against it on their full sets, and keep the symmetric difference
+   d(x) = x - h.  As x - y = d(x) - d(y), members x and y are linked exactly if
+   d(x) and d(y) share at least
+       c(x, y) = (w(x) + w(y)) / (2 (100 + p)),  w(x) = (100 + p) |d(x)| - (100 - p) n(x),
+   elements, p being the least similarity in percent.  So all x with
+   w(x) + w(y*) <= 0 are linked with the member y* of least w, and the few
+   others are found by a second prefix join, on the differences: its lists are
+   short, since edits of near copies are seldom the same.
+4. Members too far from their hub for this get another hub, some rounds long;
+   pairs of what then is left are verified one by one.  Pairs inside a
+   component cannot change the components and are not looked at.  A large
+   group of near copies thus costs a star, not a square.
+
+A shingle is known by a 64-bit hash under a key that each run draws anew; sets
+are equal if 128-bit digests of their hashes are, and links are decided on the
+full sets of the two documents.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +40,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, NO_ID, components, shared_folder, stash, table
-from .textscan import SPACED_LOWER, mix, released, shingles, slices, text_bytes, words
+from .textscan import SPACED_LOWER, new_key, released, shingles, slices, text_bytes, words
 
 #: A shingle is frequent if so many sets of one block hold it.
 FREQUENT, BLOCK_SETS, BLOCK_SHINGLES = 3, 8192, 3_000_000
 #: Frequent shingles that the order knows; 12 bytes each.
 RANKED = 1 << 20
+#: Hubs that a list tries before pairs of what is left are verified one by one.
+ROUNDS = 3
 #: Rows of an Arrow batch of documents, and of pairs of documents.
 ROWS, PAIR_ROWS = 1000, 200
 
 
-def shingle_sets(column: pa.Array, k: int):
+def shingle_sets(column: pa.Array, k: int, key: int):
     """(first row, the rows' sorted distinct shingle hashes) for slices of a text column."""
     data, offsets = text_bytes(column)
     for a, b in slices(offsets):
-        _, _, h, first = words(data, offsets[a : b + 1], SPACED_LOWER)
+        _, _, first, h = words(data, offsets[a : b + 1], SPACED_LOWER, key)
         g, at = shingles(h, first, k)
         yield a, [np.unique(g[at[i] : at[i + 1]]) for i in range(b - a)]
 
@@ -52,32 +66,12 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def bitmap(x: np.ndarray) -> np.ndarray:
-    """Parities of the set's hashes in a power of two of bits, two for each element at least."""
-    bits = max(256, 1 << int(2 * len(x)).bit_length())
-    place = mix(x.copy()) & np.uint64(bits - 1)
-    odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
-
-
-def apart(a: str, b: str, percent: int) -> Column:
-    """Bits in which two bitmaps differ: no more than the elements that only one set has.  The longer is folded to the shorter's size."""
-    def fold(m: Column) -> Column:
-        half = (F.size(m) / 2).cast("int")
-        return F.zip_with(F.slice(m, F.lit(1), half), F.slice(m, half + 1, half), lambda x, y: x.bitwiseXOR(y))
-
-    x, y = F.col(a), F.col(b)
-    for _ in range(math.ceil(math.log2(100 / percent))):
-        x, y = F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y)
-    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-
-
 def _signature(x: np.ndarray) -> tuple[int, int]:
     d = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _frequent(k: int):
+def _frequent(k: int, key: int):
     """(shingle, sets) of each block's frequent shingles; equal sets in a block count once."""
 
     def run(batches):
@@ -94,12 +88,12 @@ def _frequent(k: int):
             return pa.RecordBatch.from_arrays([pa.array(x[begin[on]].view(np.int64)), pa.array(count[on])], names=["shingle", "sets"])
 
         for batch in batches:
-            for _, sets in shingle_sets(batch.column(0), k):
+            for _, sets in shingle_sets(batch.column(0), k, key):
                 for x in sets:
                     if len(x):
-                        key = _signature(x)
-                        size += len(x) * (key not in held)
-                        held[key] = x
+                        own = _signature(x)
+                        size += len(x) * (own not in held)
+                        held[own] = x
                 if len(held) >= BLOCK_SETS or size >= BLOCK_SHINGLES:
                     yield flush()
                     held, size = {}, 0
@@ -108,13 +102,13 @@ def _frequent(k: int):
     return run
 
 
-def _sketch(k: int, percent: int, ranked: np.ndarray, rank: np.ndarray):
-    """(id, n, sig1, sig2, prefix_key, prefix, bitmap) of (id, text) batches."""
+def _sketch(k: int, percent: int, key: int, ranked: np.ndarray, rank: np.ndarray):
+    """(id, n, sig1, sig2, prefix_key, prefix) of (id, text) batches."""
 
     def run(batches):
         for batch in batches:
-            n, sig1, sig2, keys, prefixes, maps = [], [], [], [], [], []
-            for _, sets in shingle_sets(batch.column(1), k):
+            n, sig1, sig2, keys, prefixes = [], [], [], [], []
+            for _, sets in shingle_sets(batch.column(1), k, key):
                 for x in sets:
                     s1, s2 = _signature(x)
                     n.append(len(x))
@@ -126,41 +120,74 @@ def _sketch(k: int, percent: int, ranked: np.ndarray, rank: np.ndarray):
                     prefix = x[: len(x) - least_overlap(len(x), percent) + 1] if len(x) else x
                     keys.append(_signature(prefix)[0])
                     prefixes.append(prefix.view(np.int64))
-                    maps.append(bitmap(x))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip((n, sig1, sig2, keys, prefixes, maps), kinds, strict=True))], names=["id", "n", "sig1", "sig2", "prefix_key", "prefix", "bitmap"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip((n, sig1, sig2, keys, prefixes), kinds, strict=True))], names=["id", "n", "sig1", "sig2", "prefix_key", "prefix"])
 
     return run
 
 
-def _verify(k: int, percent: int):
-    """Linked pairs of (a, b, text_a, text_b) batches, on the full sets."""
+def linked(d: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m that differ in d elements are linked."""
+    return (100 + percent) * d <= (100 - percent) * (n + m)
+
+
+def _differences(k: int, percent: int, key: int, tokens: bool):
+    """(a, b, n_a, n_b, d, tokens) of (a, b, text_a, text_b) batches: d elements are in one set only.
+
+    tokens, where asked for: these elements, those that a lacks first; null
+    where b is so far from a that no member near a can be linked with it.
+    """
 
     def run(batches):
+        last: tuple = (None, None)
         for batch in batches:
             ids_a, ids_b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            good_a, good_b = [], []
+            out: list[list] = [[] for _ in range(4)]
             step = max(1, len(ids_a) * (4 << 20) // max(1, batch.nbytes))
             for at in range(0, len(ids_a), step):
-                left, right = ([x for _, sets in shingle_sets(batch.column(c).slice(at, step), k) for x in sets] for c in (2, 3))
-                for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if both and 100 * both >= percent * (len(x) + len(y) - both):
-                        good_a.append(ids_a[at + i])
-                        good_b.append(ids_b[at + i])
-            yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
+                right = [x for _, sets in shingle_sets(batch.column(3).slice(at, step), k, key) for x in sets]
+                for i, y in enumerate(right, at):
+                    if last[0] != ids_a[i]:  # pairs come by hub
+                        last = ids_a[i], next(s for _, s in shingle_sets(batch.column(2).slice(i, 1), k, key))[0]
+                    x = last[1]
+                    place = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                    new = x[place] != y
+                    d = len(x) - len(y) + 2 * int(new.sum())
+                    out[0].append(len(x))
+                    out[1].append(len(y))
+                    out[2].append(d)
+                    near = tokens and (100 + percent) * d * percent <= (100 - percent) * ((300 + percent) * len(y) + 2 * percent * len(x))
+                    if near:
+                        gone = np.ones(len(x), bool)
+                        gone[place[~new]] = False
+                        out[3].append(np.concatenate([y[new], x[gone]]).view(np.int64))
+                    else:
+                        out[3].append(None)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["a", "b", "n_a", "n_b", "d", "tokens"])
 
     return run
 
 
+def _few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stashed df of rows of a few numbers, to be broadcast up to a checked size."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 class _Join:
     def __init__(self, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str):
-        self.spark, self.k, self.percent = docs.sparkSession, k, percent
+        self.spark, self.k, self.percent, self.key = docs.sparkSession, k, percent, new_key()
         self.folder = shared_folder(self.spark)
         self.source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+        # Where ids repeat, rows are joined under numbers of their own.
+        self.ids = None
+        if self.source.groupBy("id").count().where("count > 1").take(1):
+            rows = stash(self.source.withColumn("row", F.monotonically_increasing_id()), f"{self.folder}/rows")
+            self.ids = rows.select("row", "id")
+            self.source = rows.select(F.col("row").alias("id"), "text")
 
     def sketch(self) -> DataFrame:
-        counted = self.source.select("text").mapInArrow(released(_frequent(self.k)), "shingle bigint, sets bigint").groupBy("shingle").agg(F.sum("sets").alias("sets"))
+        counted = self.source.select("text").mapInArrow(released(_frequent(self.k, self.key)), "shingle bigint, sets bigint").groupBy("shingle").agg(F.sum("sets").alias("sets"))
         counted = stash(counted, f"{self.folder}/frequent", ROWS)
         # The least count at which no more than RANKED shingles are left.
         held, least = 0, 1 << 62
@@ -173,76 +200,122 @@ class _Join:
         ranked, sets = top.column("shingle").to_numpy().view(np.uint64), top.column("sets").to_numpy()
         order = np.argsort(ranked)
         ranked, rank = ranked[order], sets[order].astype(np.int32)
-        return stash(self.source.mapInArrow(released(_sketch(self.k, self.percent, ranked, rank)), "id bigint, n bigint, sig1 bigint, sig2 bigint, prefix_key bigint, prefix array<bigint>, bitmap array<bigint>"), f"{self.folder}/sketch", ROWS)
+        return stash(self.source.mapInArrow(released(_sketch(self.k, self.percent, self.key, ranked, rank)), "id bigint, n bigint, sig1 bigint, sig2 bigint, prefix_key bigint, prefix array<bigint>"), f"{self.folder}/sketch", ROWS)
 
     def postings(self, sketch: DataFrame, classes: DataFrame) -> DataFrame:
-        """(token, node, n, bucket): classes under the prefix shingles that at least two groups hold, and under their group if it has several.
+        """(token, node, n): classes under the prefix shingles that at least two groups hold, and under their group if it has several.
 
         The prefixes of all groups are dealt out by shingle once; both the
         counts and the lists are read from that one exchange.
         """
         groups = stash(classes.groupBy("prefix_key", "n").agg(F.min("node").alias("group"), F.count("*").alias("classes")), f"{self.folder}/groups")
         heads = groups.select(F.col("group").alias("id"), "prefix_key", "n")
-        heads = sketch.select("id", "prefix_key", "n", "prefix").join(F.broadcast(heads) if heads.count() <= BROADCAST_ROWS else heads, ["id", "prefix_key", "n"], "left_semi")
-        dealt = heads.dropDuplicates(["id", "prefix_key", "n"]) if self.repeated else heads
-        dealt = dealt.select(F.explode("prefix").alias("token"), F.col("id").alias("group"), F.col("n").cast("int").alias("n")).repartition("token")
+        heads = sketch.select("id", "prefix_key", "n", "prefix").join(_few(heads), ["id", "prefix_key", "n"], "left_semi")
+        dealt = heads.select(F.explode("prefix").alias("token"), F.col("id").alias("group"), F.col("n").cast("int").alias("n")).repartition("token")
         shared = dealt.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
         lists = dealt.join(shared, "token")
 
         member = stash(classes.join(groups.where("classes > 1"), ["prefix_key", "n"]).select("group", "node", "prefix_key", F.col("n").cast("int").alias("n")), f"{self.folder}/members")
         own = member.select(F.col("prefix_key").alias("token"), "node", "n")
-        several = member.select("group", "node")
-        several = F.broadcast(several) if member.count() <= BROADCAST_ROWS else several
-        lists = lists.join(several, "group", "left").select("token", F.coalesce("node", "group").alias("node"), "n")
-        # Sizes of a bucket are within the ratio of linked sizes of each other.
-        bucket = F.floor(F.log("n") / -math.log(self.percent / 100)).cast("int")
-        return stash(lists.unionByName(own).withColumn("bucket", bucket), f"{self.folder}/postings")
-
-    def links(self, pairs: DataFrame, bitmaps: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) that are linked: bitmaps tell most others, full sets the rest."""
-        p = self.percent
-        side = lambda s: bitmaps.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"map_{s}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b"))
-        near = both.where((100 + p) * apart("map_a", "map_b", p) <= (100 - p) * (F.col("n_a") + F.col("n_b")))
-        near = stash(near.select("a", "b"), f"{self.folder}/{name}-near")
-        ids = stash(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct(), f"{self.folder}/{name}-ids")
-        texts = self.source.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "id", "left_semi")
+        lists = lists.join(_few(member.select("group", "node")), "group", "left").select("token", F.coalesce("node", "group").alias("node"), "n")
+        return stash(lists.unionByName(own), f"{self.folder}/postings")
+
+    def compared(self, pairs: DataFrame, name: str, tokens: bool) -> DataFrame:
+        """Pairs (a, b), distinct and stashed, with n_a, n_b, d and tokens, on full sets."""
+        ids = stash(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), f"{self.folder}/{name}-ids")
+        texts = self.source.join(_few(ids), "id", "left_semi")
         text = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
-        full = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
-        return stash(full.mapInArrow(released(_verify(self.k, p)), "a bigint, b bigint").distinct(), f"{self.folder}/{name}", PAIR_ROWS)
+        full = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
+        out = full.mapInArrow(released(_differences(self.k, self.percent, self.key, tokens)), "a bigint, b bigint, n_a bigint, n_b bigint, d bigint, tokens array<bigint>")
+        return stash(out, f"{self.folder}/{name}", PAIR_ROWS)
+
+    def hub_round(self, lists: DataFrame, score: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Links with hubs, lists of differences, and the lists of members far from their hubs."""
+        p, up = self.percent, 2 * (100 + self.percent)
+        best = F.max_by("node", F.struct("score", -F.col("node")))
+        hub = lists.join(score, "node").groupBy("token").agg(best.alias("a"), F.count("*").alias("members")).where("members > 1").select("token", "a")
+        hub = stash(hub, f"{self.folder}/{name}-hubs")
+        mine = lists.join(_few(hub), "token").where("node <> a")
+        pairs = stash(mine.select("a", F.col("node").alias("b")).distinct(), f"{self.folder}/{name}-pairs")
+        got = self.compared(pairs, f"{name}-compared", tokens=True)
+
+        # w of the members that a near one may be linked with, the hub among them.
+        band = got.where("tokens IS NOT NULL").withColumn("w", (100 + p) * F.col("d") - (100 - p) * F.col("n_b"))
+        hubs = got.groupBy("a").agg(F.max("n_a").alias("n_a")).select("a", F.col("a").alias("b"), (-(100 - p) * F.col("n_a")).alias("w"))
+        least = band.select("a", "b", "w").union(hubs).groupBy("a").agg(F.min(F.struct("w", "b")).alias("least"))
+        least = stash(least.select("a", F.col("least.w").alias("least_w"), F.col("least.b").alias("star")), f"{self.folder}/{name}-least")
+        known = stash(band.join(_few(least), "a").withColumn("outside", F.col("w") + F.col("least_w") > 0), f"{self.folder}/{name}-known")
+        stars = known.where(~F.col("outside") & (F.col("b") != F.col("star"))).select("star", "b").union(least.where("star <> a").select("star", "a")).toDF("a", "b")
+
+        # Prefixes of the differences: x stands for members outside the star, y for all.
+        outside = known.where("outside").groupBy("a").agg(F.min("w").alias("outside_w"))
+        nearest = known.groupBy("a").agg(F.min("w").alias("inner_w"))
+        bounds = stash(outside.join(nearest, "a"), f"{self.folder}/{name}-bounds")
+        known = known.join(_few(bounds), "a")
+        need = lambda w: F.greatest(F.lit(1), F.ceil((F.col("w") + F.col(w)) / up))
+        posted = lambda w: known.select("a", "b", "n_b", "d", "w", "outside", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(F.lit(0), F.col("d") - need(w) + 1).cast("int"))).alias("i", "token"))
+        x = posted("inner_w").where("outside").select("a", "token", F.lit(True).alias("asks"), F.col("b").alias("node"), F.col("n_b").alias("n"), "d", "w", "i", "outside")
+        y = posted("outside_w").select("a", "token", F.lit(False).alias("asks"), F.col("b").alias("node"), F.col("n_b").alias("n"), "d", "w", "i", "outside")
+        dealt = x.unionByName(y)
+        far = mine.join(got.where((100 + p) * F.col("d") > 2 * (100 - p) * (F.col("n_a") + F.col("n_b"))).select("a", F.col("b").alias("node")), ["a", "node"]).select("token", "node", "n")
+        return stars, stash(dealt, f"{self.folder}/{name}-dealt"), stash(far, f"{self.folder}/{name}-far")
+
+    def apart(self, dealt: DataFrame, label: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components from the lists of differences that may be linked."""
+        p, up = self.percent, 2 * (100 + self.percent)
+        named = dealt.join(label, "node", "left").withColumn("label", F.coalesce("component", "node"))
+        # Lists without a member that asks, or all in one component, have no pair.
+        lists = named.groupBy("a", "token").agg(F.max("asks").alias("asked"), F.min("label").alias("low"), F.max("label").alias("high")).where("asked AND low < high").select("a", "token")
+        named = named.join(lists, ["a", "token"])
+        x = named.where("asks").select("a", "token", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "d", "w", "i", "label")])
+        y = named.where("NOT asks")
+        need = F.ceil((F.col("w") + F.col("w_x")) / up)
+        # At their first common element, what follows it bounds what they share.
+        room = F.least(F.col("d") - F.col("i"), F.col("d_x") - F.col("i_x"))
+        both = x.join(y, ["a", "token"]).where((F.col("label") != F.col("label_x")) & (~F.col("outside") | (F.col("node") < F.col("node_x"))) & (100 * F.least("n", "n_x") >= p * F.greatest("n", "n_x")) & (need <= room))
+        return both.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b"))
+
+    def rest(self, lists: DataFrame, label: DataFrame) -> DataFrame:
+        """All pairs (a, b) of different components in what is left of the lists."""
+        named = lists.join(label, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("label"))
+        x, y = named, named.select("token", *[F.col(c).alias(f"{c}_y") for c in ("node", "n", "label")])
+        both = x.join(y, "token").where((F.col("node") < F.col("node_y")) & (F.col("label") != F.col("label_y")) & (100 * F.least("n", "n_y") >= self.percent * F.greatest("n", "n_y")))
+        return both.select(F.col("node").alias("a"), F.col("node_y").alias("b"))
 
     def run(self) -> DataFrame:
-        sketch = self.sketch()
+        p, sketch = self.percent, self.sketch()
         classes = sketch.where("n > 0").groupBy("sig1", "sig2", "n", "prefix_key").agg(F.min("id").alias("node"))
         classes = stash(classes, f"{self.folder}/classes")
-        self.repeated = bool(sketch.groupBy("id").count().where("count > 1").take(1))
-        postings = self.postings(sketch, classes.select("prefix_key", "n", "node").distinct())
-        bitmaps = stash(sketch.select(F.col("id").alias("node"), "n", "bitmap", "sig1", "sig2").join(classes.select("node", "sig1", "sig2"), ["node", "sig1", "sig2"], "left_semi").select("node", "n", "bitmap").distinct(), f"{self.folder}/bitmaps")
-
-        hub = postings.groupBy("token", "bucket").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most").select("token", "bucket", "a")
-        pairs = postings.join(hub, ["token", "bucket"]).where("node <> a").select("a", F.col("node").alias("b")).distinct()
-        stars = self.links(pairs, bitmaps, "stars")
-        label = components(stars)
-
-        # What is still apart: members outside their list's largest component, against the whole list.
-        label = F.broadcast(label) if label.count() <= BROADCAST_ROWS else label
-        named = postings.join(label, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("label"))
-        named = stash(named, f"{self.folder}/named")
-        sizes = named.groupBy("token", "label").count()
-        mixed = sizes.groupBy("token").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("token", "main")
-        mixed = stash(named.join(mixed, "token"), f"{self.folder}/mixed")
-        few = mixed.where("label <> main").select("token", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
-        cross = few.join(mixed.select("token", "node", "n", "label"), "token").where((F.col("label") != F.col("label_x")) & (100 * F.least("n", "n_x") >= self.percent * F.greatest("n", "n_x")))
-        rest = self.links(cross.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct(), bitmaps, "rest")
-
-        final = components(stars.union(rest))
-        # Ids that repeat with other texts have several classes: the classes of an id are one node.
-        member = sketch.where("n > 0").select("id", "sig1", "sig2", F.col("n").alias("size")).join(classes.select("sig1", "sig2", "node"), ["sig1", "sig2"])
-        several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
-        if several.take(1):
-            final = components(stars.union(rest).union(several))
-        of = classes.select("sig1", "sig2", "node").join(final, "node", "left").select("sig1", "sig2", F.coalesce("component", "node").alias("component"))
-        return sketch.select("id", "n", "sig1", "sig2").join(of, ["sig1", "sig2"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+        lists = self.postings(sketch, classes.select("prefix_key", "n", "node"))
+        # The share of a prefix that others have too: edits lower it.
+        size = F.col("n") - F.ceil(F.lit(p) * F.col("n") / 100) + 1
+        score = stash(lists.groupBy("node").agg((F.count("*") / F.max(size)).alias("score")), f"{self.folder}/scores")
+        score = _few(score)
+
+        stars, dealt = [], []
+        for k in range(ROUNDS):
+            star, differences, lists = self.hub_round(lists, score, f"round{k}")
+            stars.append(stash(star, f"{self.folder}/star{k}"))
+            dealt.append(differences)
+            if not lists.take(1):
+                break
+        links = reduce(DataFrame.unionByName, stars)
+        label = _few(components(links))
+        pairs = reduce(DataFrame.unionByName, [*(self.apart(d, label) for d in dealt), self.rest(lists, label)]).distinct()
+        found = self.compared(stash(pairs, f"{self.folder}/apart"), "apart-compared", tokens=False)
+        links = links.unionByName(found.where(linked(F.col("d"), F.col("n_a"), F.col("n_b"), p)).select("a", "b"))
+
+        of = classes.select("sig1", "sig2", "node").join(components(links), "node", "left").select("sig1", "sig2", F.coalesce("component", "node").alias("component"))
+        out = sketch.select("id", "n", "sig1", "sig2").join(of, ["sig1", "sig2"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+        return out if self.ids is None else self.by_id(stash(out, f"{self.folder}/by-row"))
+
+    def by_id(self, out: DataFrame) -> DataFrame:
+        """From rows to ids: the rows of an id are one node, and components are named by their smallest id."""
+        out = out.withColumnRenamed("id", "row").join(self.ids, "row")
+        several = out.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("most")).where("a < most").select("id", "a")
+        joined = components(out.join(several, "id").select("a", F.col("component").alias("b")))
+        out = out.join(joined, out.component == joined.node, "left").select("id", "n_shingles", F.coalesce(joined.component, out.component).alias("group"))
+        return out.join(out.groupBy("group").agg(F.min("id").alias("component")), "group").select("id", "n_shingles", "component")
 
 
 def ngram_jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

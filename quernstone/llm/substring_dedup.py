@@ -25,20 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, NO_ID, shared_folder, stash, table
-from .textscan import SPACED, Runs, released, slices, text_bytes, words
+from .textscan import SPACED, new_key, released, runs, slices, text_bytes, text_digest, windows, word_places, words
 
 GRAM = 10
 _PHRASE = "id bigint, version bigint, anchor bigint, phrase bigint, start int, windows int"
 
 
-def phrases(h: np.ndarray, first: np.ndarray, run: Runs, window: int, gram: int):
-    """Phrases of rows of words: row, anchor hash, phrase hash, first window and count of windows."""
+def phrases(h: np.ndarray, h2: np.ndarray, first: np.ndarray, window: int, gram: int):
+    """Phrases of rows of words: row, first window, count of windows, anchor hash (of one lane), phrase hash (of the other)."""
     none = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
     wide = window - gram + 1
     if len(h) < window:
         return none
-    g = np.arange(len(h) - gram + 1)
-    keys = run.hash(g, g + gram, salt=0x5BD1E995)
+    keys = windows(h, gram)
     # The last smallest one of each window, by looking from the right.
     views = np.lib.stride_tricks.sliding_window_view(keys[::-1], wide)
     at = np.empty(len(views), np.int64)
@@ -56,12 +55,17 @@ def phrases(h: np.ndarray, first: np.ndarray, run: Runs, window: int, gram: int)
     begin = np.flatnonzero(new)
     count = np.diff(np.append(begin, len(s)))
     start = s[begin]
-    phrase = run.hash(start, start + count - 1 + window)
+    phrase = runs(h2, start, start + count - 1 + window)
     phrase ^= (at[begin] - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return row[begin], start - first[row[begin]], count, keys[at[begin]], phrase
 
 
-def _factor(window: int, gram: int):
+def _versions(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Tells apart the texts of rows that repeat an id."""
+    return np.array([text_digest(data, *x) for x in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.int64)
+
+
+def _factor(window: int, gram: int, key: int):
     """Phrases of (id, text) batches."""
 
     def run(batches):
@@ -69,10 +73,9 @@ def _factor(window: int, gram: int):
             ids = batch.column(0).to_numpy()
             data, offsets = text_bytes(batch.column(1))
             for a, b in slices(offsets):
-                _, _, h, first = words(data, offsets[a : b + 1], SPACED)
-                sums = Runs(h)
-                row, start, count, anchor, phrase = phrases(h, first, sums, window, gram)
-                version = sums.hash(first[:-1], first[1:]).view(np.int64)
+                _, _, first, h, h2 = words(data, offsets[a : b + 1], SPACED, key, 2)
+                row, start, count, anchor, phrase = phrases(h, h2, first, window, gram)
+                version = _versions(data, offsets[a : b + 1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a + row]), pa.array(version[row]), pa.array(anchor.view(np.int64)), pa.array(phrase.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
                     names=["id", "version", "anchor", "phrase", "start", "windows"],
@@ -81,7 +84,7 @@ def _factor(window: int, gram: int):
     return run
 
 
-def _boundary_windows(window: int):
+def _boundary_windows(window: int, key: int):
     """The single windows of phrases: batches of (id, version, text, at), at holding (start, windows, anchor)."""
 
     def run(batches):
@@ -90,9 +93,9 @@ def _boundary_windows(window: int):
             data, offsets = text_bytes(batch.column(2))
             at = batch.column(3)
             for a, b in slices(offsets):
-                _, _, h, first = words(data, offsets[a : b + 1], SPACED)
-                sums = Runs(h)
-                version = sums.hash(first[:-1], first[1:]).view(np.int64)
+                _, _, first, _, h2 = words(data, offsets[a : b + 1], SPACED, key, 2)
+                each_window = windows(h2, window)
+                version = _versions(data, offsets[a : b + 1])
                 mine = at.slice(a, b - a)
                 row = np.repeat(np.arange(b - a), np.diff(mine.offsets.to_numpy()))
                 part = mine.flatten()
@@ -101,10 +104,9 @@ def _boundary_windows(window: int):
                 row, start, count, anchor = row[on], start[on].astype(np.int64), count[on].astype(np.int64), anchor[on]
                 each = np.repeat(np.arange(len(row)), count)
                 offset = start[each] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                begin = first[row[each]] + offset
-                key = sums.hash(begin, begin + window, salt=0x2545F491)
+                found = each_window[first[row[each]] + offset] if len(each) else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a + row[each]]), pa.array(versions[a + row[each]]), pa.array(anchor[each]), pa.array(key.view(np.int64)), pa.array(offset.astype(np.int32))],
+                    [pa.array(ids[a + row[each]]), pa.array(versions[a + row[each]]), pa.array(anchor[each]), pa.array(found.view(np.int64)), pa.array(offset.astype(np.int32))],
                     names=["id", "version", "anchor", "window", "start"],
                 )
 
@@ -127,8 +129,8 @@ def _cleaned(with_text: bool):
             digest: list[str] = []
             kept: list[str] = []
             for a, b in slices(offsets):
-                s, e, h, first = words(data, offsets[a : b + 1], SPACED)
-                version += Runs(h).hash(first[:-1], first[1:]).view(np.int64).tolist()
+                s, e, first = word_places(data, offsets[a : b + 1], SPACED)
+                version += _versions(data, offsets[a : b + 1]).tolist()
                 for i in range(b - a):
                     n = int(first[i + 1] - first[i])
                     cut = spans[a + i].as_py() if spans[a + i].is_valid else []
@@ -169,9 +171,9 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     other.  Texts of fewer than `window` words are kept whole.
     """
     spark = docs.sparkSession
-    folder = shared_folder(spark)
+    folder, key = shared_folder(spark), new_key()
     source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = stash(source.mapInArrow(released(_factor(window, gram)), _PHRASE), f"{folder}/phrases")
+    found = stash(source.mapInArrow(released(_factor(window, gram, key)), _PHRASE), f"{folder}/phrases")
 
     # The reference: each phrase under its smallest document.  Anchors with several phrases are factor boundaries.
     phrase = found.groupBy("anchor", "phrase").agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -185,7 +187,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     edge = hit.where("boundary AND id = least").groupBy("id", "version").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("at"))
     edge = stash(edge, f"{folder}/edges")
     texts = _texts(source, edge.select("id").distinct())
-    single = texts.join(edge, "id").select("id", "version", "text", "at").mapInArrow(released(_boundary_windows(window)), "id bigint, version bigint, anchor bigint, window bigint, start int")
+    single = texts.join(edge, "id").select("id", "version", "text", "at").mapInArrow(released(_boundary_windows(window, key)), "id bigint, version bigint, anchor bigint, window bigint, start int")
     single = stash(single, f"{folder}/windows")
     least = single.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor", "window", "least")
     part = single.join(least, ["anchor", "window"]).where("id > least").select("id", "version", "start", (F.col("start") + window).alias("end"))

@@ -3,19 +3,23 @@
 A text is cut before every single space that stands between two characters
 that are not white space.  The tokenizer's own pre-tokenizer never matches
 across such a place, so the ids of a text are the ids of its pieces in order.
-Pieces repeat far more often than texts do; they are told apart by a 64-bit
-hash and kept, with their ids, in a bounded table of the Python worker.
+Pieces repeat far more often than texts do; they are told apart by 128 bits of
+two hashes under a key that each Python worker draws for itself, and kept, with
+their ids, in a bounded table.  Texts are also cut around the tokenizer's added
+tokens, which it finds anywhere.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 
-from .textscan import SLICE, segment_hashes, slices, text_bytes
+from .textscan import SLICE, byte_hashes, new_key, slices, text_bytes
 
 #: Lead bytes of the non-ASCII white space characters.
 _WIDE = np.zeros(256, bool)
@@ -54,6 +58,11 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.ranks, beside = None, os.path.splitext(path)[0] + ".tiktoken"
+        with open(path, encoding="utf-8") as f:
+            added = {t["content"].encode(): t["id"] for t in json.load(f).get("added_tokens") or []}
+        #: Added tokens, the longest first, and their ids.
+        self.added = {t: added[t] for t in sorted(added, key=len, reverse=True)}
+        self.find_added = re.compile(b"|".join(map(re.escape, self.added))) if added else None
         if not os.path.exists(beside):
             from tokenizers import Tokenizer
 
@@ -69,10 +78,12 @@ class PieceEncoder:
             self.width = np.zeros(max(ranks.values()) + 1, np.int64)
             for token, rank in ranks.items():
                 self.width[rank] = len(token)
+        self.key = new_key()
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[int, int] = {}
+        self.check = np.empty(1 << 14, np.uint64)
         self.ids = np.empty(1 << 16, np.uint32)
         self.at = np.zeros(1 << 14, np.int64)
 
@@ -84,7 +95,7 @@ class PieceEncoder:
             got = [self.ranks.encode_ordinary(x.decode()) for x in texts]
         return np.array([i for x in got for i in x], np.uint32), [len(x) for x in got]
 
-    def _learn(self, data: np.ndarray, s: np.ndarray, e: np.ndarray, hashes: np.ndarray) -> None:
+    def _learn(self, data: np.ndarray, s: np.ndarray, e: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> None:
         """Adds new pieces.  Those that begin with a space and end without one may stand in a row, in one call."""
         plain = (data[s] == 0x20) & (e - s > 1) & (self.ranks is not None)
         after, last = data[np.minimum(s + 1, e - 1)], data[e - 1]
@@ -101,30 +112,54 @@ class PieceEncoder:
         while len(self.ids) < used + len(ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         while len(self.at) < n + len(s) + 1:
-            self.at = np.resize(self.at, 2 * len(self.at))
+            self.at, self.check = np.resize(self.at, 2 * len(self.at)), np.resize(self.check, 2 * len(self.check))
+        self.check[n : n + len(s)] = np.concatenate([checks[plain], checks[~plain]])
         self.ids[used : used + len(ids)] = ids
         self.at[n + 1 : n + 1 + len(s)] = used + np.cumsum(sizes)
         self.index.update(zip([*hashes[plain].tolist(), *hashes[~plain].tolist()], range(n, n + len(s)), strict=True))
 
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces begin, and the id of each that is an added token (else -1)."""
+        starts = pieces(data, offsets)
+        low, high = int(offsets[0]), int(offsets[-1])
+        found = [(m.start() + low, m.end() + low, self.added[m[0]]) for m in self.find_added.finditer(data[low:high].data)] if self.find_added else []
+        # A match across two texts is none.
+        found = [x for x in found if np.searchsorted(offsets, x[0], "right") == np.searchsorted(offsets, x[1] - 1, "right")]
+        if not found:
+            return starts, np.full(len(starts), -1)
+        begin, end, ids = (np.array(x, np.int64) for x in zip(*found, strict=True))
+        inside = np.searchsorted(begin, starts, "right") - 1
+        starts = starts[(inside < 0) | (starts >= end[inside])]
+        starts = np.union1d(starts, np.concatenate([begin, end[(end < high) & ~np.isin(end, begin)]]))
+        at = np.minimum(np.searchsorted(begin, starts), len(begin) - 1)
+        return starts, np.where(begin[at] == starts, ids[at], -1)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows and the rows' offsets into them."""
-        starts = pieces(data, offsets)
+        starts, added = self._cuts(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        end = int(offsets[-1])
-        distinct, where, back = np.unique(segment_hashes(data, starts, end), return_index=True, return_inverse=True)
+        ends = np.append(starts[1:], int(offsets[-1]))
+        hashes, checks = byte_hashes(data, starts, ends, self.key, 2)
+        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.index) > self.MAX_PIECES or self.at[len(self.index)] > self.MAX_IDS:
             self.clear()
         keys = distinct.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.index]
         if new:
             at = where[new]
-            self._learn(data, starts[at], np.append(starts[1:], end)[at], distinct[new])
+            self._learn(data, starts[at], ends[at], distinct[new], checks[at])
         entry = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))[back]
-        size = self.at[entry + 1] - self.at[entry]
+        if (self.check[entry] != checks).any():
+            # Two pieces with one hash: another key.
+            self.key = new_key()
+            self.clear()
+            return self.encode(data, offsets)
+        size = np.where(added < 0, self.at[entry + 1] - self.at[entry], 1)
         sums = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=sums[1:])
-        ids = self.ids[np.arange(sums[-1]) + np.repeat(self.at[entry] - sums[:-1], size)]
+        ids = self.ids[np.minimum(np.arange(sums[-1]) + np.repeat(self.at[entry] - sums[:-1], size), len(self.ids) - 1)]
+        ids[sums[:-1][added >= 0]] = added[added >= 0]
         return ids, sums[np.searchsorted(starts, offsets)]
 
 

@@ -51,11 +51,83 @@ def test_words_match_plain_splitting(texts):
     import pyarrow as pa
 
     data, offsets = text_bytes(pa.array(texts).slice(1))
-    s, e, _, first = words(data, offsets, SPACED)
+    s, e, first, _ = words(data, offsets, SPACED, 7)
     for i, t in enumerate(texts[1:]):
         assert [data[a:b].tobytes() for a, b in zip(s[first[i] : first[i + 1]], e[first[i] : first[i + 1]], strict=True)] == (t or "").encode().split()
 
 
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two strings of 2**n letters that collide under every polynomial hash modulo 2**64, from n = 10 on."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_hashes_of_words_and_runs(texts):
+    import numpy as np
+    import pyarrow as pa
+
+    from quernstone.llm.textscan import runs, shingles
+
+    odd = [*texts, *thue_morse(10), "q" * 63, "q" * 64, "q" * 65, " ".join(thue_morse(6)[0]), " ".join(thue_morse(6)[1])]
+    data, offsets = text_bytes(pa.array(odd))
+    s, e, first, h, h2 = words(data, offsets, SPACED, 7, 2)
+    seen: dict = {}
+    plain = [data[a:b].tobytes() for a, b in zip(s, e, strict=True)]
+    assert all(seen.setdefault(w, x) == x for w, x in zip(plain, zip(h.tolist(), h2.tolist(), strict=True), strict=True))
+    assert len({x for x, _ in seen.values()}) == len({x for _, x in seen.values()}) == len(seen)
+    for k in (1, 4, 5, 13, 50):
+        g, at = shingles(h, first, k)
+        own: dict = {}
+        for i in range(len(odd)):
+            w = plain[first[i] : first[i + 1]]
+            want = [tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))] if w else []
+            assert len(want) == at[i + 1] - at[i] and all(own.setdefault(x, y) == y for x, y in zip(want, g[at[i] : at[i + 1]].tolist(), strict=True))
+        assert len(set(own.values())) == len(own)
+    start = np.array([rng.randrange(len(h)) for _ in range(2000)])
+    end = np.minimum(start + np.array([rng.randrange(1, 130) for _ in start]), len(h))
+    own = {}
+    assert all(own.setdefault(tuple(plain[a:b]), x) == x for a, b, x in zip(start, end, runs(h, start, end).tolist(), strict=True))
+    assert len(set(own.values())) == len(own)
+
+
+def test_strings_made_to_collide(spark):
+    """Different words, windows and pieces are different, whatever someone writes."""
+    a, b = thue_morse(10)
+    docs = [f"{a} " * 60, f"{b} " * 60, " ".join([a, *"xyz"] * 30), " ".join([b, *"xyz"] * 30), *thue_morse(11)]
+    data = list(enumerate(docs))
+    assert sorted(map(tuple, ngram_join.ngram_jaccard_join(frame(spark, docs), 4, 85).collect())) == sorted(ngram_join.brute_force(data))
+    bench = [(1, f"{a} " * 20), (2, " ".join(thue_morse(6)[0]))]
+    got = decontaminate.decontaminate(frame(spark, docs), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_hit, r.n_items) for r in got) == sorted((x[0], x[2], x[3]) for x in decontaminate.brute_force(data, bench))
+    assert sorted(map(tuple, substring_dedup.substring_dedup(frame(spark, docs)).collect())) == sorted(substring_dedup.brute_force(data))
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    rows = token_rollup.token_counts(frame(spark, docs), packing.tokenizer_path()).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in data}
+
+
+def test_texts_beyond_a_slice(spark):
+    """Texts above the slice of 2 MB, beside short ones."""
+    huge = sentence(500_000)
+    assert len(huge) > 2 << 20
+    docs = [sentence(20), huge, huge + " end", sentence(30), huge[100_000:400_000]]
+    data = list(enumerate(docs))
+    assert sorted(map(tuple, ngram_join.ngram_jaccard_join(frame(spark, docs), 4, 85).collect())) == sorted(ngram_join.brute_force(data))
+    assert sorted(map(tuple, substring_dedup.substring_dedup(frame(spark, docs)).collect())) == sorted(substring_dedup.brute_force(data))
+    item = " ".join(huge.split()[250_000:250_040])
+    got = decontaminate.decontaminate(frame(spark, docs), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.n_hit >= 40} == {1, 2} and all(r.n_words == len(docs[r.doc_id].split()) for r in got)
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    counts = {r.doc_id: r.n_tokens for r in token_rollup.token_counts(frame(spark, docs), packing.tokenizer_path()).collect()}
+    assert counts == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in data}
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(frame(spark, docs)).collect()} == dict.fromkeys(range(5), "en")
+
+
 # 1 ----------------------------------------------------------------------------------------------------------------------
 
 
@@ -75,7 +147,13 @@ def test_ngram_join_chains_and_hot_groups(spark):
         chain.append(" ".join(w))
     hub = sentence(200).split()
     near = [" ".join([*hub[:i], f"edit{i}", *hub[i + 1 :]]) for i in range(60)]
-    docs = [*chain, *near, *near[:20], " ".join(hub)]
+    far = []  # copies with so many edits that some are linked with others only, or with none
+    for i in range(150):
+        w = list(hub)
+        for j in rng.sample(range(0, 200, rng.choice([1, 10])), rng.choice([2, 4, 5, 6, 7, 9])):
+            w[j] = f"e{rng.randrange(3)}" if i % 3 else f"e{i}-{j}"
+        far.append(" ".join(w[rng.randrange(15) : 200 - rng.randrange(15)]))
+    docs = [*chain, *near, *near[:20], *far, " ".join(hub)]
     got = ngram_join.ngram_jaccard_join(frame(spark, docs), 4, 85)
     assert sorted(map(tuple, got.collect())) == sorted(ngram_join.brute_force(list(enumerate(docs))))
 
@@ -105,8 +183,9 @@ def items(texts):
 def test_decontaminate(spark, texts):
     tests = items(texts)
     bench = spark.createDataFrame(tests, "item_id long, text string")
-    for size in (8 << 20, 200):  # in one block, and in several
+    for size in (8 << 20, 200):  # in one block, and in several that one stage searches
         got = decontaminate.decontaminate(frame(spark, texts), bench, block_bytes=size)
+        assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
         rows = [(r.doc_id, r.n_words, r.n_hit, r.n_items, hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in got.collect()]
         assert sorted(rows) == sorted(map(tuple, decontaminate.brute_force(list(enumerate(texts)), tests)))
 
@@ -120,6 +199,9 @@ def test_decontaminate_edges(spark, texts):
     inside = f"{sentence(10)} {' '.join(text.split()[3:30])} {sentence(5)}"
     r = decontaminate.decontaminate(frame(spark, [inside, None]), bench).orderBy("doc_id").collect()
     assert (r[0].n_hit, r[0].longest_match, r[0].hit_spans) == (27, 27, [[10, 37]]) and (r[1].n_words, r[1].contaminated) == (0, False)
+    assert [tuple(m) for m in r[0].matches] == [("1", 10, 3, 27)]
+    with pytest.raises(ValueError, match="n_hit"):
+        decontaminate.decontaminate(frame(spark, [inside]).withColumn("n_hit", F.lit(1)), bench)
     assert decontaminate.decontaminate(empty(spark), bench).count() == 0
 
 
@@ -321,7 +403,7 @@ def test_packing(spark, texts):
 
     path = packing.tokenizer_path()
     tok = Tokenizer.from_file(path)
-    odd = ["  two  spaces ", "a\n\n b\u00a0c", "né à où", "tab\t x", " lead", "trail ", "日本 語", "it's we'll  \n"]
+    odd = ["  two  spaces ", "a\n\n b\u00a0c", "né à où", "tab\t x", " lead", "trail ", "日本 語", "it's we'll  \n", "<|endoftext|>", "a <|endoftext|><|endoftext|> b<|endoftext|>c <|endof", "text|>"]
     docs = [*texts, *odd, sentence(3000)]
     rows = packing.best_fit_pack(frame(spark, docs), path, with_ids=True).collect()
     n = check_packing(rows, 1024)
