@@ -1,16 +1,19 @@
 """Personal data and the terms that give it away (operator 4), DataFrame operations only.
 
 Base spans are patterns: email, ip, card, phone.  On top works
-information-theoretic sanitisation: each distinct value is a protected entity;
-a term (a word outside all spans) anywhere in a document that holds it discloses
-it in so far as their pointwise mutual information over the documents comes
-close to the entity's information content,
+information-theoretic sanitisation.  Protected entities are each distinct
+value, its class (an email's domain, an address's first two parts, the first
+digits of a card or phone number) and its kind.  A term (a word outside all
+spans) anywhere in a document that holds an entity discloses it in so far as
+their pointwise mutual information over the documents comes close to the
+entity's information content,
 
     PMI(t; e) = log2(N d(e, t) / (d(e) d(t))),   IC(e) = log2(N / d(e)).
 
 N and all d count distinct texts, whole and exactly.  Terms with PMI >=
-threshold * IC that share enough different texts with the entity (copies of
-one text count once) are masked in the documents that hold the entity.
+threshold * IC (by default, that reveal half of what there is to know) that
+share enough different texts with the entity (copies of one text count once)
+are masked in the documents that hold the entity.
 """
 
 from __future__ import annotations
@@ -76,6 +79,15 @@ def base_spans(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_base", F.array_sort(F.concat(*found))).drop(*[f"_m_{k}" for k in KINDS])
 
 
+def _entities(span: Column) -> Column:
+    """What a span's value is protected as: the value, its class and its kind."""
+    kind, value = span["kind"], F.lower(span["value"])
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    of = F.when(kind == "email", F.substring_index(value, "@", -1)).when(kind == "ip", F.substring_index(value, ".", 2)).when(kind == "card", F.substring(digits, 1, 6)).otherwise(F.substring(digits, 1, 4))
+    name = lambda level, *x: F.xxhash64(F.lit(13), F.lit(level), kind, *x)
+    return F.array(name("value", value), name("class", of), name("kind"))
+
+
 def _terms(text: str, spans: str) -> Column:
     """The distinct lower-cased words of a text outside its spans."""
     outside = F.when(F.size(spans) > 0, masked(F.col(text), F.col(spans), lambda s: F.lit(" "))).otherwise(F.col(text))
@@ -137,7 +149,7 @@ def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings:
     return stash(both.where(pmi >= threshold * content).select("entity", "term"), f"{folder}/disclosing")
 
 
-def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = 0.5, surroundings: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, base and spans (start, end, kind, in code points) and, if asked for, text_clean.
 
     Null texts are empty and have no spans.  Spans of one kind never overlap;
@@ -149,16 +161,16 @@ def sanitise(docs: DataFrame, threshold: float = 0.9, surroundings: int = 3, id_
     folder = shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumns({"key": F.xxhash64(F.lit(11), "doc_id", "text"), "body": F.xxhash64(F.lit(17), "text")})
-    entity = lambda s: F.xxhash64(F.lit(13), s["kind"], F.lower(s["value"]))
     facts = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    found = base_spans(rows, "text").withColumn("entities", F.array_distinct(F.transform("_base", entity)))
+    found = base_spans(rows, "text").withColumn("entities", F.array_distinct(F.flatten(F.transform("_base", _entities))))
     terms = F.when(F.size("entities") > 0, _terms("text", "_base")).otherwise(F.array().cast("array<string>"))
     base = stash(found.select("doc_id", "key", "body", facts.alias("base"), "entities", terms.alias("terms")), f"{folder}/base")
-    spans = base.select("key", F.explode("entities").alias("entity"))
     told = disclosing(rows, base, threshold, surroundings, folder)
 
     # Documents that hold an entity lose the terms that disclose it.
-    mine = stash(spans.select("key", "entity").distinct().join(told, "entity").groupBy("key").agg(F.collect_set("term").alias("mask")), f"{folder}/mask")
+    held = base.where(F.size("entities") > 0).select("key", "entities", F.explode("terms").alias("term"))
+    held = held.join(F.broadcast(told) if told.count() <= BROADCAST_ROWS // 4 else told, "term").where(F.array_contains("entities", F.col("entity")))
+    mine = stash(held.groupBy("key").agg(F.collect_set("term").alias("mask")), f"{folder}/mask")
     hit = rows.join(F.broadcast(mine) if mine.count() <= BROADCAST_ROWS // 16 else mine, "key").dropDuplicates(["key"])
     hit = hit.withColumn("_words", F.regexp_extract_all("text", F.lit(WORD), 0))
     places = located(F.col("text"), WORD, F.col("_words"), "term", len(KINDS), lambda m: F.array_contains("mask", F.lower(m)))

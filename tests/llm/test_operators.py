@@ -261,12 +261,18 @@ def test_pii_masks_terms_that_disclose(spark):
     assert copies.count() == 0  # copies of one passage are no evidence
 
 
-def plain_disclosing(docs, threshold=0.9, least=3):
+def plain_entities(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    of = {"email": value.split("@")[-1], "ip": ".".join(value.split(".")[:2]), "card": digits[:6], "phone": digits[:4]}[kind]
+    return {(kind, "value", value), (kind, "class", of), (kind,)}
+
+
+def plain_disclosing(docs, threshold=0.5, least=3):
     """{text: masked terms}, counting distinct texts."""
     held, words_of = {}, {}
     for t in {t or "" for t in docs}:
         spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in pii.brute_force([(0, t)])[0][5].split(",") if x)]
-        held[t] = {(k, t[a:b].lower()) for k, a, b in spans}
+        held[t] = {e for k, a, b in spans for e in plain_entities(k, t[a:b].lower())}
         outside = "".join(" " if any(a <= i < b for _, a, b in spans) else c for i, c in enumerate(t))
         words_of[t] = set(re.findall(r"[^\W\d_]{3,}", outside.lower()))
     n, d_e, d_t = len(held), Counter(e for t in held for e in held[t]), Counter(w for t in held for w in words_of[t])
@@ -288,13 +294,22 @@ def test_pii_counts_whole_documents(spark):
     want = plain_disclosing(docs)
     assert "zorblax" in want[docs[0]] and "語" * 50 in want[docs[25]] and not want["Twice told by q@r.example"]
     rows = Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.spans)) for r in pii.sanitise(frame_).collect())
-    plain = Counter()
-    for i, t in enumerate(docs):
-        t = t or ""
-        base = [(a, pii.KINDS.index(k), b, k) for k, a, b in ((k, int(a), int(b)) for k, a, b in (x.split(":") for x in pii.brute_force([(0, t)])[0][5].split(",") if x))]
-        terms = [(m.start(), 9, m.end(), "term") for m in re.finditer(r"[^\W\d_]{3,}", t) if m[0].lower() in want[t]]
-        plain[None if i % 7 == 0 else i % 90, tuple((k, a, b) for a, _, b, k in sorted(base + terms))] += 1
-    assert rows == plain
+    assert rows == Counter((None if i % 7 == 0 else i % 90, plain_spans(t or "", want)) for i, t in enumerate(docs))
+
+
+def plain_spans(t, want):
+    base = [(a, pii.KINDS.index(k), b, k) for k, a, b in ((k, int(a), int(b)) for k, a, b in (x.split(":") for x in pii.brute_force([(0, t)])[0][5].split(",") if x))]
+    terms = [(m.start(), 9, m.end(), "term") for m in re.finditer(r"[^\W\d_]{3,}", t) if m[0].lower() in want[t]]
+    return tuple((k, a, b) for a, _, b, k in sorted(base + terms))
+
+
+def test_pii_query_against_plain_version(spark, sf):
+    """The registered query masks terms of the given documents, and just those that a plain count finds."""
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = plain_disclosing([t for _, t in docs])
+    got = {r.doc_id: r.spans for r in queries()["op4_pii"](spark, sf).collect()}
+    assert got == {d: ",".join(f"{k}:{a}:{b}" for k, a, b in plain_spans(t, want)) for d, t in docs}
+    assert any("term:" in x for x in got.values())
 
 
 def test_pii_edges(spark):
