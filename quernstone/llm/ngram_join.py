@@ -229,14 +229,19 @@ class _Join:
         out = full.mapInArrow(released(_differences(self.k, self.percent, self.key, tokens)), "a bigint, b bigint, n_a bigint, n_b bigint, d bigint, tokens array<bigint>")
         return stash(out, f"{self.folder}/{name}", PAIR_ROWS)
 
-    def hub_round(self, lists: DataFrame, score: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def hubs(self, lists: DataFrame, score: DataFrame, name: str) -> DataFrame:
+        """(token, a, n_a): the hub of each list of several members, the one whose prefix is shared most."""
+        best = F.max_by(F.struct("node", "n"), F.struct("score", -F.col("node")))
+        hub = lists.join(score, "node").groupBy("token").agg(best.alias("hub"), F.count("*").alias("members")).where("members > 1")
+        return stash(hub.select("token", F.col("hub.node").alias("a"), F.col("hub.n").cast("bigint").alias("n_a")), f"{self.folder}/{name}-hubs")
+
+    def hub_round(self, lists: DataFrame, hub: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Links with hubs, lists of differences, and the lists of members far from their hubs."""
         p, up = self.percent, 2 * (100 + self.percent)
-        best = F.max_by("node", F.struct("score", -F.col("node")))
-        hub = lists.join(score, "node").groupBy("token").agg(best.alias("a"), F.count("*").alias("members")).where("members > 1").select("token", "a")
-        hub = stash(hub, f"{self.folder}/{name}-hubs")
-        mine = lists.join(_few(hub), "token").where("node <> a")
-        pairs = stash(mine.select("a", F.col("node").alias("b")).distinct(), f"{self.folder}/{name}-pairs")
+        mine = stash(lists.join(_few(hub), "token").where("node <> a"), f"{self.folder}/{name}-mine")
+        # Sets whose sizes differ too much are far apart, and need no comparison.
+        near_size = p * (100 + p) * F.abs(F.col("n") - F.col("n_a")) <= (100 - p) * ((300 + p) * F.col("n") + 2 * p * F.col("n_a"))
+        pairs = stash(mine.where(near_size).select("a", F.col("node").alias("b")).distinct(), f"{self.folder}/{name}-pairs")
         got = self.compared(pairs, f"{name}-compared", tokens=True)
 
         # w of the members that a near one may be linked with, the hub among them.
@@ -257,7 +262,8 @@ class _Join:
         x = posted("inner_w").where("outside").select("a", "token", F.lit(True).alias("asks"), F.col("b").alias("node"), F.col("n_b").alias("n"), "d", "w", "i", "outside")
         y = posted("outside_w").select("a", "token", F.lit(False).alias("asks"), F.col("b").alias("node"), F.col("n_b").alias("n"), "d", "w", "i", "outside")
         dealt = x.unionByName(y)
-        far = mine.join(got.where((100 + p) * F.col("d") > 2 * (100 - p) * (F.col("n_a") + F.col("n_b"))).select("a", F.col("b").alias("node")), ["a", "node"]).select("token", "node", "n")
+        near = got.where((100 + p) * F.col("d") <= 2 * (100 - p) * (F.col("n_a") + F.col("n_b"))).select("a", F.col("b").alias("node"))
+        far = mine.join(near, ["a", "node"], "left_anti").select("token", "node", "n")
         return stars, stash(dealt, f"{self.folder}/{name}-dealt"), stash(far, f"{self.folder}/{name}-far")
 
     def apart(self, dealt: DataFrame, label: DataFrame) -> DataFrame:
@@ -294,11 +300,12 @@ class _Join:
 
         stars, dealt = [], []
         for k in range(ROUNDS):
-            star, differences, lists = self.hub_round(lists, score, f"round{k}")
+            hub = self.hubs(lists, score, f"round{k}")
+            if k and not hub.take(1):
+                break
+            star, differences, lists = self.hub_round(lists, hub, f"round{k}")
             stars.append(stash(star, f"{self.folder}/star{k}"))
             dealt.append(differences)
-            if not lists.take(1):
-                break
         links = reduce(DataFrame.unionByName, stars)
         label = _few(components(links))
         pairs = reduce(DataFrame.unionByName, [*(self.apart(d, label) for d in dealt), self.rest(lists, label)]).distinct()
