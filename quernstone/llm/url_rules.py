@@ -2,8 +2,9 @@
 
 Given host and path rules come first; the longest that fits decides.  Other
 URLs are judged by association rules: FP-growth finds combinations of URL
-tokens that go along with a bad label; those with enough support and
-confidence are matched through an inverted index from each rule's rarest token.
+tokens that go along with a bad label; those with enough support, confidence
+and lift over the base rate are matched through an inverted index from each
+rule's rarest token.
 """
 
 from __future__ import annotations
@@ -55,18 +56,19 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.5, lift: float = 1.5, least: int = 20) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.5, lift: float = 1.5) -> DataFrame:
     """Rules (rule_id, items, confidence, support, lift) of labelled URLs (items array, bad boolean).
 
-    A rule holds for a share of `support` of the labelled URLs and for `least` of them.  A rule is pruned if a rule with fewer of its items is at least as confident.
+    A rule holds for a share of `support` of the labelled URLs, at every size
+    of input, and is `lift` times as often bad as a labelled URL is.  It is
+    pruned if a rule with fewer of its items is at least as confident.
     """
     spark = labelled.sparkSession
     none = spark.createDataFrame([], "rule_id bigint, items array<string>, confidence double, support double, lift double")
     baskets = stash(labelled.where("size(items) > 0").select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items")))
-    n = baskets.count()
-    if n < least:
+    if not baskets.take(1):
         return none
-    model = FPGrowth(itemsCol="items", minSupport=max(support, least / n), minConfidence=confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= lift))
     found = stash(found.select(F.array_sort("antecedent").alias("items"), "confidence", "support", "lift"))
     # Rules that share their first item with a shorter rule are few; the check is on sets.
@@ -93,6 +95,11 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return near.where(F.size(F.array_except("rule_items", "items")) == 0).select("url").distinct()
 
 
+def baskets(labels: DataFrame) -> DataFrame:
+    """(items, bad) of labelled URLs (url, bad); null URLs and labels are left out."""
+    return labels.where(F.col("url").isNotNull() & F.col("bad").isNotNull()).select(tokens(F.col("url")).alias("items"), "bad")
+
+
 def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url_col: str = "url", **mining) -> DataFrame:
     """pages with host, path, rule and verdict (allow or block).
 
@@ -103,8 +110,7 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     taken = {"host", "path", "rule", "verdict", "_url", "_found"} & set(pages.columns)
     if taken:
         raise ValueError(f"columns are taken: {sorted(taken)}")
-    labelled = labels.where(F.col("url").isNotNull() & F.col("bad").isNotNull()).select(tokens(F.col("url")).alias("items"), "bad")
-    mined = stash(mine(labelled, **mining))
+    mined = stash(mine(baskets(labels), **mining))
     pages = pages.withColumn("_url", F.col(url_col).cast("string"))
     urls = stash(pages.where(F.col("_url").isNotNull()).select(F.col("_url").alias("url")).distinct().withColumn("items", tokens(F.col("url"))))
     found = match(urls, mined).select(F.col("url").alias("_url"), F.lit(True).alias("_found"))
@@ -114,9 +120,16 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     return out.withColumns({"host": host, "path": path, "rule": text, "verdict": F.coalesce(verdict, F.when(F.col("_found"), "block").otherwise("allow"))}).drop("_url", "_found")
 
 
+def page_labels(pages: DataFrame, marks: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """(url, bad) of pages (page_id, url): what a given rule says of the page, else what marks (page_id, bad) says."""
+    host, path = host_and_path(F.col("url"))
+    told = rule_of(host, path, rules)[1]
+    once = marks.groupBy("page_id").agg(F.max("bad").alias("bad"))
+    return pages.join(once, "page_id", "left").select("url", F.coalesce(told == "block", "bad").alias("bad")).where("bad IS NOT NULL")
+
+
 def op9_url_rules(spark, sf_dir: str) -> DataFrame:
-    """Pages are labelled by the labels of the document of the same number: bad is toxic or of low quality."""
+    """Labelled are the pages that a given rule decides, and the others by the label of their number: bad is toxic or of low quality."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     marks = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    labels = pages.join(marks, "page_id").select("url", "bad")
-    return url_filter(pages, labels).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter(pages, page_labels(pages, marks)).select("page_id", "host", "path", "rule", "verdict")

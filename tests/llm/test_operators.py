@@ -480,6 +480,43 @@ def test_mined_rules(spark):
     assert {r.page_id for r in got if r.verdict == "block"} == {r[0] for r in rows if r[2]}
 
 
+def plain_tokens(url):
+    if url is None:
+        return set()
+    rest = url.split("://", 1)[1] if "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    query = re.match(r"[^#]*?\?([^#]*)", url)
+    out = {f"host={x}" for x in host.lower().split(".") if x} | {f"path={x}" for x in re.sub("[0-9]+", "#", path).split("/") if x}
+    return out | {f"query={x.split('=')[0]}" for x in (query[1] if query else "").split("&") if x.split("=")[0]} | {f"scheme={url.split('://')[0]}"}
+
+
+def plain_rules(labelled, support=0.01, confidence=0.5, lift=1.5):
+    """{items: confidence} of the rules, by counting every combination that a labelled URL holds."""
+    from itertools import combinations
+
+    n, bad_rate, held, bad_held = len(labelled), sum(b for _, b in labelled) / len(labelled), Counter(), Counter()
+    for url, bad in labelled:
+        items = sorted(plain_tokens(url))
+        for k in range(1, len(items) + 1):
+            held.update(combinations(items, k))
+            bad_held.update(combinations(items, k) if bad else ())
+    found = {x: c / held[x] for x, c in bad_held.items() if c >= support * n and c / held[x] >= confidence and c / held[x] >= lift * bad_rate}
+    return {x: c for x, c in found.items() if not any(found.get(y, -1) >= c for k in range(1, len(x)) for y in combinations(x, k))}
+
+
+def test_url_query_against_plain_version(spark, sf):
+    """The registered query's verdicts, where no given rule fits, are those of rules that plain counting finds; they block some pages."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    marks = {r.doc_id: r.quality == 0 or r.toxic == 1 for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = {r.page_id: r for r in queries()["op9_url_rules"](spark, sf).collect()}
+    labelled = [(r.url, got[r.page_id].verdict == "block" if got[r.page_id].rule else marks[r.page_id]) for r in pages if got[r.page_id].rule or r.page_id in marks]
+    rules = plain_rules(labelled)
+    free = [r for r in pages if not got[r.page_id].rule]
+    assert {r.page_id: got[r.page_id].verdict for r in free} == {r.page_id: "block" if any(set(x) <= plain_tokens(r.url) for x in rules) else "allow" for r in free}
+    assert len(got) == len(pages) and any(got[r.page_id].verdict == "block" for r in free)
+
+
 def test_match_is_exact(spark):
     urls = spark.createDataFrame([("u1", ["a", "b"]), ("u2", ["a"]), ("u3", ["b", "c", "a"]), ("u4", [])], "url string, items array<string>")
     rules = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, ["z"])], "rule_id long, items array<string>")
