@@ -540,7 +540,27 @@ def test_rollup(spark):
         roll.commit("3", spark.createDataFrame([("upsert", "a", "en", "v1", 5, None, None, None, None)], CHANGES))
     with pytest.raises(ValueError):
         roll.commit("../x", second)
-    assert roll.totals().count() == 2
+    assert roll.totals().count() == 2 and set(roll.manifest()["batches"]) == {"1", "2"}
+    roll.compact()
+    roll.commit("2", second)  # closed
+    roll.commit("3", spark.createDataFrame([("insert", "b", "en", "v2", None, None, None, None, None)], CHANGES))
+    roll.compact()
+    roll.compact()
+    assert {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in roll.totals().collect()} == {(None, "fr", "v1"): (1, 7), ("b", "en", "v2"): (2, 12)}
+    from pathlib import Path
+
+    folders = [x.name for x in Path(roll.folder.removeprefix("file:")).iterdir() if x.is_dir()]
+    assert folders == [roll.manifest()["base"]] and roll.manifest()["folded"] == ["1", "2", "3"]
+
+
+def test_rollup_replaces_a_batch(spark):
+    """A batch that comes again with other rows counts as it came last; an empty rollup has no totals."""
+    roll = token_rollup.TokenRollup(spark, shared_folder(spark))
+    assert roll.totals().count() == 0
+    roll.compact()
+    for n in (4, 9):
+        roll.commit("1", spark.createDataFrame([("insert", "a", "en", "v1", n, None, None, None, None), ("revise", "a", "en", "v1", 1, None, None, None, None)], CHANGES))
+    assert {(r.source, r.docs, r.tokens) for r in roll.totals().collect()} == {("a", 2, 10), (None, -1, 0)}
 
 
 def test_rollup_of_documents(spark, sf):
@@ -548,10 +568,12 @@ def test_rollup_of_documents(spark, sf):
 
     tok = Tokenizer.from_file(packing.tokenizer_path())
     want: Counter = Counter()
+    docs: Counter = Counter()
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
         want[r.source, r.lang] += len(tok.encode(r.text or "", add_special_tokens=False).ids)
-    got = queries()["op10_token_rollup"](spark, sf)
-    assert {(r.source, r.lang): r.tokens for r in got.collect()} == dict(want)
+        docs[r.source, r.lang] += 1
+    got = queries()["op10_token_rollup"](spark, sf).collect()
+    assert {(r.source, r.lang): (r.tokens, r.docs, r.tokenizer) for r in got} == {k: (want[k], docs[k], "byte_bpe_50k") for k in docs} and len(got) == len(docs)
 
 
 def test_counts_of_odd_rows(spark):
