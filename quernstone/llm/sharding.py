@@ -20,30 +20,58 @@ from .common import BROADCAST_ROWS, stash, table
 ROWS = 20_000
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n draws without replacement are good: any population, time in proportion to the spread of the outcome.
+
+    The distribution is built from its mode outwards by ratios of neighbours,
+    which are exact to the last bits at any size, and inverted.
+    """
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    total = good + bad
+    mode = min(max((n + 1) * (good + 1) // (total + 2), low), high)
+    reach = 40 + int(14 * (n * (good / total) * (bad / total)) ** 0.5)
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1, dtype=np.float64)
+    step = (good - k[:-1]) * (n - k[:-1]) / ((k[:-1] + 1) * (float(bad - n) + k[:-1] + 1))
+    at = mode - int(k[0])
+    p = np.ones(len(k))
+    p[at + 1 :] = np.cumprod(step[at:])
+    p[:at] = np.cumprod(1 / step[:at][::-1])[::-1]
+    sums = np.cumsum(p)
+    return int(k[np.searchsorted(sums, rng.random() * sums[-1], "right").clip(0, len(k) - 1)])
+
+
 def communication_matrix(counts: list[int], capacity: list[int], seed: int) -> np.ndarray:
     """Rows sum to counts, columns to capacity; uniform over all assignments of rows to places."""
-    rng, left = np.random.default_rng(seed), np.array(capacity, np.int64)
-    if left.sum() >= 10**9:
-        raise ValueError("draw the matrix in parts of fewer than 10**9 rows")
+    rng, left = np.random.default_rng(seed), list(capacity)
     out = np.zeros((len(counts), len(capacity)), np.int64)
     for i, n in enumerate(counts):
-        out[i] = rng.multivariate_hypergeometric(left, n, method="marginals")
-        left -= out[i]
+        rest = sum(left)
+        for s in range(len(left)):
+            rest -= left[s]
+            out[i, s] = hypergeometric(rng, left[s], rest, n)
+            n -= out[i, s].item()
+            left[s] -= out[i, s].item()
     return out
 
 
 def shard_rows(rows: DataFrame, shards: int = 16, seed: int = 7, rows_per_task: int = ROWS) -> DataFrame:
     """rows with shard and slot: shards differ by one row at most, and every assignment is equally likely.
 
-    The random keys are hashes of the whole row, so a task that runs again
-    after a lost executor draws the same ones.  Equal rows cannot be told
-    apart and share their slots in any order.
+    The random keys are hashes of a row's place in a table on shared storage,
+    so a task that runs again after a lost executor draws the same ones, and
+    equal rows and null ids are placed like any others.  No rows make no rows.
+    Columns of rows that have one of the names used here are an error.
     """
-    clash = {"_part", "_bucket", "_rank", "_cuts", "_before"} & set(rows.columns)
+    clash = {"_part", "_bucket", "_rank", "_cuts", "_before", "_file", "_row", "_metadata", "shard", "slot"} & set(rows.columns)
     if clash:
         raise ValueError(f"columns are taken: {sorted(clash)}")
     spark = rows.sparkSession
-    key = lambda k: F.xxhash64(F.lit(seed * 8 + k), *[F.col(f"`{c}`") for c in rows.columns])
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    file = F.regexp_replace("_metadata.file_name", "-[0-9a-f-]{36}-", "-")  # without the name of the write
+    rows = stash(rows).select(*names, file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    key = lambda k: F.xxhash64(F.lit(seed * 8 + k), "_file", "_row")
     n = rows.count()
     capacity = [n // shards + (s < n % shards) for s in range(shards)]
     parts = max(1, -(-n // rows_per_task))
@@ -53,7 +81,7 @@ def shard_rows(rows: DataFrame, shards: int = 16, seed: int = 7, rows_per_task:
     cuts = spark.createDataFrame([(i, c) for i, c in enumerate(np.cumsum(matrix, axis=1).tolist())], "_part int, _cuts array<bigint>")
 
     # Permute in each input partition, and let the first rows go to shard 0, the next to shard 1, ...
-    w = Window.partitionBy("_part").orderBy(key(1), *rows.columns)
+    w = Window.partitionBy("_part").orderBy(key(1), "_file", "_row")
     dealt = placed.withColumn("_rank", F.row_number().over(w)).join(F.broadcast(cuts) if parts <= BROADCAST_ROWS // shards else cuts, "_part")
     dealt = dealt.withColumn("shard", F.size(F.filter("_cuts", lambda c: c < F.col("_rank"))).cast("int")).drop("_part", "_rank", "_cuts")
 
@@ -62,9 +90,9 @@ def shard_rows(rows: DataFrame, shards: int = 16, seed: int = 7, rows_per_task:
     dealt = stash(dealt.withColumn("_bucket", F.pmod(key(2), F.lit(buckets)).cast("int")))
     sizes = dealt.groupBy("shard", "_bucket").count()
     before = sizes.select("shard", "_bucket", (F.sum("count").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("count")).alias("_before"))
-    w = Window.partitionBy("shard", "_bucket").orderBy(key(3), *rows.columns)
+    w = Window.partitionBy("shard", "_bucket").orderBy(key(3), "_file", "_row")
     out = dealt.withColumn("_rank", F.row_number().over(w)).join(F.broadcast(before) if shards * buckets <= BROADCAST_ROWS else before, ["shard", "_bucket"])
-    return out.select(*[F.col(f"`{c}`") for c in rows.columns], "shard", (F.col("_before") + F.col("_rank") - 1).cast("bigint").alias("slot"))
+    return out.select(*names, "shard", (F.col("_before") + F.col("_rank") - 1).cast("bigint").alias("slot"))
 
 
 def op6_uniform_shards(spark, sf_dir: str) -> DataFrame:
@@ -72,5 +100,5 @@ def op6_uniform_shards(spark, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32")
     )
-    out = shard_rows(stash(rows), shards=16)
+    out = shard_rows(rows, shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -360,6 +360,39 @@ def test_communication_matrix():
         assert abs(cell[k] / 4000 - p) < 0.03
 
 
+def test_hypergeometric_of_any_size():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    got = Counter(sharding.hypergeometric(rng, 5, 7, 6) for _ in range(20_000))
+    for k in range(6):
+        assert abs(got[k] / 20_000 - math.comb(5, k) * math.comb(7, 6 - k) / math.comb(12, 6)) < 0.015
+    big = np.array([sharding.hypergeometric(rng, 10**12, 3 * 10**12, 40_000) for _ in range(2000)])
+    assert abs(big.mean() - 10_000) < 10 and abs(big.std() - 7500**0.5) < 5
+    m = sharding.communication_matrix([4 * 10**9, 10**9 + 5], [10**9 + 1, 10**9 + 1, 10**9 + 1, 2 * 10**9 + 2], 3)
+    assert m.sum(axis=1).tolist() == [4 * 10**9, 10**9 + 5] and m.sum(axis=0).tolist() == [10**9 + 1, 10**9 + 1, 10**9 + 1, 2 * 10**9 + 2]
+
+
+def test_shards_place_equal_rows_one_by_one(spark):
+    """Equal rows are spread over the partitions, and each assignment of three rows to three shards comes up."""
+    same = spark.createDataFrame([(None, 5)] * 600, "doc_id long, size long").repartition(3)
+    got = sharding.shard_rows(same, 4, rows_per_task=50).collect()
+    assert sorted(Counter(r.shard for r in got).values()) == [150] * 4 and all(sorted(r.slot for r in got if r.shard == s) == list(range(150)) for s in range(4))
+    for name in ("shard", "slot"):
+        with pytest.raises(ValueError, match=name):
+            sharding.shard_rows(same.withColumn(name, F.lit(1)), 4)
+
+
+def test_shard_query_against_plain_laws(spark, sf):
+    """The registered query: each document once, its own size and checksum, counts one apart, slots without gaps."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries()["op6_uniform_shards"](spark, sf).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {d: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in docs.items()} and len(got) == len(docs)
+    n = Counter(r.shard for r in got)
+    assert set(n) == set(range(16)) and max(n.values()) - min(n.values()) <= 1 and all(sorted(r.slot for r in got if r.shard == s) == list(range(n[s])) for s in n)
+    assert {(r.law, r.grown_shard) for r in got} == {("rows", None)}
+
+
 def test_shards(spark):
     rows = spark.range(1003).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("size"))
     seen = set()
