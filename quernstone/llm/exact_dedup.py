@@ -1,22 +1,26 @@
 """Exact deduplication with stateful streaming (operator 3), DataFrame operations only.
 
 A first pass turns the documents into small records: digest of the normalised
-text, identifier, code points and a content locator.  Structured Streaming
-reads the records into an aggregation keyed by digest whose state lives in
-RocksDB on the executors' disks, is checkpointed to shared storage and never
-expires: no watermark, so a copy that arrives years later still meets its
-keeper.  Every micro-batch hands its changed keys on, in a folder named by the
-batch, so a batch that runs twice replaces itself.  At the end every hit is
-checked on full bytes against its keeper's text; rows whose digest agrees but
-whose bytes do not are grouped anew under a longer digest.
+text, identifier, code points and a content locator (file and row).  Structured
+Streaming reads the records into an aggregation keyed by digest whose state
+lives in RocksDB on the executors' disks, is checkpointed to shared storage and
+never expires: no watermark, and a later call with the same folder goes on from
+it, so a copy that arrives years later still meets its keeper.  Every
+micro-batch hands its changed keys on, in a folder named by the batch, so a
+batch that runs twice replaces itself.  At the end every hit is checked on full
+bytes against the text that its keeper's locator names; where digests agree but
+bytes do not, rows are grouped anew by their texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, NO_ID, shared_folder, stash, table, unstash
+from .common import BROADCAST_ROWS, NO_ID, shared_folder, stash, table
 
 SPACES = " \t\n\x0b\f\r"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,23 +30,25 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACES, "")
 
 
-def _records(docs: DataFrame, id_col: str, text_col: str, locator: Column | None, digest) -> DataFrame:
-    text = F.col(text_col).cast("string")
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"),
-        F.coalesce(F.length(text), F.lit(0)).alias("points"),
-        digest(normalised(text)).alias("digest"),
-        (F.lit("") if locator is None else locator).alias("locator"),
-    )
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _located(docs: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """(id, text, locator) of docs; documents that are no rows of Parquet files are written to the folder first."""
+    kept = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    locator = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("locator")
+    try:
+        return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"), locator)
+    except AnalysisException:
+        return stash(kept, f"{folder}/content-{uuid.uuid4().hex}").select("id", "text", locator)
 
 
-def keeper_state(records: DataFrame, folder: str, max_files: int = 64) -> DataFrame:
-    """Streams the records (a stashed table) through keyed state: digest, keeper (points, id, locator), n."""
-    spark = records.sparkSession
-    paths = sorted({f.rsplit("/", 1)[0] for f in records.inputFiles()})
-    if not paths:
-        return records.groupBy("digest").agg(F.struct(F.lit(0).alias("less"), F.lit(NO_ID).alias("id"), F.lit("").alias("locator")).alias("keeper"), F.count("*").alias("n"))
-    source = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", max_files).parquet(paths[0])
+def keeper_state(spark: SparkSession, folder: str, max_files: int = 64) -> DataFrame:
+    """Streams new records through the folder's keyed state: digest, keeper (points, id, locator), n."""
+    records = spark.read.parquet(f"{folder}/records/*")
+    source = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", max_files).parquet(f"{folder}/records/*")
     state = source.groupBy("digest").agg(F.min(F.struct((-F.col("points")).alias("less"), "id", "locator")).alias("keeper"), F.count("*").alias("n"))
 
     def changed(batch: DataFrame, number: int) -> None:
@@ -60,49 +66,85 @@ def keeper_state(records: DataFrame, folder: str, max_files: int = 64) -> DataFr
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    # Within a key the keeper only falls and the count only grows from batch to batch.
-    every = spark.read.schema(state.schema).parquet(f"{folder}/changed/*")
+    return _keepers(spark, folder, state.schema)
+
+
+def _keepers(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """Within a key the keeper only falls and the count only grows from batch to batch."""
+    every = spark.read.schema(schema).parquet(f"{folder}/changed/*") if _exists(spark, f"{folder}/changed") else spark.createDataFrame([], schema)
     return every.groupBy("digest").agg(F.min("keeper").alias("keeper"), F.max("n").alias("n"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=lambda t: F.sha2(t, 256), locator: Column | None = None, max_files: int = 64) -> DataFrame:
-    """One row per document: id, keep_id, group_size, kept, text_digest.
+def _contents(own: DataFrame, wanted: DataFrame, resumed: bool, text_col: str) -> DataFrame:
+    """(locator, bytes) of the wanted locators (distinct, stashed): of this call's documents, and of files that earlier calls read."""
+    spark, few = own.sparkSession, F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS // 8 else wanted
+    found = own.join(few, "locator", "left_semi").select("locator", normalised(F.col("text")).alias("bytes"))
+    if not resumed:
+        return found
+    mine = own.select(F.substring_index("locator", "#", 1).alias("file")).distinct()
+    files = [r.file for r in wanted.select(F.substring_index("locator", "#", 1).alias("file")).distinct().join(mine, "file", "left_anti").collect()]
+    if files:
+        older = spark.read.parquet(*files)
+        column = text_col if text_col in older.columns else "text"
+        older = older.select(F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("locator"), normalised(F.col(column).cast("string")).alias("bytes"))
+        found = found.unionByName(older.join(few, "locator", "left_semi"))
+    return found
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=lambda t: F.sha2(t, 256), folder: str | None = None, max_files: int = 64) -> DataFrame:
+    """One row per document that has arrived so far: id, keep_id, group_size, kept, text_digest.
 
     Texts are equal if they are identical without space, tab, LF, VT, FF and
     CR; null is empty, and empty texts are one group.  Of equal texts the one
     with the most code points stays, then the smallest id; a null id comes
     last and is returned as null.  Rows that repeat an id with the same text
-    are one group; the id stays, so each of them is kept.
+    are one group; the id stays, so each of them is kept.  No documents make
+    no rows; other columns of docs are not looked at.
+
+    folder keeps the state: a call with a folder of earlier calls adds its
+    documents to theirs, and returns the verdicts on all.  The files of earlier
+    documents must still be there, as hits are checked on them.
     """
     spark = docs.sparkSession
-    folder = shared_folder(spark)
-    records = stash(_records(docs, id_col, text_col, locator, digest), f"{folder}/records")
-    state = stash(keeper_state(records, folder, max_files), f"{folder}/keepers")
-    groups = state.select("digest", F.col("keeper.id").alias("keep_id"), F.col("n").alias("group_size"))
-    out = records.join(groups, "digest").select("id", "keep_id", "group_size", "digest")
-
-    # Full bytes are compared on hits only: members of groups of two or more.
-    hits = groups.where("group_size > 1")
-    hits = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
-    text = F.col(text_col).cast("string")
-    members = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), normalised(text).alias("bytes"), digest(normalised(text)).alias("digest")).join(hits, "digest")
-    keepers = members.where("id = keep_id").groupBy("digest").agg(F.min("bytes").alias("keeper_bytes"))
-    false_hits = stash(members.join(keepers, "digest").where("bytes <> keeper_bytes").select("id", "digest", "bytes"), f"{folder}/false")
-    if false_hits.take(1):
-        out = _regroup(docs, out, false_hits, id_col, text_col)
-    else:
-        unstash(false_hits)
+    folder = folder or shared_folder(spark)
+    resumed = _exists(spark, f"{folder}/records")
+    own = _located(docs, id_col, text_col, folder)
+    before = stash(_keepers(spark, folder, _STATE).select("digest", F.col("keeper.locator").alias("old")), f"{folder}/before-{uuid.uuid4().hex}") if resumed else None
+    records = own.select("id", F.coalesce(F.length("text"), F.lit(0)).alias("points"), digest(normalised(F.col("text"))).alias("digest"), "locator")
+    records = stash(records, f"{folder}/records/{uuid.uuid4().hex}")
+    state = stash(keeper_state(spark, folder, max_files), f"{folder}/keepers-{uuid.uuid4().hex}")
+    groups = state.select("digest", F.col("keeper.id").alias("keep_id"), F.col("n").alias("group_size"), F.col("keeper.locator").alias("keeper"))
+    everything = spark.read.schema(records.schema).parquet(f"{folder}/records/*")
+    out = everything.join(groups.drop("keeper"), "digest").select("id", "keep_id", "group_size", "digest")
+
+    # Full bytes are compared on hits only: new members of groups of two or more, and keepers that have been replaced.
+    hits = stash(groups.where("group_size > 1").select("digest", "keeper"), f"{folder}/hits-{uuid.uuid4().hex}")
+    few = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS // 8 else hits
+    members = own.select("locator", digest(normalised(F.col("text"))).alias("digest"), normalised(F.col("text")).alias("bytes")).join(few, "digest").where("locator <> keeper")
+    wanted = hits.select(F.col("keeper").alias("locator"))
+    if resumed:
+        replaced = stash(before.join(hits, "digest").where("old <> keeper").select("digest", "keeper", F.col("old").alias("locator")), f"{folder}/replaced-{uuid.uuid4().hex}")
+        texts = _contents(own, stash(replaced.select("locator").distinct()), True, text_col)
+        members = members.select("locator", "digest", "bytes", "keeper").unionByName(texts.join(replaced, "locator").select("locator", "digest", "bytes", "keeper"))
+    keepers = _contents(own, stash(wanted.distinct()), resumed, text_col).select(F.col("locator").alias("keeper"), F.col("bytes").alias("keeper_bytes"))
+    keepers = keepers.join(few, "keeper").select("digest", "keeper_bytes")
+    members.join(keepers, "digest").where("bytes <> keeper_bytes").select("digest").distinct().write.parquet(f"{folder}/false/{uuid.uuid4().hex}")
+    split = stash(spark.read.schema("digest string").parquet(f"{folder}/false/*").distinct())
+    if split.take(1):
+        out = _regroup(own, everything, out, split, resumed, text_col)
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("keep_id"), F.col("group_size").cast("bigint").alias("group_size"), (F.col("id") == F.col("keep_id")).alias("kept"), F.col("digest").alias("text_digest"))
 
 
-def _regroup(docs: DataFrame, out: DataFrame, false_hits: DataFrame, id_col: str, text_col: str) -> DataFrame:
+_STATE = "digest string, keeper struct<less: int, id: bigint, locator: string>, n bigint"
+
+
+def _regroup(own: DataFrame, everything: DataFrame, out: DataFrame, split: DataFrame, resumed: bool, text_col: str) -> DataFrame:
     """Digests under which different texts met: their documents are grouped by the texts themselves."""
-    text = F.col(text_col).cast("string")
-    shared = false_hits.select("digest").distinct()
-    again = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.coalesce(F.length(text), F.lit(0)).alias("points"), normalised(text).alias("bytes")).join(out.join(shared, "digest", "left_semi").select("id", "digest").distinct(), "id")
+    again = stash(everything.join(split, "digest", "left_semi"))
+    again = again.join(_contents(own, stash(again.select("locator")), resumed, text_col), "locator")
     best = again.groupBy("digest", "bytes").agg(F.min(F.struct((-F.col("points")).alias("less"), "id")).alias("keeper"), F.count("*").alias("n"))
     fixed = again.join(best, ["digest", "bytes"]).select("id", F.col("keeper.id").alias("keep_id"), F.col("n").alias("group_size"), "digest")
-    return out.join(shared, "digest", "left_anti").select("id", "keep_id", "group_size", "digest").unionByName(fixed)
+    return out.join(split, "digest", "left_anti").select("id", "keep_id", "group_size", "digest").unionByName(fixed)
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -227,6 +227,33 @@ def test_exact_dedup_checks_bytes(spark, texts):
     assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got.collect()) == [x[:4] for x in plain_dedup(list(enumerate(texts)))]
 
 
+@pytest.mark.parametrize("digits", [64, 1])
+def test_exact_dedup_goes_on(spark, texts, digits):
+    """Two arrivals in one state folder give the verdicts of all documents at once; with one digit digests collide."""
+    digest = lambda t: F.substring(F.sha2(t, 256), 1, digits)
+    folder, docs = shared_folder(spark), [*texts[::2], *texts[::-1], "o n e ", "w1 w2"]
+    rows = frame(spark, docs)
+    first = exact_dedup.exact_dedup(rows.where("doc_id % 3 = 0"), digest=digest, folder=folder)
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in first.collect()) == [x[:4] for x in plain_dedup([(i, t) for i, t in enumerate(docs) if i % 3 == 0])]
+    later = exact_dedup.exact_dedup(rows.where("doc_id % 3 > 0"), digest=digest, folder=folder)
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in later.collect()) == [x[:4] for x in plain_dedup(list(enumerate(docs)))]
+
+
+def test_exact_dedup_splits_repeated_ids(spark):
+    """Rows are told apart by their places: an id that repeats with other texts under one digest is counted once a row."""
+    rows = spark.createDataFrame([(1, "a", "", "", ""), (1, "b", "", "", ""), (2, "a", "", "", ""), (1, "b", "", "", "")], DOCS)
+    got = exact_dedup.exact_dedup(rows, digest=lambda t: F.lit("x"))
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got.collect()) == Counter({(1, 1, 2, True): 3, (2, 1, 2, False): 1})
+
+
+def test_exact_dedup_reads_keepers_by_their_place(spark, sf):
+    """The state's locators are files and rows of the input."""
+    folder = shared_folder(spark)
+    exact_dedup.exact_dedup(spark.read.parquet(f"{sf}/documents.parquet"), folder=folder).count()
+    records = spark.read.parquet(f"{folder}/records/*").collect()
+    assert all(r.locator.split("#")[0].endswith("documents.parquet") for r in records) and sorted(int(r.locator.split("#")[1]) for r in records) == list(range(len(records)))
+
+
 def test_exact_dedup_edges(spark):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
     rows = spark.createDataFrame([(None, "a", "", "", ""), (3, "a ", "", "", ""), (3, "a ", "", "", "")], DOCS)
