@@ -3,15 +3,17 @@
 Counting distinct values of every column in one aggregate multiplies rows by
 columns before the shuffle.  The profile therefore takes two steps: moments and
 approximate distinct counts in a pass that shuffles one row for each task, then
-exact counts and value distributions, in long form, for the columns where an
-exact figure can change a decision (or for all, on demand).
+exact counts and value distributions for the columns where an exact figure can
+change a decision (or for all, on demand).  Each such column is read by itself
+and counted in its own type; values are listed only where there are few.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,18 +73,37 @@ def uniqueness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.withColumn("uniqueness", F.when(F.col("rows") > 0, F.round(F.col("distinct") / F.col("rows"), 4)).otherwise(0.0))
 
 
-def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """(column, value as string, n) of all non-null values, from one scan; counts are summed before the shuffle."""
-    pairs = [F.struct(F.lit(c).alias("column"), comparable(df, c).cast("string").alias("value")) for c in columns]
-    long = df.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
-    return long.groupBy("column", "value").agg(F.count("*").alias("n"))
+def key_frequencies(df: DataFrame, name: str) -> DataFrame:
+    """(value, n) of a column's non-null values, summed before the shuffle."""
+    return df.select(comparable(df, name).alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
 
 
-def distributions(counts: DataFrame, threshold: int = 10, top: int = 10) -> DataFrame:
-    """The most frequent values of each column with at most `threshold` distinct ones; ties go by value."""
-    few = counts.groupBy("column").agg(F.count("*").alias("unique_count")).where(F.col("unique_count") <= threshold)
-    ranked = counts.join(few, "column").withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value")))
-    return ranked.where(F.col("rank") <= top).select("column", "value", "n", "rank")
+_COUNTED = ("column", "exact", "least_count", "longest_value", "top")
+
+
+def counted(df: DataFrame, name: str, listed: bool, most: int) -> DataFrame:
+    """One row of _COUNTED: distinct values; least count, longest value and the `most` frequent (value, n), ties by value, where values are listed.
+
+    Values are only listed where a sketch has seen that they are few.
+    """
+    each, out = key_frequencies(df, name), [F.lit(name).alias("column"), F.count("*").alias("exact")]
+    if not listed:
+        none = F.lit(None)
+        return each.agg(out[1]).select(out[0], "exact", none.cast("bigint").alias("least_count"), none.cast("bigint").alias("longest_value"), none.cast("array<struct<value:string,n:bigint>>").alias("top"))
+    text = F.col("value").cast("string")
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), text.alias("value"))))
+    top = F.transform(F.slice(ranked, 1, most), lambda x: F.struct(x["value"].alias("value"), (-x["less"]).alias("n")))
+    return each.agg(out[1], F.min("n").alias("least_count"), F.max(F.length(text)).cast("bigint").alias("longest_value"), top.alias("top")).select(out[0], *_COUNTED[1:])
+
+
+def distributions(df: DataFrame, columns: Sequence[str], threshold: int = 10, top: int = 10) -> DataFrame:
+    """(column, value, n, rank): the most frequent values of each column with at most `threshold` distinct ones; ties go by value."""
+    about = df.agg(*[F.approx_count_distinct(comparable(df, c), 0.02) for c in columns]).first()
+    few = [counted(df, c, True, top) for c, n in zip(columns, about, strict=True) if n <= 4 * threshold]
+    if not few:
+        return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank int")
+    found = reduce(DataFrame.unionAll, few).where(F.col("exact") <= threshold)
+    return found.select("column", F.posexplode("top").alias("rank", "one")).select("column", "one.value", "one.n", (F.col("rank") + 1).alias("rank"))
 
 
 def _moments(df: DataFrame, name: str) -> Column:
@@ -113,36 +134,34 @@ def needs_exact(rows: int, approx: int | None, threshold: int) -> bool:
 
 
 def profile(df: DataFrame, config: ProfileConfig = BARE, exact: str = "needed", columns: Sequence[str] | None = None) -> DataFrame:
-    """One row for each column, as in STATS.  exact: ``all`` or ``needed``.
+    """One row for each column, as in STATS.  exact: ``all``, ``needed`` or ``none``.
 
     An empty table has no rates but 0, no distinct values and no lengths.
     Binary columns are not searched for distinct values.
     """
+    if exact not in ("all", "needed", "none"):
+        raise ValueError(f"exact is all, needed or none, not {exact!r}")
     columns = list(columns or df.columns)
     one = df.agg(*[_moments(df, c) for c in columns])
     first = one.select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
-    if exact == "all":
-        open_ = [c for c in columns if not isinstance(df.schema[c].dataType, T.BinaryType)]
-    elif exact == "needed":
+    few = []
+    if exact != "none":
         # One small row for each column comes to the driver, which then plans the second pass.
         known = first.collect()
         first = df.sparkSession.createDataFrame(known, first.schema)
-        open_ = [r.column for r in known if needs_exact(r.sample_count, r.approx, config.enum_threshold)]
-    else:
-        raise ValueError(f"exact is all or needed, not {exact!r}")
-    return finish(first, value_counts(df, open_) if open_ else None, config)
+        open_ = [r for r in known if r.approx is not None and (exact == "all" or needs_exact(r.sample_count, r.approx, config.enum_threshold))]
+        few = [counted(df, r.column, r.approx <= 4 * config.enum_threshold, config.enum_threshold) for r in open_]
+    return finish(first, reduce(DataFrame.unionAll, few) if few else None, config)
 
 
 def finish(first: DataFrame, counts: DataFrame | None, config: ProfileConfig) -> DataFrame:
-    """Puts moments and value counts together."""
+    """Puts moments and counts together."""
     if counts is None:
-        counted = first.select("column", F.lit(None).cast("bigint").alias("exact"), F.lit(None).cast("bigint").alias("least_count"), F.lit(None).cast("bigint").alias("longest_value"), F.lit(None).cast("map<string,bigint>").alias("value_distribution"))
-    else:
-        few = F.col("exact") <= config.enum_threshold
-        sums = counts.groupBy("column").agg(F.count("*").alias("exact"), F.min("n").alias("least_count"), F.max(F.length("value")).cast("bigint").alias("longest_value"))
-        top = distributions(counts, config.enum_threshold).groupBy("column").agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value", "n"))), lambda x: F.struct(x["value"], x["n"]))).alias("value_distribution"))
-        counted = sums.join(top, "column", "left").select("column", "exact", F.when(few, F.col("least_count")).alias("least_count"), F.when(few, F.col("longest_value")).alias("longest_value"), "value_distribution")
+        counts = first.sparkSession.createDataFrame([], "column string, exact bigint, least_count bigint, longest_value bigint, top array<struct<value:string,n:bigint>>")
+    few = F.col("exact") <= config.enum_threshold
+    top = F.map_from_entries(F.when(F.size("top") > 0, F.col("top")))
+    counts = counts.select("column", "exact", F.when(few, F.col("least_count")).alias("least_count"), F.when(few, F.col("longest_value")).alias("longest_value"), F.when(few, top).alias("value_distribution"))
     share = lambda n: F.when(F.col("sample_count") > 0, F.round(n / F.col("sample_count"), 4)).otherwise(F.when(n.isNotNull(), F.lit(0.0)))
     unique = F.coalesce("exact", F.least("approx", F.col("sample_count") - F.col("null_count")))
-    out = first.join(counted, "column", "left").withColumn("unique_count", unique)
+    out = first.join(F.broadcast(counts), "column", "left").withColumn("unique_count", unique)
     return out.withColumns({"null_rate": share(F.col("null_count")), "uniqueness": share(F.col("unique_count"))}).select(*STATS)

@@ -74,33 +74,33 @@ def row_counts(spark, d):
     return _union([_t(spark, d, n).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in STAR])
 
 
-def _each_profile(spark, d, exact="all"):
+def _each_profile(spark, d, exact="none"):
+    """Profiles of all star tables; without exact counts they take one pass over each."""
     return _union([S.profile(_t(spark, d, n), exact=exact).select(F.lit(n).alias("table_name"), "*") for n in STAR])
 
 
 def col_null_rate(spark, d):
-    return _each_profile(spark, d, "needed").select("table_name", F.col("column").alias("column_name"), "sample_count", "null_count", "null_rate")
+    return _each_profile(spark, d).select("table_name", F.col("column").alias("column_name"), "sample_count", "null_count", "null_rate")
 
 
 def col_uniqueness(spark, d):
-    return _each_profile(spark, d).select("table_name", F.col("column").alias("column_name"), "unique_count", "uniqueness")
+    return _each_profile(spark, d, "all").select("table_name", F.col("column").alias("column_name"), "unique_count", "uniqueness")
 
 
 def col_numeric_stats(spark, d):
-    out = _each_profile(spark, d, "needed").where("min_value IS NOT NULL")
+    out = _each_profile(spark, d).where("min_value IS NOT NULL")
     number = lambda c: F.round(F.col(c).cast("double"), 4).alias(c)
     return out.select("table_name", F.col("column").alias("column_name"), number("min_value"), number("max_value"), number("mean_value"))
 
 
 def col_length_stats(spark, d):
-    out = _each_profile(spark, d, "needed").where("avg_length IS NOT NULL")
+    out = _each_profile(spark, d).where("avg_length IS NOT NULL")
     return out.select("table_name", F.col("column").alias("column_name"), "avg_length", "min_length", "max_length", "median_length", "length_std")
 
 
 def value_distribution(spark, d):
-    parts = [S.distributions(S.value_counts(_t(spark, d, n), list(COLUMNS[n]))).select(F.lit(n).alias("table_name"), F.col("column").alias("column_name"), "value", "n", F.col("rank").cast("bigint").alias("rank")) for n in ("customer", "orders", "lineitem")]
-    kinds = {c: k for n in COLUMNS for c, k in COLUMNS[n].items()}
-    return _union(parts).where(F.col("column_name").isin(*[c for c, k in kinds.items() if k == "s"]))
+    strings = {n: [c for c, k in COLUMNS[n].items() if k == "s"] for n in STAR}
+    return _union([S.distributions(_t(spark, d, n), strings[n]).select(F.lit(n).alias("table_name"), F.col("column").alias("column_name"), "value", "n", F.col("rank").cast("bigint").alias("rank")) for n in STAR])
 
 
 def full_profile_lineitem(spark, d):
@@ -121,9 +121,11 @@ def complex_value_distinct(spark, d):
 
 
 def json_value_distinct(spark, d):
-    """Distinct property documents of events."""
-    e = _t(spark, d, "events")
-    return e.groupBy("event_type").agg(F.count("*").alias("row_count"), F.count_distinct("props").alias("distinct_props"))
+    """Distinct property documents of events, as maps: with and without a key that the text has last or first."""
+    e = _t(spark, d, "events").select("event_type", F.from_json("props", "map<string,string>").alias("props"))
+    type_ = F.create_map(F.lit("a"), F.col("event_type"))
+    e = e.withColumn("swapped", F.when(F.col("props")["k"].cast("int") % 2 == 0, F.map_concat("props", type_)).otherwise(F.map_concat(type_, "props")))
+    return e.groupBy("event_type").agg(F.count("*").alias("row_count"), *[F.count_distinct(S.comparable(e, c)).alias(f"distinct_{c}") for c in ("props", "swapped")])
 
 
 def ddl_preview_sample(spark, d):
@@ -140,7 +142,7 @@ def sample_cells(spark, d):
 
 def unique_columns(spark, d):
     """Columns without nulls whose values are all different."""
-    out = _each_profile(spark, d)
+    out = _each_profile(spark, d, "needed")
     return out.where("null_count = 0 AND unique_count = sample_count").select("table_name", F.col("column").alias("column_name"), "unique_count")
 
 
@@ -368,11 +370,11 @@ def oracle_sql() -> dict[str, str]:
         "col_numeric_stats": _columns_sql(lambda t, c, k: f"SELECT '{t}' AS table_name, '{c}' AS column_name, round(CAST(min({c}) AS DOUBLE), 4) AS min_value, round(CAST(max({c}) AS DOUBLE), 4) AS max_value, round(avg({c}), 4) AS mean_value FROM {t}", "n"),
         "col_length_stats": _columns_sql(lambda t, c, k: f"SELECT '{t}' AS table_name, '{c}' AS column_name, round(avg(length({c})), 2) AS avg_length, min(length({c})) AS min_length, max(length({c})) AS max_length, round(quantile_cont(length({c}), 0.5), 2) AS median_length, round(coalesce(stddev_samp(length({c})), 0), 2) AS length_std FROM {t}", "s"),
         "value_distribution": "SELECT table_name, column_name, value, n, rank FROM (SELECT *, count(*) OVER (PARTITION BY table_name, column_name) AS u, row_number() OVER (PARTITION BY table_name, column_name ORDER BY n DESC, value) AS rank FROM ("
-        + " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {c} AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}" for t in ("customer", "orders", "lineitem") for c, k in COLUMNS[t].items() if k == "s") + ")) WHERE u <= 10 AND rank <= 10",
+        + " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {c} AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}" for t in STAR for c, k in COLUMNS[t].items() if k == "s") + ")) WHERE u <= 10 AND rank <= 10",
         "full_profile_lineitem": " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS sample_count, {share(f'(count(*) - count({c}))')} AS null_rate, count(DISTINCT {c}) AS unique_count, {share(f'count(DISTINCT {c})')} AS uniqueness, {number(c, k)}, {lengths(c, k)} FROM lineitem" for c, k in COLUMNS["lineitem"].items()),
         "corpus_text_profile": "SELECT source, count(*) AS docs, round(avg(length(text)), 2) AS avg_length, min(length(text)) AS min_length, max(length(text)) AS max_length, round(quantile_cont(length(text), 0.5), 2) AS median_length FROM documents GROUP BY source",
         "complex_value_distinct": "SELECT count(*) AS row_count, count(DISTINCT embedding) AS distinct_values FROM embeddings",
-        "json_value_distinct": "SELECT event_type, count(*) AS row_count, count(DISTINCT props) AS distinct_props FROM events GROUP BY event_type",
+        "json_value_distinct": "SELECT event_type, count(*) AS row_count, count(DISTINCT props) AS distinct_props, count(DISTINCT json_extract_string(props, '$.k')) AS distinct_swapped FROM events GROUP BY event_type",
         "ddl_preview_sample": " UNION ALL ".join(f"SELECT * FROM (SELECT '{n}' AS table_name, CAST({k[0]} AS BIGINT) AS key_value, {text(list(COLUMNS[n])[1])} AS second_value FROM {n} ORDER BY key_value LIMIT 5)" for n, k in KEYS.items()),
         "sample_cells": "SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS text_cell, CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE coalesce(text, '') END AS text_short FROM documents",
         "unique_columns": "SELECT table_name, column_name, unique_count FROM (" + _columns_sql(lambda t, c, k: f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS unique_count, count(*) AS n FROM {t}") + ") WHERE unique_count = n",
