@@ -10,7 +10,8 @@ steers the cost, any order gives the same links.
 2. Documents with equal sets become one class, classes with equal prefixes and
    size become one group, and groups post themselves under their prefix
    shingles; lists with one group fall out, groups expand into their classes.
-3. Each list has a hub, the member whose prefix is shared most.  Members are
+3. Each list has a hub, the member whose prefix is shared most.  Members whose
+   parity bitmaps (a sure bound) do not show that they are far from it are
    verified against it on their full sets, and keep the symmetric difference
    d(x) = x - h.  As x - y = d(x) - d(y), members x and y are linked exactly if
    d(x) and d(y) share at least
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, NO_ID, components, shared_folder, stash, table
-from .textscan import SPACED_LOWER, new_key, released, shingles, slices, text_bytes, words
+from .textscan import SPACED_LOWER, mix, new_key, released, shingles, slices, text_bytes, words
 
 #: A shingle is frequent if so many sets of one block hold it.
 FREQUENT, BLOCK_SETS, BLOCK_SHINGLES = 3, 8192, 3_000_000
@@ -66,6 +67,31 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def bitmap(x: np.ndarray) -> np.ndarray:
+    """Parities of the set's hashes in a power of two of bits, two for each element at least."""
+    bits = max(256, 1 << int(2 * len(x)).bit_length())
+    place = mix(x.copy()) & np.uint64(bits - 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def least_difference(a: str, b: str, folds: int = 3) -> Column:
+    """No more than the elements that only one of two sets has: bits in which their bitmaps differ.
+
+    The longer bitmap is folded to the shorter's size, some times; where that
+    is not enough nothing is known, and the answer is 0.
+    """
+    def fold(m: Column) -> Column:
+        half = (F.size(m) / 2).cast("int")
+        return F.zip_with(F.slice(m, F.lit(1), half), F.slice(m, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    x, y = F.col(a), F.col(b)
+    for _ in range(folds):
+        x, y = F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y)
+    differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    return F.when(F.size(x) == F.size(y), differ).otherwise(0)
+
+
 def _signature(x: np.ndarray) -> tuple[int, int]:
     d = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -103,14 +129,15 @@ def _frequent(k: int, key: int):
 
 
 def _sketch(k: int, percent: int, key: int, ranked: np.ndarray, rank: np.ndarray):
-    """(id, n, sig1, sig2, prefix_key, prefix) of (id, text) batches."""
+    """(id, n, sig1, sig2, prefix_key, prefix, bitmap) of (id, text) batches."""
 
     def run(batches):
         for batch in batches:
-            n, sig1, sig2, keys, prefixes = [], [], [], [], []
+            n, sig1, sig2, keys, prefixes, maps = [], [], [], [], [], []
             for _, sets in shingle_sets(batch.column(1), k, key):
                 for x in sets:
                     s1, s2 = _signature(x)
+                    maps.append(bitmap(x))
                     n.append(len(x))
                     sig1.append(s1)
                     sig2.append(s2)
@@ -120,12 +147,17 @@ def _sketch(k: int, percent: int, key: int, ranked: np.ndarray, rank: np.ndarray
                     prefix = x[: len(x) - least_overlap(len(x), percent) + 1] if len(x) else x
                     keys.append(_signature(prefix)[0])
                     prefixes.append(prefix.view(np.int64))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip((n, sig1, sig2, keys, prefixes), kinds, strict=True))], names=["id", "n", "sig1", "sig2", "prefix_key", "prefix"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip((n, sig1, sig2, keys, prefixes, maps), kinds, strict=True))], names=["id", "n", "sig1", "sig2", "prefix_key", "prefix", "bitmap"])
 
     return run
 
 
+def comparable(d: Column, n_a: Column, n_b: Column, p: int) -> Column:
+    """Whether b differs so little from a that a member near a (with at most twice the difference of linked sets) may be linked with it."""
+    return p * (100 + p) * d <= (100 - p) * ((300 + p) * n_b + 2 * p * n_a)
+
+
 def linked(d: Column, n: Column, m: Column, percent: int) -> Column:
     """Whether sets of n and m that differ in d elements are linked."""
     return (100 + percent) * d <= (100 - percent) * (n + m)
@@ -200,7 +232,7 @@ class _Join:
         ranked, sets = top.column("shingle").to_numpy().view(np.uint64), top.column("sets").to_numpy()
         order = np.argsort(ranked)
         ranked, rank = ranked[order], sets[order].astype(np.int32)
-        return stash(self.source.mapInArrow(released(_sketch(self.k, self.percent, self.key, ranked, rank)), "id bigint, n bigint, sig1 bigint, sig2 bigint, prefix_key bigint, prefix array<bigint>"), f"{self.folder}/sketch", ROWS)
+        return stash(self.source.mapInArrow(released(_sketch(self.k, self.percent, self.key, ranked, rank)), "id bigint, n bigint, sig1 bigint, sig2 bigint, prefix_key bigint, prefix array<bigint>, bitmap array<bigint>"), f"{self.folder}/sketch", ROWS)
 
     def postings(self, sketch: DataFrame, classes: DataFrame) -> DataFrame:
         """(token, node, n): classes under the prefix shingles that at least two groups hold, and under their group if it has several.
@@ -221,7 +253,11 @@ class _Join:
         return stash(lists.unionByName(own), f"{self.folder}/postings")
 
     def compared(self, pairs: DataFrame, name: str, tokens: bool) -> DataFrame:
-        """Pairs (a, b), distinct and stashed, with n_a, n_b, d and tokens, on full sets."""
+        """Pairs (a, b), distinct, with n_a, n_b, d and tokens, on full sets; pairs that bitmaps show to be too far apart are left out."""
+        side = lambda s: self.bitmaps.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"map_{s}"))
+        both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("d", least_difference("map_a", "map_b"))
+        may = (comparable if tokens else linked)(F.col("d"), F.col("n_a"), F.col("n_b"), self.percent)
+        pairs = stash(both.where(may).select("a", "b"), f"{self.folder}/{name}-near")
         ids = stash(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), f"{self.folder}/{name}-ids")
         texts = self.source.join(_few(ids), "id", "left_semi")
         text = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
@@ -240,7 +276,7 @@ class _Join:
         p, up = self.percent, 2 * (100 + self.percent)
         mine = stash(lists.join(_few(hub), "token").where("node <> a"), f"{self.folder}/{name}-mine")
         # Sets whose sizes differ too much are far apart, and need no comparison.
-        near_size = p * (100 + p) * F.abs(F.col("n") - F.col("n_a")) <= (100 - p) * ((300 + p) * F.col("n") + 2 * p * F.col("n_a"))
+        near_size = comparable(F.abs(F.col("n") - F.col("n_a")), F.col("n_a"), F.col("n"), p)
         pairs = stash(mine.where(near_size).select("a", F.col("node").alias("b")).distinct(), f"{self.folder}/{name}-pairs")
         got = self.compared(pairs, f"{name}-compared", tokens=True)
 
@@ -293,6 +329,7 @@ class _Join:
         classes = sketch.where("n > 0").groupBy("sig1", "sig2", "n", "prefix_key").agg(F.min("id").alias("node"))
         classes = stash(classes, f"{self.folder}/classes")
         lists = self.postings(sketch, classes.select("prefix_key", "n", "node"))
+        self.bitmaps = sketch.join(_few(stash(lists.select(F.col("node").alias("id")).distinct(), f"{self.folder}/nodes")), "id", "left_semi").select(F.col("id").alias("node"), "n", "bitmap")
         # The share of a prefix that others have too: edits lower it.
         size = F.col("n") - F.ceil(F.lit(p) * F.col("n") / 100) + 1
         score = stash(lists.groupBy("node").agg((F.count("*") / F.max(size)).alias("score")), f"{self.folder}/scores")
