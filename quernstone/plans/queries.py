@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SHIPPED, RelationConfig
-from ..functions.names import similarity
 from ..operators import decide as D
 from ..operators import dimvalues as V
 from ..operators import export as E
@@ -19,6 +18,7 @@ from ..operators import stats as S
 from ..operators.candidates import Candidate
 from ..sources.catalog import Catalog, Constraint, preview_sample
 from ..streaming.profile import windowed_profile
+from . import twins as W
 from .discover import discover, score
 from .profile import Profile, profile_catalog
 
@@ -45,6 +45,8 @@ PAIRS = [
     ("supplier", ("s_suppkey",), "lineitem", ("l_suppkey",)),
     ("lineitem", ("l_orderkey", "l_linenumber"), "lineitem", ("l_partkey", "l_linenumber")),
 ]
+#: The single pairs, and two whose columns are of other types.
+SCORED = [*PAIRS[:7], ("nation", ("n_nationkey",), "part", ("p_partkey",)), ("part", ("p_size",), "lineitem", ("l_quantity",))]
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -188,7 +190,7 @@ def inferred_cardinality(spark, d):
 
 def _scored(spark, d):
     p = profiled(spark, d)
-    found = [Candidate(f"public.{s}", sc, f"public.{t}", tc, "single_defined_constraint") for s, sc, t, tc in PAIRS[:7]]
+    found = [Candidate(f"public.{s}", sc, f"public.{t}", tc, "single_defined_constraint") for s, sc, t, tc in SCORED]
     return score(p, found)
 
 
@@ -345,13 +347,17 @@ _CARDINALITY = (
 )
 
 
+#: Matching characters of the names of SCORED pairs, characters of both, and how well their types go together.
+_NAMES = [(9, 20, 1.0), (10, 22, 1.0), (10, 22, 1.0), (10, 22, 1.0), (8, 18, 1.0), (8, 18, 1.0), (8, 18, 1.0), (6, 20, 0.9), (2, 16, 0.6)]
+
+
 def _scores_sql() -> str:
-    """Name similarities are constants; types are equal in every pair."""
-    rows = [f"('{s}.{sc[0]}->{t}.{tc[0]}', 'public.{s}', 'public.{t}', '{sc[0]}', '{tc[0]}', {similarity(sc[0], tc[0])!r})" for s, sc, t, tc in PAIRS[:7]]
+    """Name similarities and type scores are literals."""
+    rows = [f"('{s}.{sc[0]}->{t}.{tc[0]}', 'public.{s}', 'public.{t}', '{sc[0]}', '{tc[0]}', 2.0 * {m} / {n}, {kind})" for (s, sc, t, tc), (m, n, kind) in zip(SCORED, _NAMES, strict=True)]
     return (
-        f"WITH m AS ({_metrics_sql(PAIRS[:7])}), c(relationship, source, target, sc, tc, names) AS (VALUES {', '.join(rows)}) "
+        f"WITH m AS ({_metrics_sql(SCORED)}), c(relationship, source, target, sc, tc, names, types) AS (VALUES {', '.join(rows)}) "
         "SELECT 'rel_' || substr(md5(source || '.[' || sc || ']->' || target || '.[' || tc || ']'), 1, 12) AS relationship_id, source, target, "
-        f"0.55 * inclusion_rate + 0.2 * jaccard_index + 0.15 * names + 0.1 AS raw_score, {_CARDINALITY} AS cardinality FROM m JOIN c USING (relationship)"
+        f"0.55 * inclusion_rate + 0.2 * jaccard_index + 0.15 * names + 0.1 * types AS raw_score, {_CARDINALITY} AS cardinality FROM m JOIN c USING (relationship)"
     )
 
 
@@ -360,6 +366,9 @@ def oracle_sql() -> dict[str, str]:
     share = lambda n: f"((20000 * ({n}) + count(*)) // (2 * count(*))) / 10000.0"
     text = lambda c: f"CAST({c} AS VARCHAR)"
     dims = [(n, c) for n, cols in DIMS.items() for c in cols]
+    related = W.relationships(_metrics_sql([(s, (a,), t, (b,)) for s, a, t, b, *_ in W.ALIKE]), _CARDINALITY)
+    turn = lambda a, b: f"CASE WHEN cardinality = '1:N' THEN {b} ELSE {a} END"
+    edges = f"SELECT {turn('source', 'target')} AS src, {turn('target', 'source')} AS dst, CASE WHEN cardinality = '1:N' THEN 'N:1' ELSE cardinality END AS cardinality, 'SRC.' || {turn('source_columns', 'target_columns')} || ' = DST.' || {turn('target_columns', 'source_columns')} AS \"on\", relationship_id FROM ({related}) WHERE decision = 'accepted'"
     cosine = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
     number = lambda c, k: f"round(min({c}), 4) AS min_value, round(max({c}), 4) AS max_value, round(avg({c}), 4) AS mean_value" if k == "n" else "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value, CAST(NULL AS DOUBLE) AS mean_value"
     lengths = lambda c, k: f"round(avg(length({c})), 2) AS avg_length, round(coalesce(stddev_samp(length({c})), 0), 2) AS length_std" if k == "s" else "CAST(NULL AS DOUBLE) AS avg_length, CAST(NULL AS DOUBLE) AS length_std"
@@ -379,6 +388,13 @@ def oracle_sql() -> dict[str, str]:
         "sample_cells": "SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS text_cell, CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE coalesce(text, '') END AS text_short FROM documents",
         "unique_columns": "SELECT table_name, column_name, unique_count FROM (" + _columns_sql(lambda t, c, k: f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS unique_count, count(*) AS n FROM {t}") + ") WHERE unique_count = n",
         "composite_distinct": " UNION ALL ".join(f"SELECT '{s}' AS column_set, count(*) AS distinct_rows FROM (SELECT DISTINCT {s} FROM lineitem)" for s in ("l_orderkey,l_linenumber", "l_partkey,l_suppkey", "l_orderkey,l_partkey,l_linenumber")),
+        "logical_keys": f"SELECT t AS \"table\", column_set, confidence FROM ({W.logical_keys(COLUMNS)})",
+        "column_roles": f"SELECT t AS \"table\", c AS \"column\", kind AS data_type, role, confidence, basis FROM ({W.roles(COLUMNS, KEYS)})",
+        "table_categories": f"SELECT t AS \"table\", category, confidence, basis, total_columns, identifier_count, metric_count, datetime_count FROM ({W.categories(COLUMNS, KEYS)})",
+        "discover_relationships": f"SELECT relationship_id, source, source_columns, target, target_columns, cardinality, round(score, 4) AS composite_score, decision, reason, 'logical_key_matching' AS discovery_method FROM ({related})",
+        "graph_edges": edges,
+        "graph_statistics": f"SELECT 'table' AS kind, count(DISTINCT t) AS count FROM ({W.profiles(COLUMNS, KEYS)}) UNION ALL SELECT unnest(['column', 'has_column']), count(*) FROM ({W.profiles(COLUMNS, KEYS)}) UNION ALL SELECT 'join_on', count(*) FROM ({edges})",
+        "retrieval_objects": f"SELECT 'table' AS object_type, 'public.' || k.t AS object_id, 'public.' || k.t AS parent_id, (SELECT min_by(c, ord) FROM ({W.roles(COLUMNS, KEYS)}) r WHERE r.t = k.t AND role = 'datetime') AS time_col_hint, category AS table_category FROM ({W.categories(COLUMNS, KEYS)}) k",
         "inclusion_jaccard": f"SELECT relationship, source_distinct, target_distinct, common, round(inclusion_rate, 6) AS inclusion_rate, round(jaccard_index, 6) AS jaccard_index FROM ({_metrics_sql()})",
         "inferred_cardinality": f"SELECT relationship, CAST(joined_rows AS BIGINT) AS joined_rows, round(m, 6) AS multiplicity, {_CARDINALITY} AS cardinality FROM ({_metrics_sql()})",
         "relationship_scores": f"SELECT relationship_id, source, target, round(raw_score, 4) AS composite_score, cardinality FROM ({_scores_sql()})",
