@@ -1,17 +1,24 @@
 """Substring deduplication by relative Lempel-Ziv parsing (operator 7).
 
-Every document is factored into phrases.  Phrase borders are anchors: the
-smallest k-gram hash of each window of `window` words, the last one on ties,
-so they depend on the words alone and fall alike in every copy of a passage.
-A phrase is the run of windows that share an anchor.  The phrases of all
-documents, each under its smallest document, are the indexed reference; a
-phrase that occurs in a smaller document is a factor of it as a whole.  Where
-one anchor has several different phrases, a factor may end inside a phrase:
-there, at the factor boundaries, the single windows are looked up.  Windows in
-the reference are duplicates, and the words that they cover are removed.
-
-This finds exactly the windows that start in a smaller document: equal windows
-have equal anchors at equal places, hence meet under one anchor.
+The reference is all documents, in blocks.  To index it, every document is cut
+into phrases at anchors: the smallest k-gram hash of each window of `window`
+words, the last one on ties, so anchors depend on the words alone and fall
+alike in every copy of a passage.  A phrase is the run of windows that share an
+anchor.  A block holds the phrases of a range of anchor hashes, each once,
+under its smallest document and its place there; a document is compared with
+every block that holds one of its anchors, and with no other, as equal windows
+have equal anchors at equal places.
+
+A phrase that the reference holds under a smaller document is copied as a
+whole.  Where one anchor has several different phrases, a factor may end inside
+a phrase: there, at the factor boundaries, the single windows are looked up.
+Each document is then parsed greedily from left to right: a factor goes on in
+the same place of the same reference document for as long as it can.  The words
+of factors are removed; they are exactly those of windows that start in a
+smaller document.
+
+Words and runs of words are equal if two independent 64-bit hashes under the
+run's own key are: one of the anchor, one of the phrase or window.
 """
 
 from __future__ import annotations
@@ -113,8 +120,25 @@ def _boundary_windows(window: int, key: int):
     return run
 
 
+def factors(spans: list[dict]) -> list[dict]:
+    """The greedy parse: spans (start, end, ref, ref_start) by start, as factors that do not overlap and go on for as long as one reference does."""
+    out: list[dict] = []
+    for x in spans:
+        last = out[-1] if out else None
+        end = last["start"] + last["words"] if last else 0
+        if last and last["ref"] == x["ref"] and last["ref_start"] - last["start"] == x["ref_start"] - x["start"] and x["start"] <= end:
+            last["words"] = max(end, x["end"]) - last["start"]
+        elif x["end"] > end:
+            skip = max(0, end - x["start"])
+            out.append({"start": x["start"] + skip, "words": x["end"] - x["start"] - skip, "ref": x["ref"], "ref_start": x["ref_start"] + skip})
+    return out
+
+
+_FACTORS = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("ref", pa.int64()), ("ref_start", pa.int32())]))
+
+
 def _cleaned(with_text: bool):
-    """Digest (and text) of what stays: batches of (id, text, spans, want).
+    """Digest (and text) of what stays, and factors: batches of (id, text, spans, want).
 
     spans may be null; a row whose words are not of the wanted version is left out.
     """
@@ -128,15 +152,17 @@ def _cleaned(with_text: bool):
             version: list[int] = []
             digest: list[str] = []
             kept: list[str] = []
+            parsed: list[list[dict]] = []
             for a, b in slices(offsets):
                 s, e, first = word_places(data, offsets[a : b + 1], SPACED)
                 version += _versions(data, offsets[a : b + 1]).tolist()
                 for i in range(b - a):
                     n = int(first[i + 1] - first[i])
-                    cut = spans[a + i].as_py() if spans[a + i].is_valid else []
+                    cut = factors(spans[a + i].as_py()) if spans[a + i].is_valid else []
                     on = np.ones(n, bool)
-                    for lo, hi in cut:
-                        on[lo:hi] = False
+                    for x in cut:
+                        on[x["start"] : x["start"] + x["words"]] = False
+                    parsed.append(cut)
                     sep = np.zeros(int(offsets[a + i + 1] - offsets[a + i]) + 1, np.int8)
                     base = offsets[a + i]
                     np.add.at(sep, s[first[i] : first[i + 1]][on] - base, 1)
@@ -152,18 +178,21 @@ def _cleaned(with_text: bool):
                     gone.append(int(n - on.sum()))
                     digest.append(hashlib.sha256(stays).hexdigest())
                     kept.append(stays.decode() if with_text else "")
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(version, pa.int64()), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())], names=["id", "version", "n_words", "n_removed", "kept_sha256", "kept_text"])
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(version, pa.int64()), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string()), pa.array(parsed, _FACTORS)], names=["id", "version", "n_words", "n_removed", "kept_sha256", "kept_text", "factors"])
             want = batch.column(3)
             yield out.filter(pc.or_kleene(pc.is_null(want), pc.equal(want, out.column(1))))
 
     return run
 
 
-_CLEAN = "id bigint, version bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
+_CLEAN = "id bigint, version bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, factors array<struct<start: int, words: int, ref: bigint, ref_start: int>>"
 
 
 def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 (and kept_text).
+    """One row per document: doc_id, n_words, n_removed, kept_sha256, factors (and kept_text).
+
+    factors are the removed runs of words: start, words, and the smaller
+    document (ref) and place (ref_start) that they are copied from.
 
     A word goes if a run of `window` words that covers it also starts in a
     document with a smaller id.  Null texts have no words.  A null id counts
@@ -176,12 +205,13 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     found = stash(source.mapInArrow(released(_factor(window, gram, key)), _PHRASE), f"{folder}/phrases")
 
     # The reference: each phrase under its smallest document.  Anchors with several phrases are factor boundaries.
-    phrase = found.groupBy("anchor", "phrase").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    first = F.min(F.struct("id", "start"))
+    phrase = found.groupBy("anchor", "phrase").agg(first["id"].alias("least"), first["start"].alias("ref_start"), F.max("id").alias("most"))
     phrase = stash(phrase, f"{folder}/reference")
     boundary = phrase.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", F.lit(True).alias("boundary"))
     matter = phrase.join(boundary, "anchor", "left").where("boundary OR least < most")
-    hit = stash(found.join(matter, ["anchor", "phrase"]).select("id", "version", "anchor", "start", "windows", "least", "boundary"), f"{folder}/hits")
-    whole = hit.where("id > least").select("id", "version", "start", (F.col("start") + F.col("windows") - 1 + window).alias("end"))
+    hit = stash(found.join(matter, ["anchor", "phrase"]).select("id", "version", "anchor", "start", "windows", "least", "ref_start", "boundary"), f"{folder}/hits")
+    whole = hit.where("id > least").select("id", "version", "start", (F.col("start") + F.col("windows") - 1 + window).alias("end"), F.col("least").alias("ref"), "ref_start")
 
     # Factor boundaries: the single windows, once for each different phrase.
     edge = hit.where("boundary AND id = least").groupBy("id", "version").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("at"))
@@ -189,20 +219,20 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM, id_col:
     texts = _texts(source, edge.select("id").distinct())
     single = texts.join(edge, "id").select("id", "version", "text", "at").mapInArrow(released(_boundary_windows(window, key)), "id bigint, version bigint, anchor bigint, window bigint, start int")
     single = stash(single, f"{folder}/windows")
-    least = single.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor", "window", "least")
-    part = single.join(least, ["anchor", "window"]).where("id > least").select("id", "version", "start", (F.col("start") + window).alias("end"))
+    least = single.groupBy("anchor", "window").agg(first["id"].alias("least"), first["start"].alias("ref_start"), F.max("id").alias("most")).where("least < most").drop("most")
+    part = single.join(least, ["anchor", "window"]).where("id > least").select("id", "version", "start", (F.col("start") + window).alias("end"), F.col("least").alias("ref"), "ref_start")
 
     # A document's spans are bounded by its length.
-    spans = whole.union(part).groupBy("id", "version").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
-    spans = stash(spans.select("id", "version", F.transform("spans", lambda x: F.array(x["start"], x["end"])).alias("spans")), f"{folder}/spans")
+    spans = whole.union(part).groupBy("id", "version").agg(F.array_sort(F.collect_set(F.struct("start", "end", "ref", "ref_start"))).alias("spans"))
+    spans = stash(spans, f"{folder}/spans")
     cut = _texts(source, spans.select("id").distinct()).join(spans, "id").select("id", "text", "spans", F.col("version").alias("want"))
     cleaned = cut.mapInArrow(released(_cleaned(with_text)), _CLEAN).dropDuplicates(["id", "version"])
-    every = source.select("id", "text", F.lit(None).cast("array<array<int>>").alias("spans"), F.lit(None).cast("bigint").alias("want")).mapInArrow(released(_cleaned(with_text)), _CLEAN)
+    every = source.select("id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), F.lit(None).cast("bigint").alias("want")).mapInArrow(released(_cleaned(with_text)), _CLEAN)
     every = stash(every, f"{folder}/every")
-    cleaned = cleaned.select("id", "version", *[F.col(c).alias(f"c_{c}") for c in ("n_removed", "kept_sha256", "kept_text")])
+    cleaned = cleaned.select("id", "version", *[F.col(c).alias(f"c_{c}") for c in ("n_removed", "kept_sha256", "kept_text", "factors")])
     out = every.join(cleaned, ["id", "version"], "left")
     best = lambda c: F.coalesce(f"c_{c}", c).alias(c)
-    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_words", best("n_removed"), best("kept_sha256"), *([best("kept_text")] if with_text else []))
+    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_words", best("n_removed"), best("kept_sha256"), best("factors"), *([best("kept_text")] if with_text else []))
 
 
 def _texts(source: DataFrame, ids: DataFrame) -> DataFrame:
@@ -212,7 +242,7 @@ def _texts(source: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def op7_relative_lz(spark, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("factors")
 
 
 def brute_force(docs: list[tuple], window: int = 50) -> list[tuple]:

@@ -101,7 +101,7 @@ def test_strings_made_to_collide(spark):
     bench = [(1, f"{a} " * 20), (2, " ".join(thue_morse(6)[0]))]
     got = decontaminate.decontaminate(frame(spark, docs), spark.createDataFrame(bench, "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_hit, r.n_items) for r in got) == sorted((x[0], x[2], x[3]) for x in decontaminate.brute_force(data, bench))
-    assert sorted(map(tuple, substring_dedup.substring_dedup(frame(spark, docs)).collect())) == sorted(substring_dedup.brute_force(data))
+    assert sorted(map(tuple, substring_dedup.substring_dedup(frame(spark, docs)).drop("factors").collect())) == sorted(substring_dedup.brute_force(data))
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.tokenizer_path())
@@ -116,7 +116,7 @@ def test_texts_beyond_a_slice(spark):
     docs = [sentence(20), huge, huge + " end", sentence(30), huge[100_000:400_000]]
     data = list(enumerate(docs))
     assert sorted(map(tuple, ngram_join.ngram_jaccard_join(frame(spark, docs), 4, 85).collect())) == sorted(ngram_join.brute_force(data))
-    assert sorted(map(tuple, substring_dedup.substring_dedup(frame(spark, docs)).collect())) == sorted(substring_dedup.brute_force(data))
+    assert sorted(map(tuple, substring_dedup.substring_dedup(frame(spark, docs)).drop("factors").collect())) == sorted(substring_dedup.brute_force(data))
     item = " ".join(huge.split()[250_000:250_040])
     got = decontaminate.decontaminate(frame(spark, docs), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert {r.doc_id for r in got if r.n_hit >= 40} == {1, 2} and all(r.n_words == len(docs[r.doc_id].split()) for r in got)
@@ -446,7 +446,14 @@ def test_shards_edges(spark):
 @pytest.mark.parametrize("window", [50, 12])
 def test_substring_dedup(spark, texts, window):
     got = substring_dedup.substring_dedup(frame(spark, texts).repartition(3), window, gram=min(10, window // 2))
-    assert sorted(map(tuple, got.collect())) == sorted(substring_dedup.brute_force(list(enumerate(texts)), window))
+    w = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    rows = got.collect()
+    for r in rows:  # factors are copies from smaller documents, in order, and make up what is removed
+        assert sum(f.words for f in r.factors) == r.n_removed and all(f.ref < r.doc_id for f in r.factors)
+        assert all(w[r.doc_id][f.start : f.start + f.words] == w[f.ref][f.ref_start : f.ref_start + f.words] for f in r.factors)
+        assert all(a.start + a.words <= b.start for a, b in zip(r.factors, r.factors[1:], strict=False))
+    assert max(f.words for r in rows for f in r.factors) > 2 * window  # one factor, not many windows
+    assert sorted(map(tuple, got.drop("factors").collect())) == sorted(substring_dedup.brute_force(list(enumerate(texts)), window))
 
 
 def test_substring_dedup_text_and_edges(spark):
