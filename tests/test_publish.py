@@ -33,6 +33,16 @@ def test_ddl_round_trip():
     assert facts(back) == facts(t)
 
 
+def test_ddl_quotes_and_brackets():
+    t = ddl.parse("""CREATE TABLE s.t ("a b" numeric(10, 2) NOT NULL DEFAULT 0.5, c varchar(9) DEFAULT 'x, (y' NOT NULL, d timestamp(3) with time zone NULL, e int[] DEFAULT ARRAY[1,2], f text CHECK (f IN ('a', 'b')) DEFAULT concat('a', 'NOT NULL'), g int UNIQUE PRIMARY KEY)""")
+    got = [(c.name, c.data_type, c.char_length, c.precision, c.scale, c.nullable, c.default) for c in t.columns]
+    assert got == [
+        ("a b", "numeric", None, 10, 2, False, "0.5"), ("c", "varchar", 9, None, None, False, "'x, (y'"), ("d", "timestamp with time zone", None, None, None, True, None),
+        ("e", "int[]", None, None, None, True, "ARRAY[1,2]"), ("f", "text", None, None, None, True, "concat('a', 'NOT NULL')"), ("g", "int", None, None, None, False, None),
+    ]
+    assert [(c.kind, c.columns) for c in t.constraints] == [("pk", ("g",)), ("uk", ("g",))]
+
+
 def test_ddl_inline_and_alter():
     text = 'CREATE TABLE s.t (a serial PRIMARY KEY, b varchar(5) UNIQUE, c int NOT NULL REFERENCES x(y)); ALTER TABLE s.t ADD CONSTRAINT f FOREIGN KEY (a, c) REFERENCES s.u (p, q); CREATE INDEX i ON s.t USING hash (b);'
     t = ddl.parse(text)
