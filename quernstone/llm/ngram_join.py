@@ -254,22 +254,23 @@ class _Join:
 
     def compared(self, pairs: DataFrame, name: str, tokens: bool) -> DataFrame:
         """Pairs (a, b), distinct, with n_a, n_b, d and tokens, on full sets; pairs that bitmaps show to be too far apart are left out."""
+        # Members look up their pairs, so what is long moves once, to its hub.
         side = lambda s: self.bitmaps.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"map_{s}"))
-        both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("d", least_difference("map_a", "map_b"))
+        pairs = stash(pairs, f"{self.folder}/{name}-pairs")
+        both = side("b").join(_few(pairs), "b").join(side("a"), "a").withColumn("d", least_difference("map_a", "map_b"))
         may = (comparable if tokens else linked)(F.col("d"), F.col("n_a"), F.col("n_b"), self.percent)
         pairs = stash(both.where(may).select("a", "b"), f"{self.folder}/{name}-near")
-        ids = stash(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), f"{self.folder}/{name}-ids")
-        texts = self.source.join(_few(ids), "id", "left_semi")
-        text = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
-        full = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
+        hubs = stash(pairs.select("a").distinct(), f"{self.folder}/{name}-hubs")
+        text = lambda s: self.source.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
+        full = text("b").join(_few(pairs), "b").join(text("a").join(_few(hubs), "a", "left_semi"), "a").select("a", "b", "text_a", "text_b")
         out = full.mapInArrow(released(_differences(self.k, self.percent, self.key, tokens)), "a bigint, b bigint, n_a bigint, n_b bigint, d bigint, tokens array<bigint>")
-        return stash(out, f"{self.folder}/{name}", PAIR_ROWS)
+        return stash(out, f"{self.folder}/{name}-compared", PAIR_ROWS)
 
     def hubs(self, lists: DataFrame, score: DataFrame, name: str) -> DataFrame:
         """(token, a, n_a): the hub of each list of several members, the one whose prefix is shared most."""
         best = F.max_by(F.struct("node", "n"), F.struct("score", -F.col("node")))
         hub = lists.join(score, "node").groupBy("token").agg(best.alias("hub"), F.count("*").alias("members")).where("members > 1")
-        return stash(hub.select("token", F.col("hub.node").alias("a"), F.col("hub.n").cast("bigint").alias("n_a")), f"{self.folder}/{name}-hubs")
+        return stash(hub.select("token", F.col("hub.node").alias("a"), F.col("hub.n").cast("bigint").alias("n_a")), f"{self.folder}/{name}-lists")
 
     def hub_round(self, lists: DataFrame, hub: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Links with hubs, lists of differences, and the lists of members far from their hubs."""
@@ -277,8 +278,7 @@ class _Join:
         mine = stash(lists.join(_few(hub), "token").where("node <> a"), f"{self.folder}/{name}-mine")
         # Sets whose sizes differ too much are far apart, and need no comparison.
         near_size = comparable(F.abs(F.col("n") - F.col("n_a")), F.col("n_a"), F.col("n"), p)
-        pairs = stash(mine.where(near_size).select("a", F.col("node").alias("b")).distinct(), f"{self.folder}/{name}-pairs")
-        got = self.compared(pairs, f"{name}-compared", tokens=True)
+        got = self.compared(mine.where(near_size).select("a", F.col("node").alias("b")).distinct(), name, tokens=True)
 
         # w of the members that a near one may be linked with, the hub among them.
         band = got.where("tokens IS NOT NULL").withColumn("w", (100 + p) * F.col("d") - (100 - p) * F.col("n_b"))
@@ -346,7 +346,7 @@ class _Join:
         links = reduce(DataFrame.unionByName, stars)
         label = _few(components(links))
         pairs = reduce(DataFrame.unionByName, [*(self.apart(d, label) for d in dealt), self.rest(lists, label)]).distinct()
-        found = self.compared(stash(pairs, f"{self.folder}/apart"), "apart-compared", tokens=False)
+        found = self.compared(pairs, "apart", tokens=False)
         links = links.unionByName(found.where(linked(F.col("d"), F.col("n_a"), F.col("n_b"), p)).select("a", "b"))
 
         of = classes.select("sig1", "sig2", "node").join(components(links), "node", "left").select("sig1", "sig2", F.coalesce("component", "node").alias("component"))
