@@ -6,6 +6,11 @@ repeat, so stages that drop copies judge rows by a key of their own.  Rows are
 dropped by an anti join with the keys that a stage removes: these are few next
 to the texts, so up to a checked size they are broadcast and no text is
 shuffled.
+
+Every stage takes documents with any further columns and hands them on; a
+column row_key, held_out, lang_pred, score or one that decontaminate adds is an
+error.  Null texts are no language and go in the first stage; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from quernstone.llm.packing import best_fit_pack, tokenizer_path
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """docs with row_key, a bigint that only rows of equal id and text share: the id if none is null or repeats, else a hash."""
+    if "row_key" in docs.columns:
+        raise ValueError("column row_key is taken")
     odd = docs.where("doc_id IS NULL").take(1) or docs.groupBy("doc_id").count().where("count > 1").take(1)
     return docs.withColumn("row_key", F.xxhash64(F.lit(19), "doc_id", "text") if odd else F.col("doc_id").cast("bigint"))
 
