@@ -16,7 +16,7 @@ from ..operators import metrics as M
 from ..operators import retrieval as Q
 from ..operators import stats as S
 from ..operators.candidates import Candidate
-from ..sources.catalog import Catalog, Constraint, preview_sample
+from ..sources.catalog import Catalog, Constraint, Table, preview_sample
 from ..streaming.profile import windowed_profile
 from . import twins as W
 from .discover import discover, score
@@ -62,8 +62,12 @@ def star_catalog(spark: SparkSession, d: str, keys: bool = True) -> Catalog:
 
 
 def profiled(spark: SparkSession, d: str, keys: bool = True) -> Profile:
-    """Profiles of all star tables; a table that could not be profiled fails the query."""
-    p = profile_catalog(star_catalog(spark, d, keys), SHIPPED)
+    """Profiles of all star tables."""
+    return _whole(profile_catalog(star_catalog(spark, d, keys), SHIPPED))
+
+
+def _whole(p: Profile) -> Profile:
+    """p; a table that could not be profiled fails the query."""
     if p.failed:
         raise RuntimeError(f"tables could not be profiled: {p.failed}")
     return p
@@ -209,6 +213,32 @@ def discover_relationships(spark, d):
     return out.select("relationship_id", "source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", F.round("composite_score", 4).alias("composite_score"), "decision", "reason", "discovery_method")
 
 
+#: Foreign keys of the star tables, each a single column.
+FOREIGN = [("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey")]
+
+
+def foreign_key_relationships(spark, d):
+    """What is found where foreign keys are known: they are taken as they are, and no candidate states them again."""
+    known = {n: [Constraint("pk", tuple(k), f"{n}_pkey")] for n, k in KEYS.items()}
+    for s, a, t, b in FOREIGN:
+        known.setdefault(s, []).append(Constraint("fk", (a,), f"{s}_{a}", ("public", t, (b,))))
+    out = discover(_whole(profile_catalog(Catalog.from_parquet(spark, d, STAR, known), SHIPPED)))
+    stated = out.where("discovery_method = 'foreign_key_constraint' OR decision = 'accepted'")
+    return stated.select("relationship_id", "source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", "decision", "discovery_method")
+
+
+def composite_relationships(spark, d):
+    """Two tables with a unique constraint on two columns and a unique number: the composite hides the single one."""
+    li = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_id"), "l_extendedprice")
+    line = (F.col("order_id") * 10_000_000 + F.col("part_id")).alias("line_id")
+    parts = li.groupBy("order_id", "part_id").agg(F.count("*").alias("n_lines")).select("order_id", "part_id", line, "n_lines")
+    values = li.where("part_id % 2 = 0").groupBy("order_id", "part_id").agg(F.sum("l_extendedprice").alias("line_value")).select("order_id", "part_id", line, "line_value")
+    unique = lambda n: [Constraint("uk", ("order_id", "part_id"), f"{n}_key", unique=True)]
+    tables = [Table(n, df, constraints=unique(n)) for n, df in (("line_part", parts), ("line_value", values))]
+    out = discover(_whole(profile_catalog(Catalog(spark, tables), SHIPPED)))
+    return out.select("source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", F.round("composite_score", 4).alias("composite_score"), "decision", "reason", "discovery_method")
+
+
 def graph_edges(spark, d):
     found = discover(profiled(spark, d)).where("decision = 'accepted'")
     return G.join_edges(found).select("src", "dst", "cardinality", "on", "relationship_id")
@@ -307,7 +337,7 @@ def queries() -> dict:
     found = (
         row_counts, col_null_rate, col_uniqueness, col_numeric_stats, col_length_stats, value_distribution, full_profile_lineitem, corpus_text_profile,
         complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, column_roles, table_categories,
-        inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, graph_edges, graph_statistics,
+        inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, foreign_key_relationships, composite_relationships, graph_edges, graph_statistics,
         dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_upsert, example_ids, retrieval_objects,
         sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile,
     )
@@ -361,6 +391,28 @@ def _scores_sql() -> str:
     )
 
 
+def _foreign_sql(related: str) -> str:
+    """The foreign keys, N:1 unless the source column is nearly unique too, and accepted candidates between other columns."""
+    name = lambda s, a, t, b: f"'rel_' || substr(md5('public.{s}.[{a}]->public.{t}.[{b}]'), 1, 12)"
+    stated = [f"SELECT {name(*k)} AS relationship_id, 'public.{k[0]}' AS source, '{k[1]}' AS source_columns, 'public.{k[2]}' AS target, '{k[3]}' AS target_columns, CASE WHEN round(count(DISTINCT {k[1]}) / count(*), 4) >= 0.95 THEN '1:1' ELSE 'N:1' END AS cardinality, 'accepted' AS decision, 'foreign_key_constraint' AS discovery_method FROM {k[0]}" for k in FOREIGN]
+    ends = ", ".join(f"('public.{s}.{a}', 'public.{t}.{b}'), ('public.{t}.{b}', 'public.{s}.{a}')" for s, a, t, b in FOREIGN)
+    found = f"SELECT relationship_id, source, source_columns, target, target_columns, cardinality, decision, 'active_search' AS discovery_method FROM ({related}) WHERE decision = 'accepted' AND (source || '.' || source_columns, target || '.' || target_columns) NOT IN ({ends})"
+    return " UNION ALL ".join([*stated, found])
+
+
+_COMPOSITE_SQL = """
+WITH a AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem), b AS (SELECT * FROM a WHERE p % 2 = 0),
+n AS (SELECT (SELECT count(*) FROM a) AS na, (SELECT count(*) FROM b) AS nb, (SELECT count(*) FROM a JOIN b USING (o, p)) AS shared),
+d(source, target, share) AS (SELECT 'line_part', 'line_value', shared / na FROM n UNION ALL SELECT 'line_value', 'line_part', shared / nb FROM n),
+s AS (SELECT source, target, 0.55 * share + 0.2 * shared / (na + nb - shared) + 0.15 + 0.1 AS score FROM d, n),
+c(cols, single, method) AS (VALUES ('order_id,part_id', false, 'physical_constraint_matching'), ('line_id', true, 'logical_key_matching'))
+SELECT 'public.' || source AS source, cols AS source_columns, 'public.' || target AS target, cols AS target_columns, '1:1' AS cardinality, round(score, 4) AS composite_score,
+       CASE WHEN score >= 0.65 AND NOT single THEN 'accepted' ELSE 'rejected' END AS decision,
+       CASE WHEN score < 0.65 THEN 'below_threshold' WHEN single THEN 'suppressed_by_composite' END AS reason, method AS discovery_method
+FROM s, c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     # Rounded half up on whole numbers: 9 of 60000 is 0.0002 in any engine.
     share = lambda n: f"((20000 * ({n}) + count(*)) // (2 * count(*))) / 10000.0"
@@ -392,6 +444,8 @@ def oracle_sql() -> dict[str, str]:
         "column_roles": f"SELECT t AS \"table\", c AS \"column\", kind AS data_type, role, confidence, basis FROM ({W.roles(COLUMNS, KEYS)})",
         "table_categories": f"SELECT t AS \"table\", category, confidence, basis, total_columns, identifier_count, metric_count, datetime_count FROM ({W.categories(COLUMNS, KEYS)})",
         "discover_relationships": f"SELECT relationship_id, source, source_columns, target, target_columns, cardinality, round(score, 4) AS composite_score, decision, reason, 'logical_key_matching' AS discovery_method FROM ({related})",
+        "foreign_key_relationships": _foreign_sql(related),
+        "composite_relationships": _COMPOSITE_SQL,
         "graph_edges": edges,
         "graph_statistics": f"SELECT 'table' AS kind, count(DISTINCT t) AS count FROM ({W.profiles(COLUMNS, KEYS)}) UNION ALL SELECT unnest(['column', 'has_column']), count(*) FROM ({W.profiles(COLUMNS, KEYS)}) UNION ALL SELECT 'join_on', count(*) FROM ({edges})",
         "retrieval_objects": f"SELECT 'table' AS object_type, 'public.' || k.t AS object_id, 'public.' || k.t AS parent_id, (SELECT min_by(c, ord) FROM ({W.roles(COLUMNS, KEYS)}) r WHERE r.t = k.t AND role = 'datetime') AS time_col_hint, category AS table_category FROM ({W.categories(COLUMNS, KEYS)}) k",
