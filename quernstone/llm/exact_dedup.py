@@ -128,7 +128,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         members = members.select("locator", "digest", "bytes", "keeper").unionByName(texts.join(replaced, "locator").select("locator", "digest", "bytes", "keeper"))
     keepers = _contents(own, stash(wanted.distinct()), resumed, text_col).select(F.col("locator").alias("keeper"), F.col("bytes").alias("keeper_bytes"))
     keepers = keepers.join(few, "keeper").select("digest", "keeper_bytes")
-    members.join(keepers, "digest").where("bytes <> keeper_bytes").select("digest").distinct().write.parquet(f"{folder}/false/{uuid.uuid4().hex}")
+    # Made distinct only when read again, so that Spark may split a large group in the join.
+    members.join(keepers, "digest").where("bytes <> keeper_bytes").select("digest").write.parquet(f"{folder}/false/{uuid.uuid4().hex}")
     split = stash(spark.read.schema("digest string").parquet(f"{folder}/false/*").distinct())
     if split.take(1):
         out = _regroup(own, everything, out, split, resumed, text_col)
