@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows of 8 to 16 bytes that may be broadcast: a few dozen MB in each executor.
 BROADCAST_ROWS = 1_000_000
+#: Bytes, as JSON, of rows with strings or arrays that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Stands for a missing document id: larger than every other one.
 NO_ID = (1 << 63) - 1
 
@@ -43,6 +45,12 @@ def stash(df: DataFrame, path: str | None = None, arrow_rows: int | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A stashed df with strings or arrays, to be broadcast up to a checked number of bytes."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def unstash(df: DataFrame) -> None:
     """Deletes a stashed table that nothing reads any more."""
     spark = df.sparkSession

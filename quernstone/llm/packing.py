@@ -98,8 +98,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS)
     Pieces are dealt to tasks by a hash of their whole row and each task packs
     its own as they come, the longest of each Arrow batch first; a task leaves
     at most `open_bins` bins that could have held more.  Ids are unique over
-    all tasks.
+    all tasks.  Columns sequence_id and offset of parts are an error.
     """
+    taken = {"sequence_id", "offset"} & set(parts.columns)
+    if taken:
+        raise ValueError(f"columns are taken: {sorted(taken)}")
     at = parts.columns.index("length")
     schema = f"{parts.schema.simpleString()[7:-1]}, sequence_id bigint, offset bigint"
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, among, shared_folder, stash, table
+from .common import BROADCAST_ROWS, among, shared_folder, small, stash, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns, with possessive repeats and with starts only where a
@@ -134,7 +134,6 @@ def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings:
     held = among(_once(base.where(F.size("entities") > 0).select("key", "body", "terms"), copies), bodies, "body")
     held = stash(held.select("body", "same", "terms"), f"{folder}/held").select("body", "same", F.explode("terms").alias("term"))
     shared = stash(_texts(held, ["term"], "at_most").where(F.col("at_most") >= surroundings), f"{folder}/shared")
-    few = lambda terms: F.broadcast(terms) if terms.count() <= BROADCAST_ROWS // 4 else terms
     words = base_spans(_once(rows.select("key", "body", "text"), copies), "text").select("same", F.explode(_terms("text", "_base")).alias("term"))
     # Beyond a broadcast the words are counted before they are joined.
     if shared.count() <= BROADCAST_ROWS // 4:
@@ -142,7 +141,7 @@ def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings:
     of_term = _texts(words, ["term"], "with_term").join(shared, "term")
     slack = 1 + 1e-9
     of_term = stash(of_term.where((F.col("with_term") <= most * slack) & (F.col("with_term") * least_share <= F.col("at_most") * slack)), f"{folder}/terms")
-    pair = held.join(few(of_term), "term").join(mine, "body").where(F.col("with_term") * F.col("share") <= F.least("with_entity", "at_most") * slack)
+    pair = held.join(small(of_term), "term").join(mine, "body").where(F.col("with_term") * F.col("share") <= F.least("with_entity", "at_most") * slack)
     both = _texts(pair, ["entity", "term", "with_entity", "with_term"], "both").where(F.col("both") >= surroundings)
     content = F.log2(F.lit(float(total)) / F.col("with_entity"))
     pmi = F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
@@ -169,9 +168,9 @@ def sanitise(docs: DataFrame, threshold: float = 0.5, surroundings: int = 3, id_
 
     # Documents that hold an entity lose the terms that disclose it.
     held = base.where(F.size("entities") > 0).select("key", "entities", F.explode("terms").alias("term"))
-    held = held.join(F.broadcast(told) if told.count() <= BROADCAST_ROWS // 4 else told, "term").where(F.array_contains("entities", F.col("entity")))
+    held = held.join(small(told), "term").where(F.array_contains("entities", F.col("entity")))
     mine = stash(held.groupBy("key").agg(F.collect_set("term").alias("mask")), f"{folder}/mask")
-    hit = rows.join(F.broadcast(mine) if mine.count() <= BROADCAST_ROWS // 16 else mine, "key").dropDuplicates(["key"])
+    hit = rows.join(small(mine), "key").dropDuplicates(["key"])
     hit = hit.withColumn("_words", F.regexp_extract_all("text", F.lit(WORD), 0))
     places = located(F.col("text"), WORD, F.col("_words"), "term", len(KINDS), lambda m: F.array_contains("mask", F.lower(m)))
     more = hit.select("key", F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("more"))

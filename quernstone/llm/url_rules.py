@@ -15,7 +15,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, stash, table
+from .common import small, stash, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label=bad"
@@ -86,12 +86,11 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """
     item = rules.select("rule_id", "items", F.explode("items").alias("item"))
     held = urls.select(F.explode("items").alias("item"))
-    items = item.select("item").distinct()
-    count = held.join(F.broadcast(items) if items.count() <= BROADCAST_ROWS else items, "item").groupBy("item").count()
+    items = stash(item.select("item").distinct())
+    count = held.join(small(items), "item").groupBy("item").count()
     best = Window.partitionBy("rule_id").orderBy("count", "item")
     index = stash(item.join(count, "item").withColumn("at", F.row_number().over(best)).where("at = 1").select("item", F.col("items").alias("rule_items")))
-    index = F.broadcast(index) if index.count() <= BROADCAST_ROWS // 16 else index
-    near = urls.select("url", "items", F.explode("items").alias("item")).join(index, "item")
+    near = urls.select("url", "items", F.explode("items").alias("item")).join(small(index), "item")
     return near.where(F.size(F.array_except("rule_items", "items")) == 0).select("url").distinct()
 
 

@@ -364,6 +364,8 @@ def test_language_id_edges(spark):
     got = {r.doc_id: r for r in language_id.identify(docs).collect()}
     assert got[100].lang_pred == got[101].lang_pred == "und" and got[102].lang_pred == "fr" and got[None].lang_pred == "en" and got[103].lang_pred in ("en", "fr")
     assert got[None].held_out is False
+    und = language_id.identify(docs.union(spark.createDataFrame([(104, "½ ² Ⅳ 12", None, "", "")], DOCS))).where("doc_id = 104").first()
+    assert (und.lang_pred, und.score) == ("und", 0.0)  # numbers are no letters
     unlabelled = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string")))
     assert unlabelled.where("lang_pred <> 'und'").count() == 0 and language_id.identify(empty(spark)).count() == 0
 
@@ -516,6 +518,8 @@ def test_bounded_best_fit():
 def test_packing_edges(spark):
     path = packing.tokenizer_path()
     assert packing.best_fit_pack(empty(spark), path).count() == 0
+    with pytest.raises(ValueError, match="offset"):
+        packing.pack(spark.createDataFrame([(1, 2)], "length bigint, offset bigint"))
     rows = packing.best_fit_pack(spark.createDataFrame([(None, None, "", "", ""), (1, "a", "", "", ""), (1, "a", "", "", "")], DOCS), path).collect()
     assert sorted((r.doc_id or 0, r.length) for r in rows) == [(0, 1), (1, 2), (1, 2)]
 
