@@ -13,7 +13,7 @@ from quernstone.operators import retrieval as Q
 from quernstone.operators import sqlcheck as C
 from quernstone.plans.profile import profile_catalog
 from quernstone.sources import ddl, documents
-from quernstone.sources.catalog import Catalog, Column, Constraint, Table, excluded, head_sample, pg_array, preview_sample, schemas, table_exists
+from quernstone.sources.catalog import Catalog, Column, Constraint, Table, excluded, head_sample, pg_array, preview_sample, row_estimate, schemas, table_exists
 from quernstone.streaming.profile import drift, windowed_profile
 
 
@@ -187,6 +187,11 @@ def test_dim_values(spark):
     assert {r.value[0]: r.embedding for r in out.collect()} == {"a": [1.0], "b": None}
 
 
+def test_row_estimate(spark, sf):
+    assert row_estimate(spark.range(10)) == 10
+    assert row_estimate(spark.read.parquet(f"{sf}/lineitem.parquet")) > 0
+
+
 def test_top_k(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, [1.0])], "vec_id bigint, embedding array<float>")
     assert [r.vec_id for r in Q.top_k(v, [2.0, 0.0], 3).collect()] == [1, 2, 3]
