@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import ALNUM_LOWER, new_key, released, slices, text_bytes, windows, words
+from .textscan import ALNUM_LOWER, new_key, released, slices, text_bytes, windows, word_places, words
 
 #: Words of a seed, or fewer where a window has fewer.
 SEED = 4
@@ -118,14 +118,9 @@ class TestSuffixes:
 
 def _suffixes(items: list[tuple[str, str]], window: int, key: int) -> list[TestSuffixes]:
     """The items by the length of their seed, so that short ones do not shorten the seeds of all."""
-    groups: dict[int, tuple[list, list]] = {}
-    for i, t in items:
-        data, offsets = text_bytes(pa.array([t], pa.string()))
-        n = len(words(data, offsets, ALNUM_LOWER, key)[0])
-        ids, texts = groups.setdefault(min(n, SEED), ([], []))
-        ids.append(i)
-        texts.append(t)
-    return [TestSuffixes(*groups[n], window, key) for n in sorted(groups) if n]
+    seeds = np.minimum(np.diff(word_places(*text_bytes(pa.array([t for _, t in items], pa.string())), ALNUM_LOWER)[2]), SEED)
+    groups = {n: [items[i] for i in np.flatnonzero(seeds == n).tolist()] for n in np.unique(seeds[seeds > 0]).tolist()}
+    return [TestSuffixes([i for i, _ in own], [t for _, t in own], window, key) for own in groups.values()]
 
 
 def _longest(tests: TestSuffixes, row: np.ndarray, place: np.ndarray, which: np.ndarray):
