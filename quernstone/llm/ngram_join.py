@@ -20,8 +20,9 @@ steers the cost, any order gives the same links.
    w(x) + w(y*) <= 0 are linked with the member y* of least w, and the few
    others are found by a second prefix join, on the differences: its lists are
    short, since edits of near copies are seldom the same.
-4. Members too far from their hub for this get another hub, some rounds long;
-   pairs of what then is left are verified one by one.  Pairs inside a
+4. Members too far from their hub for this get another hub, for some rounds or
+   until no more pairs are left in their lists than there are postings; these
+   are then verified one by one.  Pairs inside a
    component cannot change the components and are not looked at.  A large
    group of near copies thus costs a star, not a square.
 
@@ -47,8 +48,8 @@ from .textscan import SPACED_LOWER, mix, new_key, released, shingles, slices, te
 FREQUENT, BLOCK_SETS, BLOCK_SHINGLES = 3, 8192, 3_000_000
 #: Frequent shingles that the order knows; 12 bytes each.
 RANKED = 1 << 20
-#: Hubs that a list tries before pairs of what is left are verified one by one.
-ROUNDS = 3
+#: Hubs that a list tries, and pairs for each posting below which none is tried, before pairs of what is left are verified one by one.
+ROUNDS, DIRECT = 3, 1.0
 #: Rows of an Arrow batch of documents, and of pairs of documents.
 ROWS, PAIR_ROWS = 1000, 200
 
@@ -335,14 +336,15 @@ class _Join:
         score = stash(lists.groupBy("node").agg((F.count("*") / F.max(size)).alias("score")), f"{self.folder}/scores")
         score = _few(score)
 
-        stars, dealt = [], []
+        stars, dealt, postings = [], [], lists.count()
         for k in range(ROUNDS):
             hub = self.hubs(lists, score, f"round{k}")
-            if k and not hub.take(1):
-                break
             star, differences, lists = self.hub_round(lists, hub, f"round{k}")
             stars.append(stash(star, f"{self.folder}/star{k}"))
             dealt.append(differences)
+            left = lists.groupBy("token").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0] or 0
+            if left <= DIRECT * postings:
+                break
         links = reduce(DataFrame.unionByName, stars)
         label = _few(components(links))
         pairs = reduce(DataFrame.unionByName, [*(self.apart(d, label) for d in dealt), self.rest(lists, label)]).distinct()

@@ -137,8 +137,10 @@ def test_ngram_join(spark, texts, k, percent):
     assert sorted(map(tuple, got.collect())) == sorted(ngram_join.brute_force(list(enumerate(texts)), k, percent))
 
 
-def test_ngram_join_chains_and_hot_groups(spark):
-    """A long chain of near copies, and many copies of one text with one word changed."""
+@pytest.mark.parametrize("direct", [1.0, -1.0])
+def test_ngram_join_chains_and_hot_groups(spark, monkeypatch, direct):
+    """A long chain of near copies, and many copies of one text with one word changed, with one hub for each list and with several."""
+    monkeypatch.setattr(ngram_join, "DIRECT", direct)
     w = sentence(60).split()
     chain = []
     for i in range(25):
