@@ -418,7 +418,9 @@ def oracle_sql() -> dict[str, str]:
     share = lambda n: f"((20000 * ({n}) + count(*)) // (2 * count(*))) / 10000.0"
     text = lambda c: f"CAST({c} AS VARCHAR)"
     dims = [(n, c) for n, cols in DIMS.items() for c in cols]
-    related = W.relationships(_metrics_sql([(s, (a,), t, (b,)) for s, a, t, b, *_ in W.ALIKE]), _CARDINALITY)
+    measured = lambda pairs: _metrics_sql([(s, (a,), t, (b,)) for s, a, t, b, *_ in pairs])
+    related = W.relationships(measured(W.ALIKE), _CARDINALITY)
+    discovered = W.discovered(measured([*W.ALIKE, *W.ALIKE_IF_KEY]), _CARDINALITY, COLUMNS)
     turn = lambda a, b: f"CASE WHEN cardinality = '1:N' THEN {b} ELSE {a} END"
     edges = f"SELECT {turn('source', 'target')} AS src, {turn('target', 'source')} AS dst, CASE WHEN cardinality = '1:N' THEN 'N:1' ELSE cardinality END AS cardinality, 'SRC.' || {turn('source_columns', 'target_columns')} || ' = DST.' || {turn('target_columns', 'source_columns')} AS \"on\", relationship_id FROM ({related}) WHERE decision = 'accepted'"
     cosine = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
@@ -443,7 +445,7 @@ def oracle_sql() -> dict[str, str]:
         "logical_keys": f"SELECT t AS \"table\", column_set, confidence FROM ({W.logical_keys(COLUMNS)})",
         "column_roles": f"SELECT t AS \"table\", c AS \"column\", kind AS data_type, role, confidence, basis FROM ({W.roles(COLUMNS, KEYS)})",
         "table_categories": f"SELECT t AS \"table\", category, confidence, basis, total_columns, identifier_count, metric_count, datetime_count FROM ({W.categories(COLUMNS, KEYS)})",
-        "discover_relationships": f"SELECT relationship_id, source, source_columns, target, target_columns, cardinality, round(score, 4) AS composite_score, decision, reason, 'logical_key_matching' AS discovery_method FROM ({related})",
+        "discover_relationships": f"SELECT relationship_id, source, source_columns, target, target_columns, cardinality, round(score, 4) AS composite_score, decision, reason, 'logical_key_matching' AS discovery_method FROM ({discovered})",
         "foreign_key_relationships": _foreign_sql(related),
         "composite_relationships": _COMPOSITE_SQL,
         "graph_edges": edges,

@@ -126,12 +126,31 @@ ALIKE = [
 ]
 
 
-def relationships(metrics: str, cardinality: str) -> str:
-    """Scored relationships between the pairs of ALIKE, each named source.column->target.column in `metrics`."""
-    rows = ", ".join(f"('{s}.{a}->{t}.{b}', '{s}', '{a}', '{t}', '{b}', 2.0 * {m} / {n}, {kind})" for s, a, t, b, m, n, kind in ALIKE)
+#: More such pairs, where the supplier's nation happens to be a key: in small tables.
+ALIKE_IF_KEY = [
+    ("supplier", "s_nationkey", "nation", "n_nationkey", 10, 22, 1.0),
+    ("supplier", "s_nationkey", "customer", "c_nationkey", 10, 22, 1.0),
+    ("supplier", "s_nationkey", "region", "r_regionkey", 7, 22, 1.0),
+    ("region", "r_regionkey", "supplier", "s_nationkey", 7, 22, 1.0),
+    ("supplier", "s_nationkey", "part", "p_partkey", 6, 20, 0.9),
+    ("part", "p_partkey", "supplier", "s_nationkey", 6, 20, 0.9),
+]
+
+
+def relationships(metrics: str, cardinality: str, pairs: Sequence[tuple] = ALIKE) -> str:
+    """Scored relationships between the pairs, each named source.column->target.column in `metrics`."""
+    rows = ", ".join(f"('{s}.{a}->{t}.{b}', '{s}', '{a}', '{t}', '{b}', 2.0 * {m} / {n}, {kind})" for s, a, t, b, m, n, kind in pairs)
     return (
         f"WITH m AS ({metrics}), p(relationship, s, a, t, b, names, types) AS (VALUES {rows}), "
         f"scored AS (SELECT *, 0.55 * inclusion_rate + 0.2 * jaccard_index + 0.15 * names + 0.1 * types AS score, {cardinality} AS cardinality FROM m JOIN p USING (relationship)) "
         "SELECT 'rel_' || substr(md5('public.' || s || '.[' || a || ']->public.' || t || '.[' || b || ']'), 1, 12) AS relationship_id, 'public.' || s AS source, a AS source_columns, 'public.' || t AS target, b AS target_columns, "
-        "cardinality, score, CASE WHEN score >= 0.65 THEN 'accepted' ELSE 'rejected' END AS decision, CASE WHEN score < 0.65 THEN 'below_threshold' END AS reason FROM scored"
+        "cardinality, names, score, CASE WHEN score >= 0.65 THEN 'accepted' ELSE 'rejected' END AS decision, CASE WHEN score < 0.65 THEN 'below_threshold' END AS reason FROM scored"
+    )
+
+
+def discovered(metrics: str, cardinality: str, tables: Tables) -> str:
+    """Relationships from keys that are found, not known: names must be alike by 0.6 where the target is a key too, else by 0.9."""
+    return (
+        f"WITH k AS MATERIALIZED (SELECT 'public.' || t AS t, column_set AS c FROM ({logical_keys(tables)})), r AS ({relationships(metrics, cardinality, [*ALIKE, *ALIKE_IF_KEY])}) "
+        "SELECT * FROM r WHERE (source, source_columns) IN (SELECT t, c FROM k) AND (names >= 0.9 OR (target, target_columns) IN (SELECT t, c FROM k))"
     )
