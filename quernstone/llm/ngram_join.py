@@ -108,7 +108,8 @@ def _frequent(k: int, key: int):
         def flush():
             if not held:
                 return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64())], names=["shingle", "sets"])
-            x = np.sort(np.concatenate(list(held.values())))
+            x = np.concatenate(list(held.values()))
+            x.sort()
             begin = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
             count = np.diff(np.append(begin, len(x)))
             on = count >= FREQUENT

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Longer words are hashed one by one.
 LONG = 64
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
