@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, ngram_join, packing, pii, sharding, sql, substring_dedup, token_rollup, url_rules
+from . import centroids, decontaminate, exact_dedup, language_id, ngram_join, packing, pii, sharding, spelling, sql, substring_dedup, token_rollup, url_rules, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,19 @@ def queries() -> dict:
         "op8_best_fit": packing.op8_best_fit,
         "op9_url_rules": url_rules.op9_url_rules,
         "op10_token_rollup": token_rollup.op10_token_rollup,
+        "op11_reduced_alphabet": spelling.op11_reduced_alphabet,
+        "op12_warc": warc.op12_warc,
+        "op13_subvector_centroids": centroids.op13_subvector_centroids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": sql.OP1, "op2_decontaminate": sql.OP2, "op3_exact_dedup": sql.OP3, "op7_relative_lz": sql.OP7}
+    return {
+        "op1_ngram_join": sql.OP1,
+        "op2_decontaminate": sql.OP2,
+        "op3_exact_dedup": sql.OP3,
+        "op7_relative_lz": sql.OP7,
+        "op11_reduced_alphabet": sql.OP11,
+        "op12_warc": sql.OP12,
+        "op13_subvector_centroids": sql.OP13,
+    }

@@ -48,3 +48,63 @@ a AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w
 k AS (SELECT a.doc_id, count(*) FILTER (WHERE x.p IS NOT NULL) AS n_removed, string_agg(CASE WHEN x.p IS NULL THEN word END, ' ' ORDER BY a.p) AS kept FROM a LEFT JOIN x ON a.doc_id = x.doc_id AND a.p = x.p GROUP BY a.doc_id)
 SELECT w.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)
 """
+
+#: crc32 of a string of code points below 2048, by the table of its 256 bytes.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC_TABLE = f"SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: {_CRC_STEP}) ORDER BY b) AS crc FROM range(256) AS r(b)"
+_CRC_BYTES = "flatten(list_transform(string_split(s, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 | (unicode(x)::BIGINT >> 6), 128 | (unicode(x)::BIGINT & 63)] END))"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, {_CRC_BYTES}), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"
+
+OP11 = f"""
+WITH RECURSIVE t AS MATERIALIZED ({_CRC_TABLE}),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+d AS (SELECT id || ':' || run AS s, run, count(*) AS n FROM r WHERE length(run) >= 6 GROUP BY id, run),
+h AS (SELECT run, n, {_CRC} AS h FROM d, t),
+o AS (SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM o WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+g AS MATERIALIZED (SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM g a JOIN g b ON a.less = b.less AND a.i = b.i AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT a.word, a.n, v.word, v.n FROM g a JOIN v ON a.less = v.word
+  UNION SELECT v.word, v.n, a.word, a.n FROM g a JOIN v ON a.less = v.word
+),
+q AS (SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS k FROM p),
+f AS MATERIALIZED (SELECT word, n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM q WHERE k = 1),
+c AS (SELECT word, word AS root, 0 AS depth FROM v UNION ALL SELECT c.word, f.form, depth + 1 FROM c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, form, form_n, (SELECT arg_max(root, depth) FROM c WHERE c.word = v.word) AS root FROM v LEFT JOIN f USING (word)
+"""
+
+OP12 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes < 100 OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f
+"""
+
+
+def _centroid_sql(rounds: int = 3) -> str:
+    """Each round: distances by component, the nearest centroid, and the floor of its members' mean; empty centroids stay."""
+    near = lambda k: (
+        f"s{k} AS (SELECT id, c, CAST(sum((v.x - m.x) * (v.x - m.x)) AS BIGINT) AS distance FROM v JOIN c{k} m USING (d) GROUP BY id, c), "
+        f"a{k} AS MATERIALIZED (SELECT id, c, distance FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, c) AS place FROM s{k}) WHERE place = 1)"
+    )
+    parts = []
+    for k in range(rounds):
+        mean = f"SELECT c, d, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM a{k} JOIN v USING (id) GROUP BY c, d"
+        parts += [near(k), f"n{k} AS ({mean})", f"c{k + 1} AS MATERIALIZED (SELECT o.c, o.d, coalesce(n.x, o.x) AS x FROM c{k} o LEFT JOIN n{k} n USING (c, d))"]
+    parts.append(near(rounds))
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+),
+v AS MATERIALIZED (SELECT id, unnest(range(1, 65)) AS d, unnest(x) AS x FROM k),
+i AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS c, x FROM k QUALIFY c < 16),
+c0 AS MATERIALIZED (SELECT CAST(c AS INTEGER) AS c, unnest(range(1, 65)) AS d, unnest(x) AS x FROM i),
+{", ".join(parts)},
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN k USING (id) JOIN h USING (c)
+"""
+
+
+OP13 = _centroid_sql()
