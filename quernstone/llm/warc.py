@@ -3,10 +3,11 @@
 Pages are sorted by id, URL and digest into shards, each a range of that order.
 The bounds come from the rows alone: a bounded sample of keys with the smallest
 hashes, and every key that would fill a shard by itself, which is dealt over
-several.  A task writes its shards record by record, each record a gzip member,
-and starts a new file when the compressed size is reached; headers, record ids
-and digests are made anew from the content, so the same pages give the same
-bytes.  Files get temporary names, one folder for each attempt of a task.  The
+several.  Rows that are equal in all three travel as one row and a number.  A
+task writes its shards record by record, each record a gzip member, and starts
+a new file when the compressed size is reached; headers, record ids and digests
+are made anew from the content, so the same pages give the same bytes, however
+they were dealt before.  Files get temporary names, one folder for each attempt of a task.  The
 commit renames the files of the attempts that Spark accepted and then the
 manifest; an archive without a manifest is not there.
 
@@ -38,16 +39,17 @@ from .common import BROADCAST_ROWS, NO_ID, shared_folder, stash, table
 
 MANIFEST = "MANIFEST.json"
 #: Payload bytes of a shard, and compressed bytes after which a file is full.
-SHARD_BYTES, FILE_BYTES = 256 << 20, 64 << 20
+SHARD_BYTES, FILE_BYTES = 128 << 20, 64 << 20
 #: Payloads below this many bytes are never revisits.
 LEAST = 100
 #: Keys that the bounds of shards are taken from.
 SAMPLE = 1 << 16
+#: Equal rows that travel as one.
+COPIES = 1024
 #: Bytes a record takes without its payload, about.
 HEAD_BYTES = 700
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_INPUT = "shard int, id bigint, url string, digest string, size bigint, kind string, first_id bigint, first_url string, payload binary"
 RECORDS = "file string, record_type string, record_id string, page_id bigint, url string, payload_digest string, payload_bytes bigint, refers_to_id string, payload binary"
 
 
@@ -155,24 +157,25 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = pafs.FileSystem.from_uri(self.uri)
-        attempt, done, file, last, same = uuid.uuid4().hex, [], None, None, 0
+        attempt, done, file = uuid.uuid4().hex, [], None
         fs.create_dir(f"{folder}/_temporary/{attempt}")
         shard, number = None, 0
         for batch in iterator:
-            columns = [batch.column(c) for c in range(9)]
+            columns = [batch.column(c) for c in range(10)]
             for r in range(batch.num_rows):
-                s, pid, url, digest, size, kind, first_id, first_url, payload = (c[r].as_py() for c in columns)
-                same = same + 1 if last == (s, pid, url, digest) else 0
-                last = (s, pid, url, digest)
-                if s != shard or file.size >= self.limit:
-                    shard, number = s, 0 if s != shard else number + 1
-                    if file:
-                        done.append(file.done())
-                    file = _Roll(fs, folder, attempt, shard, number, self.date)
-                first = record_id("first", digest)
-                rid = first if kind == "first" else record_id(kind, pid, url, digest, s, same)
-                refers = (first, first_url) if kind == "revisit" else None
-                file.add(record("revisit" if refers else "response", rid, pid if pid != NO_ID else None, url, digest, size, payload, refers, self.date))
+                s, pid, url, digest, size, kind, first, copies, first_url, payload = (c[r].as_py() for c in columns)
+                page = pid if pid != NO_ID else None
+                for n in range(first, first + copies):
+                    if s != shard or file.size >= self.limit:
+                        shard, number = s, 0 if s != shard else number + 1
+                        if file:
+                            done.append(file.done())
+                        file = _Roll(fs, folder, attempt, shard, number, self.date)
+                    stored = record_id("first", digest)
+                    revisit = kind == "revisit" or (kind == "first" and n > 0)
+                    rid = stored if kind == "first" and not revisit else record_id(kind, pid, url, digest, n)
+                    refers = (stored, first_url) if revisit else None
+                    file.add(record("revisit" if revisit else "response", rid, page, url, digest, size, payload, refers, self.date))
         if file:
             done.append(file.done())
         return Written(done)
@@ -207,7 +210,9 @@ class WarcReader(DataSourceReader):
         with fs.open_input_stream(f"{folder}/{MANIFEST}") as f:
             return [WarcFile(e) for e in json.loads(f.read())["files"]]
 
-    def read(self, partition: WarcFile) -> Iterator[tuple]:
+    def read(self, partition: WarcFile | None) -> Iterator[tuple]:
+        if partition is None:  # an archive of no files
+            return
         fs, folder = pafs.FileSystem.from_uri(self.uri)
         sha, size, n, name = hashlib.sha256(), 0, 0, partition.entry["name"]
 
@@ -260,11 +265,11 @@ class WarcSource(DataSource):
 # Shards -----------------------------------------------------------------------------------------------------------------
 
 
-def bounds_of(sample: list[tuple[tuple, float]], shards: int) -> list[tuple[tuple, int]]:
-    """(first key, last shard) in order of (key, weight): shards of about equal weight; the last bound holds all that follows.
+def bounds_of(sample: list[tuple[tuple, float]], shards: int) -> list[tuple[tuple, int, int]]:
+    """(key, first shard, last shard) in order of (key, weight): shards of about equal weight.
 
-    A key that is heavier than a shard spans several: it begins at the shard
-    of its bound, which is the one after the last shard of the bound before.
+    A key that is heavier than a shard spans several; a key between two bounds
+    is in the last shard of the lower one.
     """
     total, passed, bounds, shard = sum(w for _, w in sample), 0.0, [], 0
     for key, weight in sorted(sample, key=lambda s: s[0]):
@@ -282,66 +287,78 @@ def _order(page_id: int | None, url: str | None, digest: str) -> tuple:
 
 
 def _shard_column(bounds):
-    """Shard of (id, url, digest, salt) by the bounds."""
+    """Shard of (id, url, digest, part, parts) by the bounds: the parts of a key that spans several are dealt over them in order."""
 
     @F.pandas_udf("int")
-    def shard(page_id: pd.Series, url: pd.Series, digest: pd.Series, salt: pd.Series) -> pd.Series:
+    def shard(page_id: pd.Series, url: pd.Series, digest: pd.Series, part: pd.Series, parts: pd.Series) -> pd.Series:
         keys = [k for k, _, _ in bounds.value]
         out = []
-        for i, u, d, x in zip(page_id.tolist(), url.tolist(), digest.tolist(), salt.tolist(), strict=True):
+        for i, u, d, p, n in zip(page_id.tolist(), url.tolist(), digest.tolist(), part.tolist(), parts.tolist(), strict=True):
             key = _order(i, u, d)
-            at = max(bisect_right(keys, key) - 1, 0)
-            k, first, last = bounds.value[at]
-            out.append(first + x % (last - first + 1) if k == key else last)
+            k, first, last = bounds.value[max(bisect_right(keys, key) - 1, 0)]
+            out.append(first + p * (last - first + 1) // n if k == key else last)
         return pd.Series(out, dtype="int32")
 
     return shard
 
 
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS // 8 else df
+
+
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, date: str = DATE, least: int = LEAST) -> None:
     """Writes a record for each page to path, which must not hold an archive yet.
 
     Payload is the text in UTF-8, null being empty.  Of records with equal
     payloads of at least `least` bytes, the one with the smallest id is a
-    response (then the smallest URL, a null one first; of rows that agree in
-    both, one), the others revisit it; smaller ones are all responses.  A null
-    id comes last and is null when read again.  Any URL can be stored, and is
-    read back as it was.  No pages make an archive of no files.  Other columns
-    of pages are not looked at.
-
-    Equal rows get their shard, if they need more than one, by their place
-    among the input's partitions; all else depends on the rows only.
+    response (then the smallest URL, a null one first; of equal rows, one), the
+    others revisit it; smaller ones are all responses.  A null id comes last
+    and is null when read again.  Any URL can be stored, and is read back as it
+    was.  No pages make an archive of no files.  Other columns of pages are not
+    looked at.
     """
-    spark, folder = pages.sparkSession, shared_folder(pages.sparkSession)
+    spark, folder, key = pages.sparkSession, shared_folder(pages.sparkSession), ["id", "url", "digest"]
     spark.dataSource.register(WarcSource)
     text = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    base = pages.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(url_col).cast("string").alias("url"), text.alias("text"))
-    base = stash(base.withColumns({"digest": F.sha2("text", 256), "size": F.octet_length("text").cast("bigint")}), f"{folder}/pages")
-    base = base.withColumn("place", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")))
-    first = F.min(F.struct("id", "url", "place")).alias("first")
-    groups = base.where(F.col("size") >= least).groupBy("digest").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
-    groups = stash(groups, f"{folder}/groups")
-    tagged = base.join(F.broadcast(groups) if groups.count() <= BROADCAST_ROWS // 8 else groups, "digest", "left")
-    kind = F.when(F.col("first").isNull(), F.when(F.col("size") >= least, "first").otherwise("single")).when(F.col("place") == F.col("first.place"), "first").otherwise("revisit")
-    tagged = tagged.withColumn("kind", kind)
-
-    # Bounds of shards: weights of distinct keys; those as heavy as a shard, and a sample of the others.
-    weight = F.when(F.col("kind") == "revisit", 0).otherwise(F.col("size")) + HEAD_BYTES
-    keys = stash(tagged.groupBy("id", "url", "digest").agg(F.sum(weight).alias("weight")), f"{folder}/keys")
-    total = keys.agg(F.sum("weight")).first()[0] or 0
+    full = pages.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(url_col).cast("string").alias("url"), F.sha2(text, 256).alias("digest"), text.alias("text"))
+    keys = stash(full.select(*key, F.octet_length("text").cast("bigint").alias("size")).groupBy(*key).agg(F.first("size").alias("size"), F.count("*").alias("n")), f"{folder}/keys")
+    groups = keys.where(F.col("size") >= least).groupBy("digest").agg(F.min(F.struct("id", "url")).alias("first"), F.sum("n").alias("members")).where("members > 1").drop("members")
+    groups = _few(stash(groups, f"{folder}/groups"))
+
+    def kinds(df: DataFrame) -> DataFrame:
+        mine = (F.col("id") == F.col("first.id")) & F.col("url").eqNullSafe(F.col("first.url"))
+        alone = F.when(F.col("size") >= least, "first").otherwise("single")
+        return df.join(groups, "digest", "left").withColumn("kind", F.when(F.col("first").isNull(), alone).when(mine, "first").otherwise("revisit"))
+
+    # Bounds of shards: weights of keys; those as heavy as a shard, and a sample of the others.
+    stored = F.when(F.col("kind") == "single", F.col("n") * F.col("size")).when(F.col("kind") == "first", F.col("size")).otherwise(0)
+    weighed = stash(kinds(keys).select(*key, (F.col("n") * HEAD_BYTES + stored).alias("weight")), f"{folder}/weights")
+    total = weighed.agg(F.sum("weight")).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
     share = total / shards
-    rest = keys.where(F.col("weight") < share)
-    heavy = [(_order(r.id, r.url, r.digest), float(r.weight)) for r in keys.where(F.col("weight") >= share).collect()]  # one a shard at most
-    some = [(_order(r.id, r.url, r.digest), float(r.weight)) for r in rest.orderBy(F.xxhash64("id", "url", "digest"), "id", "url", "digest").limit(min(SAMPLE, 64 * shards)).collect()]
+    named = lambda df: [(_order(r.id, r.url, r.digest), float(r.weight)) for r in df.collect()]
+    heavy = named(weighed.where(F.col("weight") >= share))  # one a shard at most
+    some = named(weighed.where(F.col("weight") < share).orderBy(F.xxhash64(*key), *key).limit(min(SAMPLE, 64 * shards)))
     scale = (total - sum(w for _, w in heavy)) / max(sum(w for _, w in some), 1)
     bounds = bounds_of(heavy + [(k, w * scale) for k, w in some], shards) if total else []
-    shard = _shard_column(spark.sparkContext.broadcast(bounds))("id", "url", "digest", F.pmod(F.xxhash64("place"), F.lit(1 << 30)))
-    rows = tagged.withColumn("shard", shard).select(
-        "shard", "id", "url", "digest", "size", "kind", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"),
-        F.when(F.col("kind") != "revisit", F.col("text").cast("binary")).alias("payload"),
+
+    # Equal rows travel once, with their number.
+    again = stash(keys.where("n > 1").select(*key, "n"), f"{folder}/again")
+    once, many = full.withColumn("n", F.lit(1).cast("bigint")), None
+    if again.take(1):
+        same = _few(again.select(F.col("id").alias("i"), F.col("url").alias("u"), F.col("digest").alias("d"), F.col("n").alias("number")))
+        on = (F.col("id") == F.col("i")) & F.col("url").eqNullSafe(F.col("u")) & (F.col("digest") == F.col("d"))
+        once = once.join(same, on, "left_anti")
+        many = full.join(same, on, "left_semi").dropDuplicates(key).join(same, on).select(*full.columns, F.col("number").alias("n"))
+    rows = kinds((once if many is None else once.unionByName(many)).withColumn("size", F.octet_length("text").cast("bigint")))
+    rows = rows.withColumn("parts", F.ceil(F.col("n") / COPIES).cast("bigint")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    shard = _shard_column(spark.sparkContext.broadcast(bounds))(*key, "part", "parts")
+    start = F.col("part") * COPIES
+    holds = (F.col("kind") == "single") | ((F.col("kind") == "first") & (F.col("part") == 0))
+    rows = rows.withColumn("shard", shard).select(
+        "shard", *key, "size", "kind", start.alias("start"), F.least(F.lit(COPIES), F.col("n") - start).cast("int").alias("copies"), F.col("first.url").alias("first_url"), F.when(holds, F.col("text").cast("binary")).alias("payload"),
     )
-    rows = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "id", "url", "digest", "kind")
+    rows = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", *key, "start")
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(batch)
     spark.conf.set(batch, 64)  # rows hold whole pages
@@ -363,7 +380,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     narrow = spark.read.format("warc").schema(", ".join(c for c in wanted if not c.startswith("payload binary"))).option("path", path).load()
     told = stash(narrow.where("record_type = 'revisit'").select("refers_to_id").distinct())
     firsts = stash(narrow.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("first_bytes"), F.lit(True).alias("there")).join(told, "refers_to_id", "left_semi"))
-    out = every.join(F.broadcast(firsts) if firsts.count() <= BROADCAST_ROWS // 8 else firsts, "refers_to_id", "left")
+    out = every.join(_few(firsts), "refers_to_id", "left")
     lost = F.raise_error(F.concat(F.lit("no response for "), F.col("refers_to_id"))).cast("bigint")
     size = F.when(F.col("record_type") == "response", F.col("payload_bytes")).when(F.col("there"), F.col("first_bytes")).otherwise(lost)
     return out.withColumn("payload_bytes", size).drop("there", "first_bytes", "file")
