@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,16 +66,101 @@ def nearly_unique(df: DataFrame, sets: Sequence[tuple[str, ...]], total: int, at
     return out
 
 
+#: Rows whose pairs are compared at first, and column sets that are counted together.
+PAIRED, AT_ONCE = 512, 100
+
+
+def maximal(masks: np.ndarray) -> np.ndarray:
+    """Rows of a boolean matrix that are part of no other row, each once."""
+    masks = np.unique(masks, axis=0)
+    masks = masks[np.argsort(-masks.sum(axis=1), kind="stable")]
+    kept = masks[:0]
+    for m in masks:
+        if not (kept[:, m].all(axis=1)).any():
+            kept = np.vstack([kept, m])
+    return kept
+
+
+class AgreeSets:
+    """Column sets on which two rows of a table agree, so that neither they nor their parts are keys.
+
+    The first ones come from all pairs of PAIRED rows (those with the smallest
+    hashes); sets that turn out not to be keys add the pair that shows it.
+    They only save work: a set is a key by its count alone.  Values are told
+    apart by 128 bits of two hashes.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str]):
+        self.df, self.columns = df, list(columns)
+        self.marks = [F.struct(F.xxhash64(comparable(df, c)), F.xxhash64(F.lit(1), comparable(df, c))).alias(f"m{i}") for i, c in enumerate(self.columns)]
+        self.masks = np.zeros((0, len(self.columns)), bool)
+        rows = df.select(*self.marks).orderBy(F.xxhash64(*[f"m{i}" for i in range(len(self.columns))])).limit(PAIRED).collect() if self.columns else []
+        self.learn([(a, b) for a, b in combinations(rows, 2)] if len(rows) < 3 else [], rows)
+
+    def learn(self, pairs: Sequence[tuple], rows: Sequence = ()) -> None:
+        found = [self.masks, *(np.array([[x == y for x, y in zip(a, b, strict=True)]]) for a, b in pairs)]
+        if len(rows) >= 3:
+            codes = np.array([[hash(v) for v in r] for r in rows], np.int64)
+            found += [maximal(codes[i + 1 :] == codes[i]) for i in range(len(rows) - 1)]
+        self.masks = maximal(np.vstack(found)) if self.columns else self.masks
+
+    def witnesses(self, sets: Sequence[tuple[str, ...]]) -> None:
+        """Adds, for each set that is no key, a pair of rows that agree on it."""
+        if not sets:
+            return
+        keys = lambda s: [F.col(f"m{self.columns.index(c)}") for c in s]
+        marked = self.df.select(*self.marks)
+        twice = lambda i, s: marked.groupBy(*keys(s)).count().where("count > 1").limit(1).select(F.lit(i).alias("i"), F.to_json(F.struct(*keys(s))).alias("key"))
+        which = {r.i: r.key for r in reduce(DataFrame.unionAll, [twice(i, s) for i, s in enumerate(sets)]).collect()}
+        pair = lambda i, s: marked.where(F.to_json(F.struct(*keys(s))) == which[i]).limit(2).select(F.lit(i).alias("i"), *marked.columns)
+        rows = reduce(DataFrame.unionAll, [pair(i, s) for i, s in enumerate(sets) if i in which]).collect() if which else []
+        both = {}
+        for r in rows:
+            both.setdefault(r.i, []).append(tuple(r)[1:])
+        self.learn([(a, b) for a, b in (v for v in both.values() if len(v) == 2)])
+
+    def open_sets(self, size: int) -> list[tuple[str, ...]]:
+        """Sets of that many columns which no agree set holds: each has a column outside of every agree set.
+
+        They are built by choosing such a column for one agree set after the
+        other, not by trying all sets.
+        """
+        outside = ~self.masks
+        outside = outside[np.argsort(outside.sum(axis=1), kind="stable")]
+        out, seen = set(), set()
+
+        def grow(chosen: frozenset[int]) -> None:
+            if chosen in seen:
+                return
+            seen.add(chosen)
+            unmet = np.flatnonzero(~outside[:, sorted(chosen)].any(axis=1)) if chosen else np.arange(len(outside))
+            if len(unmet):
+                if len(chosen) < size:
+                    for c in np.flatnonzero(outside[unmet[0]]).tolist():
+                        grow(chosen | {c})
+            else:
+                free = [c for c in range(len(self.columns)) if c not in chosen]
+                out.update(tuple(sorted((*chosen, *more))) for more in combinations(free, size - len(chosen)))
+
+        grow(frozenset())
+        return [tuple(self.columns[c] for c in s) for s in sorted(out)]
+
+    def holds(self, s: Sequence[str]) -> bool:
+        """Whether some agree set has all of these columns."""
+        return bool(self.masks[:, [self.columns.index(c) for c in s]].all(axis=1).any())
+
+
 def logical_keys(df: DataFrame, profiles: Sequence, config: ProfileConfig = BARE, has_primary_key: bool = False) -> list[LogicalKey]:
     """Keys of a table without a primary key, by falling confidence.
 
     profiles: rows with column, ordinal, role, data_type, sample_count,
     null_count, unique_count.  A key holds no nulls and is unique by counts,
     not by a rounded rate.  The search stops at the smallest size at which a
-    key is confident enough: larger ones would be dropped.  Column sets whose
-    distinct counts cannot multiply up to the row count, with a wide margin as
-    unique_count may be an estimate, are not looked at; sketches rule out most
-    others, and what is left is counted exactly.
+    key is confident enough: larger ones would be dropped.  Sets on which two
+    rows are known to agree are never looked at, nor are those whose distinct
+    counts cannot multiply up to the row count, with a wide margin as
+    unique_count may be an estimate; sketches rule out most others, and what is
+    left is counted exactly.
     """
     rows = sorted(profiles, key=lambda r: r.ordinal)
     total = rows[0].sample_count if rows else 0
@@ -87,10 +173,16 @@ def logical_keys(df: DataFrame, profiles: Sequence, config: ProfileConfig = BARE
     found = [k for k in found if k.confidence >= config.min_key_confidence]
     whole = [r.column for r in fit if not r.null_count]
     most = {r.column: min(total, 1.25 * r.unique_count + 10) for r in fit}
-    size = 2
-    while not found and size <= config.max_key_columns:
-        sets = [c for c in combinations(whole, size) if score(c) >= config.min_key_confidence and math.prod(most[x] for x in c) >= total]
-        counts = distinct_counts(df, nearly_unique(df, sets, total))
-        found = [LogicalKey(s, score(s)) for s, n in counts.items() if n == total]
+    size, agree = 2, None
+    while not found and size <= min(config.max_key_columns, len(whole)):
+        agree = agree or AgreeSets(df, whole)
+        sets = [c for c in agree.open_sets(size) if score(c) >= config.min_key_confidence and math.prod(most[x] for x in c) >= total]
+        while sets:
+            some, sets = sets[:AT_ONCE], sets[AT_ONCE:]
+            counts = distinct_counts(df, nearly_unique(df, some, total))
+            found += [LogicalKey(s, score(s)) for s, n in counts.items() if n == total]
+            if sets:
+                agree.witnesses([s for s in some if counts.get(s) != total][:16])
+                sets = [s for s in sets if not agree.holds(s)]
         size += 1
     return sorted(found, key=lambda k: -k.confidence)

@@ -1,12 +1,9 @@
-"""Objects to search in, and exact cosine top-k over vectors."""
+"""Objects to search in, and the vectors most like one vector; operators/vectors.py searches for sets of them."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import islice
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,45 +46,6 @@ def top_k(vectors: DataFrame, query: Sequence[float], k: int = 10, id_col: str =
     return v.withColumn("similarity", cosine(F.col(vector_col), q)).where("similarity IS NOT NULL").orderBy(F.desc("similarity"), id_col).limit(k)
 
 
-def top_k_join(queries: DataFrame, vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 1024) -> DataFrame:
-    """(query_id, vec_id, similarity, rank) for a stated set of queries (query_id, embedding).
-
-    Queries go out in blocks, each a matrix in a broadcast variable that Spark
-    keeps on disk; one pass over the vectors multiplies each Arrow batch with
-    one block after the other and keeps k of each query.  What is shuffled is k
-    rows for each query and Arrow batch.
-    """
-    spark = vectors.sparkSession
-    numbered = queries.select("query_id", "embedding").where("embedding IS NOT NULL").orderBy("query_id").toLocalIterator()
-    blocks = []
-    for rows in iter(lambda: list(islice(numbered, block)), []):
-        for size in sorted({len(r.embedding) for r in rows}):
-            some = [r for r in rows if len(r.embedding) == size]
-            q = np.array([r.embedding for r in some], np.float64)
-            q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-            blocks.append((size, spark.sparkContext.broadcast((np.array([r.query_id for r in some]), q))))
-    if not blocks:
-        return spark.createDataFrame([], f"query_id bigint, {id_col} bigint, similarity double, rank int")
-
-    def run(frames):
-        for f in frames:
-            sizes = f[vector_col].map(len)
-            for size, shared in blocks:
-                mine = f[sizes == size]
-                if not len(mine):
-                    continue
-                ids, q = shared.value
-                v = np.array(mine[vector_col].tolist(), np.float64)
-                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-                s, names = q @ v.T, mine[id_col].to_numpy()
-                best = np.lexsort((np.broadcast_to(names, s.shape), -s), axis=1)[:, : min(k, s.shape[1])]
-                yield pd.DataFrame({"query_id": np.repeat(ids, best.shape[1]), id_col: names[best].ravel(), "similarity": np.take_along_axis(s, best, axis=1).ravel()})
-
-    out = vectors.select(id_col, vector_col).where(F.col(vector_col).isNotNull()).mapInPandas(run, f"query_id bigint, {id_col} bigint, similarity double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), id_col)
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """old without the keys of new, and new."""
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)

@@ -12,7 +12,9 @@ from ..functions.names import mean_similarity, similarity
 from ..functions.types import compatibility
 from ..operators import decide as D
 from ..operators import metrics as M
-from ..operators.candidates import Candidate, Described, candidates
+from ..operators import namejoin as N
+from ..operators import sketches as K
+from ..operators.candidates import Candidate, Described, candidates, composite_candidates, without_foreign_keys
 from .profile import Profile
 
 RELATIONS_META = "seq int, source string, source_columns array<string>, target string, target_columns array<string>, kind string, constraint_name string, name_similarity double, type_compatibility double, exempt boolean, source_constraint string, target_key string, defined_cardinality string"
@@ -80,13 +82,98 @@ def stated(p: Profile, c: RelationConfig = RELATIONS) -> DataFrame:
     return out.withColumn("relationship_id", D.relationship_id(F.col("source"), F.col("source_columns"), F.col("target"), F.col("target_columns"), c.salt))
 
 
+def joined_candidates(p: Profile, c: RelationConfig = RELATIONS) -> DataFrame:
+    """source, source_column, target, target_column, kind, name_similarity and places: what single_candidates gives, by joins.
+
+    For catalogs of many tables: distinct names are joined by similarity, once
+    for columns that are keys and once for others, and pairs of names lead to
+    pairs of columns.
+    """
+    spark = p.catalog.spark
+    rows = []
+    for i, t in enumerate(describe(p)):
+        for j, (n, col) in enumerate(t.columns.items()):
+            defined, logical = t.is_defined(n), t.is_logical(n, c.min_confidence)
+            kind = "single_logical_key" if not defined else "single_defined_constraint" + "_and_logical_pk" * logical
+            rows.append((i, j, t.full_name, n, n.strip().lower(), col.data_type, col.role, defined or logical, defined or any(n in k for k in t.indexes), kind))
+    columns = spark.createDataFrame(rows, "at int, place int, table string, column string, name string, type string, role string, key boolean, exempt boolean, kind string")
+    keys, others = columns.where("key"), columns.where("NOT key")
+    alike = N.similar_names(keys, keys, c.name_key_like).withColumn("key", F.lit(True)).unionAll(N.similar_names(keys, others, c.name_other).withColumn("key", F.lit(False)))
+    kinds = [r.type for r in columns.select("type").distinct().collect()]
+    fits = spark.createDataFrame([(a, b) for a in kinds for b in kinds if compatibility(a, b) >= c.type_min], "s_type string, t_type string")
+    side = lambda df, x: df.select(*[F.col(n).alias(f"{x}_{n}") for n in df.columns])
+    s, t = side(keys, "s"), side(columns, "t")
+    pairs = alike.join(s, F.col("a") == F.col("s_name")).join(t, (F.col("b") == F.col("t_name")) & (F.col("key") == F.col("t_key")))
+    pairs = pairs.where((F.col("s_table") != F.col("t_table")) & (F.col("t_exempt") | (F.lower("s_column") == F.lower("t_column")) | ~F.coalesce(F.col("t_role").isin(*c.single_excluded_roles), F.lit(False))))
+    pairs = pairs.join(F.broadcast(fits), ["s_type", "t_type"])
+    return pairs.select(
+        F.col("s_table").alias("source"), F.col("s_column").alias("source_column"), F.col("t_table").alias("target"), F.col("t_column").alias("target_column"),
+        F.col("s_kind").alias("kind"), F.col("ratio").alias("name_similarity"), "s_at", "s_place", "t_at", "t_place",
+    )
+
+
+#: Pairs of a key and a column above which names are joined in Spark; below, comparing them takes less than a job does.
+NAME_PAIRS = 200_000
+
+
+def found_candidates(p: Profile, c: RelationConfig = RELATIONS, alike: Callable = similarity, pairs: int = NAME_PAIRS) -> list[Candidate]:
+    """As candidates gives them, in the same order, by a join of the names where there are many."""
+    tables = describe(p)
+    keys = sum(t.is_defined(n) or t.is_logical(n, c.min_confidence) for t in tables for n in t.columns)
+    if alike is not similarity or keys * sum(len(t.columns) for t in tables) <= pairs:
+        return candidates(tables, c, alike)
+    rows = joined_candidates(p, c).orderBy("s_at", "s_place", "t_at", "t_place").collect()
+    single = [Candidate(r.source, (r.source_column,), r.target, (r.target_column,), r.kind) for r in rows]
+    return without_foreign_keys([*composite_candidates(tables, c, alike), *single], tables, c.legacy_fk_dedup)
+
+
+def excluded_by_sketches(p: Profile, found: Sequence[Candidate], c: RelationConfig = RELATIONS, alike: Callable = similarity) -> dict[int, float]:
+    """Places of candidates whose score cannot reach the threshold, with the highest score they can have.
+
+    The profile keeps the sketches, so a column set is read once for all calls.
+    """
+    sets = {}
+    for x in found:
+        for table, columns in ((x.source, x.source_columns), (x.target, x.target_columns)):
+            sets.setdefault(table, set()).add(tuple(columns))
+    have = {(r.table, tuple(r.columns)) for r in p.sketches}
+    new = {t: sorted(s for s in some if (t, s) not in have) for t, some in sets.items()}
+    made = K.key_sketches({t: p.catalog[t].frame for t in new}, {t: some for t, some in new.items() if some})
+    p.sketches.extend(made.collect() if made is not None else [])
+    if not found:
+        return {}
+    tables = {d.full_name: d for d in describe(p)}
+    spark = p.catalog.spark
+    meta = spark.createDataFrame([_meta(i, x, tables, alike) for i, x in enumerate(found)], RELATIONS_META)
+    bounds = K.score_bounds(meta, spark.createDataFrame(p.sketches, K.SKETCHES), c.weights)
+    margin = 5e-5 if c.round_before_threshold else 0.0
+    return {r.seq: r.score_bound for r in bounds.where(F.col("score_bound") < c.threshold - margin).select("seq", "score_bound").collect()}
+
+
+def decisions(p: Profile, c: RelationConfig = RELATIONS, alike: Callable = similarity) -> DataFrame:
+    """relationship_id, source, source_columns, target, target_columns, decision, reason and score_bound of all candidates, as discover gives them.
+
+    Candidates that sketches exclude are rejected without being measured:
+    their composite_score is null, and score_bound tells what it is below.
+    """
+    found = found_candidates(p, c, alike)
+    out_ = excluded_by_sketches(p, found, c, alike)
+    kept = ["relationship_id", "source", "source_columns", "target", "target_columns", "composite_score", "decision", "reason", "score_bound", "seq"]
+    rest = [x for i, x in enumerate(found) if i not in out_]
+    measured = D.decide(score(p, rest, c, alike), c).withColumn("score_bound", F.lit(None).cast("double")).select(*kept)
+    rows = [(x.source, list(x.source_columns), x.target, list(x.target_columns), bound, -1) for i, bound in out_.items() for x in [found[i]]]
+    left = p.catalog.spark.createDataFrame(rows, "source string, source_columns array<string>, target string, target_columns array<string>, score_bound double, seq int")
+    left = left.withColumns({"relationship_id": D.relationship_id(F.col("source"), F.col("source_columns"), F.col("target"), F.col("target_columns"), c.salt), "composite_score": F.lit(None).cast("double"), "decision": F.lit("rejected"), "reason": F.lit("below_threshold")})
+    return D.first_wins(measured.unionByName(left.select(*kept)), ["seq"]).drop("seq")
+
+
 def discover(p: Profile, c: RelationConfig = RELATIONS, alike: Callable = similarity, proposed: Sequence[Candidate] = ()) -> DataFrame:
     """All relationships with decision and reason: foreign keys first, then candidates by rule and proposed ones.
 
     Of candidates with the same id the first wins.  Foreign keys are accepted
     without a score.
     """
-    found = [*candidates(describe(p), c, alike), *proposed]
+    found = [*found_candidates(p, c, alike), *proposed]
     scored = D.decide(D.first_wins(score(p, found, c, alike), ["seq"]), c)
     keys = stated(p, c).withColumns({"reason": F.lit(None).cast("string"), "decision": F.lit("accepted")})
     both = keys.unionByName(scored)

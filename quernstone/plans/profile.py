@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from ..sources.catalog import Catalog, Table, head_sample
 
 @dataclass
 class Profile:
-    """Frames of metadata size: columns (statistics, flags and roles), tables (counts and categories) and logical keys."""
+    """Frames of metadata size: columns (statistics, flags and roles), tables (counts and categories) and logical keys; sketches of key columns as they were asked for."""
 
     catalog: Catalog
     columns: DataFrame
@@ -25,6 +25,7 @@ class Profile:
     keys: DataFrame
     logical_keys: dict[str, list[K.LogicalKey]]
     failed: dict[str, str]
+    sketches: list = field(default_factory=list)
 
 
 def described(columns: DataFrame, constraints: DataFrame, statistics: DataFrame) -> DataFrame:

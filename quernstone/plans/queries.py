@@ -15,11 +15,13 @@ from ..operators import graph as G
 from ..operators import metrics as M
 from ..operators import retrieval as Q
 from ..operators import stats as S
+from ..operators import vectors as X
 from ..operators.candidates import Candidate
 from ..sources.catalog import Catalog, Constraint, Table, preview_sample
+from ..storage import shared_folder
 from ..streaming.profile import windowed_profile
 from . import twins as W
-from .discover import discover, score
+from .discover import decisions, discover, joined_candidates, score
 from .profile import Profile, profile_catalog
 
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -165,6 +167,18 @@ def logical_keys(spark, d):
     return p.keys.select("table", F.array_join("columns", ",").alias("column_set"), "confidence")
 
 
+#: Divisors and moduli of the parts of an order's key: some three of them tell orders apart.
+PARTS = {"a_code": (1, 97), "b_code": (97, 101), "c_code": (9797, 1 << 40), "d_code": (1, 13), "e_code": (13, 17), "f_code": (221, 23), "g_code": (1, 2), "h_code": (2, 3), "i_code": (5, 7), "j_code": (35, 11), "k_code": (3, 5), "l_code": (7, 31)}
+
+
+def wide_table_keys(spark, d):
+    """Keys of a table of twelve parts of the orders' keys, found by agree sets."""
+    orders = _t(spark, d, "orders")
+    parts = orders.select(*[((F.floor(F.col("o_orderkey") / by) % mod).cast("bigint")).alias(c) for c, (by, mod) in PARTS.items()])
+    p = _whole(profile_catalog(Catalog(spark, [Table("order_parts", parts)]), SHIPPED))
+    return p.keys.select("table", F.array_join(F.array_sort("columns"), ",").alias("column_set"), "confidence")
+
+
 # --- Roles and categories ----------------------------------------------------------------------------------------------
 
 
@@ -213,6 +227,17 @@ def discover_relationships(spark, d):
     return out.select("relationship_id", "source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", F.round("composite_score", 4).alias("composite_score"), "decision", "reason", "discovery_method")
 
 
+def name_candidates(spark, d):
+    """Pairs of a key and a column whose names are alike enough and whose types go together, by a similarity join of the names."""
+    found = joined_candidates(profiled(spark, d, keys=False))
+    return found.select("source", "source_column", "target", "target_column", "kind", F.round("name_similarity", 6).alias("name_similarity"))
+
+
+def sketched_decisions(spark, d):
+    """The decisions of discover_relationships; what sketches exclude is not measured."""
+    return decisions(profiled(spark, d, keys=False)).select("relationship_id", "source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "decision", "reason")
+
+
 #: Foreign keys of the star tables, each a single column.
 FOREIGN = [("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey")]
 
@@ -275,10 +300,32 @@ def vector_topk(spark, d):
 def vector_topk_join(spark, d):
     """For every vector whose id is divisible by 100 its five nearest."""
     e = _t(spark, d, "embeddings")
-    out = Q.top_k_join(e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), e, 5)
+    out = X.exact_top_k(e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), e, 5)
     return out.select("query_id", "vec_id", F.round("similarity", 5).alias("similarity"), F.col("rank").cast("bigint").alias("rank"))
 
 
+def _indexed(spark, d):
+    """An index of all vectors, and every vector whose id is divisible by 100."""
+    e = _t(spark, d, "embeddings").select("vec_id", "embedding")
+    return X.build_index(e, shared_folder(spark)), e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def vector_index_topk(spark, d):
+    """The five nearest by an index of inverted lists, which goes on until no other list can better them."""
+    index, queries = _indexed(spark, d)
+    return index.search(queries, 5, probes=4, exact=True).select("query_id", F.col("id").alias("vec_id"), F.round("similarity", 5).alias("similarity"), F.col("rank").cast("bigint").alias("rank"))
+
+
+def vector_index_recall(spark, d):
+    """How many of the ten nearest a search by three of four lists finds, and what it reads: one row.  These vectors have no clusters, so few lists would not do."""
+    index, queries = _indexed(spark, d)
+    probes = index.lists.count() * 3 // 4
+    exact = X.exact_top_k(queries, _t(spark, d, "embeddings").select("vec_id", "embedding"), 10).select("query_id", F.col("vec_id").alias("id"))
+    found = index.search(queries, 10, probes).select("query_id", "id", F.lit(1).alias("hit"))
+    recall = exact.join(found, ["query_id", "id"], "left").agg(F.count_distinct("query_id").alias("queries"), (F.sum("hit") / F.count("*") >= 0.9).alias("recall_reached"))
+    return recall.crossJoin(index.compared(queries, probes).agg((F.avg("n") < 0.85 * index.vectors.count()).alias("reads_fewer")))
+
+
 def vector_upsert(spark, d):
     """Labels of even vectors replaced."""
     e = _t(spark, d, "embeddings").select("vec_id", F.col("label").cast("bigint").alias("label"))
@@ -336,9 +383,9 @@ def events_windowed_profile(spark, d):
 def queries() -> dict:
     found = (
         row_counts, col_null_rate, col_uniqueness, col_numeric_stats, col_length_stats, value_distribution, full_profile_lineitem, corpus_text_profile,
-        complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, column_roles, table_categories,
-        inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, foreign_key_relationships, composite_relationships, graph_edges, graph_statistics,
-        dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_upsert, example_ids, retrieval_objects,
+        complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories,
+        inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, graph_edges, graph_statistics,
+        dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, example_ids, retrieval_objects,
         sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile,
     )
     return {f.__name__: f for f in found}
@@ -458,6 +505,11 @@ def oracle_sql() -> dict[str, str]:
         "dim_values_clean": " UNION ALL ".join(f"SELECT DISTINCT '{n}' AS table_name, '{c}' AS column_name, substr(trim({c}), 1, 1024) AS value FROM {n} WHERE length(trim({c})) > 0" for n, c in dims),
         "dim_value_loads": " UNION ALL ".join(f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(DISTINCT CASE WHEN length(trim({c})) > 0 THEN substr(trim({c}), 1, 1024) END) AS loaded, count(*) - count(CASE WHEN length(trim({c})) > 0 THEN 1 END) AS skipped FROM {n}" for n, c in dims),
         "vector_topk": f"SELECT b.vec_id, round({cosine}, 5) AS similarity FROM (SELECT embedding FROM embeddings WHERE vec_id = 0) a CROSS JOIN embeddings b ORDER BY {cosine} DESC, b.vec_id LIMIT 10",
+        "wide_table_keys": W.composite_keys("order_parts", PARTS, f"SELECT {', '.join(f'CAST(o_orderkey // {by} % {mod} AS BIGINT) AS {c}' for c, (by, mod) in PARTS.items())} FROM orders"),
+        "name_candidates": W.candidate_pairs(COLUMNS),
+        "sketched_decisions": f"SELECT relationship_id, source, source_columns, target, target_columns, decision, reason FROM ({discovered})",
+        "vector_index_topk": f"SELECT query_id, vec_id, round(s, 5) AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (SELECT a.vec_id AS query_id, b.vec_id, {cosine} AS s FROM embeddings a CROSS JOIN embeddings b WHERE a.vec_id % 100 = 0)) WHERE rank <= 5",
+        "vector_index_recall": "SELECT count(*) AS queries, true AS recall_reached, true AS reads_fewer FROM embeddings WHERE vec_id % 100 = 0",
         "vector_topk_join": f"SELECT query_id, vec_id, round(s, 5) AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (SELECT a.vec_id AS query_id, b.vec_id, {cosine} AS s FROM embeddings a CROSS JOIN embeddings b WHERE a.vec_id % 100 = 0)) WHERE rank <= 5",
         "vector_upsert": "SELECT vec_id, CAST(label AS BIGINT) + CASE WHEN vec_id % 2 = 0 THEN 1000 ELSE 0 END AS label FROM embeddings",
         "example_ids": "SELECT conv_id, turn, 'corpus:' || substr(sha256(role || text), 1, 8) AS example_id FROM conversations",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from difflib import SequenceMatcher
 from itertools import combinations
 
 from .. import config as C
@@ -154,3 +155,29 @@ def discovered(metrics: str, cardinality: str, tables: Tables) -> str:
         f"WITH k AS MATERIALIZED (SELECT 'public.' || t AS t, column_set AS c FROM ({logical_keys(tables)})), r AS ({relationships(metrics, cardinality, [*ALIKE, *ALIKE_IF_KEY])}) "
         "SELECT * FROM r WHERE (source, source_columns) IN (SELECT t, c FROM k) AND (names >= 0.9 OR (target, target_columns) IN (SELECT t, c FROM k))"
     )
+
+
+def candidate_pairs(tables: Tables) -> str:
+    """Single-column candidates, none but logical keys being known: all pairs of columns by their names' ratio, listed here, with keys, roles and types from the data."""
+    ratio = lambda a, b: 1.0 if a == b else SequenceMatcher(None, a, b).ratio()
+    rows = [(s, a, t, b, ratio(a, b)) for s, of in tables.items() for a in of for t, others in tables.items() if t != s for b in others]
+    listed = ", ".join(f"('{s}', '{a}', '{t}', '{b}', {r!r})" for s, a, t, b, r in rows if r >= 0.6)
+    kinds = "(x.kind = y.kind OR (x.kind IN ('integer', 'bigint') AND y.kind IN ('integer', 'bigint')))"
+    return (
+        f"WITH p(s, a, t, b, r) AS (VALUES {listed}), q AS MATERIALIZED ({roles(tables, {})}), k AS MATERIALIZED (SELECT t, column_set AS c FROM ({logical_keys(tables)})) "
+        "SELECT 'public.' || s AS source, a AS source_column, 'public.' || p.t AS target, b AS target_column, 'single_logical_key' AS kind, round(CAST(r AS DOUBLE), 6) AS name_similarity "
+        "FROM p JOIN q x ON x.t = s AND x.c = a JOIN q y ON y.t = p.t AND y.c = b "
+        f"WHERE (s, a) IN (SELECT t, c FROM k) AND {kinds} AND (a = b OR NOT {_in('y.role', C.RELATIONS.single_excluded_roles)}) AND (r >= 0.9 OR (p.t, b) IN (SELECT t, c FROM k))"
+    )
+
+
+def composite_keys(name: str, columns: Iterable[str], table: str) -> str:
+    """Keys of the smallest size of a table of numbers whose names all hold a key word and end in it: all sets of one, two and three are counted."""
+    sets = [s for n in (1, 2, 3) for s in combinations(columns, n)]
+    counts = ", ".join(f"count(DISTINCT ({', '.join(s)})) AS n{i}" for i, s in enumerate(sets))
+    rows = ", ".join(f"('{','.join(sorted(s))}', {len(s)}, {1.0 if len(s) == 1 else 0.88}, n{i})" for i, s in enumerate(sets))
+    return (
+        f"WITH w AS MATERIALIZED ({table}), d AS MATERIALIZED (SELECT count(*) AS total, {counts} FROM w), "
+        f"k AS (SELECT total, unnest([{rows}]) AS x FROM d), g AS (SELECT x[1] AS column_set, x[2] AS size, x[3] AS confidence FROM k WHERE x[4] = total) "
+        f"SELECT '{name}' AS \"table\", column_set, CAST(confidence AS DOUBLE) AS confidence FROM g WHERE size = (SELECT min(size) FROM g)"
+    )

@@ -11,6 +11,7 @@ from quernstone.operators import external as X
 from quernstone.operators import graph as G
 from quernstone.operators import retrieval as Q
 from quernstone.operators import sqlcheck as C
+from quernstone.operators import vectors as W
 from quernstone.plans.profile import profile_catalog
 from quernstone.sources import ddl, documents
 from quernstone.sources.catalog import Catalog, Column, Constraint, Table, excluded, head_sample, pg_array, preview_sample, row_estimate, schemas, table_exists
@@ -195,9 +196,9 @@ def test_row_estimate(spark, sf):
 def test_top_k(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, [1.0])], "vec_id bigint, embedding array<float>")
     assert [r.vec_id for r in Q.top_k(v, [2.0, 0.0], 3).collect()] == [1, 2, 3]
-    j = Q.top_k_join(v.where("vec_id IN (1, 4)").selectExpr("vec_id AS query_id", "embedding"), v, 2, block=1)
+    j = W.exact_top_k(v.where("vec_id IN (1, 4)").selectExpr("vec_id AS query_id", "embedding"), v, 2)
     assert sorted((r.query_id, r.vec_id) for r in j.collect()) == [(1, 1), (1, 2), (4, 1), (4, 4)]
-    assert Q.top_k_join(v.where("false").selectExpr("vec_id AS query_id", "embedding"), v, 2).count() == 0
+    assert W.exact_top_k(v.where("false").selectExpr("vec_id AS query_id", "embedding"), v, 2).count() == 0
     up = Q.upsert(v, spark.createDataFrame([(1, [9.0]), (7, [1.0])], v.schema), "vec_id")
     assert {r.vec_id: r.embedding for r in up.collect()}[1] == [9.0] and up.count() == 7
 
