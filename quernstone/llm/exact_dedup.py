@@ -1,7 +1,7 @@
 """Exact deduplication with stateful streaming (operator 3), DataFrame operations only.
 
 A first pass turns the documents into small records: digest of the normalised
-text, identifier, code points and a content locator (file and row).  Structured
+text, identifier, code points and a content locator (file, row and column).  Structured
 Streaming reads the records into an aggregation keyed by digest whose state
 lives in RocksDB on the executors' disks, is checkpointed to shared storage and
 never expires: no watermark, and a later call with the same folder goes on from
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +34,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def _file_column(docs: DataFrame, text_col: str) -> str | None:
+    """The column of Parquet files that text_col is, where docs is a bare scan: rows of files one by one, their text as it stands there."""
+    plan = docs._jdf.queryExecution().analyzed()
+    listed = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    kind = lambda node: node.getClass().getSimpleName()
+    text = [a for a in listed(plan.output()) if a.name() == text_col]
+    while kind(plan) in ("Project", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    if len(text) != 1 or kind(plan) != "LogicalRelation" or kind(plan.relation()) != "HadoopFsRelation" or "Parquet" not in plan.relation().fileFormat().toString():
+        return None
+    stored = set(plan.relation().dataSchema().fieldNames())
+    return next((a.name() for a in listed(plan.output()) if a.exprId().equals(text[0].exprId()) and a.name() in stored and a.dataType().simpleString() == "string"), None)
+
+
+def _locator(column: str) -> Column:
+    return F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"), F.lit(column))
+
+
 def _located(docs: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
-    """(id, text, locator) of docs; documents that are no rows of Parquet files are written to the folder first."""
+    """(id, text, locator) of docs.  A locator names a file, a row and a column; documents that are no rows of Parquet files are written to the folder first."""
+    if "_metadata" in docs.columns:
+        raise ValueError("column _metadata is taken")
     kept = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    locator = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("locator")
-    try:
-        return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"), locator)
-    except AnalysisException:
-        return stash(kept, f"{folder}/content-{uuid.uuid4().hex}").select("id", "text", locator)
+    column = _file_column(docs, text_col)
+    if column is None:
+        return stash(kept, f"{folder}/content-{uuid.uuid4().hex}").select("id", "text", _locator("text").alias("locator"))
+    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"), _locator(column).alias("locator"))
 
 
 def keeper_state(spark: SparkSession, folder: str, max_files: int = 64) -> DataFrame:
@@ -75,18 +93,18 @@ def _keepers(spark: SparkSession, folder: str, schema) -> DataFrame:
     return every.groupBy("digest").agg(F.min("keeper").alias("keeper"), F.max("n").alias("n"))
 
 
-def _contents(own: DataFrame, wanted: DataFrame, resumed: bool, text_col: str) -> DataFrame:
+def _contents(own: DataFrame, wanted: DataFrame, resumed: bool) -> DataFrame:
     """(locator, bytes) of the wanted locators (distinct, stashed): of this call's documents, and of files that earlier calls read."""
     spark, few = own.sparkSession, F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS // 8 else wanted
     found = own.join(few, "locator", "left_semi").select("locator", normalised(F.col("text")).alias("bytes"))
     if not resumed:
         return found
-    mine = own.select(F.substring_index("locator", "#", 1).alias("file")).distinct()
-    files = [r.file for r in wanted.select(F.substring_index("locator", "#", 1).alias("file")).distinct().join(mine, "file", "left_anti").collect()]
-    if files:
-        older = spark.read.parquet(*files)
-        column = text_col if text_col in older.columns else "text"
-        older = older.select(F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("locator"), normalised(F.col(column).cast("string")).alias("bytes"))
+    place = lambda df: df.select(F.substring_index("locator", "#", 1).alias("file"), F.substring_index("locator", "#", -1).alias("column")).distinct()
+    files = {}
+    for r in place(wanted).join(place(own), ["file", "column"], "left_anti").collect():
+        files.setdefault(r.column, []).append(r.file)
+    for column, some in files.items():
+        older = spark.read.parquet(*some).select(_locator(column).alias("locator"), normalised(F.col(f"`{column}`").cast("string")).alias("bytes"))
         found = found.unionByName(older.join(few, "locator", "left_semi"))
     return found
 
@@ -99,7 +117,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with the most code points stays, then the smallest id; a null id comes
     last and is returned as null.  Rows that repeat an id with the same text
     are one group; the id stays, so each of them is kept.  No documents make
-    no rows; other columns of docs are not looked at.
+    no rows; other columns of docs are not looked at, but a column _metadata
+    is an error.
+
+    Where docs is a plain scan of Parquet files, locators name those; any other
+    DataFrame (of a join, of exploded rows, with a derived text) is written to
+    the folder first.
 
     folder keeps the state: a call with a folder of earlier calls adds its
     documents to theirs, and returns the verdicts on all.  The files of earlier
@@ -124,25 +147,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = hits.select(F.col("keeper").alias("locator"))
     if resumed:
         replaced = stash(before.join(hits, "digest").where("old <> keeper").select("digest", "keeper", F.col("old").alias("locator")), f"{folder}/replaced-{uuid.uuid4().hex}")
-        texts = _contents(own, stash(replaced.select("locator").distinct()), True, text_col)
+        texts = _contents(own, stash(replaced.select("locator").distinct()), True)
         members = members.select("locator", "digest", "bytes", "keeper").unionByName(texts.join(replaced, "locator").select("locator", "digest", "bytes", "keeper"))
-    keepers = _contents(own, stash(wanted.distinct()), resumed, text_col).select(F.col("locator").alias("keeper"), F.col("bytes").alias("keeper_bytes"))
+    keepers = _contents(own, stash(wanted.distinct()), resumed).select(F.col("locator").alias("keeper"), F.col("bytes").alias("keeper_bytes"))
     keepers = keepers.join(few, "keeper").select("digest", "keeper_bytes")
     # Made distinct only when read again, so that Spark may split a large group in the join.
     members.join(keepers, "digest").where("bytes <> keeper_bytes").select("digest").write.parquet(f"{folder}/false/{uuid.uuid4().hex}")
     split = stash(spark.read.schema("digest string").parquet(f"{folder}/false/*").distinct())
     if split.take(1):
-        out = _regroup(own, everything, out, split, resumed, text_col)
+        out = _regroup(own, everything, out, split, resumed)
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("keep_id"), F.col("group_size").cast("bigint").alias("group_size"), (F.col("id") == F.col("keep_id")).alias("kept"), F.col("digest").alias("text_digest"))
 
 
 _STATE = "digest string, keeper struct<less: int, id: bigint, locator: string>, n bigint"
 
 
-def _regroup(own: DataFrame, everything: DataFrame, out: DataFrame, split: DataFrame, resumed: bool, text_col: str) -> DataFrame:
+def _regroup(own: DataFrame, everything: DataFrame, out: DataFrame, split: DataFrame, resumed: bool) -> DataFrame:
     """Digests under which different texts met: their documents are grouped by the texts themselves."""
     again = stash(everything.join(split, "digest", "left_semi"))
-    again = again.join(_contents(own, stash(again.select("locator")), resumed, text_col), "locator")
+    again = again.join(_contents(own, stash(again.select("locator")), resumed), "locator")
     best = again.groupBy("digest", "bytes").agg(F.min(F.struct((-F.col("points")).alias("less"), "id")).alias("keeper"), F.count("*").alias("n"))
     fixed = again.join(best, ["digest", "bytes"]).select("id", F.col("keeper.id").alias("keep_id"), F.col("n").alias("group_size"), "digest")
     return out.join(split, "digest", "left_anti").select("id", "keep_id", "group_size", "digest").unionByName(fixed)
