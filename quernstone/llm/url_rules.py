@@ -3,7 +3,7 @@
 Given host and path rules come first; the longest that fits decides.  Other
 URLs are judged by association rules: FP-growth finds combinations of URL
 tokens that go along with a bad label; those with enough support, confidence
-and lift over the base rate are matched through an inverted index from each
+and lift over the base rate, beyond chance, are matched through an inverted index from each
 rule's rarest token.
 """
 
@@ -56,26 +56,74 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.5, lift: float = 1.5) -> DataFrame:
+def together(baskets: DataFrame, least: float) -> DataFrame:
+    """(stand, items): items of at least that many baskets (row, items), those that the same baskets hold being one, under the first of them.
+
+    Baskets of an item are told apart by their number and 128 bits of hashes.
+    """
+    held = baskets.select("row", F.explode("items").alias("item"))
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "row"))
+    each = held.groupBy("item").agg(F.count("*").alias("n"), mark(3).alias("a"), mark(5).alias("b")).where(F.col("n") >= least)
+    return each.groupBy("n", "a", "b").agg(F.array_sort(F.collect_list("item")).alias("items")).select(F.col("items")[0].alias("stand"), "items")
+
+
+def beyond_chance(bad: Column, n: Column, z: float) -> Column:
+    """The lower end of the Wilson interval of bad among n."""
+    p, zz = bad / n, F.lit(z * z)
+    return (p + zz / (2 * n) - F.lit(z) * F.sqrt(p * (1 - p) / n + zz / (4 * n * n))) / (1 + zz / n)
+
+
+def _unbeaten(sets: DataFrame) -> DataFrame:
+    """sets (items, confidence) for which none of fewer of their items is at least as confident.
+
+    All parts of a set are among the sets, so they are looked up size by size,
+    each set under its parts of one item less, which carry the best of theirs.
+    """
+    sets = stash(sets.withColumn("size", F.size("items")))
+    largest = sets.agg(F.max("size")).first()[0] or 0
+    best = stash(sets.where("size = 1").select("items", F.col("confidence").alias("best")))
+    kept = sets.where("size = 1").drop("size")
+    for size in range(2, largest + 1):
+        mine = sets.where(F.col("size") == size).drop("size")
+        parts = mine.select(F.col("items").alias("whole"), F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("items"))
+        below = parts.join(best, "items").groupBy(F.col("whole").alias("items")).agg(F.max("best").alias("below"))
+        judged = stash(mine.join(below, "items", "left"))
+        kept = kept.unionByName(judged.where(F.col("below").isNull() | (F.col("below") < F.col("confidence"))).drop("below"))
+        best = stash(judged.select("items", F.greatest("confidence", "below").alias("best")))
+    return kept
+
+
+def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.5, lift: float = 1.5, z: float = 3.29) -> DataFrame:
     """Rules (rule_id, items, confidence, support, lift) of labelled URLs (items array, bad boolean).
 
     A rule holds for a share of `support` of the labelled URLs, at every size
-    of input, and is `lift` times as often bad as a labelled URL is.  It is
-    pruned if a rule with fewer of its items is at least as confident.
+    of input, and what it holds for is bad `lift` times as often as a labelled
+    URL is, beyond chance: by the lower end of an interval of z standard errors
+    (3.29 leaves out one chance rule in a thousand and more).  It is pruned if
+    a rule with fewer of its items is at least as confident.  Items that always
+    stand together, as the segments of a template do, are mined as one, and
+    stand together in the rule.
     """
     spark = labelled.sparkSession
     none = spark.createDataFrame([], "rule_id bigint, items array<string>, confidence double, support double, lift double")
-    baskets = stash(labelled.where("size(items) > 0").select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items")))
-    if not baskets.take(1):
+    baskets = stash(labelled.where("size(items) > 0").select(F.monotonically_increasing_id().alias("row"), "items", "bad"))
+    total, bad = baskets.agg(F.count("*"), F.count_if("bad")).first()
+    if not bad:
         return none
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= lift))
-    found = stash(found.select(F.array_sort("antecedent").alias("items"), "confidence", "support", "lift"))
-    # Rules that share their first item with a shorter rule are few; the check is on sets.
-    part = found.select(F.explode("items").alias("item"), "items", "confidence").alias("a")
-    short = found.select(F.col("items")[0].alias("item"), F.col("items").alias("fewer"), F.col("confidence").alias("least")).alias("b")
-    beaten = part.join(short, "item").where((F.size("fewer") < F.size("items")) & (F.col("least") >= F.col("confidence")) & (F.size(F.array_except("fewer", "items")) == 0)).select("items").distinct()
-    return found.join(beaten, "items", "left_anti").select(F.xxhash64("items").alias("rule_id"), "items", "confidence", "support", "lift")
+    stands = stash(together(baskets, support * total))
+    few = small(stands.select(F.col("stand").alias("item")))
+    short = baskets.select("row", F.explode("items").alias("item")).join(few, "item").groupBy("row").agg(F.collect_list("item").alias("items"))
+    short = baskets.select("row", "bad").join(short, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    sets = stash(FPGrowth(itemsCol="items", minSupport=support).fit(stash(short)).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
+    with_bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("n_bad"))
+    found = with_bad.join(sets.withColumnRenamed("freq", "n"), "items")
+    found = _unbeaten(found.select("items", (F.col("n_bad") / F.col("n")).alias("confidence"), "n_bad", "n"))
+    rate = bad / total
+    found = found.where((F.col("confidence") >= confidence) & (F.col("confidence") >= lift * rate) & (beyond_chance(F.col("n_bad"), F.col("n"), z) >= lift * rate))
+    found = found.withColumn("rule", F.monotonically_increasing_id())
+    found = stash(found)
+    whole = found.select("rule", F.explode("items").alias("stand")).join(stands, "stand").groupBy("rule").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("all"))
+    return found.join(whole, "rule").select(F.xxhash64("all").alias("rule_id"), F.col("all").alias("items"), "confidence", (F.col("n_bad") / total).alias("support"), (F.col("confidence") / rate).alias("lift"))
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -111,11 +159,12 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
         raise ValueError(f"columns are taken: {sorted(taken)}")
     mined = stash(mine(baskets(labels), **mining))
     pages = pages.withColumn("_url", F.col(url_col).cast("string"))
+    # Only the few URLs that a rule matches are joined, so null and common ones make no hot key.
     urls = stash(pages.where(F.col("_url").isNotNull()).select(F.col("_url").alias("url")).distinct().withColumn("items", tokens(F.col("url"))))
     found = match(urls, mined).select(F.col("url").alias("_url"), F.lit(True).alias("_found"))
     host, path = host_and_path(F.col("_url"))
     text, verdict = rule_of(host, path, rules)
-    out = pages.join(found, "_url", "left")
+    out = pages.join(small(stash(found)), "_url", "left")
     return out.withColumns({"host": host, "path": path, "rule": text, "verdict": F.coalesce(verdict, F.when(F.col("_found"), "block").otherwise("allow"))}).drop("_url", "_found")
 
 
