@@ -256,6 +256,37 @@ def test_exact_dedup_reads_keepers_by_their_place(spark, sf):
     assert all(r.locator.split("#")[0].endswith("documents.parquet") for r in records) and sorted(int(r.locator.split("#")[1]) for r in records) == list(range(len(records)))
 
 
+def verdicts(df):
+    return sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in df.collect())
+
+
+def test_exact_dedup_of_derived_rows(spark, tmp_path):
+    """Rows that come from files through explode, a join or an expression are not rows of those files."""
+    spark.createDataFrame([(0, ["a b", "ab", "c"], "x"), (10, ["c", "d"], "X")], "base long, parts array<string>, name string").coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    exploded = df.select("base", F.posexplode("parts").alias("at", "text")).select((F.col("base") + F.col("at")).alias("doc_id"), "text")
+    want = [x[:4] for x in plain_dedup([(0, "a b"), (1, "ab"), (2, "c"), (10, "c"), (11, "d")])]
+    assert verdicts(exact_dedup.exact_dedup(exploded)) == want
+    joined = df.join(spark.createDataFrame([(0, 1), (0, 2), (10, 3)], "base long, doc_id long"), "base").select("doc_id", F.col("name").alias("text"))
+    assert verdicts(exact_dedup.exact_dedup(joined)) == [x[:4] for x in plain_dedup([(1, "x"), (2, "x"), (3, "X")])]
+    lower = df.select(F.col("base").alias("doc_id"), F.lower("name").alias("text"))
+    assert verdicts(exact_dedup.exact_dedup(lower)) == [x[:4] for x in plain_dedup([(0, "x"), (10, "x")])]
+    with pytest.raises(ValueError, match="_metadata"):
+        exact_dedup.exact_dedup(lower.withColumn("_metadata", F.lit(1)))
+
+
+def test_exact_dedup_goes_on_with_derived_and_renamed_texts(spark, tmp_path):
+    """Each arrival is compared with what earlier ones took as text, from whatever column."""
+    for k, rows in enumerate([[(1, "AB", "q"), (2, "cd", "r")], [(3, "ab", "cd"), (4, "xy", "zz")], [(5, "aB", "longer  "), (6, "x y", "q")]]):
+        spark.createDataFrame(rows, "id long, body string, other string").coalesce(1).write.parquet(f"{tmp_path}/{k}")
+    folder, read = shared_folder(spark), lambda k: spark.read.parquet(f"{tmp_path}/{k}")
+    digest = lambda t: F.lit("one")  # noqa: E731  all meet under one digest, so that bytes decide
+    exact_dedup.exact_dedup(read(0).select("id", F.lower("body").alias("text")), "id", digest=digest, folder=folder)
+    exact_dedup.exact_dedup(read(1), "id", "other", digest=digest, folder=folder)
+    out = exact_dedup.exact_dedup(read(2).select("id", "body"), "id", "body", digest=digest, folder=folder)
+    assert verdicts(out) == [x[:4] for x in plain_dedup([(1, "ab"), (2, "cd"), (3, "cd"), (4, "zz"), (5, "aB"), (6, "x y")])]
+
+
 def test_exact_dedup_edges(spark):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
     rows = spark.createDataFrame([(None, "a", "", "", ""), (3, "a ", "", "", ""), (3, "a ", "", "", "")], DOCS)
@@ -564,22 +595,27 @@ def plain_tokens(url):
     return out | {f"query={x.split('=')[0]}" for x in (query[1] if query else "").split("&") if x.split("=")[0]} | {f"scheme={url.split('://')[0]}"}
 
 
-def plain_rules(labelled, support=0.01, confidence=0.5, lift=1.5):
-    """{items: confidence} of the rules, by counting every combination that a labelled URL holds."""
+def plain_rules(labelled, support=0.01, confidence=0.5, lift=1.5, z=3.29):
+    """The rules' items, by counting every combination that a labelled URL holds; items that the same URLs hold stand together."""
     from itertools import combinations
 
-    n, bad_rate, held, bad_held = len(labelled), sum(b for _, b in labelled) / len(labelled), Counter(), Counter()
-    for url, bad in labelled:
+    n, bad_rate, held, bad_held, where = len(labelled), sum(b for _, b in labelled) / len(labelled), Counter(), Counter(), {}
+    for i, (url, bad) in enumerate(labelled):
         items = sorted(plain_tokens(url))
+        for x in items:
+            where.setdefault(x, set()).add(i)
         for k in range(1, len(items) + 1):
             held.update(combinations(items, k))
             bad_held.update(combinations(items, k) if bad else ())
-    found = {x: c / held[x] for x, c in bad_held.items() if c >= support * n and c / held[x] >= confidence and c / held[x] >= lift * bad_rate}
-    return {x: c for x, c in found.items() if not any(found.get(y, -1) >= c for k in range(1, len(x)) for y in combinations(x, k))}
+    least = lambda p, m: (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    found = {x: c / held[x] for x, c in bad_held.items() if c >= support * n and c / held[x] >= confidence and least(c / held[x], held[x]) >= lift * bad_rate}
+    kept = [x for x, c in found.items() if not any(found.get(y, -1) >= c for k in range(1, len(x)) for y in combinations(x, k))]
+    return {frozenset(y for i in x for y, at in where.items() if at == where[i]) for x in kept}
 
 
 def test_url_query_against_plain_version(spark, sf):
-    """The registered query's verdicts, where no given rule fits, are those of rules that plain counting finds; they block some pages."""
+    """The registered query's verdicts, where no given rule fits, are those of rules that plain counting finds."""
+    sf = sf.replace("sf0.001", "sf0.01")  # fewer pages leave no rule beyond chance
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     marks = {r.doc_id: r.quality == 0 or r.toxic == 1 for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     got = {r.page_id: r for r in queries()["op9_url_rules"](spark, sf).collect()}
@@ -587,7 +623,29 @@ def test_url_query_against_plain_version(spark, sf):
     rules = plain_rules(labelled)
     free = [r for r in pages if not got[r.page_id].rule]
     assert {r.page_id: got[r.page_id].verdict for r in free} == {r.page_id: "block" if any(set(x) <= plain_tokens(r.url) for x in rules) else "allow" for r in free}
-    assert len(got) == len(pages) and any(got[r.page_id].verdict == "block" for r in free)
+    assert len(got) == len(pages) and rules
+
+
+def test_rules_of_templates(spark):
+    """A template of 30 segments is one item of the search, and a rule holds it whole."""
+    template = "/".join(f"seg{'abcdefghij'[i % 10] * (1 + i // 10)}" for i in range(30))
+    rows = [(f"http://a.net/{template}/{i}", True) for i in range(100)] + [(f"http://b.net/x/{'uvwxyz'[i % 6]}/{i}", i % 4 == 0) for i in range(300)]
+    df = spark.createDataFrame([*rows, (None, True), ("http://c", None)], "url string, bad boolean")
+    mined = url_rules.mine(url_rules.baskets(df)).collect()
+    assert {frozenset(r["items"]) for r in mined} == plain_rules_of_template(template)
+    assert all(r.confidence == 1.0 and abs(r.support - 0.25) < 1e-9 for r in mined)
+
+
+def plain_rules_of_template(template):
+    return {frozenset([f"path={x}" for x in template.split("/")] + ["host=a"])}
+
+
+def test_no_rules_by_chance(spark):
+    """Labels that have nothing to do with the URLs give no rules; a few pages of one kind are not enough."""
+    chance = random.Random(8)
+    rows = [(f"http://h{'abcdefgh'[i % 8]}.net/{'klmnopqrst'[chance.randrange(10)]}/{'uvwxyz'[chance.randrange(6)]}?{'efgh'[chance.randrange(4)]}=1", chance.random() < 0.25) for i in range(600)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    assert url_rules.mine(url_rules.baskets(df)).count() == 0
 
 
 def test_match_is_exact(spark):

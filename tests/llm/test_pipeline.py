@@ -77,3 +77,13 @@ def test_null_and_repeated_ids(spark, sf):
     assert {x for x in got if x[0] != 7} == {(5, b), (3, a), (None, c), (9, near_c), (9, d), (None, near_c + " more")}
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, stash(out), sf).collect()]
     assert len(got) == 5 and {x for x in got if x[0] != 7} == {(5, b), (3, a), (9, near_c), (9, d)}
+
+
+def test_row_keys_are_places(spark, sf):
+    """No texts can be written whose rows share a key."""
+    rows = [(7, "a b"), (7, "c d"), (8, "a b"), (None, "e f"), (None, "e f")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 3) for k, t in rows], spark.read.parquet(f"{sf}/documents.parquet").schema)
+    keyed = corpus_pipeline._keyed(docs)
+    assert keyed.select("row_key").distinct().count() == len(rows) == keyed.count()
+    single = docs.where("text = 'a b'")
+    assert sorted(r.row_key for r in corpus_pipeline._keyed(single).collect()) == [7, 8]
