@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of documents, with fewer rows.  Ids may be null or
-repeat, so stages that drop copies judge rows by a key of their own.  Rows are
+repeat; stages that drop copies then judge rows by their place in a table.  Rows are
 dropped by an anti join with the keys that a stage removes: these are few next
 to the texts, so up to a checked size they are broadcast and no text is
 shuffled.
@@ -27,11 +27,11 @@ from quernstone.llm.packing import best_fit_pack, tokenizer_path
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with row_key, a bigint that only rows of equal id and text share: the id if none is null or repeats, else a hash."""
+    """docs with row_key, a bigint of its own for each row: the id if none is null or repeats, else the row's place in a table that is written for it."""
     if "row_key" in docs.columns:
         raise ValueError("column row_key is taken")
     odd = docs.where("doc_id IS NULL").take(1) or docs.groupBy("doc_id").count().where("count > 1").take(1)
-    return docs.withColumn("row_key", F.xxhash64(F.lit(19), "doc_id", "text") if odd else F.col("doc_id").cast("bigint"))
+    return stash(docs.withColumn("row_key", F.monotonically_increasing_id())) if odd else docs.withColumn("row_key", F.col("doc_id").cast("bigint"))
 
 
 def _few(keys: DataFrame) -> DataFrame:
@@ -61,9 +61,6 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The longest of equal texts stays, then the one with the smallest id."""
     keyed = _keyed(docs)
     verdict = stash(exact_dedup(keyed.select("row_key", "text"), "row_key"))
-    again = stash(verdict.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("row_key")))
-    if again.take(1):  # rows of equal id and text
-        keyed = keyed.join(_few(again), "row_key", "left_anti").unionByName(keyed.join(_few(again), "row_key", "left_semi").dropDuplicates(["row_key"]))
     moved = verdict.where("NOT kept").select(F.col("doc_id").alias("row_key"), F.col("keep_id").alias("group"))
     return _firsts(keyed, moved, -F.coalesce(F.length("text"), F.lit(0))).select(*docs.columns)
 
