@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,10 @@ from ..operators import retrieval as Q
 from ..operators import stats as S
 from ..operators import vectors as X
 from ..operators.candidates import Candidate
+from ..sources import files as FS
 from ..sources.catalog import Catalog, Constraint, Table, preview_sample
-from ..storage import shared_folder
+from ..storage import shared_folder, written
+from ..streaming import stateful as ST
 from ..streaming.profile import windowed_profile
 from . import twins as W
 from .discover import decisions, discover, joined_candidates, score
@@ -343,6 +346,29 @@ def retrieval_objects(spark, d):
     return Q.retrieval_objects(p.tables, p.columns, texts).select("object_type", "object_id", "parent_id", "time_col_hint", "table_category")
 
 
+def metadata_files(spark, d):
+    """DDL, JSON and Markdown of the profiled star tables, written as files and read again as columns: one row for each column."""
+    p, path = profiled(spark, d), shared_folder(spark)
+    FS.register(spark)
+    roles = {}
+    for r in p.columns.orderBy("ordinal").collect():
+        roles.setdefault(r.table, []).append(r)
+    tables = {r.table: r for r in p.tables.collect()}
+    texts = []
+    for t in p.catalog:
+        name = f"{t.database}.{t.full_name}"
+        document = E.profile_json(t, roles[t.name], tables[t.name], p.logical_keys[t.full_name])
+        texts += [(f"{name}.sql", E.ddl(t)), (f"{name}.json", json.dumps(document)), (f"{name}.md", E.markdown(t))]
+    spark.createDataFrame(texts, "file string, text string").repartition(4).write.format("table_metadata").option("path", path).mode("append").save()
+    read = lambda kind, of="columns": spark.read.format("table_metadata").option("path", path).option("kind", kind).option("object", of).load()
+    of_ddl = read("ddl").select("table", "column", "ordinal", "data_type")
+    of_json = read("json").select("table", "column", "role", "sample_count", "null_count")
+    of_markdown = read("markdown").select("table", "column", F.col("data_type").alias("shown_type"))
+    keys = read("ddl", "constraints").where("kind = 'pk'").select("table", F.explode("columns").alias("column"), F.lit(True).alias("in_key"))
+    on = ["table", "column"]
+    return of_ddl.join(of_json, on).join(of_markdown, on).join(keys, on, "left").fillna({"in_key": False})
+
+
 # --- The SQL that question/SQL pairs are made of -----------------------------------------------------------------------
 
 
@@ -380,13 +406,27 @@ def events_windowed_profile(spark, d):
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.col("column").alias("column_name"), "rows", "nulls", F.round("mean", 4).alias("mean"))
 
 
+def events_stateful_profile(spark, d):
+    """A stream of the events of the second half of the month, in four files, whose state starts from a profile of the first."""
+    events, folder, columns = _t(spark, d, "events").select("ts", "value", "event_type"), shared_folder(spark), ["value", "event_type"]
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    later = events.where(F.col("ts") >= half)
+    later.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/arriving")
+    stored = written(ST.stored_profile(events.where(F.col("ts") < half), "ts", columns), f"{folder}/stored")
+    stream = spark.readStream.schema(later.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/arriving")
+    emitted = ST.run_profile(ST.profile_stream(stream, "ts", columns, late="30 days", stored=stored), folder)
+    known = stored.withColumn("distinct_values", F.size("values").cast("bigint")).drop("values").withColumn("closed", F.lit(False))
+    out = ST.merged(known.unionByName(emitted))
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.col("column").alias("column_name"), "rows", "nulls", "distinct_values", F.round("mean", 6).alias("mean"))
+
+
 def queries() -> dict:
     found = (
         row_counts, col_null_rate, col_uniqueness, col_numeric_stats, col_length_stats, value_distribution, full_profile_lineitem, corpus_text_profile,
         complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories,
         inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, graph_edges, graph_statistics,
         dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, example_ids, retrieval_objects,
-        sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile,
+        sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile, events_stateful_profile, metadata_files,
     )
     return {f.__name__: f for f in found}
 
@@ -518,5 +558,7 @@ def oracle_sql() -> dict[str, str]:
         "sql_corpus_having": "SELECT l_suppkey, round(sum(l_quantity), 2) AS quantity, count(*) AS lines FROM lineitem GROUP BY l_suppkey HAVING count(*) > 100",
         "sql_corpus_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
         "sql_corpus_three_tables": "SELECT p_brand, o_orderstatus, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))), 2) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS order_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY p_brand, o_orderstatus",
+        "events_stateful_profile": " UNION ALL ".join(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values, {mean} AS mean FROM events GROUP BY date_trunc('day', ts)" for c, mean in (("value", "round(avg(value), 6)"), ("event_type", "CAST(NULL AS DOUBLE)"))),
+        "metadata_files": f"SELECT t AS \"table\", c AS \"column\", ord + 1 AS ordinal, kind AS data_type, kind AS shown_type, role, rows AS sample_count, nulls AS null_count, pk AS in_key FROM ({W.roles(COLUMNS, KEYS)})",
         "events_windowed_profile": " UNION ALL ".join(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, round(avg({c}), 4) AS mean FROM events GROUP BY date_trunc('day', ts)" for c in ("value", "user_id")),
     }
