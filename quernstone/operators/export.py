@@ -118,7 +118,7 @@ def profile_json(t: Table, roles: Sequence, table_row, keys: Sequence = (), samp
             "column_name": x["column"], "ordinal_position": x["ordinal"], "data_type": x["data_type"], "character_maximum_length": c.char_length, "numeric_precision": c.precision, "numeric_scale": c.scale,
             "is_nullable": c.nullable, "column_default": c.default, "comment": c.comment, "statistics": stats,
             "semantic_analysis": {"semantic_role": x["role"], "semantic_confidence": x["confidence"], "inference_basis": x["basis"].split(",")},
-            "role_specific_info": {k: x[k] for k in ("metric_category", "metric_aggregations", "datetime_grain", "audit_type", "enum_values", "identifier_keyword", "is_surrogate") if x.get(k) is not None},
+            "role_specific_info": {k: x[k] for k in ("metric_category", "metric_aggregations", "datetime_grain", "audit_type", "audit_purpose", "enum_values", "identifier_keyword", "is_surrogate") if x.get(k) is not None},
             "structure_flags": flags,
         }
     named = lambda kind: [{"constraint_name": k.name, "columns": list(k.columns)} for k in t.of_kind(kind)]

@@ -137,7 +137,11 @@ def metric_aggregations(category: Column) -> Column:
 
 
 def audit_type(name: Column) -> Column:
-    return _kind(name, C.AUDIT_KINDS, "timestamp")
+    return _kind(name, tuple((kind, held) for kind, _, held in C.AUDIT_KINDS), C.AUDIT_OTHER[0])
+
+
+def audit_purpose(name: Column) -> Column:
+    return _kind(name, tuple((purpose, held) for _, purpose, held in C.AUDIT_KINDS), C.AUDIT_OTHER[1])
 
 
 def column_roles(profiles: DataFrame, c: ProfileConfig = BARE) -> DataFrame:
@@ -152,7 +156,7 @@ def column_roles(profiles: DataFrame, c: ProfileConfig = BARE) -> DataFrame:
         F.when(role_is("identifier"), first_of(F.lower("column"), C.IDENTIFIER_KEYWORDS)).alias("identifier_keyword"),
         F.when(role_is("datetime"), datetime_grain(F.col("column"))).alias("datetime_grain"),
         category.alias("metric_category"), F.when(role_is("metric"), metric_aggregations(category)).alias("metric_aggregations"),
-        F.when(role_is("audit"), audit_type(F.col("column"))).alias("audit_type"),
+        F.when(role_is("audit"), audit_type(F.col("column"))).alias("audit_type"), F.when(role_is("audit"), audit_purpose(F.col("column"))).alias("audit_purpose"),
         F.when(role_is("enum"), F.map_keys("value_distribution")).alias("enum_values"),
     )
 

@@ -193,6 +193,55 @@ def table_categories(spark, d):
     return profiled(spark, d).tables.select("table", "category", "confidence", "basis", "total_columns", "identifier_count", "metric_count", "datetime_count")
 
 
+#: Tables of texts, vectors and events, and columns as tables of records have them beside their own.
+CORPUS = {
+    "documents": {"doc_id": "n", "text": "s", "lang": "s", "source": "s", "n_chars": "n"},
+    "embeddings": {"vec_id": "n", "embedding": "a", "label": "n"},
+    "labels": {"doc_id": "n", "quality": "n", "toxic": "n"},
+    "conversations": {"conv_id": "n", "turn": "n", "role": "s", "text": "s"},
+    "record_log": {"record_id": "n", "create_time": "t", "last_updated": "t", "updated_by": "n", "is_deleted": "b", "row_version": "n", "etl_batch": "n", "snapshot_day": "t", "remark": "s", "visit_year": "n"},
+}
+_LOG = {
+    "record_id": "event_id", "create_time": "ts", "last_updated": "ts", "updated_by": "user_id", "is_deleted": "event_type = 'error'", "row_version": "event_id % 7",
+    "etl_batch": "event_id % 11", "snapshot_day": "ts", "remark": "props", "visit_year": "event_id % 3",
+}
+
+
+def corpus_roles(spark, d):
+    """Roles of columns of texts, vectors, flags and audit facts."""
+    frames = {n: _t(spark, d, n) for n in list(CORPUS)[:-1]} | {"record_log": _t(spark, d, "events").selectExpr(*[f"{e} AS {c}" for c, e in _LOG.items()])}
+    p = _whole(profile_catalog(Catalog(spark, [Table(n, df) for n, df in frames.items()]), SHIPPED))
+    return p.columns.select("table", "column", "data_type", "role", "confidence", "basis", "audit_type", "audit_purpose")
+
+
+#: Two tables that refer to three others, one of them by two columns.
+def _linked(spark, d):
+    li = _t(spark, d, "lineitem")
+    lines = li.groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_id")).agg(F.count("*").alias("n_lines"))
+    link = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id")).distinct()
+    notes = lines.select("order_id", "part_id", (F.col("order_id") % 5).alias("grade")).where("n_lines = 1")
+    orders, supplier = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice"), _t(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), "s_acctbal")
+    key = lambda *c: Constraint("pk", c, "pk", unique=True)
+    to = lambda table, own, *c: Constraint("fk", own, f"{table}_fk", ("public", table, c))
+    return Catalog(spark, [
+        Table("orders_of", orders, constraints=[key("id")]), Table("supplier_of", supplier, constraints=[key("id")]), Table("line_of", lines, constraints=[key("order_id", "part_id")]),
+        Table("order_supplier", link, constraints=[to("orders_of", ("order_id",), "id"), to("supplier_of", ("supplier_id",), "id")]),
+        Table("line_note", notes, constraints=[to("line_of", ("order_id", "part_id"), "order_id", "part_id")]),
+    ])
+
+
+def bridge_categories(spark, d):
+    """A table that links two others is a bridge, and so is one whose foreign key has two columns."""
+    p = _whole(profile_catalog(_linked(spark, d), SHIPPED))
+    return p.tables.select("table", "category", "confidence", "basis", "foreign_key_count", "primary_key_count", "total_columns")
+
+
+def composite_foreign_keys(spark, d):
+    """Foreign keys of one column and of two, as relationships."""
+    out = discover(_whole(profile_catalog(_linked(spark, d), SHIPPED))).where("discovery_method = 'foreign_key_constraint'")
+    return out.select("relationship_id", "source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", "decision")
+
+
 # --- Relationships -----------------------------------------------------------------------------------------------------
 
 
@@ -267,6 +316,29 @@ def composite_relationships(spark, d):
     return out.select("source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", F.round("composite_score", 4).alias("composite_score"), "decision", "reason", "discovery_method")
 
 
+def _exempt(spark, d):
+    """Lines of orders three times: with two keys, with one and half of the parts, and twice over without any."""
+    li = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_id"))
+    line = (F.col("order_id") * 10_000_000 + F.col("part_id")).alias("line_id")
+    once, pair = li.distinct(), Constraint("uk", ("order_id", "part_id"), "pair", unique=True)
+    tables = [
+        Table("line_part", once.select("order_id", "part_id", line), constraints=[Constraint("pk", ("line_id",), "pk", unique=True), pair]),
+        Table("line_even", once.where("part_id % 10 > 0").select("order_id", "part_id", line), constraints=[pair]),
+        Table("line_copy", once.unionAll(once), constraints=[]),
+    ]
+    return discover(_whole(profile_catalog(Catalog(spark, tables), SHIPPED)))
+
+
+def exempt_relationships(spark, d):
+    """A single key by constraint stays beside an accepted composite, others go; columns of the same names match where the target has no keys."""
+    return _exempt(spark, d).select("source", F.array_join("source_columns", ",").alias("source_columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "cardinality", F.round("composite_score", 4).alias("composite_score"), "confidence_level", "decision", "reason", "discovery_method")
+
+
+def graph_single_edges(spark, d):
+    """One edge for each ordered pair of tables."""
+    return G.join_edges(_exempt(spark, d).where("decision = 'accepted'"), single=True).select("src", "dst", "cardinality", "on", "relationship_id")
+
+
 def graph_edges(spark, d):
     found = discover(profiled(spark, d)).where("decision = 'accepted'")
     return G.join_edges(found).select("src", "dst", "cardinality", "on", "relationship_id")
@@ -369,6 +441,20 @@ def metadata_files(spark, d):
     return of_ddl.join(of_json, on).join(of_markdown, on).join(keys, on, "left").fillna({"in_key": False})
 
 
+#: Columns with a comment: every second one that holds neither fractions nor times.
+COMMENTED = {t: [c for c in list(of)[::2] if c not in ("l_quantity", "l_discount", "o_orderdate", "l_shipdate")] for t, of in COLUMNS.items()}
+
+
+def retrieval_columns(spark, d):
+    """Objects of the columns that have a comment, which tells the column's least value; tables have blank texts."""
+    least = {n: _t(spark, d, n).agg(*[F.min(c).cast("string").alias(c) for c in some]).first().asDict() for n, some in COMMENTED.items()}
+    p = profiled(spark, d)
+    said = spark.createDataFrame([("public", n, c, f"  from {v} on ") for n, of in least.items() for c, v in of.items()], "schema string, table string, column string, comment string")
+    columns = p.columns.drop("comment").join(said, ["schema", "table", "column"], "left")
+    texts = spark.createDataFrame([(t.schema, t.name, " ") for t in p.catalog], "schema string, table string, text string")
+    return Q.retrieval_objects(p.tables, columns, texts)
+
+
 # --- The SQL that question/SQL pairs are made of -----------------------------------------------------------------------
 
 
@@ -423,9 +509,9 @@ def events_stateful_profile(spark, d):
 def queries() -> dict:
     found = (
         row_counts, col_null_rate, col_uniqueness, col_numeric_stats, col_length_stats, value_distribution, full_profile_lineitem, corpus_text_profile,
-        complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories,
-        inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, graph_edges, graph_statistics,
-        dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, example_ids, retrieval_objects,
+        complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories, corpus_roles, bridge_categories, composite_foreign_keys,
+        inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, exempt_relationships, graph_single_edges, graph_edges, graph_statistics,
+        dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, example_ids, retrieval_objects, retrieval_columns,
         sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile, events_stateful_profile, metadata_files,
     )
     return {f.__name__: f for f in found}
@@ -500,6 +586,46 @@ FROM s, c
 """
 
 
+_LINKED = """
+WITH li AS (SELECT l_orderkey AS o, l_partkey AS p, l_suppkey AS s FROM lineitem), lines AS (SELECT o, p, count(*) AS n FROM li GROUP BY o, p),
+c(t, category, confidence, basis, fk, pk, cols) AS (VALUES
+  ('orders_of', 'unknown', 0.5, '', 0, 1, 2), ('supplier_of', 'unknown', 0.5, '', 0, 1, 2), ('line_of', 'fact', 0.85, 'fact_has_metric,fact_dimension_columns', 0, 2, 3),
+  ('order_supplier', 'bridge', 0.85, 'bridge_fk_threshold', 2, 0, 2), ('line_note', 'bridge', 0.85, 'bridge_fk_threshold', 2, 0, 3))
+SELECT t AS "table", category, CAST(confidence AS DOUBLE) AS confidence, basis, fk AS foreign_key_count, pk AS primary_key_count, cols AS total_columns FROM c
+"""
+
+_LINKED_KEYS = """
+WITH k(s, sc, t, tc) AS (VALUES ('order_supplier', 'order_id', 'orders_of', 'id'), ('order_supplier', 'supplier_id', 'supplier_of', 'id'), ('line_note', 'order_id,part_id', 'line_of', 'order_id,part_id')),
+u AS (SELECT round(count(DISTINCT l_orderkey) / count(*), 4) AS o, round(count(DISTINCT l_suppkey) / count(*), 4) AS s FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)),
+n AS (SELECT round(count(DISTINCT o) / count(*), 4) AS o, round(count(DISTINCT p) / count(*), 4) AS p FROM (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem GROUP BY ALL HAVING count(*) = 1))
+SELECT 'rel_' || substr(md5('public.' || k.s || '.[' || sc || ']->public.' || t || '.[' || tc || ']'), 1, 12) AS relationship_id, 'public.' || k.s AS source, sc AS source_columns, 'public.' || t AS target, tc AS target_columns,
+       CASE WHEN CASE sc WHEN 'order_id' THEN u.o WHEN 'supplier_id' THEN u.s ELSE least(n.o, n.p) END >= 0.95 THEN '1:1' ELSE 'N:1' END AS cardinality, 'accepted' AS decision
+FROM k, u, n
+"""
+
+#: All columns of a relationship of line_part, line_even and line_copy: a composite is found both ways where both ends have keys.
+_EXEMPT_SQL = """
+WITH a AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem), n AS (SELECT count(*) AS na, count(*) FILTER (WHERE p % 10 > 0) AS nb FROM a),
+d(source, target, ns, nt, common, twice) AS (
+  SELECT 'line_part', 'line_even', na, nb, nb, false FROM n UNION ALL SELECT 'line_even', 'line_part', nb, na, nb, false FROM n
+  UNION ALL SELECT 'line_part', 'line_copy', na, na, na, true FROM n UNION ALL SELECT 'line_even', 'line_copy', nb, na, nb, true FROM n),
+c(cols, single) AS (VALUES ('order_id,part_id', false), ('line_id', true)),
+s AS (SELECT *, 0.55 * common / ns + 0.2 * common / (ns + nt - common) + 0.15 + 0.1 AS score, single AND source = 'line_part' AS exempt FROM d, c WHERE NOT (twice AND single)),
+r AS (SELECT *, CASE WHEN score < 0.65 THEN 'below_threshold' WHEN single AND NOT exempt AND bool_or(score >= 0.65 AND NOT single) OVER (PARTITION BY source, target) THEN 'suppressed_by_composite' END AS reason FROM s)
+SELECT 'public.' || source AS source, cols AS source_columns, 'public.' || target AS target, cols AS target_columns, CASE WHEN twice THEN '1:N' ELSE '1:1' END AS cardinality, score,
+       round(score, 4) AS composite_score, CASE WHEN score >= 0.9 THEN 'high' WHEN score >= 0.8 THEN 'medium' ELSE 'low' END AS confidence_level, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS decision, reason,
+       CASE WHEN NOT single THEN 'physical_constraint_matching' WHEN exempt THEN 'active_search' ELSE 'logical_key_matching' END AS discovery_method
+FROM r
+"""
+
+_SINGLE_EDGES = f"""
+WITH r AS (SELECT *, 'rel_' || substr(md5(source || '.[' || source_columns || ']->' || target || '.[' || target_columns || ']'), 1, 12) AS id FROM ({_EXEMPT_SQL}) WHERE decision = 'accepted'),
+e AS (SELECT CASE WHEN cardinality = '1:N' THEN target ELSE source END AS src, CASE WHEN cardinality = '1:N' THEN source ELSE target END AS dst, CASE WHEN cardinality = '1:N' THEN 'N:1' ELSE cardinality END AS cardinality,
+       array_to_string(list_transform(string_split(source_columns, ','), lambda c: 'SRC.' || c || ' = DST.' || c), ' AND ') AS "on", id AS relationship_id FROM r)
+SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY relationship_id DESC) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     # Rounded half up on whole numbers: 9 of 60000 is 0.0002 in any engine.
     share = lambda n: f"((20000 * ({n}) + count(*)) // (2 * count(*))) / 10000.0"
@@ -558,6 +684,12 @@ def oracle_sql() -> dict[str, str]:
         "sql_corpus_having": "SELECT l_suppkey, round(sum(l_quantity), 2) AS quantity, count(*) AS lines FROM lineitem GROUP BY l_suppkey HAVING count(*) > 100",
         "sql_corpus_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
         "sql_corpus_three_tables": "SELECT p_brand, o_orderstatus, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))), 2) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS order_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY p_brand, o_orderstatus",
+        "corpus_roles": f"WITH record_log AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _LOG.items())} FROM events) SELECT t AS \"table\", c AS \"column\", kind AS data_type, role, confidence, basis, {W.audit_facts()} FROM ({W.roles(CORPUS, {})})",
+        "bridge_categories": _LINKED,
+        "composite_foreign_keys": _LINKED_KEYS,
+        "exempt_relationships": f"SELECT * EXCLUDE (score) FROM ({_EXEMPT_SQL})",
+        "graph_single_edges": _SINGLE_EDGES,
+        "retrieval_columns": " UNION ALL ".join(f"SELECT 'column' AS object_type, 'public.{t}.{c}' AS object_id, 'public.{t}' AS parent_id, 'from ' || CAST(min({c}) AS VARCHAR) || ' on' AS object_desc, CAST(NULL AS VARCHAR) AS time_col_hint, CAST(NULL AS VARCHAR) AS table_category FROM {t}" for t, some in COMMENTED.items() for c in some),
         "events_stateful_profile": " UNION ALL ".join(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values, {mean} AS mean FROM events GROUP BY date_trunc('day', ts)" for c, mean in (("value", "round(avg(value), 6)"), ("event_type", "CAST(NULL AS DOUBLE)"))),
         "metadata_files": f"SELECT t AS \"table\", c AS \"column\", ord + 1 AS ordinal, kind AS data_type, kind AS shown_type, role, rows AS sample_count, nulls AS null_count, pk AS in_key FROM ({W.roles(COLUMNS, KEYS)})",
         "events_windowed_profile": " UNION ALL ".join(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, round(avg({c}), 4) AS mean FROM events GROUP BY date_trunc('day', ts)" for c in ("value", "user_id")),

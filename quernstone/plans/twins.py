@@ -31,7 +31,7 @@ def _in(text: str, values: Iterable[str]) -> str:
 
 def profiles(tables: Tables, keys: dict[str, Sequence[str]]) -> str:
     """t, c, ord, kind, rows, nulls, distinct_, uniq, least, longest, len_avg, len_std, len_range, pk of each column."""
-    kind = "CASE any_value(typeof({c})) WHEN 'INTEGER' THEN 'integer' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double precision' WHEN 'TIMESTAMP' THEN 'timestamp' ELSE 'text' END"
+    kind = "CASE any_value(typeof({c})) WHEN 'INTEGER' THEN 'integer' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double precision' WHEN 'TIMESTAMP' THEN 'timestamp' WHEN 'FLOAT[]' THEN 'real[]' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'text' END"
     text = lambda c, k: f"round(avg(length({c})), 2) AS len_avg, round(coalesce(stddev_samp(length({c})), 0), 2) AS len_std, max(length({c})) - min(length({c})) AS len_range" if k == "s" else "0.0 AS len_avg, 0.0 AS len_std, 0 AS len_range"
     each = lambda t, i, c, k: (
         f"SELECT '{t}' AS t, '{c}' AS c, {i} AS ord, {kind.format(c=c)} AS kind, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_, round(count(DISTINCT {c}) / count(*), 4) AS uniq, "
@@ -53,7 +53,7 @@ def roles(tables: Tables, keys: dict[str, Sequence[str]]) -> str:
     number, measure = _in("kind", C.NUMERIC_TYPES), _like(name, C.METRIC_PATTERNS)
     varied = f"NOT {_has(name, C.DESCRIPTION_EXCLUDED)} AND len_avg >= 50 AND uniq >= 0.7 AND len_std >= 5 AND (len_std > 20 OR len_range > 100)"
     rules = [
-        (_in("kind", words.complex_types), "complex", 0.95, "complex_type"),
+        (f"{_in('kind', words.complex_types)} OR kind LIKE '%[]'", "complex", 0.95, "complex_type"),
         (_like(name, C.AUDIT_PATTERNS), "audit", 0.95, "audit_pattern"),
         (_in("kind", words.datetime_types), "datetime", 1.0, "datetime_type"),
         (_like(name, [f"{s}$" for s in C.DATETIME_SUFFIXES]), "datetime", 0.85, "datetime_name"),
@@ -181,3 +181,9 @@ def composite_keys(name: str, columns: Iterable[str], table: str) -> str:
         f"k AS (SELECT total, unnest([{rows}]) AS x FROM d), g AS (SELECT x[1] AS column_set, x[2] AS size, x[3] AS confidence FROM k WHERE x[4] = total) "
         f"SELECT '{name}' AS \"table\", column_set, CAST(confidence AS DOUBLE) AS confidence FROM g WHERE size = (SELECT min(size) FROM g)"
     )
+
+
+def audit_facts() -> str:
+    """CASE expressions of an audit column's kind and purpose by its name, c."""
+    pick = lambda i: "CASE " + " ".join(f"WHEN {_has('lower(c)', k[2])} THEN '{k[i]}'" for k in C.AUDIT_KINDS) + f" ELSE '{C.AUDIT_OTHER[i]}' END"
+    return f"CASE WHEN role = 'audit' THEN {pick(0)} END AS audit_type, CASE WHEN role = 'audit' THEN {pick(1)} END AS audit_purpose"
