@@ -13,11 +13,21 @@ entity's information content,
 N and all d count distinct texts, whole and exactly.  Terms with PMI >=
 threshold * IC (by default, that reveal half of what there is to know) that
 share enough different texts with the entity (copies of one text count once)
-are masked in the documents that hold the entity.
+are masked in the documents that hold the entity, if chance does not explain
+it: were the d(t) texts of a term dealt by length alone, each would hold the
+entity with the probability w(e), the entity's share of all characters, and
+
+    d(t) KL(d(e, t) / d(t) || w(e))
+
+is a sure (Chernoff) bound of how unlikely so many or more are.  It must exceed
+ln(pairs / level), so that all pairs of entities and terms together bring a
+chance pair with a probability of `level` at most.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,21 +62,45 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+#: Spans that are put together at a time: an array grows by copies, so growing it in blocks keeps long texts linear.
+_BLOCK = 256
+
+
+def _in_blocks(parts: Column, none: Column, step) -> Column:
+    """(pos, out) after all parts: step(pos, part) gives the next pos and an array of what comes out, none being an empty one."""
+
+    def block(state: Column, i: Column) -> Column:
+        start = F.struct(state["pos"].alias("pos"), none.alias("out"))
+
+        def one(inner: Column, part: Column) -> Column:
+            pos, more = step(inner["pos"], part)
+            return F.struct(pos.alias("pos"), F.concat(inner["out"], more).alias("out"))
+
+        done = F.aggregate(F.slice(parts, i * _BLOCK + 1, F.lit(_BLOCK)), start, one)
+        return F.struct(done["pos"].alias("pos"), F.concat(state["out"], F.array(done["out"])).alias("out"))
+
+    start = F.struct(F.lit(0).alias("pos"), F.slice(F.array(none), 1, 0).alias("out"))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / _BLOCK).cast("int"))
+    return F.aggregate(blocks, start, block, lambda s: F.struct(s["pos"].alias("pos"), F.flatten(s["out"]).alias("out")))
+
+
 def located(text: Column, pattern: str, matches: Column, kind: str, order: int, keep) -> Column:
     """Matches with their places, from the pieces of text between them."""
     pieces = F.split(text, pattern, -1)
     parts = F.arrays_zip(pieces.alias("before"), matches.alias("match"))
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    none = F.array().cast(f"array<{_SPAN}>")
 
-    def step(state: Column, part: Column) -> Column:
-        at = state["pos"] + F.length(part["before"])
+    def step(pos: Column, part: Column) -> tuple[Column, Column]:
+        at = pos + F.length(part["before"])
         end = at + F.length(part["match"])
         span = F.struct(at.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), part["match"].alias("value"))
-        out = F.when(part["match"].isNotNull() & keep(part["match"]), F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(F.coalesce(end, at).alias("pos"), out.alias("out"))
+        return F.coalesce(end, at), F.when(part["match"].isNotNull() & keep(part["match"]), F.array(span)).otherwise(none)
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    return F.when(F.size(matches) > 0, F.aggregate(parts, start, step, lambda s: s["out"])).otherwise(none)
+    return F.when(F.size(matches) > 0, _in_blocks(parts, none, step)["out"]).otherwise(none)
+
+
+def _short(text: Column) -> Column:
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
 def base_spans(docs: DataFrame, text: str) -> DataFrame:
@@ -105,35 +139,37 @@ def _texts(df: DataFrame, by: list[str], name: str) -> DataFrame:
     return df.groupBy(*by, "same").count().groupBy(*by).agg(F.sum(F.expr("count div same")).alias(name))
 
 
-def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings: int, folder: str) -> DataFrame:
+def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings: int, folder: str, level: float = 0.05) -> DataFrame:
     """(entity, term) pairs above the threshold.
 
-    rows: key, body (hash of the text) and text.  base: key, body, entities, and
-    terms where a text has an entity.
+    rows: key, body (hash of the text) and text.  base: key, body, chars,
+    entities, and terms where a text has an entity.
 
     PMI >= threshold * IC asks for d(e, t) >= d(t) share(e), with share(e) =
     (d(e) / N)^(1 - threshold).  As d(e, t) is at most d(e), and at most the
     texts with an entity that hold t, common terms fall out before they are
     paired; no pair above the threshold is lost, and those left are counted.
     """
-    each = base.groupBy("body", "key").count()
-    copies = each.groupBy("body").agg(F.min("key").alias("keep"), F.min_by("count", "key").alias("same"), F.sum("count").alias("rows"))
-    total = copies.count()
+    each = base.groupBy("body", "key").agg(F.count("*").alias("count"), F.first("chars").alias("chars"))
+    copies = each.groupBy("body").agg(F.min("key").alias("keep"), F.min_by("count", "key").alias("same"), F.sum("count").alias("rows"), F.first("chars").alias("chars"))
+    total, chars = copies.agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
     copies = stash(copies.where("rows > 1").select("body", "keep", "same"), f"{folder}/copies")
-    spans = base.select("body", F.explode("entities").alias("entity"))
+    spans = base.select("body", "chars", F.explode("entities").alias("entity"))
     # An entity that is in every text has no content.
-    of_entity = spans.distinct().groupBy("entity").agg(F.count("*").alias("with_entity")).where((F.col("with_entity") >= surroundings) & (F.col("with_entity") < total))
+    of_entity = spans.distinct().groupBy("entity").agg(F.count("*").alias("with_entity"), (F.sum("chars") / F.lit(float(max(chars, 1)))).alias("weight")).where((F.col("with_entity") >= surroundings) & (F.col("with_entity") < total))
     of_entity = of_entity.withColumn("share", F.pow(F.col("with_entity") / F.lit(float(total)), F.lit(1.0 - threshold)))
     of_entity = stash(of_entity, f"{folder}/entities")
     least_share, most = of_entity.agg(F.min("share"), F.max(F.col("with_entity") / F.col("share"))).first()
     if most is None:
         return of_entity.select("entity", F.lit("").alias("term"))
-    mine = spans.join(F.broadcast(of_entity) if of_entity.count() <= BROADCAST_ROWS else of_entity, "entity").select("body", "entity", "with_entity", "share").distinct()
+    mine = spans.join(F.broadcast(of_entity) if of_entity.count() <= BROADCAST_ROWS else of_entity, "entity").select("body", "entity", "with_entity", "weight", "share").distinct()
     mine = stash(mine, f"{folder}/mine")
     bodies = stash(mine.select("body").distinct(), f"{folder}/bodies")
     held = among(_once(base.where(F.size("entities") > 0).select("key", "body", "terms"), copies), bodies, "body")
     held = stash(held.select("body", "same", "terms"), f"{folder}/held").select("body", "same", F.explode("terms").alias("term"))
-    shared = stash(_texts(held, ["term"], "at_most").where(F.col("at_most") >= surroundings), f"{folder}/shared")
+    shared = stash(_texts(held, ["term"], "at_most"), f"{folder}/shared")
+    pairs = of_entity.count() * shared.count()
+    shared = shared.where(F.col("at_most") >= surroundings)
     words = base_spans(_once(rows.select("key", "body", "text"), copies), "text").select("same", F.explode(_terms("text", "_base")).alias("term"))
     # Beyond a broadcast the words are counted before they are joined.
     if shared.count() <= BROADCAST_ROWS // 4:
@@ -142,13 +178,16 @@ def disclosing(rows: DataFrame, base: DataFrame, threshold: float, surroundings:
     slack = 1 + 1e-9
     of_term = stash(of_term.where((F.col("with_term") <= most * slack) & (F.col("with_term") * least_share <= F.col("at_most") * slack)), f"{folder}/terms")
     pair = held.join(small(of_term), "term").join(mine, "body").where(F.col("with_term") * F.col("share") <= F.least("with_entity", "at_most") * slack)
-    both = _texts(pair, ["entity", "term", "with_entity", "with_term"], "both").where(F.col("both") >= surroundings)
+    both = _texts(pair, ["entity", "term", "with_entity", "weight", "with_term"], "both").where(F.col("both") >= surroundings)
     content = F.log2(F.lit(float(total)) / F.col("with_entity"))
     pmi = F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
-    return stash(both.where(pmi >= threshold * content).select("entity", "term"), f"{folder}/disclosing")
+    p, w = F.col("both") / F.col("with_term"), F.col("weight")
+    unlikely = F.col("with_term") * (p * F.ln(p / w) + F.when(p < 1, (1 - p) * F.ln((1 - p) / (1 - w))).otherwise(0.0))
+    surely = F.when((w > 0) & (p > w), unlikely >= math.log(max(pairs, 1) / level)).otherwise(False)
+    return stash(both.where((pmi >= threshold * content) & surely).select("entity", "term"), f"{folder}/disclosing")
 
 
-def sanitise(docs: DataFrame, threshold: float = 0.5, surroundings: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = 0.5, surroundings: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, level: float = 0.05) -> DataFrame:
     """One row per document: doc_id, base and spans (start, end, kind, in code points) and, if asked for, text_clean.
 
     Null texts are empty and have no spans.  Spans of one kind never overlap;
@@ -159,12 +198,13 @@ def sanitise(docs: DataFrame, threshold: float = 0.5, surroundings: int = 3, id_
     spark = docs.sparkSession
     folder = shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumns({"key": F.xxhash64(F.lit(11), "doc_id", "text"), "body": F.xxhash64(F.lit(17), "text")})
+    # 128 bits of SHA-256 each, so that no two texts can be made to share one.
+    rows = rows.withColumn("body", _short(F.col("text"))).withColumn("key", _short(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull().cast("string"), "body")))
     facts = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     found = base_spans(rows, "text").withColumn("entities", F.array_distinct(F.flatten(F.transform("_base", _entities))))
     terms = F.when(F.size("entities") > 0, _terms("text", "_base")).otherwise(F.array().cast("array<string>"))
-    base = stash(found.select("doc_id", "key", "body", facts.alias("base"), "entities", terms.alias("terms")), f"{folder}/base")
-    told = disclosing(rows, base, threshold, surroundings, folder)
+    base = stash(found.select("doc_id", "key", "body", facts.alias("base"), "entities", terms.alias("terms"), F.length("text").cast("bigint").alias("chars")), f"{folder}/base")
+    told = disclosing(rows, base, threshold, surroundings, folder, level)
 
     # Documents that hold an entity lose the terms that disclose it.
     held = base.where(F.size("entities") > 0).select("key", "entities", F.explode("terms").alias("term"))
@@ -187,15 +227,29 @@ def sanitise(docs: DataFrame, threshold: float = 0.5, surroundings: int = 3, id_
 
 
 def masked(text: Column, spans: Column, mark=lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))) -> Column:
-    """text with a mark, [KIND], for every span; spans are ordered by start."""
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+    """text with a mark, [KIND], for every span; spans are ordered by start.
+
+    A block of spans works on its own part of the text, as finding a place in a
+    text takes time in proportion to the place.
+    """
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+
+    def block(state: Column, i: Column) -> Column:
+        some, base = F.slice(spans, i * _BLOCK + 1, F.lit(_BLOCK)), state["pos"]
+        end = F.greatest(base, F.array_max(F.transform(some, lambda s: s["end"])))
+        part = F.substring(text, base + 1, end - base)
+
+        def one(inner: Column, s: Column) -> Column:
+            piece = F.concat(F.substring(part, inner["pos"] - base + 1, s["start"] - inner["pos"]), mark(s))
+            out = F.when(s["start"] >= inner["pos"], F.concat(inner["out"], F.array(piece))).otherwise(inner["out"])
+            return F.struct(F.greatest(inner["pos"], s["end"]).alias("pos"), out.alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["pos"]
-        out = F.when(fresh, F.concat(state["out"], F.substring(text, state["pos"] + 1, s["start"] - state["pos"]), mark(s))).otherwise(state["out"])
-        return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), out.alias("out"))
+        done = F.aggregate(some, F.struct(base.alias("pos"), F.array().cast("array<string>").alias("out")), one)
+        return F.struct(done["pos"].alias("pos"), F.concat(state["out"], F.array(F.array_join(done["out"], ""))).alias("out"))
 
-    return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["pos"] + 1, F.length(text))))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / _BLOCK).cast("int"))
+    whole = F.aggregate(blocks, start, block, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["pos"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def span_text(spans: Column) -> Column:
