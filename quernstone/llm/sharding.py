@@ -18,6 +18,8 @@ from .common import BROADCAST_ROWS, stash, table
 
 #: Rows that a task permutes: of an input partition, and of a part of a shard.
 ROWS = 20_000
+#: Parts at most, so that the driver draws a bounded number of counts; beyond ROWS * PARTS rows, parts are larger.
+PARTS = 100_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -73,6 +75,7 @@ def shard_rows(rows: DataFrame, shards: int = 16, seed: int = 7, rows_per_task:
     rows = stash(rows).select(*names, file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     key = lambda k: F.xxhash64(F.lit(seed * 8 + k), "_file", "_row")
     n = rows.count()
+    rows_per_task = max(rows_per_task, -(-n // PARTS))
     capacity = [n // shards + (s < n % shards) for s in range(shards)]
     parts = max(1, -(-n // rows_per_task))
     placed = rows.withColumn("_part", F.pmod(key(0), F.lit(parts)).cast("int"))
