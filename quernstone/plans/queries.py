@@ -16,6 +16,7 @@ from ..operators import graph as G
 from ..operators import metrics as M
 from ..operators import retrieval as Q
 from ..operators import stats as S
+from ..operators import upserts as U
 from ..operators import vectors as X
 from ..operators.candidates import Candidate
 from ..sources import files as FS
@@ -408,6 +409,28 @@ def vector_upsert(spark, d):
     return Q.upsert(e, new, "vec_id")
 
 
+def merged_vectors(spark, d):
+    """Vectors in batches: all of them, every second one with a new label, that batch again, and every fifth one deleted."""
+    e = _t(spark, d, "embeddings").select("vec_id", F.col("label").cast("bigint").alias("label"), F.element_at("embedding", 1).cast("double").alias("first"))
+    table = U.merged_table(spark, shared_folder(spark), e.schema, ["vec_id"])
+    even = e.where("vec_id % 2 = 0").withColumn("label", F.col("label") + 1000)
+    for batch, rows, gone in (("all", e, None), ("even", even, None), ("even", even, None), ("gone", e.limit(0), e.where("vec_id % 5 = 0").select("vec_id"))):
+        table.merge(rows, batch, gone)
+    return table.read().select("vec_id", "label", F.round("first", 5).alias("first"))
+
+
+def merged_graph(spark, d):
+    """Edges of the discovered graph, one for each ordered pair of tables, loaded twice; the second load brings other counts of joined rows."""
+    found = _exempt(spark, d).where("decision = 'accepted'")
+    edges = G.join_edges(found, single=True).select("src", "dst", "cardinality", "relationship_id")
+    rows = {n: _t(spark, d, n).count() for n in ("lineitem", "orders")}
+    edges = written(edges, f"{shared_folder(spark)}/edges")
+    table = U.merged_table(spark, shared_folder(spark), "src string, dst string, cardinality string, relationship_id string, load bigint", ["src", "dst"], 8)
+    for load, some in (("first", edges), ("second", edges.where("cardinality = 'N:1'"))):
+        table.merge(some.withColumn("load", F.lit(rows["lineitem" if load == "first" else "orders"])), load)
+    return table.read()
+
+
 def example_ids(spark, d):
     return _t(spark, d, "conversations").select("conv_id", "turn", Q.example_id(F.lit("corpus"), F.col("role"), F.col("text")).alias("example_id"))
 
@@ -511,7 +534,7 @@ def queries() -> dict:
         row_counts, col_null_rate, col_uniqueness, col_numeric_stats, col_length_stats, value_distribution, full_profile_lineitem, corpus_text_profile,
         complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories, corpus_roles, bridge_categories, composite_foreign_keys,
         inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, exempt_relationships, graph_single_edges, graph_edges, graph_statistics,
-        dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, example_ids, retrieval_objects, retrieval_columns,
+        dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, merged_vectors, merged_graph, example_ids, retrieval_objects, retrieval_columns,
         sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile, events_stateful_profile, metadata_files,
     )
     return {f.__name__: f for f in found}
@@ -684,6 +707,8 @@ def oracle_sql() -> dict[str, str]:
         "sql_corpus_having": "SELECT l_suppkey, round(sum(l_quantity), 2) AS quantity, count(*) AS lines FROM lineitem GROUP BY l_suppkey HAVING count(*) > 100",
         "sql_corpus_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
         "sql_corpus_three_tables": "SELECT p_brand, o_orderstatus, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))), 2) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS order_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY p_brand, o_orderstatus",
+        "merged_vectors": "SELECT vec_id, CAST(label AS BIGINT) + CASE WHEN vec_id % 2 = 0 THEN 1000 ELSE 0 END AS label, round(CAST(embedding[1] AS DOUBLE), 5) AS first FROM embeddings WHERE vec_id % 5 <> 0",
+        "merged_graph": f"SELECT src, dst, cardinality, relationship_id, CASE WHEN cardinality = 'N:1' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM lineitem) END AS load FROM ({_SINGLE_EDGES})",
         "corpus_roles": f"WITH record_log AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _LOG.items())} FROM events) SELECT t AS \"table\", c AS \"column\", kind AS data_type, role, confidence, basis, {W.audit_facts()} FROM ({W.roles(CORPUS, {})})",
         "bridge_categories": _LINKED,
         "composite_foreign_keys": _LINKED_KEYS,
