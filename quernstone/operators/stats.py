@@ -4,8 +4,9 @@ Counting distinct values of every column in one aggregate multiplies rows by
 columns before the shuffle.  The profile therefore takes two steps: moments and
 approximate distinct counts in a pass that shuffles one row for each task, then
 exact counts and value distributions for the columns where an exact figure can
-change a decision (or for all, on demand).  Each such column is read by itself
-and counted in its own type; values are listed only where there are few.
+change a decision (or for all, on demand).  Columns of few values are counted
+together in one pass; any other one is read by itself and counted in its own
+type, and its values are not listed.
 """
 
 from __future__ import annotations
@@ -81,28 +82,32 @@ def key_frequencies(df: DataFrame, name: str) -> DataFrame:
 _COUNTED = ("column", "exact", "least_count", "longest_value", "top")
 
 
-def counted(df: DataFrame, name: str, listed: bool, most: int) -> DataFrame:
-    """One row of _COUNTED: distinct values; least count, longest value and the `most` frequent (value, n), ties by value, where values are listed.
+def counted(df: DataFrame, name: str) -> DataFrame:
+    """One row of _COUNTED with the number of distinct values; values are only listed where a sketch has seen that they are few."""
+    none = F.lit(None)
+    return key_frequencies(df, name).agg(F.count("*").alias("exact")).select(F.lit(name).alias("column"), "exact", none.cast("bigint").alias("least_count"), none.cast("bigint").alias("longest_value"), none.cast("array<struct<value:string,n:bigint>>").alias("top"))
 
-    Values are only listed where a sketch has seen that they are few.
+
+def counted_together(df: DataFrame, names: Sequence[str], most: int) -> DataFrame:
+    """Rows of _COUNTED of columns that a sketch has seen to have few values: one pass for all of them.
+
+    A row becomes one (column, value) for each column; as the values are few,
+    they are summed up in the task before anything is shuffled.
     """
-    each, out = key_frequencies(df, name), [F.lit(name).alias("column"), F.count("*").alias("exact")]
-    if not listed:
-        none = F.lit(None)
-        return each.agg(out[1]).select(out[0], "exact", none.cast("bigint").alias("least_count"), none.cast("bigint").alias("longest_value"), none.cast("array<struct<value:string,n:bigint>>").alias("top"))
-    text = F.col("value").cast("string")
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), text.alias("value"))))
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), comparable(df, c).cast("string").alias("value")) for c in names]))
+    each = df.select(one.alias("x")).select("x.*").groupBy("column", "value").agg(F.count("*").alias("n"))
+    ranked = F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("less"), "value"))))
     top = F.transform(F.slice(ranked, 1, most), lambda x: F.struct(x["value"].alias("value"), (-x["less"]).alias("n")))
-    return each.agg(out[1], F.min("n").alias("least_count"), F.max(F.length(text)).cast("bigint").alias("longest_value"), top.alias("top")).select(out[0], *_COUNTED[1:])
+    return each.groupBy("column").agg(F.count("value").alias("exact"), F.min(F.when(F.col("value").isNotNull(), F.col("n"))).alias("least_count"), F.max(F.length("value")).cast("bigint").alias("longest_value"), top.alias("top")).select(*_COUNTED)
 
 
 def distributions(df: DataFrame, columns: Sequence[str], threshold: int = 10, top: int = 10) -> DataFrame:
     """(column, value, n, rank): the most frequent values of each column with at most `threshold` distinct ones; ties go by value."""
     about = df.agg(*[F.approx_count_distinct(comparable(df, c), 0.02) for c in columns]).first()
-    few = [counted(df, c, True, top) for c, n in zip(columns, about, strict=True) if n <= 4 * threshold]
+    few = [c for c, n in zip(columns, about, strict=True) if n <= 4 * threshold]
     if not few:
         return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank int")
-    found = reduce(DataFrame.unionAll, few).where(F.col("exact") <= threshold)
+    found = counted_together(df, few, top).where(F.col("exact") <= threshold)
     return found.select("column", F.posexplode("top").alias("rank", "one")).select("column", "one.value", "one.n", (F.col("rank") + 1).alias("rank"))
 
 
@@ -150,7 +155,9 @@ def profile(df: DataFrame, config: ProfileConfig = BARE, exact: str = "needed",
         known = first.collect()
         first = df.sparkSession.createDataFrame(known, first.schema)
         open_ = [r for r in known if r.approx is not None and (exact == "all" or needs_exact(r.sample_count, r.approx, config.enum_threshold))]
-        few = [counted(df, r.column, r.approx <= 4 * config.enum_threshold, config.enum_threshold) for r in open_]
+        listed = [r.column for r in open_ if r.approx <= 4 * config.enum_threshold]
+        few = [counted(df, r.column) for r in open_ if r.column not in listed]
+        few += [counted_together(df, listed, config.enum_threshold)] if listed else []
     return finish(first, reduce(DataFrame.unionAll, few) if few else None, config)
 
 
