@@ -16,6 +16,7 @@ from ..operators import export as E
 from ..operators import graph as G
 from ..operators import metrics as M
 from ..operators import retrieval as Q
+from ..operators import statements as SQ
 from ..operators import stats as S
 from ..operators import upserts as U
 from ..operators import vectors as X
@@ -514,6 +515,28 @@ def sql_corpus_three_tables(spark, d):
     return j.where("o_orderstatus = 'F' OR o_orderstatus = 'O'").groupBy("p_brand", "o_orderstatus").agg(F.round(F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")), 2).cast("double").alias("revenue"), F.count_distinct("o_orderkey").alias("order_count"))
 
 
+#: Statements as pairs of questions and SQL have them; {x} is the view of table x.
+STATEMENTS = {
+    "orders by nation": "SELECT n.n_name, count(*) FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name",
+    "nations of a region": "SELECT * FROM {nation}, {region} WHERE n_regionkey = r_regionkey AND r_name <> 'ASIA'",
+    "lines of dear orders": "WITH dear AS (SELECT o_orderkey AS k FROM {orders} WHERE o_totalprice > 1000) SELECT sum(l.l_quantity) FROM {lineitem} l WHERE l.l_orderkey IN (SELECT k FROM dear)",
+    "suppliers without lines": "SELECT s_name FROM {supplier} s WHERE NOT EXISTS (SELECT 1 FROM {lineitem} WHERE l_suppkey = s.s_suppkey)",
+    "parts and their lines": 'SELECT p_brand FROM {part} LEFT JOIN (SELECT `l_partkey` AS pk, l_tax FROM {lineitem}) x ON p_partkey = x.pk OR x.l_tax = 0',
+    "customers of a supplier's nation": "SELECT c_name, s_name FROM {customer} JOIN {supplier} ON c_nationkey = s_nationkey",
+}
+
+
+def statement_joins(spark, d):
+    """Joins of a set of statements beside the relationships that the data supports."""
+    views = {n: f"quernstone_{n}" for n in STAR}
+    for n, v in views.items():
+        _t(spark, d, n).createOrReplaceTempView(v)
+    joins = SQ.joins_of(spark, {name: sql.format(**views) for name, sql in STATEMENTS.items()})
+    bare = lambda c: F.substring(c, len("quernstone_") + 1, 99).alias(c)
+    edges = G.join_edges(discover(profiled(spark, d)).where("decision = 'accepted'"))
+    return SQ.supported(joins.select("statement", bare("left"), "left_column", bare("right"), "right_column"), edges)
+
+
 # --- Streams -----------------------------------------------------------------------------------------------------------
 
 
@@ -542,7 +565,7 @@ def queries() -> dict:
         complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories, corpus_roles, bridge_categories, composite_foreign_keys,
         inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, exempt_relationships, graph_single_edges, graph_edges, graph_statistics,
         dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, merged_vectors, merged_graph, example_ids, retrieval_objects, retrieval_columns,
-        sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, events_windowed_profile, events_stateful_profile, metadata_files,
+        sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, statement_joins, events_windowed_profile, events_stateful_profile, metadata_files,
     )
     return {f.__name__: f for f in found}
 
@@ -714,6 +737,13 @@ def oracle_sql() -> dict[str, str]:
         "sql_corpus_having": "SELECT l_suppkey, round(sum(l_quantity), 2) AS quantity, count(*) AS lines FROM lineitem GROUP BY l_suppkey HAVING count(*) > 100",
         "sql_corpus_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
         "sql_corpus_three_tables": "SELECT p_brand, o_orderstatus, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))), 2) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS order_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY p_brand, o_orderstatus",
+        "statement_joins": f"""
+WITH j(statement, "left", left_column, "right", right_column) AS (VALUES
+  ('orders by nation', 'customer', 'c_custkey', 'orders', 'o_custkey'), ('orders by nation', 'customer', 'c_nationkey', 'nation', 'n_nationkey'), ('nations of a region', 'nation', 'n_regionkey', 'region', 'r_regionkey'),
+  ('lines of dear orders', 'lineitem', 'l_orderkey', 'orders', 'o_orderkey'), ('suppliers without lines', 'lineitem', 'l_suppkey', 'supplier', 's_suppkey'), ('customers of a supplier''s nation', 'customer', 'c_nationkey', 'supplier', 's_nationkey')),
+e AS ({edges}), p AS (SELECT src, dst, "on", relationship_id, cardinality FROM e UNION ALL SELECT dst, src, 'SRC.' || split_part("on", 'DST.', 2) || ' = DST.' || split_part(split_part("on", 'SRC.', 2), ' = ', 1), relationship_id, cardinality FROM e)
+SELECT j.*, min(relationship_id) AS relationship_id, arg_min(cardinality, relationship_id) AS cardinality FROM j LEFT JOIN p ON src = 'public.' || "left" AND dst = 'public.' || "right" AND "on" = 'SRC.' || left_column || ' = DST.' || right_column GROUP BY ALL
+""",
         "merged_vectors": "SELECT vec_id, CAST(label AS BIGINT) + CASE WHEN vec_id % 2 = 0 THEN 1000 ELSE 0 END AS label, round(CAST(embedding[1] AS DOUBLE), 5) AS first FROM embeddings WHERE vec_id % 5 <> 0",
         "merged_graph": f"SELECT src, dst, cardinality, relationship_id, CASE WHEN cardinality = 'N:1' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM lineitem) END AS load FROM ({_SINGLE_EDGES})",
         "corpus_roles": f"WITH record_log AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _LOG.items())} FROM events) SELECT t AS \"table\", c AS \"column\", kind AS data_type, role, confidence, basis, {W.audit_facts()} FROM ({W.roles(CORPUS, {})})",
