@@ -75,9 +75,27 @@ def star_catalog(spark: SparkSession, d: str, keys: bool = True) -> Catalog:
     return Catalog.from_parquet(spark, d, STAR, {n: [Constraint("pk", tuple(k), f"{n}_pkey")] for n, k in KEYS.items()} if keys else None)
 
 
+#: Profiles of this process by session, folder and state of its files.
+_PROFILES: dict[tuple, Profile] = {}
+
+
+def _files(spark: SparkSession, d: str) -> tuple:
+    """Length and time of change of the star tables' files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(d)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [f for n in STAR for f in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{d}/{n}.parquet"))]
+    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed)
+
+
 def profiled(spark: SparkSession, d: str, keys: bool = True) -> Profile:
-    """Profiles of all star tables."""
-    return _whole(profile_catalog(star_catalog(spark, d, keys), SHIPPED))
+    """Profiles of all star tables: made once in a session, and again when a file has changed."""
+    key = (id(spark), spark.sparkContext.applicationId, d, keys, _files(spark, d))
+    if key not in _PROFILES:
+        made = _whole(profile_catalog(star_catalog(spark, d, keys), SHIPPED))
+        while len(_PROFILES) >= 4:
+            _PROFILES.pop(next(iter(_PROFILES)))
+        _PROFILES[key] = made
+    return _PROFILES[key]
 
 
 def _whole(p: Profile) -> Profile:

@@ -182,7 +182,7 @@ def test_sketches_bound_scores(spark):
         assert bounds[key] >= true_score(*key)
     assert bounds["a", ("d",), "b", ("d",)] < 0.3 and bounds["a", ("s",), "b", ("s",)] < 0.4 and bounds["a", ("k",), "c", ("k",)] < 0.27
     assert bounds["a", ("few",), "b", ("few",)] == pytest.approx(0.55 * 0.5 + 0.2 * 0.5 + 0.25, abs=1e-6)  # small sets are exact
-    odd = spark.createDataFrame([(1, [1])], "a decimal(9,2), b array<int>")
+    odd = spark.createDataFrame([(1, [1])], "a int, b array<int>").withColumn("a", F.col("a").cast("decimal(9,2)"))
     assert S.key_value(odd, ["a"]) is None and S.key_sketches({"t": odd}, {"t": [("b",)]}) is None
 
 
@@ -225,7 +225,7 @@ def test_keys_of_a_wide_table(spark, monkeypatch):
     assert len(looked) < 500  # of 35,990 sets of two and three
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(3))
 def test_keys_are_those_of_all_combinations(spark, seed, monkeypatch):
     monkeypatch.setattr(K, "AT_ONCE", 3)
     monkeypatch.setattr(K, "PAIRED", [2, 8, 300][seed % 3])
