@@ -4,7 +4,8 @@ Counting distinct values of every column in one aggregate multiplies rows by
 columns before the shuffle.  The profile therefore takes two steps: moments and
 approximate distinct counts in a pass that shuffles one row for each task, then
 exact counts and value distributions for the columns where an exact figure can
-change a decision (or for all, on demand).  Columns of few values are counted
+change a decision (or for all, on demand).  Median lengths are selected from
+counted ranges, in a pass of their own.  Columns of few values are counted
 together in one pass; any other one is read by itself and counted in its own
 type, and its values are not listed.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import BARE, ProfileConfig
+from .medians import medians
 
 STATS = [
     "column", "sample_count", "null_count", "null_rate", "unique_count", "uniqueness", "min_value", "max_value", "mean_value",
@@ -111,6 +113,14 @@ def distributions(df: DataFrame, columns: Sequence[str], threshold: int = 10, to
     return found.select("column", F.posexplode("top").alias("rank", "one")).select("column", "one.value", "one.n", (F.col("rank") + 1).alias("rank"))
 
 
+def _length(df: DataFrame, name: str) -> Column | None:
+    """Length of a text, binary or complex value; other columns have none."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.StringType, T.VarcharType, T.CharType, T.BinaryType, *_COMPLEX)):
+        return F.length(clean(df, name) if isinstance(kind, T.StringType | T.BinaryType) else comparable(df, name))
+    return None
+
+
 def _moments(df: DataFrame, name: str) -> Column:
     """A struct of aggregates of one column."""
     kind, c = df.schema[name].dataType, clean(df, name)
@@ -122,12 +132,12 @@ def _moments(df: DataFrame, name: str) -> Column:
     parts["min_value"] = F.substring(F.min(c).cast("string"), 1, 100) if numeric else text
     parts["max_value"] = F.substring(F.max(c).cast("string"), 1, 100) if numeric else text
     parts["mean_value"] = F.substring(F.avg(value).cast("string"), 1, 100) if numeric else text
-    if isinstance(kind, T.StringType | T.VarcharType | T.CharType | T.BinaryType) or isinstance(kind, _COMPLEX):
-        size = F.length(c if isinstance(kind, T.StringType | T.BinaryType) else comparable(df, name))
-        parts |= {"avg_length": F.round(F.avg(size), 2), "min_length": F.min(size).cast("bigint"), "max_length": F.max(size).cast("bigint"), "median_length": F.round(F.percentile(size, 0.5), 2)}
+    size = _length(df, name)
+    if size is not None:
+        parts |= {"avg_length": F.round(F.avg(size), 2), "min_length": F.min(size).cast("bigint"), "max_length": F.max(size).cast("bigint")}
         parts["length_std"] = F.when(F.count(c) > 0, F.round(F.coalesce(F.stddev_samp(size), F.lit(0.0)), 2))
     else:
-        parts |= {"avg_length": none, "min_length": none.cast("bigint"), "max_length": none.cast("bigint"), "median_length": none, "length_std": none}
+        parts |= {"avg_length": none, "min_length": none.cast("bigint"), "max_length": none.cast("bigint"), "length_std": none}
     return F.struct(F.lit(name).alias("column"), *[v.alias(k) for k, v in parts.items()]).alias(name)
 
 
@@ -138,8 +148,8 @@ def needs_exact(rows: int, approx: int | None, threshold: int) -> bool:
     return approx <= 4 * threshold or any(abs(approx / rows - b) <= 0.08 * max(b, 0.05) + 0.005 for b in BOUNDS)
 
 
-def profile(df: DataFrame, config: ProfileConfig = BARE, exact: str = "needed", columns: Sequence[str] | None = None) -> DataFrame:
-    """One row for each column, as in STATS.  exact: ``all``, ``needed`` or ``none``.
+def profile(df: DataFrame, config: ProfileConfig = BARE, exact: str = "needed", columns: Sequence[str] | None = None, median: bool = True) -> DataFrame:
+    """One row for each column, as in STATS.  exact: ``all``, ``needed`` or ``none``; without `median` that length is null and spares a pass.
 
     An empty table has no rates but 0, no distinct values and no lengths.
     Binary columns are not searched for distinct values.
@@ -149,6 +159,8 @@ def profile(df: DataFrame, config: ProfileConfig = BARE, exact: str = "needed",
     columns = list(columns or df.columns)
     one = df.agg(*[_moments(df, c) for c in columns])
     first = one.select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
+    sizes = {c: size for c in columns if (size := _length(df, c)) is not None}
+    middle = medians(df, sizes) if sizes and median else df.sparkSession.createDataFrame([], "column string, median double")
     few = []
     if exact != "none":
         # One small row for each column comes to the driver, which then plans the second pass.
@@ -158,6 +170,7 @@ def profile(df: DataFrame, config: ProfileConfig = BARE, exact: str = "needed",
         listed = [r.column for r in open_ if r.approx <= 4 * config.enum_threshold]
         few = [counted(df, r.column) for r in open_ if r.column not in listed]
         few += [counted_together(df, listed, config.enum_threshold)] if listed else []
+    first = first.join(F.broadcast(middle.withColumnRenamed("median", "median_length")), "column", "left")
     return finish(first, reduce(DataFrame.unionAll, few) if few else None, config)
 
 

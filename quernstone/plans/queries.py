@@ -21,6 +21,8 @@ from ..operators import stats as S
 from ..operators import upserts as U
 from ..operators import vectors as X
 from ..operators.candidates import Candidate
+from ..operators.medians import medians
+from ..sources import blocks as FB
 from ..sources import files as FS
 from ..sources.catalog import Catalog, Constraint, Table, preview_sample
 from ..storage import shared_folder, written
@@ -112,9 +114,9 @@ def row_counts(spark, d):
     return _union([_t(spark, d, n).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in STAR])
 
 
-def _each_profile(spark, d, exact="none"):
+def _each_profile(spark, d, exact="none", median=False):
     """Profiles of all star tables, several at a time; without exact counts they take one pass over each."""
-    return _union(_at_once(lambda n: S.profile(_t(spark, d, n), exact=exact).select(F.lit(n).alias("table_name"), "*"), STAR))
+    return _union(_at_once(lambda n: S.profile(_t(spark, d, n), exact=exact, median=median).select(F.lit(n).alias("table_name"), "*"), STAR))
 
 
 def col_null_rate(spark, d):
@@ -132,7 +134,7 @@ def col_numeric_stats(spark, d):
 
 
 def col_length_stats(spark, d):
-    out = _each_profile(spark, d).where("avg_length IS NOT NULL")
+    out = _each_profile(spark, d, median=True).where("avg_length IS NOT NULL")
     return out.select("table_name", F.col("column").alias("column_name"), "avg_length", "min_length", "max_length", "median_length", "length_std")
 
 
@@ -142,15 +144,39 @@ def value_distribution(spark, d):
 
 
 def full_profile_lineitem(spark, d):
-    out = S.profile(_t(spark, d, "lineitem"), exact="all")
+    out = S.profile(_t(spark, d, "lineitem"), exact="all", median=False)
     number = lambda c: F.round(F.col(c).cast("double"), 4).alias(c)
     return out.select(F.col("column").alias("column_name"), "sample_count", "null_rate", "unique_count", "uniqueness", number("min_value"), number("max_value"), number("mean_value"), "avg_length", "length_std")
 
 
 def corpus_text_profile(spark, d):
     """Length moments of the documents' texts by source."""
-    size = F.length("text")
-    return _t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("docs"), F.round(F.avg(size), 2).alias("avg_length"), F.min(size).alias("min_length"), F.max(size).alias("max_length"), F.round(F.percentile(size, 0.5), 2).alias("median_length"))
+    docs, size = _t(spark, d, "documents").select("source", "text"), F.length("text")
+    moments = docs.groupBy("source").agg(F.count("*").alias("docs"), F.round(F.avg(size), 2).alias("avg_length"), F.min(size).alias("min_length"), F.max(size).alias("max_length"))
+    middle = medians(docs, {"text": size}, ["source"]).select(F.col("source").alias("of"), F.col("median").alias("median_length"))
+    return moments.join(middle, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+
+
+def block_samples(spark, d):
+    """A tenth of each table by row groups of small blocks: its rows, those of the sample, those that the table lacks, and whether no more was read than the sample and one group."""
+
+    def one(n):
+        path, table = f"{shared_folder(spark)}/{n}", _t(spark, d, n)
+        table.repartition(4).write.option("parquet.block.size", 32 << 10).option("parquet.block.size.row.check.min", 64).option("parquet.block.size.row.check.max", 64).parquet(path)
+        blocks = written(FB.row_groups(spark, path), f"{path}-blocks")
+        chosen = FB.choose_blocks(blocks, 0.1, 7)
+        read = FB.read_blocks(spark, path, chosen)
+        parts = (
+            blocks.agg(F.sum("rows").alias("row_count"), F.max("rows").alias("largest")),
+            chosen.agg(F.sum("rows").alias("touched")),
+            read.agg(F.count("*").alias("sample_rows")),
+            read.exceptAll(table).agg(F.count("*").alias("foreign_rows")),
+        )
+        whole = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+        out = whole.agg(*[F.max(c).alias(c) for c in whole.columns])
+        return out.select(F.lit(n).alias("table_name"), "row_count", "sample_rows", "foreign_rows", (F.col("touched") < F.col("sample_rows") + F.col("largest")).alias("reads_follow"))
+
+    return _union(_at_once(one, ("customer", "orders", "events", "lineitem")))
 
 
 def complex_value_distinct(spark, d):
@@ -580,7 +606,7 @@ def events_stateful_profile(spark, d):
 def queries() -> dict:
     found = (
         row_counts, col_null_rate, col_uniqueness, col_numeric_stats, col_length_stats, value_distribution, full_profile_lineitem, corpus_text_profile,
-        complex_value_distinct, json_value_distinct, ddl_preview_sample, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories, corpus_roles, bridge_categories, composite_foreign_keys,
+        complex_value_distinct, json_value_distinct, ddl_preview_sample, block_samples, sample_cells, unique_columns, composite_distinct, logical_keys, wide_table_keys, column_roles, table_categories, corpus_roles, bridge_categories, composite_foreign_keys,
         inclusion_jaccard, inferred_cardinality, relationship_scores, relationship_decisions, discover_relationships, name_candidates, sketched_decisions, foreign_key_relationships, composite_relationships, exempt_relationships, graph_single_edges, graph_edges, graph_statistics,
         dim_values_clean, dim_value_loads, vector_topk, vector_topk_join, vector_index_topk, vector_index_recall, vector_upsert, merged_vectors, merged_graph, example_ids, retrieval_objects, retrieval_columns,
         sql_corpus_filter_sort, sql_corpus_join_group, sql_corpus_having, sql_corpus_distinct, sql_corpus_three_tables, statement_joins, events_windowed_profile, events_stateful_profile, metadata_files,
@@ -723,6 +749,7 @@ def oracle_sql() -> dict[str, str]:
         "complex_value_distinct": "SELECT count(*) AS row_count, count(DISTINCT embedding) AS distinct_values FROM embeddings",
         "json_value_distinct": "SELECT event_type, count(*) AS row_count, count(DISTINCT props) AS distinct_props, count(DISTINCT json_extract_string(props, '$.k')) AS distinct_swapped FROM events GROUP BY event_type",
         "ddl_preview_sample": " UNION ALL ".join(f"SELECT * FROM (SELECT '{n}' AS table_name, CAST({k[0]} AS BIGINT) AS key_value, {text(list(COLUMNS[n])[1])} AS second_value FROM {n} ORDER BY key_value LIMIT 5)" for n, k in KEYS.items()),
+        "block_samples": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, CAST(ceil(count(*) / 10) AS BIGINT) AS sample_rows, 0 AS foreign_rows, true AS reads_follow FROM {n}" for n in ("customer", "orders", "events", "lineitem")),
         "sample_cells": "SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS text_cell, CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE coalesce(text, '') END AS text_short FROM documents",
         "unique_columns": "SELECT table_name, column_name, unique_count FROM (" + _columns_sql(lambda t, c, k: f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS unique_count, count(*) AS n FROM {t}") + ") WHERE unique_count = n",
         "composite_distinct": " UNION ALL ".join(f"SELECT '{s}' AS column_set, count(*) AS distinct_rows FROM (SELECT DISTINCT {s} FROM lineitem)" for s in ("l_orderkey,l_linenumber", "l_partkey,l_suppkey", "l_orderkey,l_partkey,l_linenumber")),
