@@ -81,23 +81,28 @@ def star_catalog(spark: SparkSession, d: str, keys: bool = True) -> Catalog:
 _PROFILES: dict[tuple, Profile] = {}
 
 
-def _files(spark: SparkSession, d: str) -> tuple:
-    """Length and time of change of the star tables' files."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(d)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    listed = [f for n in STAR for f in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{d}/{n}.parquet"))]
-    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed)
+def _files(spark: SparkSession, catalog: Catalog) -> tuple:
+    """Length and time of change of the tables' files."""
+    hadoop, out = spark._jvm.org.apache.hadoop.fs, []
+    for name in sorted({f for t in catalog for f in t.frame.inputFiles()}):
+        at = hadoop.Path(spark._jvm.java.net.URI(name))
+        status = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(out)
 
 
 def profiled(spark: SparkSession, d: str, keys: bool = True) -> Profile:
-    """Profiles of all star tables: made once in a session, and again when a file has changed."""
-    key = (id(spark), spark.sparkContext.applicationId, d, keys, _files(spark, d))
-    if key not in _PROFILES:
-        made = _whole(profile_catalog(star_catalog(spark, d, keys), SHIPPED))
+    """Profiles of all star tables: made once in a session, and again when a file has changed; tables without files are not kept."""
+    catalog = star_catalog(spark, d, keys)
+    key = (id(spark), spark.sparkContext.applicationId, d, keys, _files(spark, catalog))
+    if key in _PROFILES:
+        return _PROFILES[key]
+    made = _whole(profile_catalog(catalog, SHIPPED))
+    if key[-1]:
         while len(_PROFILES) >= 4:
             _PROFILES.pop(next(iter(_PROFILES)))
         _PROFILES[key] = made
-    return _PROFILES[key]
+    return made
 
 
 def _whole(p: Profile) -> Profile:
