@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import Column as SqlColumn
 from pyspark.sql import DataFrame
@@ -209,6 +210,48 @@ def dim_config(categories: DataFrame) -> dict:
     return out
 
 
+def _settings(path: str) -> dict:
+    """What a configuration file holds; nothing where there is none."""
+    import yaml
+
+    at = Path(path)
+    return (yaml.safe_load(at.read_text(encoding="utf-8")) or {}) if at.exists() else {}
+
+
+def write_yaml(doc: dict, path: str) -> None:
+    """A configuration file: written beside the old one, then renamed over it."""
+    import yaml
+
+    at = Path(path)
+    at.parent.mkdir(parents=True, exist_ok=True)
+    new = at.with_name(f".{at.name}.new")
+    new.write_text(yaml.safe_dump(doc, allow_unicode=True, sort_keys=False), encoding="utf-8")
+    new.replace(at)
+
+
+def write_dim_config(categories: DataFrame, path: str) -> dict:
+    """dim_config() as a file.  Embedding columns that the file already names for a table are kept."""
+    doc = dim_config(categories)
+    old = _settings(path)
+    for database, found in doc["databases"].items():
+        known = ((old.get("databases") or {}).get(database) or {}).get("tables") or {}
+        for name, table in found["tables"].items():
+            table["embedding_col"] = (known.get(name) or {}).get("embedding_col")
+    write_yaml(doc, path)
+    return doc
+
+
+def write_domains(path: str, database: str, domains: Sequence[tuple[str, str, Sequence[str]]], description: str = "", most: int = 3) -> dict:
+    """Domains (name, description, tables), as normalised_domains gives them, as a file; other settings of an old file, and its description where none is given, are kept."""
+    doc = _settings(path)
+    known = doc.get("database") or {}
+    doc["database"] = {"name": database, "description": description or known.get("description") or ""}
+    doc["llm_inference"] = {"max_domains_per_table": most}
+    doc["domains"] = [{"name": n, "description": d, "tables": list(t)} for n, d, t in domains]
+    write_yaml(doc, path)
+    return doc
+
+
 def write_graph(folder: str, tables: DataFrame, columns: DataFrame, edges: DataFrame) -> dict[str, int]:
     """Nodes and edges as Parquet, read again to be counted."""
     spark, counts = tables.sparkSession, {}

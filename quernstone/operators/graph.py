@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PLACEHOLDER_PREFIXES = ("_", ".")
+#: Names that stand for a table in metadata that is still to be filled in.
+PLACEHOLDERS = ("table_name", "placeholder", "example")
+
+
+def real_tables(df: DataFrame) -> DataFrame:
+    """Rows whose `table` is a name: not null, not empty and no placeholder."""
+    return df.where((F.length("table") > 0) & ~F.col("table").isin(*PLACEHOLDERS))
 
 
 def join_text(source_columns: Column, target_columns: Column) -> Column:
@@ -23,7 +29,7 @@ def one_database(tables: DataFrame) -> DataFrame:
 
 def table_nodes(tables: DataFrame, constraints: DataFrame, keys: DataFrame, domains: DataFrame | None = None, least_key: float = 0.8) -> DataFrame:
     """Nodes with keys as arrays of arrays; logical keys count from a confidence of least_key on."""
-    real = tables.where(~F.substring("table", 1, 1).isin(*PLACEHOLDER_PREFIXES))
+    real = real_tables(tables)
     of = lambda kind, name: constraints.where(F.col("kind") == kind).groupBy("schema", "table").agg(F.array_sort(F.collect_list("columns")).alias(name))
     out = real.select(F.concat_ws(".", "schema", "table").alias("id"), "*")
     for kind, name in (("pk", "pk"), ("uk", "uk"), ("fk", "fk"), ("index", "indexes")):
@@ -42,7 +48,7 @@ def table_nodes(tables: DataFrame, constraints: DataFrame, keys: DataFrame, doma
 def column_nodes(roles: DataFrame) -> DataFrame:
     """One node for each column, with its role and memberships."""
     flag = lambda n: (F.col(f"is_{n}") | F.col(f"is_composite_{n}_member"))
-    return roles.select(
+    return real_tables(roles).select(
         F.concat_ws(".", "schema", "table", "column").alias("id"), F.concat_ws(".", "schema", "table").alias("table_id"), "schema", "table", "column", "data_type", "comment", "role",
         flag("primary_key").alias("is_pk"), flag("unique_constraint").alias("is_uk"), flag("foreign_key").alias("is_fk"), (F.col("role") == "datetime").alias("is_time"),
         (F.col("role") == "metric").alias("is_measure"), F.round("uniqueness", 4).alias("uniqueness"), F.round("null_rate", 4).alias("null_rate"),

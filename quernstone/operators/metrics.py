@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import canonical, compatibility
+from ..storage import shared_folder, written
 from .stats import comparable
 
+#: Relationships that are measured in one plan.
+BATCH = 64
 METRICS = ["source_rows", "target_rows", "source_distinct", "target_distinct", "common", "joined_rows", "inclusion_rate", "jaccard_index", "source_uniqueness", "target_uniqueness", "multiplicity"]
 
 
@@ -77,10 +81,24 @@ def overlap(source: DataFrame, source_columns: Sequence[str], target: DataFrame,
     )
 
 
-def overlaps(pairs: Sequence[tuple[str, DataFrame, Sequence[str], DataFrame, Sequence[str]]]) -> DataFrame | None:
-    """(id, METRICS) of many relationships as one plan; scans and key counts that recur are computed once (exchange reuse)."""
-    out = None
-    for name, s, sc, t, tc in pairs:
-        one = overlap(s, sc, t, tc).select(F.lit(name).alias("relationship_id"), "*")
-        out = one if out is None else out.unionAll(one)
-    return out
+def overlaps(pairs: Sequence[tuple[str, DataFrame, Sequence[str], DataFrame, Sequence[str]]], batch: int = BATCH) -> DataFrame | None:
+    """(id, METRICS) of many relationships; None for none.
+
+    Up to `batch` of them are one plan, in which scans and key counts that
+    recur are computed once (exchange reuse).  More are measured in such
+    batches, a table on shared storage each, so that no plan grows with their
+    number; relationships of one key follow each other and share its counts.
+    """
+    if not pairs:
+        return None
+
+    def plan(some) -> DataFrame:
+        return reduce(DataFrame.unionAll, [overlap(s, sc, t, tc).select(F.lit(name).alias("relationship_id"), "*") for name, s, sc, t, tc in some])
+
+    if len(pairs) <= batch:
+        return plan(pairs)
+    spark = pairs[0][1].sparkSession
+    folder = shared_folder(spark)
+    near = sorted(pairs, key=lambda p: (sorted(p[4]), sorted(p[2]), p[0]))
+    done = [written(plan(near[i : i + batch]), f"{folder}/{i}") for i in range(0, len(near), batch)]
+    return spark.read.schema(done[0].schema).parquet(*[f"{folder}/{i}" for i in range(0, len(near), batch)])

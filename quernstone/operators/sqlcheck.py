@@ -21,7 +21,7 @@ class NotOneStatement(ValueError):
 
 
 def normalise(sql: str | None) -> str:
-    """Trimmed, without a last semicolon; an empty text or an inner semicolon is refused."""
+    """Trimmed, without a last semicolon; an empty text or an inner semicolon is refused, be it in a quoted text."""
     text = (sql or "").strip().rstrip(";").strip()
     if not text:
         raise NotOneStatement("empty statement")

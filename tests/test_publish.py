@@ -178,6 +178,32 @@ def test_graph(spark, tmp_path):
     assert E.dim_config(p.tables) == {"databases": {"db": {"tables": {"public.t": {"embedding_col": None}}}}}
 
 
+def test_config_files_round_trip(spark, tmp_path):
+    import yaml
+
+    dims = spark.createDataFrame([("shop", "s", "b", "dim"), ("shop", "s", "a", "dim"), ("shop", "s", "f", "fact"), ("other", "s", "a", "dim")], "database string, schema string, table string, category string")
+    path = tmp_path / "new" / "dims.yaml"
+    E.write_dim_config(dims, str(path))
+    held = yaml.safe_load(path.read_text())
+    assert list(held["databases"]) == ["other", "shop"] and list(held["databases"]["shop"]["tables"]) == ["s.a", "s.b"]
+    held["databases"]["shop"]["tables"]["s.b"]["embedding_col"] = ["x", "y"]
+    path.write_text(yaml.safe_dump(held))
+    E.write_dim_config(dims, str(path))
+    assert {(t.database, t.table): t.columns for t in documents.dim_tables(yaml.safe_load(path.read_text()))} == {("other", "a"): (), ("shop", "a"): (), ("shop", "b"): ("x", "y")}
+    at = tmp_path / "domains.yaml"
+    at.write_text("database: {name: old, description: kept}\nother: 1\n")
+    some = D.normalised_domains([{"name": "主题", "description": "d", "tables": ["A"]}], ["a", "b"])
+    E.write_domains(str(at), "shop", some)
+    doc = yaml.safe_load(at.read_text())
+    assert doc["database"] == {"name": "shop", "description": "kept"} and doc["other"] == 1 and doc["llm_inference"] == {"max_domains_per_table": 3}
+    assert documents.domains(doc) == [(D.UNSORTED, ["b"]), ("主题", ["a"])] and [x.name for x in tmp_path.iterdir() if x.is_file()] == ["domains.yaml"]
+
+
+def test_placeholder_tables_are_no_nodes(spark):
+    names = spark.createDataFrame([("table_name",), ("placeholder",), ("example",), ("",), (None,), ("_own",), ("t",)], "table string")
+    assert sorted(r.table for r in G.real_tables(names).collect()) == ["_own", "t"]
+
+
 def test_dim_values(spark):
     df = spark.createDataFrame([(" a ",), ("a",), ("",), (None,), ("b" * 2000,), ("b" * 1500,)], "v string")
     assert sorted(r.value for r in V.dim_values(df, "t", "v").collect()) == ["a", "b" * 1024]

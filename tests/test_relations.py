@@ -144,3 +144,11 @@ def test_discovery_end_to_end(spark):
     assert (found.decision, found.cardinality, found.composite_score, found.source_constraint, found.discovery_method) == ("accepted", "1:N", 1.0, "single_field_primary_key", "active_search")
     fk = got["foreign_key", "public.order_item"]
     assert (fk.decision, fk.cardinality, fk.composite_score, fk.constraint_name) == ("accepted", "1:1", None, "made")
+
+
+def test_overlaps_in_batches_are_those_of_one_plan(spark):
+    a, b = spark.createDataFrame([(1, 2), (1, None), (3, 4)], "x int, y int"), spark.createDataFrame([(1, 4), (4, 4)], "x int, y int")
+    pairs = [(f"{s}{t}", a, [s], b, [t]) for s in "xy" for t in "xy"] + [("both", a, ["x", "y"], b, ["x", "y"])]
+    found = [sorted(map(str, M.overlaps(pairs, n).collect())) for n in (64, 2, 1)]
+    assert len(found[0]) == 5 and found[0] == found[1] == found[2]
+    assert M.overlaps([]) is None
