@@ -59,24 +59,33 @@ class TokenRollup:
         return self._fs.Path(f"{self.folder}/{name}")
 
     def manifest(self) -> dict:
-        """batches: folder of each open batch; folded: ids of compacted ones; base: their folder, or null."""
+        """version; batches: folder of each open batch; folded: ids of compacted ones; base: their folder, or null; digests of what batches held; gone: folders that the last version still named."""
         if not self._files.util().exists(self._path("manifest")):
-            return {"batches": {}, "folded": [], "base": None}
+            return {"version": 0, "batches": {}, "folded": [], "base": None, "digests": {}, "gone": []}
         return json.loads(self.spark.read.text(f"{self.folder}/manifest", wholetext=True).first()[0])
 
     def _switch(self, manifest: dict) -> None:
-        """Puts a manifest in the old one's place by one rename, then deletes folders that it does not name."""
+        """Puts a manifest in the place of the version it was made from by one rename.
+
+        Folders that it no longer names stay for readers of the old manifest
+        and are deleted at the next switch.  Another version in its place, from
+        a second writer, is an error.
+        """
+        old = self.manifest()
+        if old["version"] != manifest["version"]:
+            raise RuntimeError(f"the rollup was at version {manifest['version']} and another writer made it {old['version']}")
+        kept = {*manifest["batches"].values(), manifest["base"]}
+        gone = sorted({*old["batches"].values(), old["base"]} - kept - {None})
+        manifest = manifest | {"version": old["version"] + 1, "gone": gone}
         jvm, name = self.spark._jvm, f"manifest-{uuid.uuid4().hex}"
         out = self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration()).create(self._path(name))
         out.write(bytearray(json.dumps(manifest).encode()))
         out.close()
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        old = self.manifest()
         self._files.rename(self._path(name), self._path("manifest"), options)
-        kept = {*manifest["batches"].values(), manifest["base"]}
-        for gone in {*old["batches"].values(), old["base"]} - kept - {None}:
-            self._files.delete(self._path(gone), True)
+        for folder in old["gone"]:
+            self._files.delete(self._path(folder), True)
 
     def commit(self, batch: str, changes: DataFrame) -> None:
         """Applies a batch of changes; a batch id that was committed before is replaced, not added.
@@ -85,13 +94,12 @@ class TokenRollup:
         and for a revision old_source, old_lang, old_tokenizer, old_n_tokens.
         Null keys are a group of their own, null counts are 0.  Any other op
         fails the commit and leaves the rollup as it was.  A batch that was
-        compacted is closed: delivered again, it is left out.
+        compacted is closed: delivered again as it was, it is left out, and
+        with other sums it is an error.
         """
         if not batch or set(batch) - set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._-"):
             raise ValueError(f"not a batch id: {batch!r}")
         manifest = self.manifest()
-        if batch in manifest["folded"]:
-            return
         for c, kind in (("old_source", "string"), ("old_lang", "string"), ("old_tokenizer", "string"), ("old_n_tokens", "bigint")):
             if c not in changes.columns:
                 changes = changes.withColumn(c, F.lit(None).cast(kind))
@@ -105,7 +113,15 @@ class TokenRollup:
         sums = changes.select(F.inline(deltas)).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         folder = f"deltas-{uuid.uuid4().hex}"
         sums.write.parquet(f"{self.folder}/{folder}")
-        manifest["batches"][batch] = folder
+        # What the batch comes to, whatever the order of its rows.
+        stored = self.spark.read.schema(DELTA).parquet(f"{self.folder}/{folder}")
+        digest = str(stored.agg(F.sum(F.xxhash64(*stored.columns).cast("decimal(38,0)"))).first()[0])
+        if batch in manifest["folded"]:
+            self._files.delete(self._path(folder), True)
+            if digest != manifest["digests"][batch]:
+                raise ValueError(f"batch {batch!r} was compacted and now holds something else; commit the difference as a batch of its own")
+            return
+        manifest["batches"][batch], manifest["digests"][batch] = folder, digest
         self._switch(manifest)
 
     def compact(self) -> None:
@@ -113,7 +129,9 @@ class TokenRollup:
         manifest, folder = self.manifest(), f"base-{uuid.uuid4().hex}"
         if manifest["batches"]:
             self.totals().write.parquet(f"{self.folder}/{folder}")
-            self._switch({"batches": {}, "folded": sorted({*manifest["folded"], *manifest["batches"]}), "base": folder})
+            manifest |= {"batches": {}, "folded": sorted({*manifest["folded"], *manifest["batches"]}), "base": folder}
+        if manifest["base"] == folder or manifest["gone"]:
+            self._switch(manifest)
 
     def totals(self) -> DataFrame:
         """docs and tokens of each key that still has documents; no rows before the first commit."""

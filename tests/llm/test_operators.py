@@ -699,7 +699,11 @@ def test_rollup(spark):
         roll.commit("../x", second)
     assert roll.totals().count() == 2 and set(roll.manifest()["batches"]) == {"1", "2"}
     roll.compact()
-    roll.commit("2", second)  # closed
+    version = roll.manifest()["version"]
+    roll.commit("2", second.orderBy("n_tokens"))  # closed
+    with pytest.raises(ValueError, match="something else"):
+        roll.commit("2", second.limit(1))
+    assert roll.manifest()["version"] == version
     roll.commit("3", spark.createDataFrame([("insert", "b", "en", "v2", None, None, None, None, None)], CHANGES))
     roll.compact()
     roll.compact()
@@ -710,6 +714,19 @@ def test_rollup(spark):
     assert folders == [roll.manifest()["base"]] and roll.manifest()["folded"] == ["1", "2", "3"]
 
 
+def test_rollup_keeps_old_readers_and_refuses_a_second_writer(spark):
+    roll = token_rollup.TokenRollup(spark, shared_folder(spark))
+    one = spark.createDataFrame([("insert", "a", "en", "v1", 4, None, None, None, None)], CHANGES)
+    roll.commit("1", one)
+    reader, stale = roll.totals(), roll.manifest()
+    roll.compact()
+    assert [(r.docs, r.tokens) for r in reader.collect()] == [(1, 4)]
+    with pytest.raises(RuntimeError, match="another writer"):
+        roll._switch(stale)
+    roll.commit("2", one)
+    assert roll.totals().first().docs == 2
+
+
 def test_rollup_replaces_a_batch(spark):
     """A batch that comes again with other rows counts as it came last; an empty rollup has no totals."""
     roll = token_rollup.TokenRollup(spark, shared_folder(spark))
