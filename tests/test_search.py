@@ -246,3 +246,15 @@ def test_agree_sets():
     m = np.array([[1, 1, 0], [1, 0, 0], [0, 0, 1], [0, 0, 1], [1, 1, 0]], bool)
     assert sorted(map(tuple, K.maximal(m).tolist())) == [(False, False, True), (True, True, False)]
     assert len(K.maximal(m[:0])) == 0
+
+
+def test_sets_that_repeat_values_are_not_counted(spark, monkeypatch):
+    """Two equal rows in a part of the values rule out sets that are unique but for a tenth of the rows."""
+    df = spark.range(20_000).selectExpr("id % 2000 AS a_id", "floor(id / 2000) AS b_id", "pmod(hash(id, 1), 60000) AS x_id", "pmod(hash(id, 2), 4) AS y_id").cache()
+    uniques = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first()
+    counted, real = [], K.distinct_counts
+    monkeypatch.setattr(K, "distinct_counts", lambda d, sets: counted.extend(sets) or real(d, sets))
+    found = K.logical_keys(df, [Row(c, i, 20_000, uniques[c]) for i, c in enumerate(df.columns)], SHIPPED)
+    assert ("a_id", "b_id") in [k.columns for k in found]
+    assert df.select("x_id", "y_id").distinct().count() > 0.85 * 20_000 and ("x_id", "y_id") not in counted
+    assert K.nearly_unique(df, [], 20_000) == [] and K.nearly_unique(df, [("x_id", "y_id"), ("a_id", "b_id")], 20_000, at_once=1) == [("a_id", "b_id")]
