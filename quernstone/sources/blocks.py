@@ -12,13 +12,14 @@ Footers are read by tasks and the rows by others; the driver lists names only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..storage import shared_folder, written
@@ -76,17 +77,20 @@ def choose_blocks(blocks: DataFrame, fraction: float, seed: int = 0) -> DataFram
     return ranked.withColumn("take", take).withColumn("start", F.col("at") % (F.col("rows") - F.col("take") + 1)).select("path", "block", "rows", "bytes", "start", "take")
 
 
-def read_blocks(spark: SparkSession, path: str, chosen: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The chosen runs of rows of a table, with these columns (all if none are named); the rest of the file is not read."""
-    schema = spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in columns or ()] or ["*"]).schema
+def _runs(schema: T.StructType, opener: Callable = _open) -> Callable:
+    """Reads runs of rows (path, block, start, take), by path, with the columns of schema."""
     arrow = to_arrow_schema(schema)
-    chosen = written(chosen, f"{shared_folder(spark)}/blocks")
-    n = max(1, min(chosen.count(), 8 * spark.sparkContext.defaultParallelism))
 
     def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                with _open(r["path"]) as file:
+        # A footer names all row groups of its file, so a task reads it once, not once for each group.
+        name, file = None, None
+        try:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    if r["path"] != name:
+                        if file:
+                            file.close()
+                        name, file = r["path"], opener(r["path"])
                     at, end = 0, r["start"] + r["take"]
                     for part in file.iter_batches(BATCH, row_groups=[r["block"]], columns=schema.names):
                         some = part.slice(max(0, r["start"] - at), max(0, min(part.num_rows, end - at) - max(0, r["start"] - at)))
@@ -95,8 +99,21 @@ def read_blocks(spark: SparkSession, path: str, chosen: DataFrame, columns: Sequ
                         at += part.num_rows
                         if at >= end:
                             break
+        finally:
+            if file:
+                file.close()
+
+    return run
+
+
+def read_blocks(spark: SparkSession, path: str, chosen: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The chosen runs of rows of a table, with these columns (all if none are named); the rest of the file is not read."""
+    schema = spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in columns or ()] or ["*"]).schema
+    chosen = written(chosen, f"{shared_folder(spark)}/blocks")
+    n = max(1, min(chosen.count(), 8 * spark.sparkContext.defaultParallelism))
 
-    return chosen.select("path", "block", "start", "take").repartition(n, "path", "block").mapInArrow(run, schema)
+    # Neighbours go to one task, so that few tasks open the same file.
+    return chosen.select("path", "block", "start", "take").repartitionByRange(n, "path", "block").sortWithinPartitions("path", "block").mapInArrow(_runs(schema), schema)
 
 
 def block_sample(spark: SparkSession, path: str, fraction: float, seed: int = 0, columns: Sequence[str] | None = None) -> DataFrame:

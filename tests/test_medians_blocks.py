@@ -86,3 +86,25 @@ def test_block_sample_of_odd_tables(spark, tmp_path):
         B.block_sample(spark, f"{tmp_path}/parts", 0.5)
     got = B.block_sample(spark, f"{tmp_path}/parts/part=0", 1, columns=["a b.c"]).collect()
     assert sorted(r[0] for r in got) == [0, 2]
+
+
+def test_a_task_opens_a_file_once(spark, tmp_path):
+    """200 row groups of two files are read with two files opened."""
+    for name in "ab":
+        pq.write_table(pa.table({"id": range(1000)}), tmp_path / f"{name}.parquet", row_group_size=10)
+    chosen = B.choose_blocks(B.row_groups(spark, str(tmp_path)), 1.0)
+    plan = B.read_blocks(spark, str(tmp_path), chosen)
+    assert plan.count() == 2000 and plan.agg(F.sum("id")).first()[0] == 999_000
+    opened = []
+
+    class Counting:
+        def __init__(self, uri):
+            opened.append(uri)
+            self.file = pq.ParquetFile(uri.removeprefix("file://"))
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+    run = B._runs(plan.schema, Counting)
+    rows = chosen.select("path", "block", "start", "take").orderBy("path", "block").toPandas()
+    assert sum(b.num_rows for b in run([pa.RecordBatch.from_pandas(rows)])) == 2000 and len(opened) == 2
