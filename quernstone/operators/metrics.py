@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import canonical, compatibility
-from ..storage import shared_folder, written
+from ..storage import dealt, shared_folder, written
 from .stats import comparable
 
 #: Relationships that are measured in one plan.
@@ -37,28 +37,29 @@ def comparable_types(a: T.DataType, b: T.DataType) -> str | None:
     return "bigint"
 
 
-def key_counts(df: DataFrame, columns: Sequence[str], kinds: Sequence[str] | None = None) -> DataFrame:
-    """(k0, k1, ..., n): how often each value set without a null occurs."""
+def key_counts(df: DataFrame, columns: Sequence[str], kinds: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
+    """(k0, k1, ..., n): how often each value set without a null occurs, counted in so many parts."""
     kinds = kinds or [None] * len(columns)
     keys = [(comparable(df, c) if k is None else comparable(df, c).cast(k)).alias(f"k{i}") for i, (c, k) in enumerate(zip(columns, kinds, strict=True))]
     names = [f"k{i}" for i in range(len(columns))]
-    return df.select(*keys).na.drop("any", subset=names).groupBy(*names).agg(F.count("*").alias("n"))
+    return dealt(df.select(*keys).na.drop("any", subset=names), parts, *names).groupBy(*names).agg(F.count("*").alias("n"))
 
 
-def overlap(source: DataFrame, source_columns: Sequence[str], target: DataFrame, target_columns: Sequence[str]) -> DataFrame:
+def overlap(source: DataFrame, source_columns: Sequence[str], target: DataFrame, target_columns: Sequence[str], parts: int | None = None) -> DataFrame:
     """One row of METRICS.
 
     Both sides are reduced to key counts, map-side first, so a hot key is one
     row before the join.  One full outer join of the counts gives distinct
     counts, intersection, union and the size of the row join, which is the sum
-    of the products of the counts.  A side without a complete key makes all
+    of the products of the counts.  With `parts` (of storage.key_parts) rows of
+    nearly unique keys are dealt over so many tasks first.  A side without a complete key makes all
     rates 0 and the multiplicity 1.
     """
     kinds = [comparable_types(source.schema[a].dataType, target.schema[b].dataType) for a, b in zip(source_columns, target_columns, strict=True)]
     never = any(k is None and not source.schema[a].dataType == target.schema[b].dataType for k, a, b in zip(kinds, source_columns, target_columns, strict=True))
     names = [f"k{i}" for i in range(len(kinds))]
-    s = key_counts(source, source_columns, None if never else kinds).withColumnRenamed("n", "s")
-    t = key_counts(target, target_columns, None if never else kinds).withColumnRenamed("n", "t")
+    s = key_counts(source, source_columns, None if never else kinds, parts).withColumnRenamed("n", "s")
+    t = key_counts(target, target_columns, None if never else kinds, parts).withColumnRenamed("n", "t")
     if never:
         zero = F.lit(None).cast("bigint")
         both = s.select("s", zero.alias("t")).unionAll(t.select(zero.alias("s"), "t"))
@@ -81,9 +82,11 @@ def overlap(source: DataFrame, source_columns: Sequence[str], target: DataFrame,
     )
 
 
-def overlaps(pairs: Sequence[tuple[str, DataFrame, Sequence[str], DataFrame, Sequence[str]]], batch: int = BATCH) -> DataFrame | None:
+def overlaps(pairs: Sequence[tuple], batch: int = BATCH) -> DataFrame | None:
     """(id, METRICS) of many relationships; None for none.
 
+    pairs: id, source, its columns, target, its columns and, if known, the parts that overlap takes.
+
     Up to `batch` of them are one plan, in which scans and key counts that
     recur are computed once (exchange reuse).  More are measured in such
     batches, a table on shared storage each, so that no plan grows with their
@@ -93,7 +96,7 @@ def overlaps(pairs: Sequence[tuple[str, DataFrame, Sequence[str], DataFrame, Seq
         return None
 
     def plan(some) -> DataFrame:
-        return reduce(DataFrame.unionAll, [overlap(s, sc, t, tc).select(F.lit(name).alias("relationship_id"), "*") for name, s, sc, t, tc in some])
+        return reduce(DataFrame.unionAll, [overlap(*of).select(F.lit(name).alias("relationship_id"), "*") for name, *of in some])
 
     if len(pairs) <= batch:
         return plan(pairs)

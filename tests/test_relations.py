@@ -5,7 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quernstone.config import RelationConfig
+from quernstone import storage
+from quernstone.config import SHIPPED, RelationConfig
 from quernstone.operators import decide as D
 from quernstone.operators import metrics as M
 from quernstone.operators.candidates import Candidate, Described, candidates, composite_candidates, match_as_set, single_candidates
@@ -152,3 +153,19 @@ def test_overlaps_in_batches_are_those_of_one_plan(spark):
     found = [sorted(map(str, M.overlaps(pairs, n).collect())) for n in (64, 2, 1)]
     assert len(found[0]) == 5 and found[0] == found[1] == found[2]
     assert M.overlaps([]) is None
+
+
+def test_nearly_unique_keys_are_dealt_over_more_parts(spark, monkeypatch):
+    """No task holds more keys because tables are larger; keys that repeat often are summed before the shuffle."""
+    catalog = lambda: Catalog(spark, [Table(n, spark.range(rows).selectExpr("id AS order_id", "id % 7 AS part_id", "id * 10 AS line_id"), constraints=[Constraint("uk", ("order_id", "part_id"), "pair", unique=True)]) for n, rows in (("first", 1000), ("second", 900))])
+    told = lambda df: sorted(map(str, df.select("source", "source_columns", "target", "target_columns", "composite_score", "decision").collect()))
+    whole = told(discover(profile_catalog(catalog(), SHIPPED)))
+    monkeypatch.setattr(storage, "KEYS", 20)
+    seen, plain = [], M.overlap
+    monkeypatch.setattr(M, "overlap", lambda *a: seen.append(a[4]) or plain(*a))
+    assert told(discover(profile_catalog(catalog(), SHIPPED))) == whole
+    assert whole and set(seen) == {64}
+    counts = M.key_counts(catalog()["first"].frame, ["order_id", "part_id"], None, 64)
+    assert max(r["count"] for r in counts.groupBy(F.spark_partition_id()).count().collect()) < 3 * 20
+    assert storage.key_parts(spark, 1000, 1000) == 64
+    assert storage.key_parts(spark, 1000, 5000) is None and storage.key_parts(spark, 50, 100) is None
