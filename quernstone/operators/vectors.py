@@ -29,6 +29,8 @@ from ..storage import removed, shared_folder, written
 CHUNK, BLOCK = 4096, 512
 #: Vectors that centres are fitted on, and centres at most: 64 MB with 1,024 components.
 SAMPLE, LISTS = 1 << 16, 1 << 13
+#: Components that a task compares with centres, or hands on, at once: 32 MB.
+STEP = 1 << 22
 #: Vectors without a length: they are alike to nothing, and nothing is their centre.
 NOWHERE = -1
 _SLACK = 1e-9
@@ -44,6 +46,14 @@ def _unit(column: pd.Series) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
+def _steps(frames: Iterator[pd.DataFrame], centres: np.ndarray) -> Iterator[pd.DataFrame]:
+    """The frames in parts of so few rows that a copy of each row for each centre has STEP components at most (or in single rows)."""
+    rows = max(1, STEP // max(1, centres.size))
+    for f in frames:
+        for i in range(0, len(f), rows):
+            yield f.iloc[i : i + rows]
+
+
 def _best(queries: np.ndarray, names: np.ndarray, s: np.ndarray, k: int) -> pd.DataFrame:
     """The k largest of each row of s and all that equal the last of them, cut to k by name."""
     k, s = min(k, s.shape[1]), s + 0.0  # no -0.0, which sorts below 0.0
@@ -126,9 +136,7 @@ class VectorIndex:
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c, radius = centres.value
-            for f in frames:
-                if not len(f):
-                    continue
+            for f in _steps(frames, c):
                 u = _unit(f["embedding"])
                 s = u @ c.T
                 first = np.argsort(-s, axis=1, kind="stable")[:, :probes]
@@ -211,9 +219,7 @@ def build_index(vectors: DataFrame, path: str, id_col: str = "vec_id", vector_co
     shared = spark.sparkContext.broadcast(centres)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if not len(f):
-                continue
+        for f in _steps(frames, shared.value):
             if (f["embedding"].map(len) != dims).any() and dims:
                 raise ValueError(f"vectors must have {dims} components")
             u = _unit(f["embedding"]) if dims else np.zeros((len(f), 0))

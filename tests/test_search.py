@@ -4,8 +4,10 @@ import random
 from collections import Counter
 from difflib import SequenceMatcher
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +87,19 @@ def test_index_search(spark, monkeypatch, vectors):
     assert "PartitionFilters: [list" in plan
 
 
+def test_searches_hand_on_few_rows_at_once(spark, monkeypatch, vectors):
+    """Rows of a query and a list come in frames that do not grow with the queries of an Arrow batch or with the lists."""
+    monkeypatch.setattr(V, "STEP", 16 * 8 * 10, raising=False)
+    rows, df = vectors
+    index = V.build_index(df, shared_folder(spark), lists=16)
+    frame = pd.DataFrame([(i, np.array(e), -2.0) for i, e in rows], columns=["query_id", "embedding", "least"])
+    queries = SimpleNamespace(mapInPandas=lambda run, schema: list(run(iter([frame.iloc[:0], frame]))))
+    lists = index.lists.where("list >= 0").count()
+    near, beyond = index.targets(queries, 3), index.targets(queries, 3, beyond=True)
+    assert sum(map(len, near)) == 3 * len(rows) and sum(len(f[f["list"] >= 0]) for f in beyond) == (lists - 3) * len(rows)
+    assert max(map(len, near + beyond)) <= 10 * 17 + 10
+
+
 def test_index_of_odd_vectors(spark):
     nothing = spark.createDataFrame([(1, None)], VECTORS)
     q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id bigint, embedding array<float>")
