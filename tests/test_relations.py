@@ -11,6 +11,7 @@ from quernstone.operators import decide as D
 from quernstone.operators import metrics as M
 from quernstone.operators.candidates import Candidate, Described, candidates, composite_candidates, match_as_set, single_candidates
 from quernstone.operators.keys import LogicalKey, confidence, distinct_counts, logical_keys
+from quernstone.plans import queries as core
 from quernstone.plans.discover import discover
 from quernstone.plans.profile import profile_catalog
 from quernstone.sources.catalog import Catalog, Constraint, Table
@@ -169,3 +170,14 @@ def test_nearly_unique_keys_are_dealt_over_more_parts(spark, monkeypatch):
     assert max(r["count"] for r in counts.groupBy(F.spark_partition_id()).count().collect()) < 3 * 20
     assert storage.key_parts(spark, 1000, 1000) == 64
     assert storage.key_parts(spark, 1000, 5000) is None and storage.key_parts(spark, 50, 100) is None
+
+
+def test_orders_are_told_apart_where_their_lines_are(spark, sf, monkeypatch):
+    """More lines make more parts of each join, and no task tells apart the orders of all parts."""
+    query = core.queries()["sql_corpus_three_tables"]
+    plain = sorted(query(spark, sf).collect())
+    monkeypatch.setattr(storage, "KEYS", 100)
+    dealt = query(spark, sf)
+    assert sorted(dealt.collect()) == plain
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 4 and "distinct" not in plan
